@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sigweave.functions.keys import is_response, pair_key
 from sigweave.functions.times import elapsed_ms, seconds
-from sigweave.operators.skew import Skew, hot_values, slice_of
+from sigweave.operators.skew import Skew, hot_values, id_block, slice_of
 from sigweave.operators.validation import valid
 from sigweave.schema import MESSAGE, REQUEST_MARK, TTL_SECONDS
 
@@ -51,9 +51,7 @@ def answer_requests(
     hot = hot_values(keyed, F.col("pair_key"), skew.min_rows)
     if hot:
         # At one instant a response follows every request, whatever the ids.
-        minor = F.floor(F.col("id") / skew.id_block).cast("bigint") + F.when(
-            F.col("responds"), F.lit(1 << 62)
-        ).otherwise(F.lit(0))
+        minor = [F.col("responds").cast("bigint"), id_block(F.col("id"), skew)]
         own = keyed.withColumn("slice", slice_of(keyed, "pair_key", hot, skew, "ts", minor))
         ahead = _next_of_slices(own.where(F.col("pair_key").isin(hot)))
         rows, by = own.unionByName(ahead), ["pair_key", "slice"]

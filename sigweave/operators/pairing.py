@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sigweave.functions.keys import pair_key, pair_teid
 from sigweave.functions.times import elapsed_ms, seconds
-from sigweave.operators.skew import Skew, hot_values, slice_of
+from sigweave.operators.skew import Skew, hot_values, id_block, slice_of
 from sigweave.operators.validation import rejected, valid
 from sigweave.schema import MESSAGE, TTL_SECONDS
 
@@ -80,9 +80,8 @@ def _handover(own: DataFrame, ttl: float) -> DataFrame:
 
 def _with_slices(keyed: DataFrame, hot: list, ttl: float, skew: Skew) -> DataFrame:
     """Adds to each slice of a hot key the message waiting for it, and a look-ahead row."""
-    minor = F.floor(F.col("id") / skew.id_block).cast("bigint")
     own = keyed.withColumn(
-        "slice", slice_of(keyed, "pair_key", hot, skew, "ts", minor)
+        "slice", slice_of(keyed, "pair_key", hot, skew, "ts", [id_block(F.col("id"), skew)])
     ).withColumn("role", F.lit(_OWN))
     cut = own.where(F.col("pair_key").isin(hot))
     handover = _handover(cut, ttl)
@@ -101,11 +100,17 @@ def _with_slices(keyed: DataFrame, hot: list, ttl: float, skew: Skew) -> DataFra
     return own.unionByName(waiting).unionByName(ahead, allowMissingColumns=True)
 
 
-def _walk(messages: DataFrame, ttl: float, skew: Skew) -> DataFrame:
+def hot_pair_keys(messages: DataFrame, skew: Skew = Skew()) -> list:
+    """Pair keys to cut into slices; one narrow scan when the table is small."""
+    return hot_values(valid(messages), pair_key(), skew.min_rows)
+
+
+def _walk(messages: DataFrame, ttl: float, skew: Skew, hot: list | None) -> DataFrame:
     """Each message that waits (odd position in its run), with its successor `next_*` if that
     pairs with it. One shuffle and one sort by pair key."""
     keyed = valid(messages).select(*_COLUMNS, pair_key().alias("pair_key"))
-    hot = hot_values(keyed, F.col("pair_key"), skew.min_rows)
+    if hot is None:
+        hot = hot_pair_keys(messages, skew)
     if hot:
         rows, by = _with_slices(keyed, hot, ttl, skew), ["pair_key", "slice"]
     else:
@@ -144,10 +149,15 @@ def pair_columns() -> list[Column]:
 
 
 def pair_messages(
-    messages: DataFrame, ttl: float = TTL_SECONDS, skew: Skew = Skew()
+    messages: DataFrame,
+    ttl: float = TTL_SECONDS,
+    skew: Skew = Skew(),
+    hot: list | None = None,
 ) -> DataFrame:
-    """PAIR rows: pair_key, first, second, t0, t1, teid, latency_ms."""
-    met = _walk(messages, ttl, skew).where(F.col("met") & (F.col("next_role") == _OWN))
+    """PAIR rows: pair_key, first, second, t0, t1, teid, latency_ms.
+
+    `hot` names the pair keys to cut into slices; left out, they are searched for."""
+    met = _walk(messages, ttl, skew, hot).where(F.col("met") & (F.col("next_role") == _OWN))
     return met.select(
         "pair_key",
         F.struct(*_COLUMNS).alias("first"),
@@ -156,10 +166,13 @@ def pair_messages(
 
 
 def unpaired_messages(
-    messages: DataFrame, ttl: float = TTL_SECONDS, skew: Skew = Skew()
+    messages: DataFrame,
+    ttl: float = TTL_SECONDS,
+    skew: Skew = Skew(),
+    hot: list | None = None,
 ) -> DataFrame:
     """UNPAIRED rows: pair_key, the message, reason. Rejected messages are among them."""
-    alone = _walk(messages, ttl, skew).where(~F.col("met") & (F.col("role") == _OWN))
+    alone = _walk(messages, ttl, skew, hot).where(~F.col("met") & (F.col("role") == _OWN))
     expired = alone.select("pair_key", *_COLUMNS, F.lit("expired").alias("reason"))
     no_key = F.lit(None).cast("string").alias("pair_key")
     return expired.unionByName(rejected(messages).select(no_key, *_COLUMNS, "reason"))

@@ -55,24 +55,27 @@ def hot_values(df: DataFrame, value: Column, min_rows: int) -> list:
 
 
 def slice_of(
-    df: DataFrame, key: str, hot: list, skew: Skew, ts: str, minor: Column
+    df: DataFrame, key: str, hot: list, skew: Skew, ts: str, minor: list[Column]
 ) -> Column:
     """Slice of each row as an ordered struct; rows of cold groups share one slice.
 
-    `minor` orders rows of one instant and is unique enough that a value spans a bounded
-    number of rows.
+    `minor` orders the rows of one instant. Its last column should group a bounded number of
+    rows, such as a block of unique ids.
     """
     zero = F.lit(0).cast("bigint")
+    names = ["major", "instant"] + [f"minor{i}" for i in range(len(minor))]
     if not hot:
-        return F.struct(zero.alias("major"), zero.alias("instant"), zero.alias("minor"))
+        return F.struct(*[zero.alias(n) for n in names])
     is_hot = F.col(key).isin(hot)
     micros = F.unix_micros(ts)
     major = F.floor(micros / (skew.slice_seconds * 1_000_000)).cast("bigint")
     tag = F.concat_ws("\u0001", F.col(key), major.cast("string"))
     dense = hot_values(df.where(is_hot), tag, skew.min_rows)
     is_dense = (is_hot & tag.isin(dense)) if dense else F.lit(False)
-    return F.struct(
-        F.when(is_hot, major).otherwise(zero).alias("major"),
-        F.when(is_dense, micros).otherwise(zero).alias("instant"),
-        F.when(is_dense, minor).otherwise(zero).alias("minor"),
-    )
+    fine = [F.when(is_dense, c).otherwise(zero) for c in [micros, *minor]]
+    coarse = F.when(is_hot, major).otherwise(zero)
+    return F.struct(*[c.alias(n) for c, n in zip([coarse, *fine], names)])
+
+
+def id_block(id_: Column, skew: Skew) -> Column:
+    return F.floor(id_ / skew.id_block).cast("bigint")
