@@ -100,9 +100,11 @@ def _with_slices(keyed: DataFrame, hot: list, ttl: float, skew: Skew) -> DataFra
     return own.unionByName(waiting).unionByName(ahead, allowMissingColumns=True)
 
 
-def hot_pair_keys(messages: DataFrame, skew: Skew = Skew()) -> list:
+def hot_pair_keys(
+    messages: DataFrame, skew: Skew = Skew(), total: int | None = None
+) -> list:
     """Pair keys to cut into slices; one narrow scan when the table is small."""
-    return hot_values(valid(messages), pair_key(), skew.min_rows)
+    return hot_values(valid(messages), pair_key(), skew.min_rows, total)
 
 
 def _walk(messages: DataFrame, ttl: float, skew: Skew, hot: list | None) -> DataFrame:
@@ -165,6 +167,35 @@ def pair_messages(
     ).select(*pair_columns())
 
 
+def settle_messages(
+    messages: DataFrame,
+    until: Column | None,
+    ttl: float,
+    skew: Skew,
+    hot: list | None = None,
+) -> DataFrame:
+    """One step of a stream: `kind`, `first`, `second` of all messages held so far.
+
+    No message older than `until` will come any more. Pairs of messages older than that are
+    final ('pair'), and so are those that waited in vain ('expired'). All others, and those
+    still waiting, are 'open' and belong to the next step.
+    """
+    message = F.struct(*_COLUMNS).alias("first")
+    none = F.lit(None).cast(MESSAGE).alias("second")
+    if until is None:
+        return messages.select(F.lit("open").alias("kind"), message, none)
+    walked = _walk(messages.where(F.col("ts") < until), ttl, skew, hot)
+    paired = F.col("met") & (F.col("next_role") == _OWN)
+    over = F.col("ts") + seconds(ttl) <= until
+    kind = F.when(paired, "pair").when(over, "expired").otherwise("open")
+    second = F.struct(*[F.col(f"next_{c}").alias(c) for c in _COLUMNS])
+    settled = walked.where(paired | (~F.col("met") & (F.col("role") == _OWN))).select(
+        kind.alias("kind"), message, F.when(paired, second).alias("second")
+    )
+    ahead = messages.where(F.col("ts") >= until)
+    return settled.unionByName(ahead.select(F.lit("open").alias("kind"), message, none))
+
+
 def unpaired_messages(
     messages: DataFrame,
     ttl: float = TTL_SECONDS,

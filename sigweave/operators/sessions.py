@@ -18,11 +18,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sigweave.functions.keys import is_response
+from sigweave.functions.times import seconds
 from sigweave.operators.skew import Skew, hot_values, id_block, slice_of
 from sigweave.schema import CARRIED, DELETE_RESPONSE, MESSAGE, OPTIONAL, TTL_SECONDS
 
 _NONE = -(1 << 62)
-_PLACE = "session_no long, session_start long, oldest long, first_n long"
+_PLACE = "session_no long, session_start long, first_n long"
 
 # A slice of a hot tunnel is this many session lifetimes long.
 _LIFETIMES_PER_SLICE = 64
@@ -49,9 +50,9 @@ def _fold(ttl_us: int):
                     number, start, oldest, first_n = number + 1, t1, t0, n
                 elif t0 < oldest:
                     oldest = t0
-                out.append((number, start, oldest, first_n))
+                out.append((number, start, first_n))
             yield pd.DataFrame(
-                out, columns=["session_no", "session_start", "oldest", "first_n"], dtype="int64"
+                out, columns=["session_no", "session_start", "first_n"], dtype="int64"
             )
 
     return place.asNondeterministic()
@@ -70,6 +71,12 @@ def _own(field: str) -> Column:
     return F.coalesce(F.col("second")[field], F.col("first")[field])
 
 
+def _micros_or_none(pairs: DataFrame, column: str) -> Column:
+    if column not in pairs.columns:
+        return F.lit(_NONE)
+    return F.coalesce(F.unix_micros(column), F.lit(_NONE))
+
+
 def _cold_sessions(pairs: DataFrame, ttl_us: int, fields: list[str]) -> DataFrame:
     """One shuffle and one sort by tunnel. The value to carry is looked up together with the
     position it stands at, and counts only if that lies inside the session."""
@@ -81,14 +88,12 @@ def _cold_sessions(pairs: DataFrame, ttl_us: int, fields: list[str]) -> DataFram
         ).over(earlier)
         for f in fields
     }
-    none = F.lit(_NONE)
-    known = {c: F.unix_micros(c) for c in ("_oldest_in", "_start_in") if c in pairs.columns}
+    opening = [_micros_or_none(pairs, c) for c in ("oldest_in", "start_in")]
     place = _fold(ttl_us)(
         F.col("_n").cast("bigint"),
         F.unix_micros("t0"),
         F.unix_micros("t1"),
-        F.coalesce(known.get("_oldest_in", none), none),
-        F.coalesce(known.get("_start_in", none), none),
+        *opening,
     )
     placed = (
         _with_id(pairs)
@@ -100,20 +105,10 @@ def _cold_sessions(pairs: DataFrame, ttl_us: int, fields: list[str]) -> DataFram
         f"prev_{f}": F.when(F.col(f"_{f}")["_n"] >= F.col("_place.first_n"), F.col(f"_{f}")["v"])
         for f in fields
     }
-    if known:
-        # The session was open before these rows: what it had carried so far holds until then.
-        joined = F.col("_place.session_no") == 0
-        carried = {
-            f"prev_{f}": F.coalesce(c, F.when(joined, F.col(f"_{f}_in")))
-            if f"_{f}_in" in pairs.columns
-            else c
-            for f, c in ((f, carried[f"prev_{f}"]) for f in fields)
-        }
     return placed.select(
         *pairs.columns,
         F.col("_place.session_no").alias("session_no"),
         F.timestamp_micros(F.col("_place.session_start")).alias("session_start"),
-        F.timestamp_micros(F.col("_place.oldest")).alias("oldest"),
         *[c.alias(name) for name, c in carried.items()],
     )
 
@@ -166,9 +161,10 @@ def _slice_entry(ttl_us: int):
     """The session open at the beginning of each slice of a tunnel, from the slices' effects."""
 
     def entry(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        number, start, oldest = 0, _NONE, _NONE
+        pdf = pdf.sort_values("slice")
+        number, start, oldest = 0, int(pdf["start_in"].iloc[0]), int(pdf["oldest_in"].iloc[0])
         out = []
-        for row in pdf.sort_values("slice").itertuples():
+        for row in pdf.itertuples():
             out.append((key[0], row.slice, number, start, oldest))
             joined = min(oldest, row.anchor)
             i = max(np.searchsorted(row.before, joined + ttl_us) - 1, 0)
@@ -222,6 +218,14 @@ def _hot_sessions(pairs: DataFrame, ttl_us: int, fields: list[str], skew: Skew)
         "teid string, slice long, anchor long, before array<long>, oldest array<long>, "
         "start array<long>, opened array<long>",
     )
+    if "oldest_in" in pairs.columns:
+        opening = pairs.select("teid", "start_in", "oldest_in").groupBy("teid").agg(
+            F.first("start_in").alias("start_in"), F.first("oldest_in").alias("oldest_in")
+        )
+        effects = effects.join(opening, "teid")
+    effects = effects.withColumns(
+        {c: _micros_or_none(effects, c) for c in ("start_in", "oldest_in")}
+    )
     entries = effects.groupBy("teid").applyInPandas(
         _slice_entry(ttl_us),
         "teid string, slice long, number_in long, start_in long, oldest_in long",
@@ -280,6 +284,12 @@ def _placed(
     skew: Skew,
     hot: list | None,
 ) -> DataFrame:
+    """Pairs with their session and, for each of `fields`, `prev_<field>`: the last value
+    before the pair in its session.
+
+    A stream adds what it knows of the session open before these rows: `oldest_in`, `start_in`
+    and `<field>_in`. Pairs that join it get number 0.
+    """
     if ttl < pair_ttl:
         raise ValueError("a session must live at least as long as a message waits")
     ttl_us = round(ttl * 1_000_000)
@@ -287,10 +297,19 @@ def _placed(
     if hot is None:
         hot = hot_values(known, F.col("teid"), skew.min_rows)
     if not hot:
-        return _cold_sessions(known, ttl_us, fields).drop("oldest")
-    is_hot = F.col("teid").isin(hot)
-    cold = _cold_sessions(known.where(~is_hot), ttl_us, fields).drop("oldest")
-    return cold.unionByName(_hot_sessions(known.where(is_hot), ttl_us, fields, skew))
+        placed = _cold_sessions(known, ttl_us, fields)
+    else:
+        is_hot = F.col("teid").isin(hot)
+        placed = _cold_sessions(known.where(~is_hot), ttl_us, fields).unionByName(
+            _hot_sessions(known.where(is_hot), ttl_us, fields, skew)
+        )
+    # A session open before these rows (number 0) holds what it has carried so far.
+    opening = {
+        f"prev_{f}": F.coalesce(f"prev_{f}", F.when(F.col("session_no") == 0, F.col(f"{f}_in")))
+        for f in fields
+        if f"{f}_in" in pairs.columns
+    }
+    return placed.withColumns(opening) if opening else placed
 
 
 def hot_tunnels(messages: DataFrame, skew: Skew = Skew()) -> list:
@@ -353,6 +372,60 @@ def enrich_sessions(
     return fill_messages(_placed(pairs, ttl, pair_ttl, fields, skew, hot), fields)
 
 
+def continue_sessions(
+    pairs: DataFrame,
+    open_sessions: DataFrame,
+    ttl: float,
+    pair_ttl: float,
+    carry_all: bool,
+    skew: Skew,
+) -> DataFrame:
+    """One step of a stream: `enrich_sessions` of new pairs, all later than any pair before,
+    going on from the open sessions."""
+    fields = OPTIONAL if carry_all else CARRIED
+    known = pairs.where(F.col("teid").isNotNull())
+    hot = hot_values(known, F.col("teid"), skew.min_rows)
+    joined = known.join(open_sessions, "teid", "left")
+    if hot:
+        # No more hot tunnels than shuffle partitions, so their open sessions are few.
+        is_hot = F.col("teid").isin(hot)
+        of_hot = F.broadcast(open_sessions.where(is_hot))
+        joined = joined.where(~is_hot).unionByName(
+            known.where(is_hot).join(of_hot, "teid", "left")
+        )
+    placed = _placed(joined, ttl, pair_ttl, fields, skew, hot)
+    oldest = F.least("t0", F.when(F.col("session_no") == 0, F.col("oldest_in")))
+    known_oldest = placed.withColumn("_oldest", oldest)
+    return fill_messages(known_oldest.drop(*open_session_columns(carry_all)[1:]), fields)
+
+
+def open_session_columns(carry_all: bool) -> list[str]:
+    fields = OPTIONAL if carry_all else CARRIED
+    return ["teid", "start_in", "oldest_in", *[f"{f}_in" for f in fields]]
+
+
+def open_sessions_after(
+    enriched: DataFrame, before: DataFrame, until: Column, ttl: float, carry_all: bool
+) -> DataFrame:
+    """Sessions that a pair completed at `until` or later can still join. `enriched` is the
+    result of `continue_sessions`, `before` what that went on from."""
+    order = F.struct("t1", "t0", "first.id")
+    fields = OPTIONAL if carry_all else CARRIED
+    latest = (
+        enriched.groupBy("teid", F.col("session_start").alias("start_in"))
+        .agg(
+            F.min("_oldest").alias("oldest_in"),
+            *[F.max_by(F.col("second")[f], order).alias(f"{f}_in") for f in fields],
+        )
+        .groupBy("teid")
+        .agg(F.max_by(F.struct(*open_session_columns(carry_all)[1:]), "start_in").alias("s"))
+        .select("teid", "s.*")
+    )
+    untouched = before.join(latest.select("teid"), "teid", "left_anti")
+    alive = F.col("oldest_in") + seconds(ttl) > until
+    return latest.unionByName(untouched).where(alive)
+
+
 def session_profiles(placed: DataFrame) -> DataFrame:
     """Field-wise merge of a session's messages: the last present value of each field."""
     order = F.struct(*_ORDER)

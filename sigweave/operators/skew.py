@@ -30,19 +30,22 @@ class Skew:
 _MIN_SUPPORT = 1e-4
 
 
-def hot_values(df: DataFrame, value: Column, min_rows: int) -> list:
+def hot_values(
+    df: DataFrame, value: Column, min_rows: int, total: int | None = None
+) -> list:
     """Values of `value` held by more than `min_rows` rows and by more than a fair share of
     them, a share being one shuffle partition's.
 
     The frequent-item search finds every value above its support in one pass without a
     shuffle, and never more than 1/support of them, so the list that reaches the driver has
     at most as many entries as there are shuffle partitions. Its false positives are removed
-    by counting.
+    by counting. `total` saves the count of all rows where it is known.
     """
     if df.isStreaming:
         return []
     keyed = df.select(value.cast("string").alias("v"))
-    total = df.select(F.lit(1)).count()
+    if total is None:
+        total = df.select(F.lit(1)).count()
     if total <= min_rows:
         return []
     shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
