@@ -8,7 +8,9 @@ from sigweave.schema import FIELDS
 # Two-character escapes of the text format; a backslash is escaped first.
 ESCAPES = {"\\": "\\\\", '"': '\\"', "'": "\\'", "\n": "\\n", "\r": "\\r", "\t": "\\t"}
 
+# Text of printable characters and short escapes only, and text that needs no escape at all.
 _PLAIN = r"^[ -~\n\r\t]*$"
+_CLEAN = r"^[ !#-&(-\[\]-~]*$"
 
 
 def _short_escapes(text: Column) -> Column:
@@ -33,17 +35,44 @@ def _byte_escapes(text: Column) -> Column:
 
 def quoted(text: Column) -> Column:
     body = F.when(text.rlike(_PLAIN), _short_escapes(text)).otherwise(_byte_escapes(text))
-    return F.concat(F.lit('"'), body, F.lit('"'))
+    return _in_quotes(body)
+
+
+def _in_quotes(text: Column) -> Column:
+    return F.concat(F.lit('"'), text, F.lit('"'))
+
+
+def _simple_lines(message: Column) -> Column:
+    """Left-out fields take no line: the concatenation skips NULL."""
+    values = {
+        f: message[f].cast("string") if f == "sequence_number" else _in_quotes(message[f])
+        for f in FIELDS
+    }
+    return F.concat_ws(
+        "", *[F.concat(F.lit(f"{f}: "), v, F.lit("\n")) for f, v in values.items()]
+    )
+
+
+def _escaped_lines(message: Column) -> Column:
+    fields = F.array(
+        *[F.struct(F.lit(f).alias("name"), message[f].cast("string").alias("value")) for f in FIELDS]
+    )
+
+    def line(field: Column) -> Column:
+        value = F.when(field["name"] == "sequence_number", field["value"]).otherwise(
+            quoted(field["value"])
+        )
+        return F.concat(field["name"], F.lit(": "), value, F.lit("\n"))
+
+    return F.array_join(F.transform(fields, line), "")
 
 
 def message_text(message: Column) -> Column:
-    """One `name: value` line per present field, in field order, each with its line end."""
-    lines = []
-    for name in FIELDS:
-        value = message[name]
-        shown = value.cast("string") if name == "sequence_number" else quoted(value)
-        lines.append(F.concat(F.lit(f"{name}: "), shown, F.lit("\n")))
-    return F.concat_ws("", *lines)
+    """One `name: value` line per present field, in field order, each with its line end. A
+    message without special characters, which one look at all of it tells, needs no escapes."""
+    texts = [message[f] for f in FIELDS if f != "sequence_number"]
+    clean = F.concat_ws("", *texts).rlike(_CLEAN)
+    return F.when(clean, _simple_lines(message)).otherwise(_escaped_lines(message))
 
 
 def pair_text(first: Column, second: Column) -> Column:

@@ -35,5 +35,11 @@ def valid(df: DataFrame) -> DataFrame:
     return df.where(is_complete() & F.col("ts").isNotNull())
 
 
+def with_reason(df: DataFrame) -> DataFrame:
+    """Adds `reason`; one that the source has given comes first."""
+    given = [F.col("reason")] if "reason" in df.columns else []
+    return df.withColumn("reason", F.coalesce(*given, reject_reason()))
+
+
 def rejected(df: DataFrame) -> DataFrame:
-    return df.withColumn("reason", reject_reason()).where(F.col("reason").isNotNull())
+    return with_reason(df).where(F.col("reason").isNotNull())

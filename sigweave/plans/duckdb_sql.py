@@ -225,3 +225,16 @@ ORACLES: dict[str, str] = {
     "offsets_ledger": f'WITH {_RECORDS} SELECT topic, partition, MAX("offset") + 1 AS "offset" '
     "FROM rec GROUP BY topic, partition",
 }
+
+_STREAM_SESSIONS = (
+    _with(_after(_PAIRS), _SESSIONS, _enriched(CARRIED))
+    + "SELECT teid, session_start, first_id, second_id, s_imsi AS imsi, s_msisdn AS msisdn FROM e"
+)
+
+# A stream must give what one pass over the whole table gives.
+ORACLES |= {
+    "stream_pairs": ORACLES["pairs"],
+    "stream_unpaired": f"SELECT id, reason FROM ({ORACLES['unpaired']}) u",
+    "stream_sessions": _STREAM_SESSIONS,
+    "stream_restart": _STREAM_SESSIONS,
+}

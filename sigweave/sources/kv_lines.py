@@ -20,23 +20,24 @@ LINE_KEYS = {
     "dpi_ip": "dpi_ip",
 }
 
-# Blanks and control characters up to U+0020 at either end.
-_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# Blanks and control characters up to U+0020, stripped from both ends of keys and values.
+_BLANKS = F.lit("".join(map(chr, range(0x21))))
 
 
-def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, _EDGES, "")
+def _fragments(line: Column) -> Column:
+    """Last fragment first, so that the first hit is the last of a repeated key."""
+    return F.reverse(F.split(F.regexp_replace(line, r"^\uFEFF", ""), r",\s*"))
 
 
-def _pairs(line: Column) -> Column:
-    """Array of (k, v): fragments without `=` are left out, only the first `=` splits."""
-    fragments = F.split(F.regexp_replace(line, r"^\uFEFF", ""), r",\s*")
-    halves = F.filter(
-        F.transform(fragments, lambda f: F.split(f, "=", 2)), lambda h: F.size(h) == 2
-    )
-    return F.transform(
-        halves, lambda h: F.struct(_strip(h[0]).alias("k"), _strip(h[1]).alias("v"))
-    )
+def _key(fragment: Column) -> Column:
+    """NULL for a fragment that has no `=`."""
+    key = F.trim(F.substring_index(fragment, "=", 1), _BLANKS)
+    return F.when(F.contains(fragment, F.lit("=")), key)
+
+
+def _value(fragment: Column) -> Column:
+    """All after the first `=`; a value may hold more of them."""
+    return F.trim(F.substr(fragment, F.locate("=", fragment) + 1), _BLANKS)
 
 
 def parse_lines(lines: DataFrame, at: Column | None = None) -> DataFrame:
@@ -46,11 +47,12 @@ def parse_lines(lines: DataFrame, at: Column | None = None) -> DataFrame:
     takes its last value. A sequence number that is no integer gives NULL, which validation
     rejects later.
     """
-    found = lines.withColumn("_kv", _pairs(F.col("value")))
+    cut = lines.withColumn("_fragments", _fragments(F.col("value")))
+    cut = cut.withColumn("_keys", F.transform("_fragments", _key))
 
     def value(key: str) -> Column:
-        hits = F.filter("_kv", lambda e: e["k"] == key)
-        return F.try_element_at(hits, F.lit(-1))["v"]
+        place = (F.array_position("_keys", key) - 1).cast("int")
+        return _value(F.get("_fragments", place))
 
     fields = {f: value(k) for f, k in LINE_KEYS.items()}
     fields["sequence_number"] = F.when(
@@ -58,7 +60,8 @@ def parse_lines(lines: DataFrame, at: Column | None = None) -> DataFrame:
         fields["sequence_number"].try_cast("int"),
     )
     when = F.current_timestamp() if at is None else at
-    return found.withColumns({"timestamp": stamp(when), **fields}).drop("_kv", "value")
+    made = {"timestamp": stamp(when), **fields}
+    return cut.withColumns(made).drop("value", "_fragments", "_keys")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -25,7 +25,7 @@ from sigweave.operators.sessions import (
     open_session_columns,
     open_sessions_after,
 )
-from sigweave.operators.validation import reject_reason
+from sigweave.operators.validation import with_reason
 from sigweave.options import JobOptions
 from sigweave.schema import MESSAGE
 
@@ -63,9 +63,11 @@ class SessionJob:
         self.unpaired_sink = unpaired_sink or table_sink(options.unpaired_out)
 
     def start(self, messages: DataFrame) -> StreamingQuery:
-        """Starts on a streaming DataFrame of messages, see `schema.MESSAGE`."""
+        """Starts on a streaming DataFrame of messages, see `schema.MESSAGE`. A column `reason`
+        tells why the source could not read a message."""
+        given = ["reason"] if "reason" in messages.columns else []
         writer = (
-            messages.select(*MESSAGE.names)
+            messages.select(*MESSAGE.names, *given)
             .writeStream.option("checkpointLocation", f"{self.options.checkpoint}/source")
             .foreachBatch(self._on_batch)
         )
@@ -115,8 +117,8 @@ class SessionJob:
         newest, settled = (clock["newest"], clock["settled"]) if clock else (None, None)
 
         late = F.unix_micros("ts") < F.lit(settled)
-        reason = F.coalesce(reject_reason(), F.when(late, "late"))
-        judged = batch.withColumn("reason", reason)
+        judged = with_reason(batch)
+        judged = judged.withColumn("reason", F.coalesce("reason", F.when(late, "late")))
         usable = judged.where("reason IS NULL").drop("reason")
         seen = usable.agg(F.count(F.lit(1)).alias("rows"), F.max(F.unix_micros("ts")).alias("newest")).first()
         newest = _latest(newest, seen["newest"])
