@@ -68,11 +68,11 @@ def replay(spark: SparkSession, sf_dir: str, stops: tuple[int, ...]) -> str:
 
 
 def stream_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pair_ids(spark.read.parquet(f"{replay(spark, sf_dir, (1, 2, 3, 4))}/pairs"))
+    return pair_ids(spark.read.parquet(f"{replay(spark, sf_dir, (2, 4))}/pairs"))
 
 
 def stream_unpaired(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alone = spark.read.parquet(f"{replay(spark, sf_dir, (1, 2, 3, 4))}/unpaired")
+    alone = spark.read.parquet(f"{replay(spark, sf_dir, (2, 4))}/unpaired")
     return alone.select("id", "reason")
 
 
@@ -92,12 +92,12 @@ def _enriched(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _enriched(spark, replay(spark, sf_dir, (1, 2, 3, 4)))
+    return _enriched(spark, replay(spark, sf_dir, (2, 4)))
 
 
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with one restart half way."""
-    return _enriched(spark, replay(spark, sf_dir, (2, 4)))
+    """The same with more restarts."""
+    return _enriched(spark, replay(spark, sf_dir, (1, 2, 3, 4)))
 
 
 STREAMS = {

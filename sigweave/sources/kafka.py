@@ -3,7 +3,12 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigweave.operators.offsets import start_offsets, starting_offsets_json
+from sigweave.operators.offsets import (
+    append_ledger,
+    start_offsets,
+    starting_offsets_json,
+    until_offsets,
+)
 from sigweave.operators.validation import blank_to_null, valid, with_time
 from sigweave.sources.protobuf import decode, encode
 
@@ -15,10 +20,30 @@ SINK_DEFAULTS = {
     "kafka.retries": "2147483647",
 }
 
+_OFFSET_BITS = 44
+
 
 def record_id() -> Column:
     """A unique number of each record of a topic, growing with the offset in a partition."""
-    return F.shiftleft(F.col("partition").cast("bigint"), 44).bitwiseOR(F.col("offset"))
+    return F.shiftleft(F.col("partition").cast("bigint"), _OFFSET_BITS).bitwiseOR(F.col("offset"))
+
+
+def record_positions(messages: DataFrame, topic: str) -> DataFrame:
+    """OFFSETS rows of messages numbered by `record_id`."""
+    return messages.select(
+        F.lit(topic).alias("topic"),
+        F.shiftright("id", _OFFSET_BITS).cast("int").alias("partition"),
+        F.col("id").bitwiseAND(F.lit((1 << _OFFSET_BITS) - 1)).alias("offset"),
+    )
+
+
+def ledger_sink(path: str, topic: str):
+    """For `SessionJob(after_step=...)`: notes the position reached after each step."""
+
+    def write(messages: DataFrame, step: int) -> None:
+        append_ledger(until_offsets(record_positions(messages, topic)), path)
+
+    return write
 
 
 def start_position(saved: DataFrame, earliest: DataFrame) -> str:

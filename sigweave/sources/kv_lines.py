@@ -21,7 +21,7 @@ LINE_KEYS = {
 }
 
 # Blanks and control characters up to U+0020, stripped from both ends of keys and values.
-_BLANKS = F.lit("".join(map(chr, range(0x21))))
+_BLANKS = "".join(map(chr, range(0x21)))
 
 
 def _fragments(line: Column) -> Column:
@@ -31,13 +31,13 @@ def _fragments(line: Column) -> Column:
 
 def _key(fragment: Column) -> Column:
     """NULL for a fragment that has no `=`."""
-    key = F.trim(F.substring_index(fragment, "=", 1), _BLANKS)
+    key = F.trim(F.substring_index(fragment, "=", 1), F.lit(_BLANKS))
     return F.when(F.contains(fragment, F.lit("=")), key)
 
 
 def _value(fragment: Column) -> Column:
     """All after the first `=`; a value may hold more of them."""
-    return F.trim(F.substr(fragment, F.locate("=", fragment) + 1), _BLANKS)
+    return F.trim(F.substr(fragment, F.locate("=", fragment) + 1), F.lit(_BLANKS))
 
 
 def parse_lines(lines: DataFrame, at: Column | None = None) -> DataFrame:

@@ -10,13 +10,14 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sigweave.schema import FIELDS, REQUIRED
+from sigweave.schema import FIELDS, MESSAGE, REQUIRED
 
 MESSAGE_NAME = "SignalMessage"
 
-_FIELD_TYPES = ", ".join(
-    f"{f} {'int' if f == 'sequence_number' else 'string'}" for f in FIELDS
+_DECODED = T.StructType(
+    [MESSAGE[f] for f in FIELDS] + [T.StructField("readable", T.BooleanType())]
 )
 
 
@@ -64,7 +65,7 @@ def _to_row(value) -> tuple:
     return (*[getattr(message, f) if message.HasField(f) else None for f in FIELDS], True)
 
 
-@F.pandas_udf(f"{_FIELD_TYPES}, readable boolean")
+@F.pandas_udf(_DECODED)
 def _decode(values: pd.Series) -> pd.DataFrame:
     out = pd.DataFrame([_to_row(v) for v in values], columns=[*FIELDS, "readable"], dtype=object)
     out["sequence_number"] = out["sequence_number"].astype("Int32")
@@ -72,7 +73,7 @@ def _decode(values: pd.Series) -> pd.DataFrame:
     return out
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _encode(rows: pd.DataFrame) -> pd.Series:
     def one(row) -> bytes:
         present = {f: v for f, v in zip(FIELDS, row) if not pd.isna(v)}

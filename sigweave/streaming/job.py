@@ -32,7 +32,11 @@ from sigweave.schema import MESSAGE
 Sink = Callable[[DataFrame, int], None]
 
 _STEP = T.StructType(
-    [T.StructField("first", MESSAGE), T.StructField("second", MESSAGE), T.StructField("kind", T.StringType())]
+    [
+        T.StructField("first", MESSAGE),
+        T.StructField("second", MESSAGE),
+        T.StructField("kind", T.StringType()),
+    ]
 )
 # Event time in microseconds: the newest message seen, and the time settled so far.
 _CLOCK = "newest long, settled long"
@@ -57,10 +61,19 @@ def _latest(*times: int | None) -> int | None:
 class SessionJob:
     """Pairs messages and enriches sessions, step by step."""
 
-    def __init__(self, options: JobOptions, pair_sink: Sink | None = None, unpaired_sink: Sink | None = None):
+    def __init__(
+        self,
+        options: JobOptions,
+        pair_sink: Sink | None = None,
+        unpaired_sink: Sink | None = None,
+        after_step: Sink | None = None,
+    ):
+        """Sinks get the results of each step and its number; `after_step` gets the messages
+        read in it, once all results are written."""
         self.options = options
         self.pair_sink = pair_sink or table_sink(options.pair_out)
         self.unpaired_sink = unpaired_sink or table_sink(options.unpaired_out)
+        self.after_step = after_step
 
     def start(self, messages: DataFrame) -> StreamingQuery:
         """Starts on a streaming DataFrame of messages, see `schema.MESSAGE`. A column `reason`
@@ -79,6 +92,8 @@ class SessionJob:
         batch = batch.persist()
         try:
             self._run(batch, step)
+            if self.after_step is not None:
+                self.after_step(batch, step)
         finally:
             batch.unpersist()
 
