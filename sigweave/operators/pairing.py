@@ -103,7 +103,10 @@ def _with_slices(keyed: DataFrame, hot: list, ttl: float, skew: Skew) -> DataFra
 def hot_pair_keys(
     messages: DataFrame, skew: Skew = Skew(), total: int | None = None
 ) -> list:
-    """Pair keys to cut into slices; one narrow scan when the table is small."""
+    """Pair keys to cut into slices. Unusable messages count for the total only, so that a
+    columnar table is counted without reading it."""
+    if total is None and not messages.isStreaming:
+        total = messages.select(F.lit(1)).count()
     return hot_values(valid(messages), pair_key(), skew.min_rows, total)
 
 

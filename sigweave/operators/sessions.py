@@ -315,8 +315,9 @@ def _placed(
 def hot_tunnels(messages: DataFrame, skew: Skew = Skew()) -> list:
     """Tunnels that may need cutting, found in one narrow scan of the messages before any
     pairing: a pair has its tunnel id from one response, so no tunnel has more pairs."""
+    total = messages.select(F.lit(1)).count()
     responses = messages.where(is_response(F.col("message_type")))
-    return hot_values(responses, F.col("teid"), skew.min_rows)
+    return hot_values(responses, F.col("teid"), skew.min_rows, total)
 
 
 def sessions(

@@ -26,8 +26,8 @@ class Skew:
     id_block: int = 1_000_000
 
 
-# Fixed value: the smallest support that Spark's frequent-item search takes.
-_MIN_SUPPORT = 1e-4
+# Buckets per shuffle partition in the search for hot values.
+_BUCKETS_PER_SHARE = 64
 
 
 def hot_values(
@@ -36,25 +36,29 @@ def hot_values(
     """Values of `value` held by more than `min_rows` rows and by more than a fair share of
     them, a share being one shuffle partition's.
 
-    The frequent-item search finds every value above its support in one pass without a
-    shuffle, and never more than 1/support of them, so the list that reaches the driver has
-    at most as many entries as there are shuffle partitions. Its false positives are removed
-    by counting. `total` saves the count of all rows where it is known.
+    Rows are first counted per hash bucket of the value. That needs hardly any shuffle, as
+    each task hands on no more rows than there are buckets, and a hot value makes its bucket
+    heavy. Only the values of heavy buckets are then counted one by one. Neither list that
+    reaches the driver can have more entries than there are shuffle partitions. `total` saves
+    the count of all rows where it is known.
     """
     if df.isStreaming:
         return []
-    keyed = df.select(value.cast("string").alias("v"))
     if total is None:
         total = df.select(F.lit(1)).count()
     if total <= min_rows:
         return []
     shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    support = max(_MIN_SUPPORT, min(1.0, max(1 / shares, min_rows / total)))
-    candidates = [v for v in keyed.freqItems(["v"], support).first()[0] if v is not None]
-    if not candidates:
-        return []
-    counts = keyed.where(F.col("v").isin(candidates)).groupBy("v").count()
-    return [r["v"] for r in counts.where(F.col("count") > min_rows).collect()]
+    limit = max(min_rows, total // shares)
+    bucket = F.pmod(F.xxhash64("v"), F.lit(shares * _BUCKETS_PER_SHARE))
+    keyed = df.select(value.cast("string").alias("v")).where(F.col("v").isNotNull())
+
+    def beyond_limit(rows: DataFrame, by: Column) -> list:
+        counts = rows.groupBy(by.alias("g")).count().where(F.col("count") > limit)
+        return [r["g"] for r in counts.collect()]
+
+    heavy = beyond_limit(keyed, bucket)
+    return beyond_limit(keyed.where(bucket.isin(heavy)), F.col("v")) if heavy else []
 
 
 def slice_of(

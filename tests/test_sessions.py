@@ -32,7 +32,7 @@ def placed(df):
 @pytest.mark.parametrize("skew", [Skew(), Skew(min_rows=50, slice_seconds=60, id_block=3)])
 def test_same_as_loop(spark, gaps, skew, monkeypatch):
     monkeypatch.setattr(S, "_LIFETIMES_PER_SLICE", 16)
-    rows = random_pairs(5, 1500, gaps)
+    rows = random_pairs(5, 500, gaps)
     expected = folded(rows)
     random.Random(2).shuffle(rows)
     pairs = pair_table(spark, rows).repartition(3)
