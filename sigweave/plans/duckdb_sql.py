@@ -234,6 +234,7 @@ _STREAM_SESSIONS = (
 # A stream must give what one pass over the whole table gives.
 ORACLES |= {
     "stream_pairs": ORACLES["pairs"],
+    "stream_pairs_keyed": ORACLES["pairs"],
     "stream_unpaired": f"SELECT id, reason FROM ({ORACLES['unpaired']}) u",
     "stream_sessions": _STREAM_SESSIONS,
     "stream_restart": _STREAM_SESSIONS,

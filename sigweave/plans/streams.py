@@ -10,6 +10,7 @@ from sigweave.options import JobOptions
 from sigweave.plans.reports import SESSION_TTL, pair_ids
 from sigweave.schema import MESSAGE
 from sigweave.sources.events import event_messages
+from sigweave.streaming import processor
 from sigweave.streaming.job import SessionJob
 
 _PARTS = 4
@@ -100,9 +101,39 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enriched(spark, replay(spark, sf_dir, (1, 2, 3, 4)))
 
 
+def stream_pairs_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs by the keyed stateful operator, restarted half way. A copy of the last message,
+    a day ahead and under another key, lets the watermark pass all others."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    folder = work_folder(spark)
+    messages = event_messages(spark, sf_dir)
+    for done, stop in ((0, 2), (2, _PARTS)):
+        write_parts(messages, f"{folder}/in", range(done, stop), _PARTS)
+        if stop == _PARTS:
+            newest = messages.agg(F.max("ts").alias("ts")).scalar()
+            last = messages.where(F.col("ts") == newest).withColumns(
+                {"ts": F.col("ts") + F.expr("INTERVAL 1 DAY"), "sequence_number": F.lit(-1)}
+            )
+            last.write.parquet(f"{folder}/in/end")
+        stream = spark.readStream.schema(MESSAGE).parquet(f"{folder}/in/*")
+        query = (
+            processor.stream_pairs(stream)
+            .writeStream.option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .format("parquet")
+            .start(f"{folder}/pairs")
+        )
+        query.awaitTermination()
+    return pair_ids(spark.read.parquet(f"{folder}/pairs"))
+
+
 STREAMS = {
     "stream_pairs": stream_pairs,
     "stream_unpaired": stream_unpaired,
     "stream_sessions": stream_sessions,
     "stream_restart": stream_restart,
+    "stream_pairs_keyed": stream_pairs_keyed,
 }

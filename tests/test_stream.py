@@ -123,3 +123,35 @@ def test_tap(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.table("tapped").count() == 1
+
+
+def test_stateful_operator_equals_batch(spark, tmp_path):
+    from sigweave.streaming.processor import settled_messages
+
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    rows = random_messages(12, 120, GAPS)
+    write_parts(spark, rows, f"{tmp_path}/in", 3, delay=10.0)
+    # A message far ahead lets the watermark pass all others.
+    messages(spark, [{"at": 1e6, "id": -1, "seq": 99}]).write.parquet(f"{tmp_path}/in/part9")
+    stream = spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", 1)
+    query = (
+        settled_messages(stream.parquet(f"{tmp_path}/in/*"), delay=10.0)
+        .writeStream.format("memory")
+        .queryName("settled")
+        .option("checkpointLocation", f"{tmp_path}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    got = spark.table("settled")
+    whole = messages(spark, rows)
+    pairs = got.where("kind = 'pair'").select("first.id", "second.id").collect()
+    expected = pair_messages(whole).select("first.id", "second.id").collect()
+    assert sorted(map(tuple, pairs)) == sorted(map(tuple, expected))
+    alone = got.where("kind = 'expired'").select("first.id", "first.imsi").collect()
+    expected = unpaired_messages(whole).select("id", "imsi").collect()
+    key = lambda r: r[0]
+    assert sorted(map(tuple, alone), key=key) == sorted(map(tuple, expected), key=key)
