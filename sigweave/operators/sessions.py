@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from sigweave.functions.keys import is_response
 from sigweave.functions.times import seconds
-from sigweave.operators.skew import Skew, hot_values, id_block, slice_of
-from sigweave.schema import CARRIED, DELETE_RESPONSE, MESSAGE, OPTIONAL, TTL_SECONDS
+from sigweave.operators.skew import Skew, held, hot_values, id_block, slice_of
+from sigweave.schema import CARRIED, DELETE_RESPONSE, FIELDS, MESSAGE, OPTIONAL, TTL_SECONDS
 
 _NONE = -(1 << 62)
 _PLACE = "session_no long, session_start long, first_n long"
@@ -299,7 +299,7 @@ def _placed(
     if not hot:
         placed = _cold_sessions(known, ttl_us, fields)
     else:
-        is_hot = F.col("teid").isin(hot)
+        known, is_hot = held(known), F.col("teid").isin(hot)
         placed = _cold_sessions(known.where(~is_hot), ttl_us, fields).unionByName(
             _hot_sessions(known.where(is_hot), ttl_us, fields, skew)
         )
@@ -427,17 +427,16 @@ def open_sessions_after(
     return latest.unionByName(untouched).where(alive)
 
 
-def session_profiles(placed: DataFrame) -> DataFrame:
-    """Field-wise merge of a session's messages: the last present value of each field."""
-    order = F.struct(*_ORDER)
-    fields = [f for f in MESSAGE.fieldNames() if f not in ("id", "ts")]
-    return _with_id(placed).groupBy("teid", "session_no", "session_start").agg(
-        F.count(F.lit(1)).alias("pairs"),
-        *[
-            F.max_by(_own(f), F.when(_own(f).isNotNull(), order)).alias(f)
-            for f in fields
-            if f != "teid"
-        ],
+def session_profiles(enriched: DataFrame) -> DataFrame:
+    """Field-wise merge of a session's messages, the last present value of each field. Takes
+    `enrich_sessions(carry_all=True)`, where the last message of a session has them all."""
+    fields = [f for f in FIELDS if f != "teid"]
+    last = F.struct(*[F.col("second")[f].alias(f) for f in fields])
+    return (
+        _with_id(enriched)
+        .groupBy("teid", "session_no", "session_start")
+        .agg(F.count(F.lit(1)).alias("pairs"), F.max_by(last, F.struct(*_ORDER)).alias("last"))
+        .select("teid", "session_no", "session_start", "pairs", "last.*")
     )
 
 

@@ -61,6 +61,14 @@ def hot_values(
     return beyond_limit(keyed.where(bucket.isin(heavy)), F.col("v")) if heavy else []
 
 
+def held(df: DataFrame) -> DataFrame:
+    """Writes a result that several branches of a plan read, where the session names a shared
+    folder for that; otherwise each branch computes it."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        return df
+    return df.checkpoint()
+
+
 def slice_of(
     df: DataFrame, key: str, hot: list, skew: Skew, ts: str, minor: list[Column]
 ) -> Column:

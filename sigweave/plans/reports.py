@@ -171,7 +171,8 @@ def session_enriched_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profiles = sessions.session_profiles(_sessions_of(spark, sf_dir, sessions.sessions))
+    enriched = _sessions_of(spark, sf_dir, sessions.enrich_sessions, carry_all=True)
+    profiles = sessions.session_profiles(enriched)
     return profiles.withColumn("session_start", _ntz("session_start"))
 
 

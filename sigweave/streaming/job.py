@@ -11,8 +11,10 @@ after a failure finds the state of its predecessor untouched, and overwrites its
 """
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -54,6 +56,13 @@ def table_sink(path: str) -> Sink:
     return write
 
 
+def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Runs independent writes at the same time, as jobs of the same query."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(w)) for w in writes]:
+            done.result()
+
+
 def _latest(*times: int | None) -> int | None:
     return max((t for t in times if t is not None), default=None)
 
@@ -151,27 +160,40 @@ class SessionJob:
             F.col("reason").alias("kind"),
         )
         steps = self._save(settled_now.unionByName(unusable), step, "steps", _STEP, "kind")
+        _together(
+            spark,
+            lambda: self._write_unpaired(steps, step),
+            lambda: self._write_pairs(steps, step, until),
+        )
+        self._save(
+            spark.createDataFrame([(newest, settled)], _CLOCK), step, "clock", _CLOCK
+        )
+
+    def _write_unpaired(self, steps: DataFrame, step: int) -> None:
+        unpaired = steps.where("kind NOT IN ('pair', 'open')")
+        self.unpaired_sink(unpaired.select("first.*", F.col("kind").alias("reason")), step)
 
+    def _write_pairs(self, steps: DataFrame, step: int, until: Column | None) -> None:
+        """Enriches the pairs of the step, going on from the open sessions, and writes both."""
+        o, spark, schema = self.options, steps.sparkSession, self._open_schema()
         keyed = steps.where("kind = 'pair'").withColumn(
             "pair_key", pair_key("first.sequence_number", "first.source_ip", "first.dest_ip")
         )
         pairs = keyed.select(*pair_columns())
-        before = self._load(spark, step - 1, "sessions", self._open_schema())
+        before = self._load(spark, step - 1, "sessions", schema)
         continued = continue_sessions(pairs, before, o.session_ttl, o.ttl, o.carry_all, o.skew)
         enriched = self._save(continued, step, "enriched", continued.schema)
+        after = before
         if until is not None:
-            before = open_sessions_after(enriched, before, until, o.session_ttl, o.carry_all)
-        self._save(before.select(*self._open_schema().names), step, "sessions", self._open_schema())
+            after = open_sessions_after(enriched, before, until, o.session_ttl, o.carry_all)
 
         rows = enriched.drop("_oldest", "session_no")
         no_session = pairs.where(F.col("teid").isNull())
         everything = rows.unionByName(no_session, allowMissingColumns=True)
         if o.output_format != "rows":
             everything = pair_output(everything, o.output_format)
-        self.pair_sink(everything, step)
-        unpaired = steps.where("kind NOT IN ('pair', 'open')")
-        self.unpaired_sink(unpaired.select("first.*", F.col("kind").alias("reason")), step)
-
-        self._save(
-            spark.createDataFrame([(newest, settled)], _CLOCK), step, "clock", _CLOCK
+        _together(
+            spark,
+            lambda: self._save(after.select(*schema.names), step, "sessions", schema),
+            lambda: self.pair_sink(everything, step),
         )

@@ -79,8 +79,9 @@ def test_pairs_without_tunnel_are_no_session(spark):
 def test_profile_and_delete_marker(spark):
     rows = two(0, 1, "T", {"imsi": "I"}, {"cause": "16"})
     rows += two(20, 2, "T", {"imsi": "J"}, {"message_type": "Delete Session Response"})
-    placed_pairs = S.sessions(pair_messages(messages(spark, rows)))
-    profile = S.session_profiles(placed_pairs).first()
+    pairs = pair_messages(messages(spark, rows))
+    placed_pairs = S.sessions(pairs)
+    profile = S.session_profiles(S.enrich_sessions(pairs, carry_all=True)).first()
     assert (profile["imsi"], profile["cause"], profile["pairs"]) == ("J", "16", 2)
     assert S.mark_deletes(placed_pairs).first()["closed_by_delete"]
     assert placed_pairs.select("session_no").distinct().count() == 1
