@@ -9,7 +9,7 @@ per pair visit Python, and the fold keeps four numbers, whatever the size of the
 Tunnels that outgrow a task are cut into slices of time, see `_hot_sessions`.
 """
 
-from typing import Iterator, Tuple
+from typing import Any, Iterator, Tuple
 
 import numpy as np
 import pandas as pd
@@ -25,8 +25,13 @@ from sigweave.schema import CARRIED, DELETE_RESPONSE, FIELDS, MESSAGE, OPTIONAL,
 _NONE = -(1 << 62)
 _PLACE = "session_no long, session_start long, first_n long"
 
-# A slice of a hot tunnel is this many session lifetimes long.
+# A slice of a hot tunnel is at most this many session lifetimes long, and shorter, down to one
+# lifetime, where it would have more pairs than a task should hold.
 _LIFETIMES_PER_SLICE = 64
+_PAIRS_PER_SLICE = 4_000_000
+
+# This many slices make a block.
+_SLICES_PER_BLOCK = 64
 
 
 def _fold(ttl_us: int):
@@ -127,7 +132,7 @@ def _slice_effect(ttl_us: int):
     """What a slice does to the session that is open when it begins: for each place where that
     session may end, the session open at the end of the slice and the number opened."""
 
-    def effect(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def effect(key: Tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         t1, anchor, ends = _anchors(pdf, ttl_us)
         size = len(t1)
         at = np.arange(np.searchsorted(t1, t1[0] + ttl_us) + 1)
@@ -140,29 +145,57 @@ def _slice_effect(ttl_us: int):
             live = at < size
         oldest = np.where(last >= 0, anchor[last], _NONE)
         start = np.where(last >= 0, t1[last], _NONE)
-        keep = np.ones(len(at), dtype=bool)
-        keep[1:] = (np.diff(last) != 0) | (np.diff(opened) != 0)
-        return pd.DataFrame(
-            {
-                "teid": [key[0]],
-                "slice": [key[1]],
-                "anchor": [anchor[0]],
-                "before": [before[keep]],
-                "oldest": [oldest[keep]],
-                "start": [start[keep]],
-                "opened": [opened[keep]],
-            }
-        )
+        return _effect_row(key, anchor[0], before, oldest, start, opened)
+
+    return effect
+
+
+def _effect_row(key, anchor, before, oldest, start, opened) -> pd.DataFrame:
+    """Places in a row that have the same outcome are merged."""
+    keep = np.ones(len(before), dtype=bool)
+    keep[1:] = (np.diff(oldest) != 0) | (np.diff(start) != 0) | (np.diff(opened) != 0)
+    return pd.DataFrame(
+        {
+            "teid": [key[0]],
+            "slice": [key[1]],
+            "anchor": [anchor],
+            "before": [before[keep]],
+            "oldest": [oldest[keep]],
+            "start": [start[keep]],
+            "opened": [opened[keep]],
+        }
+    )
+
+
+def _block_effect(ttl_us: int):
+    """The effects of the slices of a block, one after the other, as one effect. A session that
+    goes on through all of the first slice is over in the next: a slice outlasts a lifetime."""
+
+    def effect(key: Tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values("slice").itertuples()
+        first = next(rows)
+        oldest, start, opened = first.oldest, first.start, first.opened
+        for row in rows:
+            joined = np.minimum(oldest, row.anchor)
+            i = np.maximum(np.searchsorted(row.before, joined + ttl_us) - 1, 0)
+            opens = row.opened[i] > 0
+            oldest = np.where(opens, row.oldest[i], joined)
+            start = np.where(opens, row.start[i], start)
+            opened = opened + row.opened[i]
+        return _effect_row(key, first.anchor, first.before, oldest, start, opened)
 
     return effect
 
 
 def _slice_entry(ttl_us: int):
-    """The session open at the beginning of each slice of a tunnel, from the slices' effects."""
+    """The session open at the beginning of each slice, from the effects of the slices and the
+    session open at the first one."""
 
-    def entry(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def entry(key: Tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("slice")
-        number, start, oldest = 0, int(pdf["start_in"].iloc[0]), int(pdf["oldest_in"].iloc[0])
+        number, start, oldest = (
+            int(pdf[c].iloc[0]) for c in ("number_in", "start_in", "oldest_in")
+        )
         out = []
         for row in pdf.itertuples():
             out.append((key[0], row.slice, number, start, oldest))
@@ -181,7 +214,7 @@ def _slice_entry(ttl_us: int):
 def _slice_places(ttl_us: int):
     """Session of each instant of a slice."""
 
-    def places(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def places(key: Tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         number, start = int(pdf["number_in"].iloc[0]), int(pdf["start_in"].iloc[0])
         oldest = int(pdf["oldest_in"].iloc[0])
         t1, anchor, ends = _anchors(pdf, ttl_us)
@@ -199,36 +232,54 @@ def _slice_places(ttl_us: int):
     return places
 
 
+def _slice_lifetimes(timed: DataFrame, ttl_us: int) -> int:
+    """Length of the slices in lifetimes, by the busiest tunnel."""
+    tunnels = timed.groupBy("teid").agg(
+        F.count(F.lit(1)).alias("pairs"), (F.max("_t1") - F.min("_t1")).alias("span")
+    )
+    per_lifetime = F.col("pairs") / (F.col("span") / ttl_us + 1)
+    busiest = tunnels.agg(F.max(per_lifetime)).first()[0]
+    return max(1, min(_LIFETIMES_PER_SLICE, int(_PAIRS_PER_SLICE / (busiest or 1))))
+
+
 def _hot_sessions(pairs: DataFrame, ttl_us: int, fields: list[str], skew: Skew) -> DataFrame:
     """Sessions of tunnels too large for one task.
 
     The pairs are first reduced to one row per tunnel and instant, before the shuffle. Slices
     of those are then walked in parallel from every point where the session open at their
-    beginning may end; a short chain over the slices picks the point that applies.
+    beginning may end. The effects of slices are joined to effects of blocks, in parallel too;
+    a short chain over the blocks of a tunnel tells which session is open at each of them, and
+    from that follows which is open at each slice.
     """
-    length = _LIFETIMES_PER_SLICE * ttl_us
     timed = pairs.withColumn("_t1", F.unix_micros("t1"))
+    length = _slice_lifetimes(timed, ttl_us) * ttl_us
     instants = (
         timed.withColumn("slice", F.floor(F.col("_t1") / length).cast("bigint"))
         .groupBy("teid", "slice", F.col("_t1").alias("t1"))
         .agg(F.min(F.unix_micros("t0")).alias("t0"))
     )
-    effects = instants.groupBy("teid", "slice").applyInPandas(
-        _slice_effect(ttl_us),
+    shape = (
         "teid string, slice long, anchor long, before array<long>, oldest array<long>, "
-        "start array<long>, opened array<long>",
+        "start array<long>, opened array<long>"
     )
+    entry_shape = "teid string, slice long, number_in long, start_in long, oldest_in long"
+    effects = held(
+        instants.groupBy("teid", "slice").applyInPandas(_slice_effect(ttl_us), shape)
+    ).withColumn("block", F.floor(F.col("slice") / _SLICES_PER_BLOCK).cast("bigint"))
+    blocks = effects.groupBy("teid", "block").applyInPandas(_block_effect(ttl_us), shape)
     if "oldest_in" in pairs.columns:
-        opening = pairs.select("teid", "start_in", "oldest_in").groupBy("teid").agg(
+        opening = pairs.groupBy("teid").agg(
             F.first("start_in").alias("start_in"), F.first("oldest_in").alias("oldest_in")
         )
-        effects = effects.join(opening, "teid")
-    effects = effects.withColumns(
-        {c: _micros_or_none(effects, c) for c in ("start_in", "oldest_in")}
-    )
-    entries = effects.groupBy("teid").applyInPandas(
-        _slice_entry(ttl_us),
-        "teid string, slice long, number_in long, start_in long, oldest_in long",
+        blocks = blocks.join(opening, "teid")
+    blocks = blocks.withColumns(
+        {c: _micros_or_none(blocks, c) for c in ("start_in", "oldest_in")}
+    ).withColumn("number_in", F.lit(0))
+    block_entries = blocks.groupBy("teid").applyInPandas(_slice_entry(ttl_us), entry_shape)
+    entries = (
+        effects.join(block_entries.withColumnRenamed("slice", "block"), ["teid", "block"])
+        .groupBy("teid", "block")
+        .applyInPandas(_slice_entry(ttl_us), entry_shape)
     )
     places = (
         instants.join(entries, ["teid", "slice"])

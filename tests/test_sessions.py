@@ -31,7 +31,8 @@ def placed(df):
 )
 @pytest.mark.parametrize("skew", [Skew(), Skew(min_rows=50, slice_seconds=60, id_block=3)])
 def test_same_as_loop(spark, gaps, skew, monkeypatch):
-    monkeypatch.setattr(S, "_LIFETIMES_PER_SLICE", 16)
+    monkeypatch.setattr(S, "_LIFETIMES_PER_SLICE", 4)
+    monkeypatch.setattr(S, "_SLICES_PER_BLOCK", 3)
     rows = random_pairs(5, 500, gaps)
     expected = folded(rows)
     random.Random(2).shuffle(rows)
@@ -98,3 +99,39 @@ def test_filter_above_the_fold_does_not_change_it(spark):
     placed_pairs = S.sessions(pair_messages(messages(spark, rows)))
     kept = placed_pairs.where(F.col("first.id") >= 2).orderBy("t1").collect()
     assert [r["session_no"] for r in kept] == [1, 2]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_slice_chain_is_exact(seed):
+    """The worker functions of the sliced fold, run on one long tunnel without Spark."""
+    import pandas as pd
+
+    rng = random.Random(seed)
+    ttl = 60_000_000
+    gaps = rng.choice(
+        [[0, 1000, 5_000_000], [20_000_000, 59_999_999, 60_000_000], [1, 7, 300_000], [90_000_000, 0, 1]]
+    )
+    rows = [("T0", *r[1:]) for r in random_pairs(seed, 6000, gaps)]
+    expected = folded(rows)
+    pdf = pd.DataFrame(rows, columns=["teid", "t0", "t1", "id", "a", "b"])
+    pdf["slice"] = pdf["t1"] // (2 * ttl)
+    instants = pdf.groupby(["slice", "t1"], as_index=False)["t0"].min()
+    effects = pd.concat(
+        S._slice_effect(ttl)(("T0", k), g) for k, g in instants.groupby("slice")
+    )
+    blocks = pd.concat(
+        S._block_effect(ttl)(("T0", k), g) for k, g in effects.groupby(effects["slice"] // 4)
+    )
+    none = {"number_in": 0, "start_in": S._NONE, "oldest_in": S._NONE}
+    tops = S._slice_entry(ttl)(("T0",), blocks.assign(**none)).set_index("slice")
+    entries = pd.concat(
+        S._slice_entry(ttl)(("T0", k), g.assign(**tops.loc[k].drop("teid").to_dict()))
+        for k, g in effects.groupby(effects["slice"] // 4)
+    ).set_index("slice")
+    places = pd.concat(
+        S._slice_places(ttl)(("T0", k), g.assign(**entries.loc[k].drop("teid").to_dict()))
+        for k, g in instants.groupby("slice")
+    ).set_index("_t1").to_dict("index")
+    for _, t0, t1, i, *_ in rows:
+        place = places[t1]
+        assert (place["session_no"], place["session_start"]) == expected[i][1:3]
