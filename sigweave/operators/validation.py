@@ -42,4 +42,9 @@ def with_reason(df: DataFrame) -> DataFrame:
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    return with_reason(df).where(F.col("reason").isNotNull())
+    """Unusable messages with `reason`. The filter is made of plain null checks, so a columnar
+    source skips every block of rows that lacks nothing."""
+    unusable = reduce(lambda a, b: a | b, [F.col(f).isNull() for f in [*REQUIRED, "ts"]])
+    if "reason" in df.columns:
+        unusable = unusable | F.col("reason").isNotNull()
+    return with_reason(df.where(unusable))

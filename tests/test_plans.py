@@ -4,6 +4,7 @@ import pytest
 
 from sigweave.operators.pairing import pair_messages, unpaired_messages
 from sigweave.operators.sessions import enrich_sessions, sessions
+from sigweave.operators.validation import rejected
 from tests.sequences import messages
 
 
@@ -36,3 +37,8 @@ def test_unused_fields_are_not_read(table):
     text = plan(pair_messages(table).select("pair_key", "t0", "latency_ms"))
     assert "imsi" not in text and "user_location" not in text
     assert "IsNotNull(source_ip)" in text
+
+
+def test_rejects_are_sought_by_null_checks(table):
+    text = plan(rejected(table))
+    assert "PushedFilters: [Or(" in text and "IsNull(dest_ip)" in text
