@@ -55,7 +55,10 @@ def _simple_lines(message: Column) -> Column:
 
 def _escaped_lines(message: Column) -> Column:
     fields = F.array(
-        *[F.struct(F.lit(f).alias("name"), message[f].cast("string").alias("value")) for f in FIELDS]
+        *[
+            F.struct(F.lit(f).alias("name"), message[f].cast("string").alias("value"))
+            for f in FIELDS
+        ]
     )
 
     def line(field: Column) -> Column:

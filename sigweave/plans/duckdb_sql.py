@@ -28,15 +28,15 @@ n AS (SELECT *, ROW_NUMBER() OVER w AS pos, COUNT(*) OVER (PARTITION BY pair_key
       FROM r WINDOW w AS (PARTITION BY pair_key, run ORDER BY ts, id))"""
 
 
-_PAIRS = (
-    _walk("m")
-    + ", p AS (SELECT a.pair_key, a.ts AS t0, b.ts AS t1, epoch_us(b.ts) // 1000 - epoch_us(a.ts) // 1000 AS "
+_PAIR_ROWS = (
+    ", p AS (SELECT a.pair_key, a.ts AS t0, b.ts AS t1, epoch_us(b.ts) // 1000 - epoch_us(a.ts) // 1000 AS "
     "latency_ms, CASE WHEN contains(a.message_type, 'Response') THEN NULLIF(a.teid, '') "
     "WHEN contains(b.message_type, 'Response') THEN NULLIF(b.teid, '') END AS teid, "
     + ", ".join(f"{s}.{c} AS {side}_{c}" for c in _COLUMNS for s, side in (("a", "first"), ("b", "second")))
     + " FROM n a JOIN n b ON a.pair_key = b.pair_key AND a.run = b.run AND b.pos = a.pos + 1 "
     "WHERE a.pos % 2 = 1)"
 )
+_PAIRS = _walk("m") + _PAIR_ROWS
 
 _SESSIONS = (
     ", o AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY teid ORDER BY t1, t0, first_id) AS rn "
@@ -90,11 +90,11 @@ def _sides(fields: list[str], carried: list[str]) -> str:
     )
 
 
-def _message_text(side: str) -> str:
+def _message_text(side: str, filled: bool = True) -> str:
     short = "f" if side == "first" else "s"
     lines = []
     for f in FIELDS:
-        name = f"{short}_{f}" if f in CARRIED else f"{side}_{f}"
+        name = f"{short}_{f}" if filled and f in CARRIED else f"{side}_{f}"
         quote = "" if f == "sequence_number" else '"'
         lines.append(
             f"CASE WHEN {name} IS NULL THEN '' ELSE '{f}: {quote}' || {name} || '{quote}' || chr(10) END"
@@ -198,6 +198,16 @@ ORACLES: dict[str, str] = {
     "pair_output": _with(_after(_PAIRS), _SESSIONS, _enriched(CARRIED))
     + f"SELECT {_DIGEST.format(p='first_')} AS key, "
     f"{_message_text('first')} || chr(10) || {_message_text('second')} AS value FROM e",
+    "pair_output_all": _with(
+        ", m2 AS (SELECT * REPLACE (CASE WHEN id % 9 <> 1 THEN teid END AS teid) FROM m)",
+        _after(_walk("m2") + _PAIR_ROWS),
+        _SESSIONS,
+        _enriched(CARRIED),
+    )
+    + f"SELECT {_DIGEST.format(p='first_')} AS key, "
+    f"{_message_text('first')} || chr(10) || {_message_text('second')} AS value FROM e "
+    f"UNION ALL SELECT {_DIGEST.format(p='first_')}, {_message_text('first', False)} || chr(10) "
+    f"|| {_message_text('second', False)} FROM p WHERE teid IS NULL",
     "pair_output_json": _with(_after(_PAIRS), _SESSIONS, _enriched(CARRIED))
     + "SELECT CAST(first_sequence_number AS VARCHAR) AS key, '{\"seq_id\":\"' || "
     "first_sequence_number || '\",\"response_time\":' || latency_ms || ',\"first\":' || "

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sigweave.functions import keys, times
 from sigweave.operators import interval, offsets, output, pairing, sessions, validation
+from sigweave.plans.publish import enriched_pairs
 from sigweave.schema import FIELDS, OPTIONAL
 from sigweave.sources.events import event_messages
 from sigweave.sources.kv_lines import LINE_KEYS, parse_lines
@@ -53,7 +54,8 @@ def fresh_messages(spark: SparkSession, sf_dir: str, age: float = 6 * 3600.0) ->
     """Messages younger than `age` at the time of the newest one."""
     messages = event_messages(spark, sf_dir)
     newest = messages.agg(F.max("ts").alias("ts")).scalar()
-    return messages.where(times.is_fresh(F.col("ts"), newest, age)).select("id", _ntz("ts").alias("ts"))
+    fresh = messages.where(times.is_fresh(F.col("ts"), newest, age))
+    return fresh.select("id", _ntz("ts").alias("ts"))
 
 
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +190,13 @@ def pair_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output.pair_output(enriched)
 
 
+def pair_output_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs, of which some belong to no tunnel because their response names none."""
+    messages = event_messages(spark, sf_dir)
+    named = messages.withColumn("teid", F.when(F.col("id") % 9 != 1, F.col("teid")))
+    return output.pair_output(enriched_pairs(named, session_ttl=SESSION_TTL))
+
+
 def pair_output_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = _sessions_of(spark, sf_dir, sessions.enrich_sessions)
     return output.pair_output(enriched, format="json")
@@ -290,6 +299,7 @@ REPORTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_profile": session_profile,
     "session_deletes": session_deletes,
     "pair_output": pair_output,
+    "pair_output_all": pair_output_all,
     "pair_output_json": pair_output_json,
     "dedup_keys": dedup_keys,
     "kv_lines_parse": kv_lines_parse,

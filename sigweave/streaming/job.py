@@ -144,7 +144,9 @@ class SessionJob:
         judged = with_reason(batch)
         judged = judged.withColumn("reason", F.coalesce("reason", F.when(late, "late")))
         usable = judged.where("reason IS NULL").drop("reason")
-        seen = usable.agg(F.count(F.lit(1)).alias("rows"), F.max(F.unix_micros("ts")).alias("newest")).first()
+        seen = usable.agg(
+            F.count(F.lit(1)).alias("rows"), F.max(F.unix_micros("ts")).alias("newest")
+        ).first()
         newest = _latest(newest, seen["newest"])
         settled = end or _latest(settled, newest and newest - round(o.delay * 1_000_000))
         until = None if settled is None else F.timestamp_micros(F.lit(settled))
