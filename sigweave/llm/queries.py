@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigweave.llm import outliers, pareto_mix, simhash
+from sigweave.llm import outliers, pareto_mix, personal_data, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op4_pareto_mix,
         op5_simhash,
+        op6_personal_data,
         op10_outliers,
     )
 }
