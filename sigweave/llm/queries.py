@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigweave.llm import outliers, pareto_mix, personal_data, simhash
+from sigweave.llm import outliers, pareto_mix, personal_data, repeats, simhash, template_leaks
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = template_leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("d1", "d2")
+
+
 def op4_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto_mix.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies"
@@ -28,6 +33,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality(table(spark, sf_dir, "documents"))
 
@@ -35,9 +44,11 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op3_template_leaks,
         op4_pareto_mix,
         op5_simhash,
         op6_personal_data,
+        op7_repeats,
         op10_outliers,
     )
 }
