@@ -5,15 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from sigweave.llm import outliers, pareto_mix, personal_data, repeats, simhash, template_leaks
+from sigweave.llm import (
+    attention_lm,
+    outliers,
+    packing,
+    pareto_mix,
+    personal_data,
+    repeats,
+    simhash,
+    template_leaks,
+    token_lengths,
+    url_lists,
+)
+from sigweave.llm.shared import stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Captures and list entries made of `pages`, in words that Spark and DuckDB both know. A page is fetched on a
+#: day that its id tells; every host, and the domain and a path of it, is put on lists and taken off again.
+CAPTURES = """
+SELECT page_id, url, date_add(DATE '2024-01-01', CAST(page_id * 37 % 366 AS INT)) AS fetched FROM pages
+"""
+ENTRIES = """
+SELECT list, kind, pattern, date_add(DATE '2023-12-01', CAST((m * 13 + step * (41 + m % 50)) % 420 AS INT)) AS day,
+       CASE WHEN (step + m) % 2 = 0 THEN 'add' ELSE 'remove' END AS action, step AS seq
+FROM (SELECT *, explode(sequence(0, 3)) AS step FROM (
+    SELECT 'spam' AS list, 'host' AS kind, host AS pattern, m FROM hosts WHERE m % 3 <> 0
+    UNION ALL SELECT 'adult', 'domain', regexp_replace(host, '^(www|blog|m)\\.', ''), m FROM hosts WHERE m % 4 = 1
+    UNION ALL SELECT 'paths', 'prefix', concat(host, '/en'), m FROM hosts WHERE m % 5 < 2
+    UNION ALL SELECT 'trusted', 'domain', host, m FROM hosts WHERE m % 7 = 0
+) q) p
+"""
+HOSTS = "SELECT regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host, min(page_id) AS m FROM pages GROUP BY 1"
+
+
+def op1_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    hosts = stored(spark.sql(HOSTS.replace("FROM pages", "FROM {pages}"), pages=pages))
+    captures = spark.sql(CAPTURES.replace("FROM pages", "FROM {pages}"), pages=pages)
+    entries = spark.sql(ENTRIES.replace("FROM hosts", "FROM {hosts}"), hosts=hosts)
+    return url_lists.judged(captures, entries)
+
+
+def op2_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = stored(token_lengths.histogram(table(spark, sf_dir, "documents"), by=("source",)))
+    return token_lengths.suffix_sums(counts, by=("source",))
+
+
 def op3_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = template_leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("d1", "d2")
@@ -37,6 +79,14 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality(table(spark, sf_dir, "documents"))
 
@@ -44,11 +94,15 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_url_lists,
+        op2_token_lengths,
         op3_template_leaks,
         op4_pareto_mix,
         op5_simhash,
         op6_personal_data,
         op7_repeats,
+        op8_packing,
+        op9_attention_lm,
         op10_outliers,
     )
 }
