@@ -260,16 +260,25 @@ def score(p: dict[str, np.ndarray], ids: np.ndarray, lengths: np.ndarray, end: i
 
 
 def train(
-    p: dict[str, np.ndarray], ids: np.ndarray, lengths: np.ndarray, end: int, rate: float, batch: int = 128, seed: int = 0
+    p: dict[str, np.ndarray],
+    ids: np.ndarray,
+    lengths: np.ndarray,
+    end: int,
+    rate: float,
+    steps: int,
+    batch: int = 128,
+    seed: int = 0,
 ) -> dict[str, np.ndarray]:
-    """One pass of Adam over the texts' windows, in random order; the rate falls to a tenth."""
+    """`steps` steps of Adam over the texts' windows, in random order and over again; the rate falls to a tenth."""
     inputs, targets, live, text = windows(ids, lengths, end)
-    order = np.random.default_rng(seed).permutation(len(text))
+    rng = np.random.default_rng(seed)
+    order = np.zeros(0, np.int64)
     w = flat(p).astype(np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
-    steps = -(-len(order) // batch)
     for t in range(steps):
-        rows = order[t * batch : (t + 1) * batch]
+        while len(order) < batch:
+            order = np.append(order, rng.permutation(len(text)))
+        rows, order = order[:batch], order[batch:]
         _, g = gradients(shaped(w), inputs[rows], targets[rows], live[rows])
         g = flat(g)
         m += 0.1 * (g - m)

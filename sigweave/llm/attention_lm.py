@@ -5,8 +5,9 @@ tokenizer and ended with one id. Documents whose crc32(id) mod 7 is 2 are held o
 
 - Word counts of all of them make the base score. Frequent words (a bounded number) are
   broadcast; a text's other words are joined with their counts, once per text.
-- A fixed share of them trains the attention model. Shards of some megabytes are trained from the same
-  start, beside each other, and their parameters averaged, in rounds; more data means more
+- The attention model is trained in shards: every 64 MB of their texts, or part of that, make one, for
+  which up to 8 MB of documents are drawn. Shards take the same number of steps from the same
+  start, beside each other; then their parameters are averaged, in rounds. More data means more
   shards, not longer ones. Averages are taken in a tree, sixteen to one.
 
 Scoring runs windows over every text that overlap, so each token has context and is scored once.
@@ -31,11 +32,12 @@ from sigweave.llm.tokens import RANKS, encoder
 _END, _RARE, _FIRST = 0, 1, 2
 #: At most so many words are broadcast with their counts.
 FREQUENT = 1 << 17
-#: A share of one in so many training documents trains the attention model.
-TRAIN_ONE_IN = 16
-SHARD_BYTES = 8 << 20
-#: Learning rate of each round.
-RATES = (0.01, 0.004)
+#: Bytes of training texts per shard, and of those drawn for it.
+SHARD_BYTES = 64 << 20
+DRAWN_BYTES = 8 << 20
+#: Learning rate of each round, and steps of a shard in a round.
+RATES = (0.02, 0.01)
+STEPS = 600
 _FLUSH = 400_000
 _GROUP_TOKENS = 1 << 20
 
@@ -128,12 +130,23 @@ def _averaged(models: DataFrame) -> np.ndarray:
 
 
 def fit(
-    texts: DataFrame, ranks: str = RANKS, rates: tuple[float, ...] = RATES, shard_bytes: int = SHARD_BYTES
+    texts: DataFrame,
+    ranks: str = RANKS,
+    rates: tuple[float, ...] = RATES,
+    steps: int = STEPS,
+    shard_bytes: int = SHARD_BYTES,
+    drawn_bytes: int = DRAWN_BYTES,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(flat parameters, vocabulary entry of each id) from a column `text`.
+    """(flat parameters, vocabulary entry of each id) from rows (id, text).
 
     No texts: a model that knows nothing but is a distribution all the same.
     """
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-total // shard_bytes))
+    share = min(1.0, shards * drawn_bytes / max(1, total))
+    draw = F.xxhash64("id", "text", F.lit(1)).bitwiseAND((1 << 30) - 1) < int(share * (1 << 30))
+    shard = F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("long").alias("shard")
+    texts = stored(texts.where(draw).select("text", shard).repartition(int(shards), "shard"))
     spark = texts.sparkSession
     counts = _subword_counts(texts, ranks)
     order = np.lexsort((np.arange(len(counts)), -counts))[: attention.VOCABULARY - _FIRST]
@@ -147,25 +160,22 @@ def fit(
     model = attention.flat(attention.initial(known))
     if not size[1]:
         return model, place
-    shards = -(-size[1] // shard_bytes)
-    dealt = texts.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("long"))
-    dealt = stored(dealt.repartition(int(shards), "shard"))
     for turn, rate in enumerate(rates):
         start = spark.sparkContext.broadcast((model, place))
 
-        models = dealt.groupBy("shard").applyInPandas(_learning(start, rate, turn, ranks), "shard long, weight double, sums binary")
+        models = texts.groupBy("shard").applyInPandas(_learning(start, rate, steps, turn, ranks), "shard long, weight double, sums binary")
         model = _averaged(stored(models))
     return model, place
 
 
-def _learning(start, rate: float, turn: int, ranks: str):
-    """For applyInPandas: one pass over a shard from the given parameters."""
+def _learning(start, rate: float, steps: int, turn: int, ranks: str):
+    """For applyInPandas: the steps of a shard from the given parameters."""
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         given, place = start.value
         # Rows come in any order; sorted, a rerun learns the same.
         ids, lengths = _coded(sorted(rows["text"].fillna("")), place, ranks)
-        p = attention.train(attention.shaped(given), ids, lengths, _END, rate, seed=turn)
+        p = attention.train(attention.shaped(given), ids, lengths, _END, rate, steps, seed=turn)
         sums = attention.flat(p).astype(np.float64) * len(ids)
         return pd.DataFrame({"shard": rows["shard"].iloc[:1], "weight": [float(len(ids))], "sums": [sums.tobytes()]})
 
@@ -237,14 +247,14 @@ def scored(
     id_col: str = "doc_id",
     text_col: str = "text",
     ranks: str = RANKS,
-    one_in: int = TRAIN_ONE_IN,
     frequent: int = FREQUENT,
+    **training,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Null is an empty text: one token, the end. A null id teaches. Rows that repeat teach and are scored
     as often as they occur. If nothing teaches, all counts are 0 and the base score is that of an empty
-    vocabulary. Other columns are ignored; empty input gives no rows.
+    vocabulary. Other columns are ignored; empty input gives no rows. `training`: options of `fit`.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text")
@@ -256,9 +266,8 @@ def scored(
     n, v = (found[1] or 0) + ends, found[0] + (ends > 0)
     unknown = float(np.log10(1 / (n + v + 1)))
     end = float(np.log10((ends + 1) / (n + v + 1)))
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0
-    sample = teaching.where(drawn).select(F.col("doc_id").cast("string").alias("id"), "text")
-    model = fit(sample, ranks)
+    sample = teaching.select(F.col("doc_id").cast("string").alias("id"), "text")
+    model = fit(sample, ranks, **training)
     context = docs.sparkSession.sparkContext
     run = _scored(context.broadcast(model), context.broadcast(_frequent(counts, frequent)), (n, v), ranks)
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -123,7 +123,7 @@ def _copies(rows: DataFrame, weights, share, cap, seed, weight) -> DataFrame:
     )
     return (
         clear.unionByName(border)
-        .withColumn("_mix_copies", F.coalesce("_mix_sure", F.lit(0)) + F.col("_mix_extra"))
+        .withColumn("_mix_copies", F.when(size > 0, F.coalesce("_mix_sure", F.lit(0)) + F.col("_mix_extra")).otherwise(0))
         .join(targets.withColumnRenamed("target", "_mix_target").withColumnRenamed("source_size", "_mix_source_size"), "_mix_src")
     )
 

@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -46,6 +51,53 @@ def key_of(*columns: str) -> Column:
     return F.concat_ws("|", *parts)
 
 
+#: A bitmap has 2 ** BITS bits (8 MB) in pages of 2 ** _PAGE, however many hashes it stands for.
+BITS = 26
+_PAGE = 15
+
+
+def bitmap(hashes: DataFrame) -> Broadcast[bytes]:
+    """Broadcast bitmap of the leading bits of a column of hashes: what is not in it is not in the column.
+
+    Its size is fixed. More hashes fill it up, and then it spares less work; results never hang on it.
+    """
+    (name,) = hashes.columns
+    spot = F.shiftrightunsigned(name, 64 - BITS)
+    spots = hashes.select(
+        F.shiftright(spot, _PAGE).cast("int").alias("page"), spot.bitwiseAND((1 << _PAGE) - 1).cast("int").alias("bit")
+    ).distinct()
+
+    def page(rows: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << _PAGE, bool)
+        bits[rows["bit"].to_numpy()] = True
+        packed = np.packbits(bits, bitorder="little").tobytes()
+        return pd.DataFrame({"page": rows["page"].iloc[:1], "bits": [packed]})
+
+    whole = bytearray(1 << (BITS - 3))
+    size = 1 << (_PAGE - 3)
+    for row in spots.groupBy("page").applyInPandas(page, "page int, bits binary").collect():
+        whole[row.page * size : (row.page + 1) * size] = row.bits
+    return hashes.sparkSession.sparkContext.broadcast(bytes(whole))
+
+
+def among(bits: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Which 64-bit hashes may be in a bitmap."""
+    spot = (hashes.view(np.uint64) >> np.uint64(64 - BITS)).astype(np.int64)
+    return (np.frombuffer(bits, np.uint8)[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0
+
+
+def batches_among(batches: Iterator[pa.RecordBatch], column: str, bits: bytes, there: bool = True) -> Iterator[pa.RecordBatch]:
+    """The rows of Arrow batches whose hash may be in the bitmap, or, if not `there`, cannot be."""
+    for batch in batches:
+        hit = among(bits, batch.column(column).to_numpy(zero_copy_only=False))
+        yield batch.filter(pa.array(hit if there else ~hit))
+
+
+def rows_among(df: DataFrame, column: str, bits: Broadcast[bytes]) -> DataFrame:
+    """The rows whose hash may be in the bitmap."""
+    return df.mapInArrow(lambda batches: batches_among(batches, column, bits.value), df.schema)
+
+
 def water_levels(shares: DataFrame, group: list[str], weight: str, cap: str, total: str) -> DataFrame:
     """Adds `share`: `total` of the group split by `weight`, where no row gets more than `cap`.
 
@@ -61,11 +113,11 @@ def water_levels(shares: DataFrame, group: list[str], weight: str, cap: str, tot
     full = F.coalesce(F.sum(cap).over(before), F.lit(0.0))
     rest = F.sum(weight).over(whole) - F.coalesce(F.sum(weight).over(before), F.lit(0.0))
     level = (F.col(total) - full) / rest
-    # `level` is right for the first row that it does not fill; rows before it are full.
+    # `level` is right for the first row that it does not fill; for later rows it is less.
     fits = F.when(level < ratio, level)
     return (
         shares.withColumn("_fits", fits)
-        .withColumn("_level", F.min("_fits").over(whole))
+        .withColumn("_level", F.max("_fits").over(whole))
         .withColumn(
             "share",
             F.coalesce(F.least(F.col(cap), F.col(weight) * F.col("_level")), F.col(cap)).cast("double"),

@@ -148,7 +148,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     best = group.groupBy("root").agg(F.min("least").alias("best")).withColumnRenamed("root", "r")
     # A fingerprint without its component's smallest id has no row to keep, and cannot match below.
     best = group.join(best, (F.col("root") == F.col("r")) & F.col("least").eqNullSafe(F.col("best")))
-    best = best.select("fp", F.col("root").alias(root), F.col("best").alias("_llm_best"))
-    kept = marked.join(best, marked[fp] == best["fp"]).where(F.col(id_col).eqNullSafe(F.col("_llm_best")))
+    best = best.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("best").alias("_llm_best"))
+    kept = marked.join(best, fp).where(F.col(id_col).eqNullSafe(F.col("_llm_best")))
     one = W.partitionBy(root, id_col).orderBy(F.col(text_col).asc_nulls_last())
     return kept.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).select(*docs.columns)

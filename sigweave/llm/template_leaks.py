@@ -17,13 +17,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.shared import stored
+from sigweave.llm.shared import among, bitmap, stored
 
 WIDTH = 8
 #: A window needs as many tokens that are no placeholders.
@@ -38,8 +37,6 @@ UNITS = (
 ).split()
 
 _BLOCK = 4 << 20
-_BITS = 26
-_PAGE = 15
 _GROW = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20260101)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -155,18 +152,16 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
-def _windows_of(keys: list[str], bitmap=None):
+def _windows_of(keys: list[str], hashes=None):
     """For mapInArrow: (keys, place, hash, template, slots, n_tokens) of each window, or of those in the bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if bitmap is None else np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
             for block in _blocks(batch):
                 t = tokens(block.column("text").cast(pa.binary()).to_pylist())
                 at, h = windows(t)
-                if bits is not None and len(at):
-                    spot = (h >> np.uint64(64 - _BITS)).astype(np.int64)
-                    hit = (bits[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0
+                if hashes is not None and len(at):
+                    hit = among(hashes.value, h)
                     at, h = at[hit], h[hit]
                 first = np.searchsorted(t.text, np.arange(block.num_rows))
                 count = np.bincount(t.text, minlength=block.num_rows)
@@ -196,31 +191,12 @@ def _windows_of(keys: list[str], bitmap=None):
 _OUT = "place int, hash long, template string, slots array<string>, n_tokens int"
 
 
-def _bitmap(hashes: DataFrame) -> bytes:
-    """Bits of the leading hash bits, in pages; at most 8 MB come to the driver."""
-    spot = F.shiftrightunsigned("hash", 64 - _BITS)
-    spots = hashes.select(
-        F.shiftright(spot, _PAGE).cast("int").alias("page"), spot.bitwiseAND((1 << _PAGE) - 1).cast("int").alias("bit")
-    ).distinct()
-
-    def page(key, rows: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(1 << _PAGE, bool)
-        bits[rows["bit"].to_numpy()] = True
-        return pd.DataFrame({"page": [key[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
-
-    whole = bytearray(1 << (_BITS - 3))
-    size = 1 << (_PAGE - 3)
-    for row in spots.groupBy("page").applyInPandas(page, "page int, bits binary").collect():
-        whole[row.page * size : (row.page + 1) * size] = row.bits
-    return bytes(whole)
-
-
 def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str) -> DataFrame:
     """Per (document, item): windows, tokens of the item covered, and whether values are the item's own."""
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text"))
     kind = items.schema["item_id"].dataType.simpleString()
     known = stored(items.mapInArrow(_windows_of(["item_id"]), f"item_id {kind}, {_OUT}"))
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(known.select("hash")))
+    hashes = bitmap(known.select("hash"))
     text = F.col(text_col)
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -230,7 +206,7 @@ def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str,
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
     seen = rows.mapInArrow(
-        _windows_of(["doc_id", "d1", "d2"], bitmap), f"doc_id {kind}, d1 long, d2 long, {_OUT}"
+        _windows_of(["doc_id", "d1", "d2"], hashes), f"doc_id {kind}, d1 long, d2 long, {_OUT}"
     ).withColumnsRenamed({"place": "at", "slots": "values", "n_tokens": "doc_tokens"})
     same = seen.join(known, ["hash", "template"])
     pair = F.transform(F.arrays_zip("slots", "values"), lambda x: F.struct(x["slots"].alias("a"), x["values"].alias("b")))
