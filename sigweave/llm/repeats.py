@@ -15,8 +15,9 @@ parse are put together by class:
 1. Phrases whose `m` occurs once have no repeated window. This is settled for nearly all text,
    and by partial aggregation, with one row per hundred bytes.
 2. A phrase whose `f` occurs twice or more is repeated as a whole.
-3. Where unlike phrases share an `m`, one phrase of each class `f` is taken apart: windows that
-   occur in two classes are repeated. These are the edges of repeated passages only.
+3. Where unlike phrases share an `m`, one phrase of each class `f` is cut into runs of 16
+   windows, and these are judged in the same way, by what all windows of the run contain and by all
+   its bytes. Only of unlike runs is every window compared. These are the edges of repeated passages.
 
 Removed ranges go back to the texts by digest. Copies of a text share their rows, ranges and
 digest. A repeated class is never gathered: counts, least and greatest are all it takes.
@@ -31,13 +32,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.shared import stored
+from sigweave.llm.shared import among, batches_among, bitmap, rows_among, stored
 
 GRAM = 8
-_BLOCK = 1 << 20
+_RUN = 16
+_BLOCK = 1 << 19
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -81,7 +84,7 @@ def phrases(raw: bytes, begin: np.ndarray, size: np.ndarray, length: int):
     digest, after = xxhash.xxh64_intdigest, length - width + 1
     m = np.array([digest(raw[i : i + after]) for i in at.tolist()], np.uint64)
     f = np.array(
-        [digest(raw[i : k + length], k - j) for i, j, k in zip(first.tolist(), (first - at).tolist(), last.tolist())],
+        [digest(raw[i : k + length], (j - i) * length + k - i) for i, j, k in zip(first.tolist(), at.tolist(), last.tolist())],
         np.uint64,
     )
     return text, m.view(np.int64), f.view(np.int64), at - begin[text], at - last, at - first
@@ -97,8 +100,8 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, bytes, np.n
             yield block, raw, np.cumsum(size[a:b]) - size[a:b], size[a:b]
 
 
-def _parse(length: int):
-    """For mapInArrow: the distinct phrases of every text, with all their places."""
+def _parse(length: int, bits: Broadcast[bytes] | None = None):
+    """For mapInArrow: the distinct phrases of every text, with all their places; of those in the bitmap if there is one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,6 +114,9 @@ def _parse(length: int):
                 new = np.append(True, (text[1:] != text[:-1]) | (m[1:] != m[:-1]) | (f[1:] != f[:-1]))
                 one = np.flatnonzero(new)
                 n = np.diff(np.append(one, len(text)))
+                if bits is not None:
+                    hit = among(bits.value, m[one])
+                    one, n = one[hit], n[hit]
                 more = [t[i : i + k].tolist() if k > 1 else None for i, k in zip(one.tolist(), n.tolist())]
                 rows = pa.array(text[one])
                 yield pa.RecordBatch.from_arrays(
@@ -129,42 +135,58 @@ def _parse(length: int):
     return run
 
 
-def _take_apart(length: int):
-    """For mapInArrow: every window of the phrases listed with a text; copies of a text that follow each other are one."""
+def _take_apart(length: int, run_of: int):
+    """For mapInArrow: the phrases listed with a text, cut into runs of windows.
+
+    (m, f, lo, hi, m2, f2): the phrase's class, the run's windows, the class of what all of them
+    contain and of all their bytes. Copies of a text that follow each other count as one.
+    """
+    digest = xxhash.xxh64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
-            for i, (d1, d2, parts) in enumerate(
-                zip(*[batch.column(c).to_pylist() for c in ("d1", "d2", "parts")])
-            ):
-                if (d1, d2) == last or not parts:
+            for i, key in enumerate(zip(batch.column("d1").to_pylist(), batch.column("d2").to_pylist())):
+                if key == last:
                     continue
-                last = (d1, d2)
+                last = key
+                parts = batch.column("parts")[i].as_py()
                 raw = texts[i].as_py()
                 for at in range(0, len(parts), 1000):
-                    m, f, a, w = [], [], [], []
+                    out = []
                     for p in parts[at : at + 1000]:
-                        span = range(p["lo"], p["hi"] + 1)
                         t = p["t"]
-                        m += [p["m"]] * len(span)
-                        f += [p["f"]] * len(span)
-                        a += span
-                        w += [xxhash.xxh64_intdigest(raw[t - k : t - k + length]) for k in span]
+                        for a in range(p["lo"] - p["lo"] % run_of, p["hi"] + 1, run_of):
+                            lo, hi = max(p["lo"], a), min(p["hi"], a + run_of - 1)
+                            inner = digest(raw[t - a : t - a - run_of + 1 + length], a)
+                            out.append((p["m"], p["f"], lo, hi, inner, digest(raw[t - hi : t - lo + length], lo * length + hi)))
+                    m, f, lo, hi, m2, f2 = zip(*out)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(m, pa.int64()),
                             pa.array(f, pa.int64()),
-                            pa.array(a, pa.int32()),
-                            pa.array(np.array(w, np.uint64).view(np.int64)),
+                            pa.array(lo, pa.int32()),
+                            pa.array(hi, pa.int32()),
+                            pa.array(np.array(m2, np.uint64).view(np.int64)),
+                            pa.array(np.array(f2, np.uint64).view(np.int64)),
                         ],
-                        ["m", "f", "a", "w"],
+                        ["m", "f", "lo", "hi", "m2", "f2"],
                     )
 
     return run
 
 
+def _runs(rows: DataFrame, classes: DataFrame, length: int, run_of: int) -> DataFrame:
+    """The listed phrases (m, f, d1, d2, t, lo, hi), taken apart beside their texts."""
+    parts = classes.groupBy("d1", "d2").agg(F.collect_list(F.struct("m", "f", "t", "lo", "hi")).alias("parts"))
+    parts = stored(parts)
+    texts = rows_among(rows.select("d1", "d2", "text"), "d1", bitmap(parts.select("d1")))
+    return texts.join(parts, ["d1", "d2"]).mapInArrow(
+        _take_apart(length, run_of), "m long, f long, lo int, hi int, m2 long, f2 long"
+    )
+
+
 def _merged(parts: list[dict] | None, n: int) -> np.ndarray:
     """Disjoint ranges, (k, 2), from overlapping ones."""
     if not parts:
@@ -205,6 +227,36 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _edges(rows: DataFrame, phrases: DataFrame, length: int) -> DataFrame:
+    """(m, f, places): which windows are repeated, of phrases that occur once but share their `m`.
+
+    `phrases`: one of each class, (m, f, d1, d2, t, lo, hi, n).
+    """
+    runs = stored(_runs(rows, phrases.drop("n"), length, _RUN))
+    again = runs.groupBy("m", "m2").agg(F.count("*").alias("all"), F.min("f2").alias("least"), F.max("f2").alias("most"))
+    again = again.where("`all` > 1").select("m", "m2", (F.col("least") != F.col("most")).alias("unlike"))
+    runs = stored(runs.join(again, ["m", "m2"]))
+    alike = runs.groupBy("m", "m2", "f2").agg(
+        F.count("*").alias("n"), F.first("unlike").alias("unlike"), F.min(F.struct("f", "lo", "hi")).alias("one")
+    )
+    alike = stored(alike)
+    places = phrases.select("m", F.col("f").alias("of"), "d1", "d2", "t")
+    one = alike.where("unlike").select("m", "m2", "f2", F.col("one.f").alias("of"), "one.lo", "one.hi")
+    one = one.join(places, ["m", "of"]).select(
+        F.col("m2").alias("m"), F.col("f2").alias("f"), "d1", "d2", "t", "lo", "hi"
+    )
+    windows = stored(_runs(rows, one, length, 1).select("m", "f", "lo", "m2"))
+    twice = windows.groupBy("m", "lo", "m2").agg(F.min("f").alias("least"), F.max("f").alias("most"))
+    twice = twice.where("least <> most").select("m", "lo", "m2")
+    some = windows.join(twice, ["m", "lo", "m2"]).groupBy("m", "f").agg(F.collect_set("lo").alias("places"))
+    some = some.select(F.col("m").alias("m2"), F.col("f").alias("f2"), "places")
+    all_of = alike.where("n > 1").select("m2", "f2", F.lit(None).cast("array<int>").alias("places"))
+    some = some.join(all_of.select("m2", "f2"), ["m2", "f2"], "left_anti").unionByName(all_of)
+    hit = runs.join(some, ["m2", "f2"]).select("m", "f", F.coalesce("places", F.sequence("lo", "hi")).alias("places"))
+    hit = hit.groupBy("m", "f").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    return hit.join(phrases.where("n > 1").select("m", "f"), ["m", "f"], "left_anti")
+
+
 def _ranges(found: DataFrame, classes: DataFrame, length: int) -> DataFrame:
     """Removed ranges per text digest, from phrases and their repeated classes.
 
@@ -237,9 +289,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.xxhash64(F.lit(1), text).alias("d2"),
         text.alias("text"),
     )
-    parsed = rows.select("d1", "d2", "text").mapInArrow(_parse(length), f"d1 long, d2 long, {_PHRASE}")
+    texts, phrase = rows.select("d1", "d2", "text"), f"d1 long, d2 long, {_PHRASE}"
+    parsed = texts.mapInArrow(_parse(length), phrase)
     again = parsed.groupBy("m").agg(F.sum("n").alias("all"), F.min("f").alias("least"), F.max("f").alias("most"))
-    again = again.where("`all` > 1").select("m", (F.col("least") != F.col("most")).alias("unlike"))
+    again = stored(again.where("`all` > 1").select("m", (F.col("least") != F.col("most")).alias("unlike")))
+    parsed = texts.mapInArrow(_parse(length, bitmap(again.select("m"))), phrase)
     found = stored(parsed.join(again, "m"))
     classes = found.groupBy("m", "f").agg(
         F.sum("n").alias("n"),
@@ -247,27 +301,16 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min(F.struct("d1", "d2", "t", "lo", "hi")).alias("one"),
     )
     classes = stored(classes)
-    parts = classes.where("unlike").select(
-        "one.d1", "one.d2", F.struct("m", "f", "one.t", "one.lo", "one.hi").alias("part")
-    )
-    parts = parts.groupBy("d1", "d2").agg(F.collect_list("part").alias("parts"))
-    windows = (
-        rows.join(parts, ["d1", "d2"])
-        .select("doc_id", "d1", "d2", "text", "parts")
-        .mapInArrow(_take_apart(length), "m long, f long, a int, w long")
-    )
-    windows = stored(windows)
-    twice = windows.groupBy("m", "a", "w").agg(F.min("f").alias("least"), F.max("f").alias("most"))
-    twice = twice.where("least <> most").select("m", "a", "w")
-    edges = windows.join(twice, ["m", "a", "w"]).groupBy("m", "f").agg(F.collect_set("a").alias("places"))
     whole = classes.where("n > 1").select("m", "f", F.lit(None).cast("array<int>").alias("places"))
-    edges = edges.join(whole.select("m", "f"), ["m", "f"], "left_anti").select("m", "f", "places")
+    edges = _edges(rows, classes.where("unlike").select("m", "f", "one.*", "n"), length)
     ranges = _ranges(found, whole.unionByName(edges), length)
+    ranges = stored(ranges)
+    touched = bitmap(ranges.select("d1"))
+    cut = rows_among(rows, "d1", touched).join(ranges, ["d1", "d2"], "left").select("doc_id", "text", "parts")
+    # Texts that no range can belong to are not shuffled.
+    none = F.lit(None).cast(ranges.schema["parts"].dataType).alias("parts")
+    whole = rows.select("doc_id", "d1", "text", none)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return (
-        rows.join(ranges, ["d1", "d2"], "left")
-        .select("doc_id", "text", "parts")
-        .mapInArrow(
-            _cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-        )
-    )
+    out = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    whole = whole.mapInArrow(lambda batches: _cut(batches_among(batches, "d1", touched.value, False)), out)
+    return cut.mapInArrow(_cut, out).unionByName(whole)
