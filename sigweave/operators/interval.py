@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sigweave.functions.keys import is_response, pair_key
 from sigweave.functions.times import elapsed_ms, seconds
-from sigweave.operators.skew import Skew, hot_values, id_block, slice_of
+from sigweave.operators.skew import Skew, hot_values, id_block, with_slices
 from sigweave.operators.validation import valid
 from sigweave.schema import MESSAGE, REQUEST_MARK, TTL_SECONDS
 
@@ -52,7 +52,7 @@ def answer_requests(
     if hot:
         # At one instant a response follows every request, whatever the ids.
         minor = [F.col("responds").cast("bigint"), id_block(F.col("id"), skew)]
-        own = keyed.withColumn("slice", slice_of(keyed, "pair_key", hot, skew, "ts", minor))
+        own = with_slices(keyed, "pair_key", hot, skew, "ts", minor)
         ahead = _next_of_slices(own.where(F.col("pair_key").isin(hot)))
         rows, by = own.unionByName(ahead), ["pair_key", "slice"]
     else:
@@ -60,12 +60,20 @@ def answer_requests(
     backwards = W.partitionBy(*by).orderBy(
         F.col("ts").desc(), F.col("responds").desc(), F.col("id").desc()
     )
-    upcoming = F.last(
-        F.when(F.col("responds"), F.struct(*_COLUMNS)), ignorenulls=True
-    ).over(backwards.rowsBetween(W.unboundedPreceding, W.currentRow))
-    requests = rows.withColumn("upcoming", upcoming).where(~F.col("responds"))
+    # Field by field: what nobody asks for is pruned, down to the scan.
+    running = backwards.rowsBetween(W.unboundedPreceding, W.currentRow)
+    upcoming = {
+        f"_{c}": F.last(F.when(F.col("responds"), F.col(c)), ignorenulls=True).over(running)
+        if c in ("ts", "id")
+        else F.last(
+            F.when(F.col("responds"), F.struct(F.col(c).alias("v"))), ignorenulls=True
+        ).over(running)["v"]
+        for c in _COLUMNS
+    }
+    requests = rows.withColumns(upcoming).where(~F.col("responds"))
     response = F.when(
-        F.col("upcoming.ts") < F.col("ts") + seconds(ttl), F.col("upcoming")
+        F.col("_ts") < F.col("ts") + seconds(ttl),
+        F.struct(*[F.col(f"_{c}").alias(c) for c in _COLUMNS]),
     )
     return requests.select(
         "pair_key", F.struct(*_COLUMNS).alias("request"), response.alias("response")

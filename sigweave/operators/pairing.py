@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sigweave.functions.keys import pair_key, pair_teid
 from sigweave.functions.times import elapsed_ms, seconds
-from sigweave.operators.skew import Skew, hot_values, id_block, slice_of
+from sigweave.operators.skew import Skew, hot_values, id_block, with_slices
 from sigweave.operators.validation import rejected, valid
 from sigweave.schema import MESSAGE, TTL_SECONDS
 
@@ -78,10 +78,10 @@ def _handover(own: DataFrame, ttl: float) -> DataFrame:
     )
 
 
-def _with_slices(keyed: DataFrame, hot: list, ttl: float, skew: Skew) -> DataFrame:
+def _linked_slices(keyed: DataFrame, hot: list, ttl: float, skew: Skew) -> DataFrame:
     """Adds to each slice of a hot key the message waiting for it, and a look-ahead row."""
-    own = keyed.withColumn(
-        "slice", slice_of(keyed, "pair_key", hot, skew, "ts", [id_block(F.col("id"), skew)])
+    own = with_slices(
+        keyed, "pair_key", hot, skew, "ts", [id_block(F.col("id"), skew)]
     ).withColumn("role", F.lit(_OWN))
     cut = own.where(F.col("pair_key").isin(hot))
     handover = _handover(cut, ttl)
@@ -117,7 +117,7 @@ def _walk(messages: DataFrame, ttl: float, skew: Skew, hot: list | None) -> Data
     if hot is None:
         hot = hot_pair_keys(messages, skew)
     if hot:
-        rows, by = _with_slices(keyed, hot, ttl, skew), ["pair_key", "slice"]
+        rows, by = _linked_slices(keyed, hot, ttl, skew), ["pair_key", "slice"]
     else:
         rows, by = keyed.withColumn("role", F.lit(_OWN)), ["pair_key"]
     w = W.partitionBy(*by).orderBy("ts", "id")

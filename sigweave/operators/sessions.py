@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from sigweave.functions.keys import is_response
 from sigweave.functions.times import seconds
-from sigweave.operators.skew import Skew, held, hot_values, id_block, slice_of
+from sigweave.operators.skew import Skew, held, hot_values, id_block, with_slices
 from sigweave.schema import CARRIED, DELETE_RESPONSE, FIELDS, MESSAGE, OPTIONAL, TTL_SECONDS
 
 _NONE = -(1 << 62)
@@ -233,12 +233,10 @@ def _slice_places(ttl_us: int):
 
 
 def _slice_lifetimes(timed: DataFrame, ttl_us: int) -> int:
-    """Length of the slices in lifetimes, by the busiest tunnel."""
-    tunnels = timed.groupBy("teid").agg(
-        F.count(F.lit(1)).alias("pairs"), (F.max("_t1") - F.min("_t1")).alias("span")
-    )
-    per_lifetime = F.col("pairs") / (F.col("span") / ttl_us + 1)
-    busiest = tunnels.agg(F.max(per_lifetime)).first()[0]
+    """Length of the slices in lifetimes, by the busiest lifetime of any tunnel: however uneven
+    a tunnel is, no slice has more than `_PAIRS_PER_SLICE` instants, unless one lifetime has."""
+    lifetime = F.floor(F.col("_t1") / ttl_us)
+    busiest = timed.groupBy("teid", lifetime).count().agg(F.max("count")).first()[0]
     return max(1, min(_LIFETIMES_PER_SLICE, int(_PAIRS_PER_SLICE / (busiest or 1))))
 
 
@@ -301,7 +299,7 @@ def _carry_in_slices(placed: DataFrame, fields: list[str], skew: Skew) -> DataFr
     tagged = _with_id(placed).withColumn("_tag", tag)
     hot = hot_values(tagged, F.col("_tag"), skew.min_rows)
     minor = [F.unix_micros("t0"), id_block(F.col("_id"), skew)]
-    sliced = tagged.withColumn("_slice", slice_of(tagged, "_tag", hot, skew, "t1", minor))
+    sliced = with_slices(tagged, "_tag", hot, skew, "t1", minor, "_slice")
     by = ["_tag", "_slice"]
     if hot:
         order = F.struct(*_ORDER)

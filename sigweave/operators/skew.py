@@ -9,6 +9,7 @@ hands its (small) state from slice to slice.
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -17,8 +18,8 @@ class Skew:
     """When and how to cut groups.
 
     min_rows: a group up to this size is never cut.
-    slice_seconds: length of the slices of a hot group. A slice that is itself hot is cut
-    further, by instant and then by blocks of `id_block` row ids.
+    slice_seconds: length of the slices of a hot group. A slice of more than `min_rows` rows is
+    cut further, down to blocks of `id_block` row ids inside one instant.
     """
 
     min_rows: int = 2_000_000
@@ -33,14 +34,13 @@ _BUCKETS_PER_SHARE = 64
 def hot_values(
     df: DataFrame, value: Column, min_rows: int, total: int | None = None
 ) -> list:
-    """Values of `value` held by more than `min_rows` rows and by more than a fair share of
-    them, a share being one shuffle partition's.
+    """Values of `value` held by more than `min_rows` rows.
 
     Rows are first counted per hash bucket of the value. That needs hardly any shuffle, as
     each task hands on no more rows than there are buckets, and a hot value makes its bucket
     heavy. Only the values of heavy buckets are then counted one by one. Neither list that
-    reaches the driver can have more entries than there are shuffle partitions. `total` saves
-    the count of all rows where it is known.
+    reaches the driver can have more than one entry per `min_rows` rows. `total` saves the count
+    of all rows where it is known.
     """
     if df.isStreaming:
         return []
@@ -48,17 +48,18 @@ def hot_values(
         total = df.select(F.lit(1)).count()
     if total <= min_rows:
         return []
+    # Cold buckets must stay below the limit, so there are more of them the more rows there are.
     shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    limit = max(min_rows, total // shares)
-    bucket = F.pmod(F.xxhash64("v"), F.lit(shares * _BUCKETS_PER_SHARE))
+    buckets = max(shares * _BUCKETS_PER_SHARE, 4 * total // min_rows)
+    bucket = F.pmod(F.xxhash64("v"), F.lit(buckets))
     keyed = df.select(value.cast("string").alias("v")).where(F.col("v").isNotNull())
 
-    def beyond_limit(rows: DataFrame, by: Column) -> list:
-        counts = rows.groupBy(by.alias("g")).count().where(F.col("count") > limit)
+    def beyond(rows: DataFrame, by: Column) -> list:
+        counts = rows.groupBy(by.alias("g")).count().where(F.col("count") > min_rows)
         return [r["g"] for r in counts.collect()]
 
-    heavy = beyond_limit(keyed, bucket)
-    return beyond_limit(keyed.where(bucket.isin(heavy)), F.col("v")) if heavy else []
+    heavy = beyond(keyed, bucket)
+    return beyond(keyed.where(bucket.isin(heavy)), F.col("v")) if heavy else []
 
 
 def held(df: DataFrame) -> DataFrame:
@@ -69,27 +70,85 @@ def held(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def slice_of(
-    df: DataFrame, key: str, hot: list, skew: Skew, ts: str, minor: list[Column]
-) -> Column:
-    """Slice of each row as an ordered struct; rows of cold groups share one slice.
+# Equal spans that a slice is counted in before it is cut into pieces.
+_SPANS = 1024
 
-    `minor` orders the rows of one instant. Its last column should group a bounded number of
-    rows, such as a block of unique ids.
+
+def with_slices(
+    df: DataFrame,
+    key: str,
+    hot: list,
+    skew: Skew,
+    ts: str,
+    minor: list[Column],
+    name: str = "slice",
+) -> DataFrame:
+    """Adds the slice of each row as an ordered struct; rows of cold groups share one slice.
+
+    A hot group is cut by time. A slice of more than `min_rows` rows is counted in short spans,
+    and neighbouring spans are put together into pieces of about `min_rows`; so is a span that
+    alone has more, by its instants. Only the rows of one instant that has more are cut by
+    `minor`, whose last column should group a bounded number of rows, such as a block of unique
+    ids. So there are about rows / `min_rows` pieces besides the slices that have any rows.
     """
     zero = F.lit(0).cast("bigint")
-    names = ["major", "instant"] + [f"minor{i}" for i in range(len(minor))]
+    minors = [f"minor{i}" for i in range(len(minor))]
+    names = ["major", "piece", "part", "crowd", *minors]
     if not hot:
-        return F.struct(*[zero.alias(n) for n in names])
-    is_hot = F.col(key).isin(hot)
+        return df.withColumn(name, F.struct(*[zero.alias(n) for n in names]))
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     micros = F.unix_micros(ts)
-    major = F.floor(micros / (skew.slice_seconds * 1_000_000)).cast("bigint")
-    tag = F.concat_ws("\u0001", F.col(key), major.cast("string"))
-    dense = hot_values(df.where(is_hot), tag, skew.min_rows)
-    is_dense = (is_hot & tag.isin(dense)) if dense else F.lit(False)
-    fine = [F.when(is_dense, c).otherwise(zero) for c in [micros, *minor]]
-    coarse = F.when(is_hot, major).otherwise(zero)
-    return F.struct(*[c.alias(n) for c, n in zip([coarse, *fine], names)])
+    length = skew.slice_seconds * 1_000_000
+    major = F.floor(micros / length).cast("bigint")
+    span = F.floor((micros - F.col("_major") * length) * _SPANS / length).cast("bigint")
+    marked = df.withColumn("_major", F.when(is_hot, major).otherwise(zero)).withColumn(
+        "_span", F.when(is_hot, span)
+    )
+    limit = skew.min_rows
+    slice_ = [key, "_major"]
+    spans = marked.where(is_hot).groupBy(*slice_, "_span").agg(F.count(F.lit(1)).alias("_n"))
+    pieces = held(
+        spans.withColumn("_all", F.sum("_n").over(W.partitionBy(*slice_)))
+        .where(F.col("_all") > limit)
+        .select(*slice_, "_span", *_filled(slice_, "_span", limit, "_piece", "_full"))
+    )
+    dense, full = pieces.agg(F.count(F.lit(1)), F.bool_or("_full")).first()
+    own = [F.lit(False).alias("_full"), zero.alias("_piece")]
+    cut = marked.join(pieces, [*slice_, "_span"], "left") if dense else marked.select("*", *own)
+    own = [F.lit(False).alias("_crowd"), zero.alias("_part")]
+    if full:
+        cut = cut.withColumn("_micros", F.when(F.col("_full"), micros))
+        spans = [*slice_, "_span"]
+        instants = (
+            cut.where("_full").groupBy(*spans, "_micros").agg(F.count(F.lit(1)).alias("_n"))
+        )
+        parts = instants.select(
+            *spans, "_micros", *_filled(spans, "_micros", limit, "_part", "_crowd")
+        )
+        cut = cut.join(held(parts), [*spans, "_micros"], "left").drop("_micros")
+    else:
+        cut = cut.select("*", *own)
+    crowd = F.coalesce("_crowd", F.lit(False))
+    fields = [
+        F.col("_major"),
+        F.coalesce("_piece", zero),
+        F.coalesce("_part", zero),
+        crowd.cast("bigint"),
+        *[F.when(crowd, c).otherwise(zero) for c in minor],
+    ]
+    built = F.struct(*[c.alias(n) for c, n in zip(fields, names)])
+    return cut.select(*df.columns, built.alias(name))
+
+
+def _filled(group: list[str], order: str, limit: int, number: str, over: str) -> list[Column]:
+    """Which piece of about `limit` rows each counted part falls into, and whether it alone has
+    more. What follows such a part has a higher number."""
+    before = W.partitionBy(*group).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    filled = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    return [
+        F.floor(filled / limit).cast("bigint").alias(number),
+        (F.col("_n") > limit).alias(over),
+    ]
 
 
 def id_block(id_: Column, skew: Skew) -> Column:

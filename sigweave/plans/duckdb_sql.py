@@ -249,3 +249,12 @@ ORACLES |= {
     "stream_sessions": _STREAM_SESSIONS,
     "stream_restart": _STREAM_SESSIONS,
 }
+
+# Cutting hot groups changes nothing.
+ORACLES |= {
+    "pairs_cut": ORACLES["pairs"],
+    "unpaired_cut": ORACLES["unpaired"],
+    "interval_cut": ORACLES["pairs_interval"],
+    "sessions_cut": ORACLES["sessions"],
+    "session_enriched_cut": ORACLES["session_enriched"],
+}

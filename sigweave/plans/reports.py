@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sigweave.functions import keys, times
 from sigweave.operators import interval, offsets, output, pairing, sessions, validation
+from sigweave.operators.skew import Skew
 from sigweave.plans.publish import enriched_pairs
 from sigweave.schema import FIELDS, OPTIONAL
 from sigweave.sources.events import event_messages
@@ -19,6 +20,10 @@ from sigweave.sources.kv_lines import LINE_KEYS, parse_lines
 TOPIC = "signals"
 SESSION_TTL = 3600.0
 
+# Limits so low that the cutting of hot groups runs on any table.
+CUT = Skew(min_rows=2, slice_seconds=3600, id_block=50)
+CUT_TUNNELS = Skew(min_rows=1, slice_seconds=3600, id_block=50)
+
 
 def _ntz(column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("timestamp_ntz")
@@ -92,11 +97,19 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_ids(pairing.pair_messages(event_messages(spark, sf_dir)))
 
 
-def unpaired(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alone = pairing.unpaired_messages(event_messages(spark, sf_dir))
+def pairs_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_ids(pairing.pair_messages(event_messages(spark, sf_dir), skew=CUT))
+
+
+def unpaired(spark: SparkSession, sf_dir: str, skew: Skew = Skew()) -> DataFrame:
+    alone = pairing.unpaired_messages(event_messages(spark, sf_dir), skew=skew)
     return alone.select("pair_key", "id", _ntz("ts").alias("ts"), *FIELDS, "reason")
 
 
+def unpaired_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unpaired(spark, sf_dir, CUT)
+
+
 def unpaired_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected messages and those that lost their partner to rejection."""
     damaged = _damaged(spark, sf_dir)
@@ -120,8 +133,8 @@ def pair_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def answered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return interval.answered(event_messages(spark, sf_dir)).select(
+def answered_requests(spark: SparkSession, sf_dir: str, skew: Skew = Skew()) -> DataFrame:
+    return interval.answered(event_messages(spark, sf_dir), skew=skew).select(
         "pair_key",
         F.col("request.id").alias("request_id"),
         F.col("response.id").alias("response_id"),
@@ -129,6 +142,10 @@ def answered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def answered_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return answered_requests(spark, sf_dir, CUT)
+
+
 def unanswered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interval.unanswered(event_messages(spark, sf_dir)).select(
         "pair_key", F.col("request.id").alias("request_id")
@@ -137,12 +154,12 @@ def unanswered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sessions_of(spark: SparkSession, sf_dir: str, operator: Callable, **options) -> DataFrame:
     messages = event_messages(spark, sf_dir)
-    hot = sessions.hot_tunnels(messages)
+    hot = sessions.hot_tunnels(messages, options.get("skew", Skew()))
     return operator(pairing.pair_messages(messages), SESSION_TTL, hot=hot, **options)
 
 
-def session_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sessions_of(spark, sf_dir, sessions.sessions).select(
+def session_pairs(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return _sessions_of(spark, sf_dir, sessions.sessions, **options).select(
         "teid",
         "session_no",
         _ntz("session_start").alias("session_start"),
@@ -162,11 +179,19 @@ def _sides(enriched: DataFrame, fields: list[str]) -> DataFrame:
     )
 
 
-def session_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched = _sessions_of(spark, sf_dir, sessions.enrich_sessions)
+def session_enriched(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    enriched = _sessions_of(spark, sf_dir, sessions.enrich_sessions, **options)
     return _sides(enriched, ["imsi", "msisdn", "cause"])
 
 
+def sessions_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return session_pairs(spark, sf_dir, skew=CUT_TUNNELS)
+
+
+def session_enriched_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return session_enriched(spark, sf_dir, skew=CUT_TUNNELS)
+
+
 def session_enriched_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = _sessions_of(spark, sf_dir, sessions.enrich_sessions, carry_all=True)
     return _sides(enriched, OPTIONAL)
@@ -287,14 +312,19 @@ REPORTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ttl_filter": fresh_messages,
     "missing_required": rejects,
     "pairs": pairs,
+    "pairs_cut": pairs_cut,
     "unpaired": unpaired,
+    "unpaired_cut": unpaired_cut,
     "unpaired_damaged": unpaired_damaged,
     "pair_teid": pair_teids,
     "pair_latency": pair_latency,
     "pairs_interval": answered_requests,
+    "interval_cut": answered_cut,
     "unanswered_interval": unanswered_requests,
     "sessions": session_pairs,
+    "sessions_cut": sessions_cut,
     "session_enriched": session_enriched,
+    "session_enriched_cut": session_enriched_cut,
     "session_enriched_all": session_enriched_all,
     "session_profile": session_profile,
     "session_deletes": session_deletes,
