@@ -17,10 +17,24 @@ _PARTITION = ["topic", "partition"]
 
 
 def decode_offsets(saved: DataFrame, column: str = "checkpoint") -> DataFrame:
-    """OFFSETS rows of `{"topic": {"partition": offset}}` texts; `latest` gives none."""
+    """OFFSETS rows of `{"topic": {"partition": offset}}` texts; `latest` gives none.
+
+    A text that is neither fails the query: taken for "nothing saved" it would skip a backlog.
+    """
+    text = F.col(column)
+    broken = F.raise_error(F.concat(F.lit("not a saved position: "), text))
+    # A value of the wrong type leaves a NULL behind, so the result is looked at as a whole.
+    parsed = F.from_json(text, _JSON)
+    whole = F.forall(
+        F.map_values(parsed),
+        lambda parts: parts.isNotNull()
+        & F.forall(F.map_values(parts), lambda v: v.isNotNull())
+        & F.forall(F.map_keys(parts), lambda k: k.rlike("^[0-9]+$")),
+    )
+    checked = F.when(F.coalesce(whole, F.lit(False)), parsed).otherwise(broken)
     return (
-        saved.where(F.col(column) != LATEST)
-        .select(F.explode(F.from_json(column, _JSON)).alias("topic", "parts"))
+        saved.where(text != LATEST)
+        .select(F.explode(checked).alias("topic", "parts"))
         .select("topic", F.explode("parts").alias("partition", "offset"))
         .withColumn("partition", F.col("partition").cast("int"))
     )
@@ -55,10 +69,15 @@ def current_offsets(ledger: DataFrame) -> DataFrame:
 
 
 def start_offsets(saved: DataFrame, earliest: DataFrame) -> DataFrame:
-    """Saved positions, moved up to the earliest one still there."""
+    """A position for every partition that there is, and for no other: the saved one, moved up to
+    the earliest record, or the earliest record of a partition that has none saved. Partitions
+    that are gone are left out. If nothing is saved at all for a topic, it has no rows."""
     floor = earliest.withColumnRenamed("offset", "floor")
-    return saved.join(floor, _PARTITION, "left").select(
-        *_PARTITION, F.greatest("offset", "floor").alias("offset")
+    topics = saved.select("topic").distinct()
+    return (
+        floor.join(topics, "topic", "left_semi")
+        .join(saved, _PARTITION, "left")
+        .select(*_PARTITION, F.greatest("offset", "floor").alias("offset"))
     )
 
 

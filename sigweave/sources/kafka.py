@@ -13,7 +13,7 @@ from sigweave.operators.validation import blank_to_null, valid, with_time
 from sigweave.sources.protobuf import decode, encode
 
 # Receive buffer of the source, and delivery settings of the sink.
-SOURCE_DEFAULTS = {"kafka.receive.buffer.bytes": "102400", "failOnDataLoss": "false"}
+SOURCE_DEFAULTS = {"kafka.receive.buffer.bytes": "102400"}
 SINK_DEFAULTS = {
     "kafka.enable.idempotence": "true",
     "kafka.acks": "all",
@@ -47,7 +47,8 @@ def ledger_sink(path: str, topic: str):
 
 
 def start_position(saved: DataFrame, earliest: DataFrame) -> str:
-    """Where to start without a checkpoint: saved positions that still exist, else the end."""
+    """Where to start without a checkpoint: a position for each partition, see `start_offsets`;
+    the end of the topic if none is saved."""
     return starting_offsets_json(start_offsets(saved, earliest)) or "latest"
 
 
@@ -57,12 +58,15 @@ def source_options(
     group_id: str | None = None,
     start: str = "latest",
     max_per_trigger: int | None = None,
+    fail_on_loss: bool = True,
 ) -> dict[str, str]:
+    """`fail_on_loss`: stop when records were removed before they were read, instead of going on."""
     options = {
         **SOURCE_DEFAULTS,
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": start,
+        "failOnDataLoss": str(fail_on_loss).lower(),
     }
     if group_id is not None:
         options["kafka.group.id"] = group_id

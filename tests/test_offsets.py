@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from sigweave.operators import offsets as O
 from sigweave.sources import kafka
 
@@ -23,10 +25,19 @@ def test_json(spark):
     assert O.starting_offsets_json(decoded.where("false")) is None
 
 
+@pytest.mark.parametrize("text", ["", "{", "[1]", '{"a":{"0":"x"}}', '{"a":5}', '{"a":{"zero":5}}'])
+def test_broken_text_fails(spark, text):
+    saved = spark.createDataFrame([(text,)], "checkpoint string")
+    with pytest.raises(Exception, match="not a saved position"):
+        O.decode_offsets(saved).collect()
+
+
 def test_start_is_moved_up(spark):
-    saved = table(spark, [("a", 0, 3), ("a", 1, 9), ("a", 2, 4)])
-    earliest = table(spark, [("a", 0, 5), ("a", 1, 5)])
-    assert as_dict(O.start_offsets(saved, earliest)) == {("a", 0): 5, ("a", 1): 9, ("a", 2): 4}
+    saved = table(spark, [("a", 0, 3), ("a", 1, 9), ("a", 9, 4)])
+    earliest = table(spark, [("a", 0, 5), ("a", 1, 5), ("a", 2, 7), ("other", 0, 1)])
+    # Partition 9 is gone, partition 2 is new.
+    assert as_dict(O.start_offsets(saved, earliest)) == {("a", 0): 5, ("a", 1): 9, ("a", 2): 7}
+    assert json.loads(kafka.start_position(saved, earliest)) == {"a": {"0": 5, "1": 9, "2": 7}}
     assert kafka.start_position(saved.where("false"), earliest) == "latest"
 
 
@@ -57,4 +68,6 @@ def test_options():
     options = kafka.source_options("h:1", "t", group_id="g", start='{"t":{"0":1}}', max_per_trigger=5)
     assert options["subscribe"] == "t" and options["kafka.group.id"] == "g"
     assert options["maxOffsetsPerTrigger"] == "5"
+    assert options["failOnDataLoss"] == "true"
+    assert kafka.source_options("h:1", "t", fail_on_loss=False)["failOnDataLoss"] == "false"
     assert kafka.sink_options("h:1", "t")["kafka.acks"] == "all"
