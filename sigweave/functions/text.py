@@ -6,11 +6,22 @@ from pyspark.sql import functions as F
 from sigweave.schema import FIELDS
 
 # Two-character escapes of the text format; a backslash is escaped first.
-ESCAPES = {"\\": "\\\\", '"': '\\"', "'": "\\'", "\n": "\\n", "\r": "\\r", "\t": "\\t"}
+ESCAPES = {
+    "\\": "\\\\",
+    '"': '\\"',
+    "'": "\\'",
+    "\a": "\\a",
+    "\b": "\\b",
+    "\f": "\\f",
+    "\n": "\\n",
+    "\r": "\\r",
+    "\t": "\\t",
+    "\v": "\\v",
+}
 
 # Text of printable characters and short escapes only, and text that needs no escape at all.
-_PLAIN = r"^[ -~\n\r\t]*$"
-_CLEAN = r"^[ !#-&(-\[\]-~]*$"
+_PLAIN = r"^[ -~\x07-\x0D]*\z"
+_CLEAN = r"^[ !#-&(-\[\]-~]*\z"
 
 
 def _short_escapes(text: Column) -> Column:
@@ -27,7 +38,7 @@ def _byte_escapes(text: Column) -> Column:
     def one(start: Column) -> Column:
         code = F.conv(F.substr(digits, start, F.lit(2)), 16, 10).cast("int")
         octal = F.concat(F.lit("\\"), F.lpad(F.conv(code.cast("string"), 10, 8), 3, "0"))
-        short = code.between(32, 126) | code.isin(9, 10, 13)
+        short = code.between(32, 126) | code.between(7, 13)
         return F.when(short, _short_escapes(F.chr(code))).otherwise(octal)
 
     return F.array_join(F.transform(starts, one), "")

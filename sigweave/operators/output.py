@@ -1,10 +1,12 @@
 """Publishing form of pairs: one key and one value each."""
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sigweave.functions.keys import unique_key
-from sigweave.functions.text import pair_json, pair_text
+from sigweave.functions.text import message_text, pair_json, pair_text
+from sigweave.schema import FIELDS
 
 
 def digest_key() -> Column:
@@ -26,6 +28,16 @@ def pair_output(pairs: DataFrame, format: str = "text") -> DataFrame:
     raise ValueError(f"unknown output format: {format}")
 
 
+def unpaired_output(unpaired: DataFrame) -> DataFrame:
+    """OUTPUT rows of messages without a partner, in the text form of pairs. A message that
+    lacks a part of its key has a NULL key."""
+    key = unique_key(F.col("sequence_number"), F.col("source_ip"), F.col("dest_ip"))
+    fields = F.struct(*FIELDS)
+    return unpaired.select(key.alias("key"), fields.alias("m")).select(
+        "key", message_text(F.col("m")).alias("value")
+    )
+
+
 def drop_sent(pairs: DataFrame, within_seconds: int) -> DataFrame:
     """First pair of each digest key per span of `within_seconds` of event time.
 
@@ -34,11 +46,10 @@ def drop_sent(pairs: DataFrame, within_seconds: int) -> DataFrame:
     hot key collapse before the shuffle.
     """
     span = F.floor(F.unix_micros("t1") / (within_seconds * 1_000_000))
-    chosen = pairs.withColumn("key", digest_key()).groupBy("key", span.alias("_span"))
-    whole = F.struct(*pairs.columns)
-    return chosen.agg(F.min_by(whole, F.struct("t1", "t0", F.col("first.id"))).alias("p")).select(
-        "key", "p.*"
-    )
+    keyed = pairs.withColumn("key", digest_key()).withColumn("_span", span)
+    order = W.partitionBy("key", "_span").orderBy("t1", "t0", "_id")
+    numbered = keyed.withColumn("_id", F.col("first.id")).withColumn("_n", F.row_number().over(order))
+    return numbered.where("_n = 1").select("key", *pairs.columns)
 
 
 def drop_sent_stream(pairs: DataFrame, delay: str) -> DataFrame:

@@ -158,15 +158,21 @@ def pair_messages(
     ttl: float = TTL_SECONDS,
     skew: Skew = Skew(),
     hot: list | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """PAIR rows: pair_key, first, second, t0, t1, teid, latency_ms.
 
-    `hot` names the pair keys to cut into slices; left out, they are searched for."""
+    `hot` names the pair keys to cut into slices; left out, they are searched for. `keep`: the
+    fields wanted in both messages, besides the id and those that pairs are made with; others
+    are not read."""
+    kept = _COLUMNS
+    if keep is not None:
+        kept = [c for c in _COLUMNS if c in {"id", "ts", "message_type", "teid", *keep}]
     met = _walk(messages, ttl, skew, hot).where(F.col("met") & (F.col("next_role") == _OWN))
     return met.select(
         "pair_key",
-        F.struct(*_COLUMNS).alias("first"),
-        F.struct(*[F.col(f"next_{c}").alias(c) for c in _COLUMNS]).alias("second"),
+        F.struct(*kept).alias("first"),
+        F.struct(*[F.col(f"next_{c}").alias(c) for c in kept]).alias("second"),
     ).select(*pair_columns())
 
 

@@ -38,31 +38,83 @@ def _fold(ttl_us: int):
     """Session of each row, fed with rows sorted inside each tunnel.
 
     The state outlives a batch and is reset where `n` restarts. Not deterministic in Spark's
-    sense: the rows a call sees must not be filtered beforehand.
+    sense: the rows a call sees must not be filtered beforehand. Inside a batch all is done for
+    all rows at once, but for one short step from each session to the next.
     """
 
     @F.pandas_udf(_PLACE)
     def place(
         batches: Iterator[Tuple[pd.Series, pd.Series, pd.Series, pd.Series, pd.Series]],
     ) -> Iterator[pd.DataFrame]:
-        number = start = oldest = first_n = _NONE
+        open_session = (0, _NONE, _NONE, 1)
         for batch in batches:
-            out = []
-            for n, t0, t1, oldest_in, start_in in zip(*(s.tolist() for s in batch)):
-                if n == 1:
-                    number, start, oldest, first_n = 0, start_in, oldest_in, 1
-                if t1 >= oldest + ttl_us:
-                    number, start, oldest, first_n = number + 1, t1, t0, n
-                elif t0 < oldest:
-                    oldest = t0
-                out.append((number, start, first_n))
-            yield pd.DataFrame(
-                out, columns=["session_no", "session_start", "first_n"], dtype="int64"
-            )
+            columns = [s.to_numpy(dtype="int64") for s in batch]
+            if len(columns[0]):
+                out, open_session = _place_batch(columns, open_session, ttl_us)
+                yield pd.DataFrame(out, columns=["session_no", "session_start", "first_n"])
 
     return place.asNondeterministic()
 
 
+def _place_batch(columns: list[np.ndarray], before: tuple, ttl_us: int) -> tuple:
+    """Places of the rows of a batch, and the session open at its end.
+
+    `before`: number, start, oldest message and first row of the session that the first tunnel
+    brings along from the batch before.
+    """
+    n, t0, t1, oldest_in, start_in = columns
+    size = len(n)
+    heads = np.flatnonzero(n == 1)
+    if not len(heads) or heads[0] > 0:
+        heads = np.append(0, heads)
+    low = int(min(t0.min(), t1.min()))
+    width = int(t1.max()) - low + 2 * ttl_us + 1
+    if width * len(heads) > 1 << 62:
+        half = size // 2
+        left, middle = _place_batch([c[:half] for c in columns], before, ttl_us)
+        right, after = _place_batch([c[half:] for c in columns], middle, ttl_us)
+        return np.concatenate([left, right]), after
+    ends = np.append(heads[1:], size)
+    tunnel = np.repeat(np.arange(len(heads)), ends - heads)
+    # Tunnels are laid one after the other on one axis of time, far enough apart.
+    shift = tunnel * width - low
+    at = t1 + shift
+    # A pair's own latency is below `ttl`, so later pairs never shorten a session that they are
+    # not part of: the oldest message to come decides where a session that opens here ends.
+    oldest = np.minimum.accumulate((t0 + shift)[::-1])[::-1]
+    follows = np.minimum(np.searchsorted(at, oldest + ttl_us), ends[tunnel])
+    # What each tunnel brings along: nothing, or the open session of a stream or a batch before.
+    number, start = np.zeros(len(heads), dtype="int64"), start_in[heads]
+    known, first = oldest_in[heads], np.ones(len(heads), dtype="int64")
+    if n[0] != 1:
+        number[0], start[0], known[0], first[0] = before
+    limit = np.minimum(np.maximum(known, low - ttl_us) + shift[heads], oldest[heads])
+    enters = np.clip(np.searchsorted(at, limit + ttl_us), heads, ends)
+    enters = np.where(known == _NONE, heads, enters)
+    step, opened = follows.tolist(), []
+    for i, end in zip(enters.tolist(), ends.tolist()):
+        while i < end:
+            opened.append(i)
+            i = step[i]
+    opened = np.array(opened, dtype="int64")
+    latest = np.searchsorted(opened, np.arange(size), "right") - 1
+    row = np.append(opened, -1)[latest]
+    inside = row >= heads[tunnel]
+    places = np.stack(
+        [
+            number[tunnel] + np.maximum(latest + 1 - np.searchsorted(opened, heads)[tunnel], 0),
+            np.where(inside, t1[row], start[tunnel]),
+            np.where(inside, n[row], first[tunnel]),
+        ],
+        axis=1,
+    )
+    if inside[-1]:
+        last = int(t0[row[-1] :].min())
+    else:
+        last = min(int(known[-1]), int(t0[heads[-1] :].min()))
+    return places, (places[-1, 0], places[-1, 1], last, places[-1, 2])
+
+
 _ORDER = ["t1", "t0", "_id"]
 
 
@@ -82,10 +134,13 @@ def _micros_or_none(pairs: DataFrame, column: str) -> Column:
     return F.coalesce(F.unix_micros(column), F.lit(_NONE))
 
 
-def _cold_sessions(pairs: DataFrame, ttl_us: int, fields: list[str]) -> DataFrame:
+def _cold_sessions(pairs: DataFrame, ttl_us: int, fields: list[str], lone: bool) -> DataFrame:
     """One shuffle and one sort by tunnel. The value to carry is looked up together with the
-    position it stands at, and counts only if that lies inside the session."""
-    w = W.partitionBy("teid").orderBy(*_ORDER)
+    position it stands at, and counts only if that lies inside the session. `lone`: pairs
+    without a tunnel are among them, each a group of its own and in no session."""
+    own = F.concat(F.lit("\u0001"), F.col("_id").cast("string"))
+    group = "_group" if lone else "teid"
+    w = W.partitionBy(group).orderBy(*_ORDER)
     earlier = w.rowsBetween(W.unboundedPreceding, -1)
     found = {
         f"_{f}": F.last(
@@ -100,9 +155,11 @@ def _cold_sessions(pairs: DataFrame, ttl_us: int, fields: list[str]) -> DataFram
         F.unix_micros("t1"),
         *opening,
     )
+    grouped = _with_id(pairs)
+    if lone:
+        grouped = grouped.withColumn("_group", F.coalesce("teid", own))
     placed = (
-        _with_id(pairs)
-        .withColumn("_n", F.row_number().over(w))
+        grouped.withColumn("_n", F.row_number().over(w))
         .withColumns(found)
         .withColumn("_place", place)
     )
@@ -110,10 +167,13 @@ def _cold_sessions(pairs: DataFrame, ttl_us: int, fields: list[str]) -> DataFram
         f"prev_{f}": F.when(F.col(f"_{f}")["_n"] >= F.col("_place.first_n"), F.col(f"_{f}")["v"])
         for f in fields
     }
+    number, start = F.col("_place.session_no"), F.timestamp_micros("_place.session_start")
+    if lone:
+        number, start = (F.when(F.col("teid").isNotNull(), c) for c in (number, start))
     return placed.select(
         *pairs.columns,
-        F.col("_place.session_no").alias("session_no"),
-        F.timestamp_micros(F.col("_place.session_start")).alias("session_start"),
+        number.alias("session_no"),
+        start.alias("session_start"),
         *[c.alias(name) for name, c in carried.items()],
     )
 
@@ -332,6 +392,7 @@ def _placed(
     fields: list[str],
     skew: Skew,
     hot: list | None,
+    lone: bool = False,
 ) -> DataFrame:
     """Pairs with their session and, for each of `fields`, `prev_<field>`: the last value
     before the pair in its session.
@@ -342,14 +403,14 @@ def _placed(
     if ttl < pair_ttl:
         raise ValueError("a session must live at least as long as a message waits")
     ttl_us = round(ttl * 1_000_000)
-    known = pairs.where(F.col("teid").isNotNull())
+    known = pairs if lone else pairs.where(F.col("teid").isNotNull())
     if hot is None:
         hot = hot_values(known, F.col("teid"), skew.min_rows)
     if not hot:
-        placed = _cold_sessions(known, ttl_us, fields)
+        placed = _cold_sessions(known, ttl_us, fields, lone)
     else:
-        known, is_hot = held(known), F.col("teid").isin(hot)
-        placed = _cold_sessions(known.where(~is_hot), ttl_us, fields).unionByName(
+        known, is_hot = held(known), F.coalesce(F.col("teid").isin(hot), F.lit(False))
+        placed = _cold_sessions(known.where(~is_hot), ttl_us, fields, lone).unionByName(
             _hot_sessions(known.where(is_hot), ttl_us, fields, skew)
         )
     # A session open before these rows (number 0) holds what it has carried so far.
@@ -378,7 +439,7 @@ def sessions(
 ) -> DataFrame:
     """SESSION rows: the pair and its session_no, counted from 1 in each tunnel, and
     session_start, the time at which the pair that opened the session was complete. Pairs
-    without a tunnel id belong to no session.
+    without a tunnel id belong to no session and are left out.
 
     `hot` names the tunnels to cut into slices. Left out, they are searched for in `pairs`; a
     caller who has the messages finds them there for less, see `hot_tunnels`."""
@@ -391,10 +452,14 @@ def _filled(side: str, value: dict[str, Column]) -> Column:
     ).alias(side)
 
 
-def fill_messages(placed: DataFrame, fields: list[str]) -> DataFrame:
-    """Puts the carried values into both messages of each pair, and drops `prev_*`."""
+def fill_messages(placed: DataFrame, fields: list[str], lone: bool = False) -> DataFrame:
+    """Puts the carried values into both messages of each pair, and drops `prev_*`. `lone`: pairs
+    without a tunnel are among them and stay as they are."""
     first = {f: F.coalesce(F.col("first")[f], F.col(f"prev_{f}")) for f in fields}
     second = {f: F.coalesce(F.col("second")[f], first[f]) for f in fields}
+    if lone:
+        known = F.col("teid").isNotNull()
+        second = {f: F.when(known, c).otherwise(F.col("second")[f]) for f, c in second.items()}
     kept = [
         c
         for c in placed.columns
@@ -415,11 +480,13 @@ def enrich_sessions(
     pair_ttl: float = TTL_SECONDS,
     skew: Skew = Skew(),
     hot: list | None = None,
+    lone: bool = False,
 ) -> DataFrame:
     """`sessions` with identity carried forward: each message lacking a carried field takes
-    the latest value before it in its session. `carry_all` does so for all optional fields."""
+    the latest value before it in its session. `carry_all` does so for all optional fields.
+    `lone`: keep the pairs without a tunnel id, which are in no session."""
     fields = OPTIONAL if carry_all else CARRIED
-    return fill_messages(_placed(pairs, ttl, pair_ttl, fields, skew, hot), fields)
+    return fill_messages(_placed(pairs, ttl, pair_ttl, fields, skew, hot, lone), fields, lone)
 
 
 def continue_sessions(
@@ -478,14 +545,20 @@ def open_sessions_after(
 
 def session_profiles(enriched: DataFrame) -> DataFrame:
     """Field-wise merge of a session's messages, the last present value of each field. Takes
-    `enrich_sessions(carry_all=True)`, where the last message of a session has them all."""
+    `enrich_sessions(carry_all=True)`, where the last message of a session has them all. One
+    shuffle and one sort."""
     fields = [f for f in FIELDS if f != "teid"]
-    last = F.struct(*[F.col("second")[f].alias(f) for f in fields])
+    session = ["teid", "session_no", "session_start"]
+    last = [F.col("second")[f].alias(f) for f in fields]
+    newest = W.partitionBy(*session).orderBy(*[F.col(c).desc() for c in _ORDER])
+    # Ordered from the end, the first row is the last pair, and has been counted to by the others.
+    whole = newest.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     return (
-        _with_id(enriched)
-        .groupBy("teid", "session_no", "session_start")
-        .agg(F.count(F.lit(1)).alias("pairs"), F.max_by(last, F.struct(*_ORDER)).alias("last"))
-        .select("teid", "session_no", "session_start", "pairs", "last.*")
+        enriched.select(*session, "t1", "t0", F.col("first.id").alias("_id"), *last)
+        .withColumn("pairs", F.count(F.lit(1)).over(whole))
+        .withColumn("_n", F.row_number().over(newest))
+        .where("_n = 1")
+        .select(*session, "pairs", *fields)
     )
 
 

@@ -94,7 +94,7 @@ def _message_text(side: str, filled: bool = True) -> str:
     short = "f" if side == "first" else "s"
     lines = []
     for f in FIELDS:
-        name = f"{short}_{f}" if filled and f in CARRIED else f"{side}_{f}"
+        name = f"{short}_{f}" if filled and f in CARRIED else f"{side}_{f}".lstrip("_")
         quote = "" if f == "sequence_number" else '"'
         lines.append(
             f"CASE WHEN {name} IS NULL THEN '' ELSE '{f}: {quote}' || {name} || '{quote}' || chr(10) END"
@@ -102,11 +102,11 @@ def _message_text(side: str, filled: bool = True) -> str:
     return " || ".join(lines)
 
 
-def _message_json(side: str) -> str:
+def _message_json(side: str, filled: bool = True) -> str:
     short = "f" if side == "first" else "s"
     parts = []
     for f in FIELDS:
-        name = f"{short}_{f}" if f in CARRIED else f"{side}_{f}"
+        name = f"{short}_{f}" if filled and f in CARRIED else f"{side}_{f}"
         quote = "" if f == "sequence_number" else '"'
         parts.append(f"CASE WHEN {name} IS NOT NULL THEN '\"{f}\":{quote}' || {name} || '{quote}' END")
     return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
@@ -128,10 +128,7 @@ _RECORDS = (
     f"rec AS (SELECT '{TOPIC}' AS topic, CAST(event_id % 4 AS INT) AS partition, "
     'event_id AS "offset", event_type FROM events)'
 )
-_ERRORS = (
-    'SELECT topic, partition, MIN("offset") AS "offset" FROM rec WHERE event_type = \'error\' '
-    "GROUP BY topic, partition"
-)
+_EARLIEST = 'SELECT topic, partition, MIN("offset") AS "offset" FROM rec GROUP BY topic, partition'
 
 _PAIR_IDS = "SELECT pair_key, first_id, second_id, t0, t1, teid, latency_ms FROM p"
 
@@ -150,6 +147,14 @@ _PROFILE = ", ".join(
     if f != "teid"
 )
 
+# Every ninth response names no tunnel.
+_ALL_PAIRS = _with(
+    ", m2 AS (SELECT * REPLACE (CASE WHEN id % 9 <> 1 THEN teid END AS teid) FROM m)",
+    _after(_walk("m2") + _PAIR_ROWS),
+    _SESSIONS,
+    _enriched(CARRIED),
+)
+
 ORACLES: dict[str, str] = {
     "pair_key": _with() + f"SELECT id, {_KEY} AS pair_key FROM m",
     "composite_key": _with()
@@ -195,36 +200,36 @@ ORACLES: dict[str, str] = {
     "CASE WHEN first_message_type = 'Delete Session Response' THEN first_ts END, "
     "CASE WHEN second_message_type = 'Delete Session Response' THEN second_ts END)) AS deleted_at "
     "FROM s GROUP BY teid, session_no) z",
-    "pair_output": _with(_after(_PAIRS), _SESSIONS, _enriched(CARRIED))
-    + f"SELECT {_DIGEST.format(p='first_')} AS key, "
-    f"{_message_text('first')} || chr(10) || {_message_text('second')} AS value FROM e",
-    "pair_output_all": _with(
-        ", m2 AS (SELECT * REPLACE (CASE WHEN id % 9 <> 1 THEN teid END AS teid) FROM m)",
-        _after(_walk("m2") + _PAIR_ROWS),
-        _SESSIONS,
-        _enriched(CARRIED),
-    )
+    "pair_output": _ALL_PAIRS
     + f"SELECT {_DIGEST.format(p='first_')} AS key, "
     f"{_message_text('first')} || chr(10) || {_message_text('second')} AS value FROM e "
     f"UNION ALL SELECT {_DIGEST.format(p='first_')}, {_message_text('first', False)} || chr(10) "
     f"|| {_message_text('second', False)} FROM p WHERE teid IS NULL",
-    "pair_output_json": _with(_after(_PAIRS), _SESSIONS, _enriched(CARRIED))
+    "pair_output_json": _ALL_PAIRS
     + "SELECT CAST(first_sequence_number AS VARCHAR) AS key, '{\"seq_id\":\"' || "
     "first_sequence_number || '\",\"response_time\":' || latency_ms || ',\"first\":' || "
-    f"{_message_json('first')} || ',\"second\":' || {_message_json('second')} || '}}' AS value FROM e",
+    f"{_message_json('first')} || ',\"second\":' || {_message_json('second')} || '}}' AS value FROM e "
+    "UNION ALL SELECT CAST(first_sequence_number AS VARCHAR), '{\"seq_id\":\"' || "
+    "first_sequence_number || '\",\"response_time\":' || latency_ms || ',\"first\":' || "
+    f"{_message_json('first', False)} || ',\"second\":' || {_message_json('second', False)} || '}}' "
+    "FROM p WHERE teid IS NULL",
+    "unpaired_output": _with(_after(_walk("m")))
+    + f"SELECT {_DIGEST.format(p='')} AS key, {_message_text('', False)} AS value FROM n "
+    "WHERE pos % 2 = 1 AND pos = size",
     "dedup_keys": _with(_after(_PAIRS))
     + ", u AS (SELECT *, "
     + _DIGEST.format(p="first_")
     + " AS key FROM p) SELECT key, first_id, second_id FROM u QUALIFY ROW_NUMBER() OVER "
     "(PARTITION BY key, CAST(t1 AS DATE) ORDER BY t1, t0, first_id) = 1",
     "kv_lines_parse": _with() + f"SELECT id, {', '.join(FIELDS)} FROM m",
-    "offsets_earliest": f"WITH {_RECORDS} {_ERRORS}",
+    "offsets_earliest": f"WITH {_RECORDS} {_EARLIEST}",
     "offsets_until": f'WITH {_RECORDS} SELECT topic, partition, MAX("offset") + 1 AS "offset" '
     "FROM rec GROUP BY topic, partition",
-    "offsets_start": f"WITH {_RECORDS}, low AS ({_ERRORS}), saved AS (SELECT topic, partition, "
-    'CASE WHEN partition % 2 = 0 THEN -1 ELSE MAX("offset") END AS "offset" FROM rec '
-    'GROUP BY topic, partition) SELECT topic, partition, GREATEST(saved."offset", low."offset") '
-    'AS "offset" FROM saved LEFT JOIN low USING (topic, partition)',
+    "offsets_start": f"WITH {_RECORDS}, low AS ({_EARLIEST}), saved AS (SELECT topic, "
+    "CASE WHEN partition = 3 THEN 13 ELSE partition END AS part, "
+    'CASE WHEN part % 2 = 0 THEN -1 ELSE MAX("offset") END AS "offset" FROM rec GROUP BY topic, part) '
+    'SELECT low.topic, low.partition, GREATEST(COALESCE(saved."offset", low."offset"), low."offset") '
+    'AS "offset" FROM low LEFT JOIN saved ON saved.topic = low.topic AND saved.part = low.partition',
     "offsets_merge": f"WITH {_RECORDS}, c AS (SELECT partition, MAX(\"offset\") AS v FROM rec "
     "WHERE event_type = 'click' GROUP BY partition), i AS (SELECT partition, MAX(\"offset\") AS v "
     "FROM rec WHERE event_type = 'view' GROUP BY partition) "
@@ -255,6 +260,7 @@ ORACLES |= {
     "pairs_cut": ORACLES["pairs"],
     "unpaired_cut": ORACLES["unpaired"],
     "interval_cut": ORACLES["pairs_interval"],
+    "pair_output_all": ORACLES["pair_output"],
     "sessions_cut": ORACLES["sessions"],
     "session_enriched_cut": ORACLES["session_enriched"],
 }

@@ -1,7 +1,6 @@
 """From messages to published pairs, and from `key=value` lines to message records."""
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from sigweave.operators.pairing import pair_messages
 from sigweave.operators.sessions import enrich_sessions, hot_tunnels
@@ -28,9 +27,7 @@ def enriched_pairs(
     skew: Skew = Skew(),
 ) -> DataFrame:
     """All pairs of the messages: those of a tunnel with session and identity, the others as
-    they are. Both branches read the same shuffle of the messages."""
+    they are. They take one way together, so pairing is done once."""
     hot = hot_tunnels(messages, skew)
     pairs = pair_messages(messages, ttl, skew)
-    enriched = enrich_sessions(pairs, session_ttl, carry_all, ttl, skew, hot)
-    others = pairs.where(F.col("teid").isNull())
-    return enriched.unionByName(others, allowMissingColumns=True)
+    return enrich_sessions(pairs, session_ttl, carry_all, ttl, skew, hot, lone=True)

@@ -152,14 +152,20 @@ def unanswered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _sessions_of(spark: SparkSession, sf_dir: str, operator: Callable, **options) -> DataFrame:
+def _sessions_of(
+    spark: SparkSession,
+    sf_dir: str,
+    operator: Callable,
+    keep: list[str] | None = None,
+    **options,
+) -> DataFrame:
     messages = event_messages(spark, sf_dir)
     hot = sessions.hot_tunnels(messages, options.get("skew", Skew()))
-    return operator(pairing.pair_messages(messages), SESSION_TTL, hot=hot, **options)
+    return operator(pairing.pair_messages(messages, keep=keep), SESSION_TTL, hot=hot, **options)
 
 
 def session_pairs(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return _sessions_of(spark, sf_dir, sessions.sessions, **options).select(
+    return _sessions_of(spark, sf_dir, sessions.sessions, keep=[], **options).select(
         "teid",
         "session_no",
         _ntz("session_start").alias("session_start"),
@@ -204,27 +210,30 @@ def session_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = sessions.mark_deletes(_sessions_of(spark, sf_dir, sessions.sessions))
+    marked = sessions.mark_deletes(_sessions_of(spark, sf_dir, sessions.sessions, keep=[]))
     return marked.select(
         "teid", "session_no", "closed_by_delete", _ntz("deleted_at").alias("deleted_at")
     )
 
 
-def pair_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched = _sessions_of(spark, sf_dir, sessions.enrich_sessions)
-    return output.pair_output(enriched)
-
-
-def pair_output_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs, of which some belong to no tunnel because their response names none."""
     messages = event_messages(spark, sf_dir)
     named = messages.withColumn("teid", F.when(F.col("id") % 9 != 1, F.col("teid")))
-    return output.pair_output(enriched_pairs(named, session_ttl=SESSION_TTL))
+    return enriched_pairs(named, session_ttl=SESSION_TTL)
+
+
+def pair_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return output.pair_output(_all_pairs(spark, sf_dir))
 
 
 def pair_output_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enriched = _sessions_of(spark, sf_dir, sessions.enrich_sessions)
-    return output.pair_output(enriched, format="json")
+    return output.pair_output(_all_pairs(spark, sf_dir), format="json")
+
+
+def unpaired_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages without a partner in publishing form."""
+    return output.unpaired_output(pairing.unpaired_messages(event_messages(spark, sf_dir)))
 
 
 def dedup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,7 +274,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offsets_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return offsets.earliest_offsets(_records(spark, sf_dir).where("event_type = 'error'"))
+    return offsets.earliest_offsets(_records(spark, sf_dir))
 
 
 def offsets_until(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,13 +282,16 @@ def offsets_until(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offsets_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Saved positions of even partitions lie before the earliest error, of odd ones after."""
+    """Saved positions of even partitions lie before the earliest record, of odd ones after.
+    Partition 3 is new, so nothing is saved for it; a saved one, 13, is gone."""
     records = _records(spark, sf_dir)
+    known = F.when(F.col("partition") == 3, 13).otherwise(F.col("partition")).cast("int")
     reached = F.when(F.col("partition") % 2 == 0, F.lit(-1)).otherwise(F.max("offset"))
-    saved = records.groupBy("topic", "partition").agg(reached.alias("offset"))
+    renamed = records.withColumn("partition", known)
+    saved = renamed.groupBy("topic", "partition").agg(reached.alias("offset"))
     texts = offsets.encode_offsets(saved)
     return offsets.start_offsets(
-        offsets.decode_offsets(texts), offsets_earliest(spark, sf_dir)
+        offsets.decode_offsets(texts), offsets.earliest_offsets(records)
     )
 
 
@@ -329,8 +341,9 @@ REPORTS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_profile": session_profile,
     "session_deletes": session_deletes,
     "pair_output": pair_output,
-    "pair_output_all": pair_output_all,
+    "pair_output_all": pair_output,
     "pair_output_json": pair_output_json,
+    "unpaired_output": unpaired_output,
     "dedup_keys": dedup_keys,
     "kv_lines_parse": kv_lines_parse,
     "offsets_earliest": offsets_earliest,

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sigweave.functions.text import message_text
-from sigweave.operators.output import drop_sent, drop_sent_stream, pair_output
-from sigweave.operators.pairing import pair_messages
+from sigweave.operators.output import drop_sent, drop_sent_stream, pair_output, unpaired_output
+from sigweave.operators.pairing import pair_messages, unpaired_messages
+from sigweave.operators.validation import blank_to_null, with_time
 from sigweave.plans.publish import records_of_lines
 from sigweave.schema import FIELDS
 from sigweave.sources.kv_lines import parse_lines
@@ -91,6 +92,22 @@ def test_text_is_protobuf_text(spark):
         assert row["text"] == expected
 
 
+def test_control_characters_have_short_escapes(spark):
+    """The Java form: \\a \\b \\v \\f, where the Python form writes octal numbers."""
+    m = messages(spark, [{"at": 0, "imsi": "a\a\b\v\f\n"}, {"at": 1, "imsi": "ü\a\v\x01"}])
+    texts = [r[0] for r in m.orderBy("id").select(message_text(F.struct(*m.columns))).collect()]
+    assert 'imsi: "a\\a\\b\\v\\f\\n"\n' in texts[0]
+    assert 'imsi: "\\303\\274\\a\\v\\001"\n' in texts[1]
+
+
+def test_unpaired_output(spark):
+    m = messages(spark, [{"at": 0, "seq": 3}, {"at": 5, "seq": 4}])
+    broken = m.withColumn("dest_ip", F.when(F.col("id") == 0, F.col("dest_ip")))
+    rows = unpaired_output(unpaired_messages(with_time(blank_to_null(broken)))).collect()
+    assert sorted(r["key"] is None for r in rows) == [False, True]
+    assert all("sequence_number: " in r["value"] for r in rows)
+
+
 def test_output(spark):
     rows = [{"at": 0, "seq": 3}, {"at": 1, "seq": 3, "q": False, "teid": "T"}]
     pairs = pair_messages(messages(spark, rows))
