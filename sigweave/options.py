@@ -23,5 +23,14 @@ class JobOptions:
     delay: float = 10.0
     trigger: float | None = 1.0
     carry_all: bool = False
+    max_ahead: float = 86_400.0
     output_format: str = "rows"
+    unpaired_format: str = "rows"
+    source: str = "messages"
+    location: str = ""
+    servers: str = ""
+    pair_topic: str | None = None
+    unpaired_topic: str | None = None
+    ledger: str | None = None
+    max_per_trigger: int | None = None
     skew: Skew = field(default_factory=Skew)

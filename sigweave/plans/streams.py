@@ -26,14 +26,14 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def write_parts(messages: DataFrame, folder: str, parts: range, of: int) -> None:
-    """Time-ordered parts of the messages, one folder each."""
+    """Time-ordered parts of the messages, one folder each, in one pass."""
     span = messages.agg(
         F.min(F.unix_micros("ts")).alias("low"), F.max(F.unix_micros("ts")).alias("high")
     ).first()
     width = (span["high"] - span["low"]) // of + 1
-    part = F.floor((F.unix_micros("ts") - span["low"]) / width)
-    for i in parts:
-        messages.where(part == i).write.parquet(f"{folder}/part{i}")
+    part = F.floor((F.unix_micros("ts") - span["low"]) / width).cast("int")
+    wanted = messages.withColumn("part", part).where(F.col("part").isin(list(parts)))
+    wanted.write.mode("append").partitionBy("part").parquet(folder)
 
 
 def _job(folder: str) -> SessionJob:
@@ -104,10 +104,18 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_pairs_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs by the keyed stateful operator, restarted half way. A copy of the last message,
     a day ahead and under another key, lets the watermark pass all others."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
     spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     )
+    try:
+        return _pairs_keyed(spark, sf_dir)
+    finally:
+        spark.conf.set(name, before)
+
+
+def _pairs_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark)
     messages = event_messages(spark, sf_dir)
     for done, stop in ((0, 2), (2, _PARTS)):
@@ -117,7 +125,7 @@ def stream_pairs_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
             last = messages.where(F.col("ts") == newest).withColumns(
                 {"ts": F.col("ts") + F.expr("INTERVAL 1 DAY"), "sequence_number": F.lit(-1)}
             )
-            last.write.parquet(f"{folder}/in/end")
+            last.write.parquet(f"{folder}/in/part=end")
         stream = spark.readStream.schema(MESSAGE).parquet(f"{folder}/in/*")
         query = (
             processor.stream_pairs(stream)

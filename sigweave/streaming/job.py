@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sigweave.functions.keys import pair_key
-from sigweave.operators.output import pair_output
+from sigweave.functions.times import seconds
+from sigweave.operators.output import pair_output, unpaired_output
 from sigweave.operators.pairing import hot_pair_keys, pair_columns, settle_messages
 from sigweave.operators.sessions import (
     continue_sessions,
@@ -108,7 +109,8 @@ class SessionJob:
 
     def drain(self, spark: SparkSession, after_step: int) -> None:
         """Settles everything still open, as the step after the given one. For inputs that
-        have an end, once the query has stopped."""
+        have an end, once the query has stopped: a later start on the same checkpoint would call
+        every message late."""
         self._run(spark.createDataFrame([], MESSAGE), after_step + 1, _END_OF_TIME)
 
     def _state(self, step: int, name: str) -> str:
@@ -141,8 +143,12 @@ class SessionJob:
         newest, settled = (clock["newest"], clock["settled"]) if clock else (None, None)
 
         late = F.unix_micros("ts") < F.lit(settled)
+        # One wrong date must not move the clock, or all that follows would be late.
+        ahead = F.col("ts") > F.current_timestamp() + seconds(o.max_ahead)
         judged = with_reason(batch)
-        judged = judged.withColumn("reason", F.coalesce("reason", F.when(late, "late")))
+        judged = judged.withColumn(
+            "reason", F.coalesce("reason", F.when(late, "late"), F.when(ahead, "ahead"))
+        )
         usable = judged.where("reason IS NULL").drop("reason")
         seen = usable.agg(
             F.count(F.lit(1)).alias("rows"), F.max(F.unix_micros("ts")).alias("newest")
@@ -173,7 +179,10 @@ class SessionJob:
 
     def _write_unpaired(self, steps: DataFrame, step: int) -> None:
         unpaired = steps.where("kind NOT IN ('pair', 'open')")
-        self.unpaired_sink(unpaired.select("first.*", F.col("kind").alias("reason")), step)
+        unpaired = unpaired.select("first.*", F.col("kind").alias("reason"))
+        if self.options.unpaired_format == "text":
+            unpaired = unpaired_output(unpaired)
+        self.unpaired_sink(unpaired, step)
 
     def _write_pairs(self, steps: DataFrame, step: int, until: Column | None) -> None:
         """Enriches the pairs of the step, going on from the open sessions, and writes both."""

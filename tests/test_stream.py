@@ -1,3 +1,4 @@
+import dataclasses
 import random
 
 import pytest
@@ -9,8 +10,10 @@ from sigweave.operators.sessions import enrich_sessions
 from sigweave.operators.skew import Skew
 from sigweave.options import JobOptions
 from sigweave.schema import MESSAGE
+from sigweave.sources import kafka
 from sigweave.sources.kafka import ledger_sink
 from sigweave.sources.tap import tap
+from sigweave.streaming import launch
 from sigweave.streaming.job import SessionJob
 from tests.sequences import messages, random_messages
 
@@ -155,3 +158,45 @@ def test_stateful_operator_equals_batch(spark, tmp_path):
     expected = unpaired_messages(whole).select("id", "imsi").collect()
     key = lambda r: r[0]
     assert sorted(map(tuple, alone), key=key) == sorted(map(tuple, expected), key=key)
+
+
+def test_a_date_far_ahead_does_not_move_the_clock(spark, tmp_path):
+    rows = [{"id": 0, "at": 0}, {"id": 1, "at": 1, "q": False}, {"id": 9, "at": 40 * 365 * 86400.0}]
+    messages(spark, rows[:1] + rows[2:]).write.parquet(f"{tmp_path}/in/part0")
+    messages(spark, rows[1:2]).write.parquet(f"{tmp_path}/in/part1")
+    made = job(tmp_path)
+    made.drain(spark, run(spark, made, tmp_path))
+    alone = spark.read.parquet(f"{tmp_path}/unpaired").select("id", "reason").collect()
+    assert [tuple(r) for r in alone] == [(9, "ahead")]
+    pairs = spark.read.parquet(f"{tmp_path}/pairs").select("first.id", "second.id").collect()
+    assert [tuple(r) for r in pairs] == [(0, 1)]
+
+
+def test_whole_job_from_options(spark, tmp_path, monkeypatch):
+    """Lines in, key and value out to stand-ins for topics, positions in a ledger."""
+    line = "source-ip=1.1.1.1,dest-ip=2.2.2.2,sequence-number=%d,message-type=%s,teid=T"
+    texts = [line % (5, "A Request"), line % (5, "A Response"), line % (6, "A Request"), "junk"]
+    spark.createDataFrame([(t,) for t in texts], "value string").write.text(f"{tmp_path}/in")
+    sent = []
+
+    def stand_in(servers, topic):
+        def write(output, step):
+            sent.extend((topic, r["key"], r["value"]) for r in output.select("key", "value").collect())
+
+        return write
+
+    monkeypatch.setattr(kafka, "pair_sink", stand_in)
+    options = JobOptions(
+        checkpoint=f"{tmp_path}/state", pair_out="", unpaired_out="", trigger=None, source="lines",
+        location=f"{tmp_path}/in", servers="h:1", pair_topic="pairs", unpaired_topic="alone",
+        output_format="json", unpaired_format="text",
+    )
+    query = launch.start_job(spark, options)
+    query.awaitTermination()
+    launch.make_job(options).drain(spark, query.lastProgress["batchId"])
+    assert sorted((t, "5" in v) for t, _, v in sent if t == "pairs") == [("pairs", True)]
+    assert sum(t == "alone" for t, _, _ in sent) == 2
+    with pytest.raises(ValueError, match="key and value"):
+        launch.make_job(dataclasses.replace(options, output_format="rows"))
+    with pytest.raises(ValueError, match="unknown source"):
+        launch.stream_messages(spark, dataclasses.replace(options, source="pigeon"))
