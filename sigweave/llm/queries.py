@@ -28,14 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: Captures and list entries made of `pages`, in words that Spark and DuckDB both know. A page is fetched on a
 #: day that its id tells; every host, and the domain and a path of it, is put on lists and taken off again.
 CAPTURES = """
-SELECT page_id, url, date_add(DATE '2024-01-01', CAST(page_id * 37 % 366 AS INT)) AS fetched FROM pages
+SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INT) AS fetched FROM pages
 """
 ENTRIES = """
-SELECT list, kind, pattern, date_add(DATE '2023-12-01', CAST((m * 13 + step * (41 + m % 50)) % 420 AS INT)) AS day,
+SELECT list, kind, pattern, DATE '2023-12-01' + CAST((m * 13 + step * (41 + m % 50)) % 420 AS INT) AS day,
        CASE WHEN (step + m) % 2 = 0 THEN 'add' ELSE 'remove' END AS action, step AS seq
 FROM (SELECT *, explode(sequence(0, 3)) AS step FROM (
     SELECT 'spam' AS list, 'host' AS kind, host AS pattern, m FROM hosts WHERE m % 3 <> 0
-    UNION ALL SELECT 'adult', 'domain', regexp_replace(host, '^(www|blog|m)\\.', ''), m FROM hosts WHERE m % 4 = 1
+    UNION ALL SELECT 'adult', 'domain', regexp_replace(host, '^(www|blog|m)[.]', ''), m FROM hosts WHERE m % 4 = 1
     UNION ALL SELECT 'paths', 'prefix', concat(host, '/en'), m FROM hosts WHERE m % 5 < 2
     UNION ALL SELECT 'trusted', 'domain', host, m FROM hosts WHERE m % 7 = 0
 ) q) p
@@ -106,4 +106,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_outliers,
     )
 }
-ORACLES: dict[str, str] = {}
+
+#: The as-of join replayed per capture and pattern: the last entry before the fetch day tells.
+ORACLES: dict[str, str] = {
+    "op1_url_lists": f"""
+WITH hosts AS ({HOSTS}), captures AS ({CAPTURES}),
+entries AS ({ENTRIES.replace("explode(sequence(0, 3))", "unnest(range(0, 4))")}),
+states AS (
+    SELECT list, kind, pattern, day,
+           arg_max(action, seq * 2 + CASE WHEN action = 'remove' THEN 1 ELSE 0 END) = 'add' AS listed
+    FROM entries GROUP BY list, kind, pattern, day
+),
+parts AS (
+    SELECT page_id, fetched, regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host,
+           [x FOR x IN string_split(regexp_extract(url, '^[a-z]+://[^/?#]*(/[^?#]*)', 1), '/') IF x <> ''] AS steps
+    FROM captures
+),
+asked AS (
+    SELECT page_id, fetched, 'host' AS kind, host AS pattern FROM parts
+    UNION ALL SELECT page_id, fetched, 'domain', array_to_string(string_split(host, '.')[i:], '.')
+    FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM parts) d
+    UNION ALL SELECT page_id, fetched, 'prefix', host || '/' || array_to_string(steps[1:i], '/')
+    FROM (SELECT *, unnest(range(1, len(steps) + 1)) AS i FROM parts) p
+),
+active AS (
+    SELECT page_id, list, s.kind, s.pattern FROM asked a
+    JOIN states s ON a.kind = s.kind AND a.pattern = s.pattern AND s.day <= a.fetched
+    GROUP BY page_id, list, s.kind, s.pattern HAVING arg_max(listed, s.day)
+),
+found AS (
+    SELECT page_id, string_agg(list || ':' || kind || ':' || pattern, ' ' ORDER BY list || ':' || kind || ':' || pattern)
+           AS matched, bool_or(list = 'trusted') AS allowed
+    FROM active GROUP BY page_id
+)
+SELECT p.page_id, host, fetched AS fetch_day, COALESCE(matched, '') AS matched,
+       matched IS NOT NULL AND NOT COALESCE(allowed, FALSE) AS blocked
+FROM parts p LEFT JOIN found f ON p.page_id = f.page_id
+"""
+}

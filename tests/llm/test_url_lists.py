@@ -1,7 +1,8 @@
 import datetime as dt
 
-from sigweave.llm.queries import CAPTURES, ENTRIES, HOSTS, QUERIES
+from sigweave.llm.queries import CAPTURES, ENTRIES, HOSTS, ORACLES, QUERIES
 from sigweave.llm.url_lists import intervals, judged
+from tests.oracle import compare, duck
 
 D = dt.date
 
@@ -90,6 +91,11 @@ def test_query_like_replaying_the_history(spark, sf_dir):
     assert 0.05 < sum(r[4] for r in want) / len(want) < 0.95
 
 
+def test_query_like_its_sql(spark, sf_dir):
+    left, right = compare(spark, duck(sf_dir), QUERIES["op1_url_lists"], ORACLES["op1_url_lists"], sf_dir)
+    assert left == right
+
+
 def test_native_plan(spark, sf_dir):
     plan = QUERIES["op1_url_lists"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
