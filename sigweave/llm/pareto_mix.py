@@ -98,13 +98,17 @@ def _copies(rows: DataFrame, weights, share, cap, seed, weight) -> DataFrame:
         .withColumn("_mix_rank", F.when((part > 0) & (size > 0), rank))
         .withColumn("_mix_bin", F.least(F.lit(_BINS - 1), F.floor(F.col("_mix_rank") * _BINS)).cast("int"))
     )
-    upto = W.partitionBy("_mix_src").orderBy("_mix_bin").rowsBetween(W.unboundedPreceding, 0)
+    # Running sums over groups of 256 bins, then inside a group: no task has all bins of a source.
     bins = (
         scored.where("_mix_bin IS NOT NULL")
-        .groupBy("_mix_src", "_mix_bin")
+        .groupBy("_mix_src", F.shiftright("_mix_bin", 8).alias("part"), "_mix_bin")
         .agg(F.sum("_mix_size").alias("filled"), F.first("_mix_left").alias("left"))
-        .withColumn("upto", F.sum("filled").over(upto))
     )
+    earlier = W.partitionBy("_mix_src").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    parts = bins.groupBy("_mix_src", "part").agg(F.sum("filled").alias("sum"))
+    parts = parts.select("_mix_src", "part", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("before"))
+    upto = W.partitionBy("_mix_src", "part").orderBy("_mix_bin").rowsBetween(W.unboundedPreceding, 0)
+    bins = bins.join(parts, ["_mix_src", "part"]).withColumn("upto", F.col("before") + F.sum("filled").over(upto))
     over = bins.where("upto > left").withColumn("room", F.expr("left - upto + filled"))
     cut = over.groupBy("_mix_src").agg(F.min(F.struct("_mix_bin", "room")).alias("cut"))
     cut = stored(
