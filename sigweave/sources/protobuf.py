@@ -1,14 +1,14 @@
 """Messages in protobuf form.
 
-With the Spark protobuf module on the class path `decode_native` stays in the JVM. Without it
-`decode` and `encode` do the same in Arrow batches with the Python package `protobuf`; only the
-binary value crosses over, other columns do not.
+With the Spark protobuf module on the class path `decode` and `encode` stay in the JVM. Without it
+they do the same in Arrow batches with the Python package `protobuf`; only the binary value
+crosses over, other columns do not.
 """
 
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +21,9 @@ _DECODED = T.StructType(
 )
 
 
-def _file_descriptor():
-    """Fields are numbered from 1 in schema order, in proto2 syntax."""
+def _file_descriptor(strict: bool = True):
+    """Fields are numbered from 1 in schema order, in proto2 syntax. Not `strict`: all
+    fields are optional, so that a message that lacks one can be read, and judged afterwards."""
     from google.protobuf import descriptor_pb2
 
     field_type = descriptor_pb2.FieldDescriptorProto
@@ -32,16 +33,28 @@ def _file_descriptor():
         message.field.add(
             name=name,
             number=number,
-            label=field_type.LABEL_REQUIRED if name in REQUIRED else field_type.LABEL_OPTIONAL,
+            label=field_type.LABEL_REQUIRED
+            if strict and name in REQUIRED
+            else field_type.LABEL_OPTIONAL,
             type=field_type.TYPE_INT32 if name == "sequence_number" else field_type.TYPE_STRING,
         )
     return file
 
 
-def descriptor_set() -> bytes:
+def descriptor_set(strict: bool = True) -> bytes:
     from google.protobuf import descriptor_pb2
 
-    return descriptor_pb2.FileDescriptorSet(file=[_file_descriptor()]).SerializeToString()
+    return descriptor_pb2.FileDescriptorSet(file=[_file_descriptor(strict)]).SerializeToString()
+
+
+def has_native() -> bool:
+    """Whether the active session has Spark's protobuf module on its class path."""
+    spark = SparkSession.getActiveSession()
+    try:
+        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.protobuf.ProtobufDataToCatalyst")
+    except Exception:
+        return False
+    return True
 
 
 @lru_cache(maxsize=1)
@@ -84,7 +97,10 @@ def _encode(rows: pd.DataFrame) -> pd.Series:
 
 
 def decode(records: DataFrame, value: str = "value") -> DataFrame:
-    """Fields of the message in `value`, and `reason`, 'undecodable' for bytes that are none."""
+    """Fields of the message in `value`, and `reason`, 'undecodable' for bytes that are none.
+    Messages that lack a required field are read; validation tells them."""
+    if has_native():
+        return decode_native(records, value)
     decoded = records.withColumn("_message", _decode(F.col(value)))
     return decoded.select(
         *[c for c in records.columns if c != value],
@@ -97,7 +113,10 @@ def decode_native(records: DataFrame, value: str = "value") -> DataFrame:
     from pyspark.sql.protobuf.functions import from_protobuf
 
     message = from_protobuf(
-        value, MESSAGE_NAME, options={"mode": "PERMISSIVE"}, binaryDescriptorSet=descriptor_set()
+        value,
+        MESSAGE_NAME,
+        options={"mode": "PERMISSIVE"},
+        binaryDescriptorSet=descriptor_set(strict=False),
     )
     decoded = records.withColumn("_message", message)
     return decoded.select(
@@ -110,4 +129,9 @@ def decode_native(records: DataFrame, value: str = "value") -> DataFrame:
 def encode() -> Column:
     """The message fields of a row as bytes. Rows lacking a required field have no such form
     and must be filtered before."""
-    return _encode(F.struct(*FIELDS))
+    fields = F.struct(*FIELDS)
+    if has_native():
+        from pyspark.sql.protobuf.functions import to_protobuf
+
+        return to_protobuf(fields, MESSAGE_NAME, binaryDescriptorSet=descriptor_set())
+    return _encode(fields)

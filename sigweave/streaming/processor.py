@@ -1,7 +1,9 @@
 """Pairing as a keyed stateful operator: a streaming DataFrame in, a streaming DataFrame out.
 
 Needs the RocksDB state store provider. Messages are held until the watermark has passed them,
-so arrival order does not matter; those that come after it are dropped and counted by Spark.
+so arrival order does not matter; those that come after it are dropped and counted by Spark, which
+gives no operator the chance to see them. Unusable messages come out with their reason. All open
+messages of a key are in one task: use the job where a key may be hot.
 """
 
 from typing import Iterator
@@ -14,7 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sigweave.functions.keys import pair_key
 from sigweave.operators.pairing import pair_columns
-from sigweave.operators.validation import valid
+from sigweave.operators.validation import rejected, valid
 from sigweave.schema import FIELDS, MESSAGE, TTL_SECONDS
 
 _HELD = ["id", "us", *FIELDS]
@@ -42,9 +44,19 @@ class PairProcessor(StatefulProcessor):
         self.handle = handle
         self.held = handle.getListState("held", T.StructType(_held_schema()))
 
-    def _wake(self, us: int) -> None:
-        """Timers count milliseconds; the watermark must have passed the whole one."""
-        self.handle.registerTimer(-(-us // 1000))
+    def _wake(self, us: int, gone: int = -1) -> None:
+        """One timer per key, the earliest but for those up to `gone`, which have rung. Timers
+        count milliseconds; the watermark must have passed the whole one."""
+        wanted, later = -(-us // 1000), []
+        for timer in self.handle.listTimers():
+            if timer <= gone:
+                continue
+            if timer <= wanted:
+                return
+            later.append(timer)
+        for timer in later:
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(wanted)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator:
         for pdf in rows:
@@ -73,10 +85,11 @@ class PairProcessor(StatefulProcessor):
             out.append((key[0], "expired", *waiting, *none))
             waiting = None
         held = ahead if waiting is None else [waiting, *ahead]
-        if ahead:
-            self._wake(ahead[0][1])
+        due = [m[1] for m in ahead[:1]]
         if waiting is not None:
-            self._wake(waiting[1] + self.ttl_us)
+            due.append(waiting[1] + self.ttl_us)
+        if due:
+            self._wake(min(due), expiredTimerInfo.getExpiryTimeInMs())
         if held:
             self.held.put(held)
         else:
@@ -91,7 +104,8 @@ class PairProcessor(StatefulProcessor):
 def settled_messages(
     messages: DataFrame, delay: float = 10.0, ttl: float = TTL_SECONDS
 ) -> DataFrame:
-    """`pair_key`, `kind` ('pair' or 'expired'), `first` and `second` of a stream of messages."""
+    """`pair_key`, `kind` ('pair', 'expired' or the reason of an unusable message), `first` and
+    `second` of a stream of messages."""
     usable = valid(messages).withWatermark("ts", f"{delay} seconds")
     keyed = usable.withColumns({"pair_key": pair_key(), "us": F.unix_micros("ts")})
     found = keyed.groupBy("pair_key").transformWithStateInPandas(
@@ -104,7 +118,15 @@ def settled_messages(
         whole = F.struct(F.col(f"{side}_id").alias("id"), time, *fields)
         return F.when(F.col(f"{side}_id").isNotNull(), whole).alias(side)
 
-    return found.select("pair_key", "kind", message("first"), message("second"))
+    settled = found.select("pair_key", "kind", message("first"), message("second"))
+    own = F.struct(*[F.col(c) for c in MESSAGE.names])
+    unusable = rejected(messages).select(
+        F.lit(None).cast("string").alias("pair_key"),
+        F.col("reason").alias("kind"),
+        own.alias("first"),
+        F.lit(None).cast(settled.schema["second"].dataType).alias("second"),
+    )
+    return settled.unionByName(unusable)
 
 
 def stream_pairs(

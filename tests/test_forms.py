@@ -78,6 +78,20 @@ def test_protobuf_round_trip_and_bad_bytes(spark):
     }
 
 
+def test_jvm_form_comes_first(spark, monkeypatch):
+    from google.protobuf import descriptor_pb2
+
+    from sigweave.sources import protobuf as source
+
+    assert not source.has_native()
+    monkeypatch.setattr(source, "has_native", lambda: True)
+    monkeypatch.setattr(source, "decode_native", lambda records, value: (records, value))
+    assert source.decode("records", "v") == ("records", "v")
+    read = descriptor_pb2.FileDescriptorSet.FromString(source.descriptor_set(strict=False))
+    labels = {f.label for f in read.file[0].message_type[0].field}
+    assert labels == {descriptor_pb2.FieldDescriptorProto.LABEL_OPTIONAL}
+
+
 def test_text_is_protobuf_text(spark):
     from google.protobuf import text_format
 

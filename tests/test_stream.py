@@ -139,6 +139,8 @@ def test_stateful_operator_equals_batch(spark, tmp_path):
     write_parts(spark, rows, f"{tmp_path}/in", 3, delay=10.0)
     # A message far ahead lets the watermark pass all others.
     messages(spark, [{"at": 1e6, "id": -1, "seq": 99}]).write.parquet(f"{tmp_path}/in/part9")
+    broken = messages(spark, [{"at": 5, "id": -2, "seq": 98}])
+    broken.withColumn("dest_ip", F.lit(None).cast("string")).write.parquet(f"{tmp_path}/in/part1x")
     stream = spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", 1)
     query = (
         settled_messages(stream.parquet(f"{tmp_path}/in/*"), delay=10.0)
@@ -158,6 +160,8 @@ def test_stateful_operator_equals_batch(spark, tmp_path):
     expected = unpaired_messages(whole).select("id", "imsi").collect()
     key = lambda r: r[0]
     assert sorted(map(tuple, alone), key=key) == sorted(map(tuple, expected), key=key)
+    rest = got.where("kind NOT IN ('pair', 'expired')").select("first.id", "kind").collect()
+    assert [tuple(r) for r in rest] == [(-2, "missing_field")]
 
 
 def test_a_date_far_ahead_does_not_move_the_clock(spark, tmp_path):
