@@ -18,6 +18,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -82,14 +83,18 @@ def _statistics(text: str | None) -> tuple[int, ...]:
 
 
 def statistics(text: Column) -> Column:
-    """Struct of the statistics of a text; all zero for null or empty."""
+    """Struct of the statistics of a text; all zero for null or empty.
 
-    @F.pandas_udf(_STATS)
-    def of(texts: pd.Series) -> pd.DataFrame:
+    Named not deterministic only so that Spark makes it once, not again for each filter on it.
+    """
+
+    @F.arrow_udf(_STATS)
+    def of(texts: pa.Array) -> pa.Array:
         names = [x.split()[0] for x in _STATS.split(", ")]
-        return pd.DataFrame([_statistics(t) for t in texts], columns=names, dtype="int64")
+        rows = np.array([_statistics(t.as_py()) for t in texts], np.int64).reshape(-1, len(names))
+        return pa.StructArray.from_arrays([pa.array(c) for c in rows.T.copy()], names)
 
-    return of(text)
+    return of.asNondeterministic()(text)
 
 
 def vector(s: str) -> list[Column]:

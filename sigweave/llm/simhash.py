@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -48,13 +48,16 @@ def _fingerprint(text: str | None, width: int) -> int:
 
 
 def fingerprint(text: Column, width: int = 4) -> Column:
-    """SimHash of the lower-cased text's word shingles, as a signed long; no words (null): 0."""
+    """SimHash of the lower-cased text's word shingles, as a signed long; no words (null): 0.
 
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([_fingerprint(t, width) for t in texts], dtype="int64")
+    Named not deterministic only so that Spark makes it once, not again for each filter on it.
+    """
+
+    @F.arrow_udf("long")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array([_fingerprint(t.as_py(), width) for t in texts], pa.int64())
 
-    return of(text)
+    return of.asNondeterministic()(text)
 
 
 def _layout(m: int, radius: int) -> list[tuple[int, int, int]]:

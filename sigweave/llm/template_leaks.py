@@ -36,7 +36,7 @@ UNITS = (
     "days week weeks month months year years dollar dollars euro euros cent cents percent degree degrees kmh mph"
 ).split()
 
-_BLOCK = 4 << 20
+_BLOCK = 1 << 19
 _GROW = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20260101)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)

@@ -8,7 +8,7 @@ of documents that fit, and so every quantile.
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,10 +21,10 @@ _BLOCK = 10
 def encoded_length(text: Column, ranks: str = RANKS) -> Column:
     """Tokens of a text; 0 for null or empty."""
 
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("long")
+    def of(texts: pa.Array) -> pa.Array:
         encode = encoder(ranks).encode_to_numpy
-        return pd.Series([len(encode(t, disallowed_special=())) if t else 0 for t in texts], dtype="int64")
+        return pa.array([len(encode(t.as_py() or "", disallowed_special=())) for t in texts], pa.int64())
 
     return of(text)
 
