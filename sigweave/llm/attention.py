@@ -17,7 +17,7 @@ WIDTH = 16
 HIDDEN = 32
 #: Tokens a window holds, and how many of them are context only (but for a text's first window).
 SPAN = 32
-OVERLAP = 8
+OVERLAP = 4
 _STEP = SPAN - OVERLAP
 _MOST = np.float32(40)
 _LN10 = np.log(10.0)
@@ -215,8 +215,7 @@ def _encode(p: dict[str, np.ndarray], ids: np.ndarray, mask: np.ndarray) -> np.n
 
 
 def _log_sum(e: np.ndarray) -> np.ndarray:
-    """Log of the sum of exponentials of each row, overwriting `e`; entries are cut at a high value."""
-    np.minimum(e, _MOST, out=e)
+    """Log of the sum of exponentials of each row, overwriting `e`."""
     np.exp(e, out=e)
     return np.log(e @ np.ones(e.shape[1], np.float32))
 
@@ -233,28 +232,32 @@ def score(p: dict[str, np.ndarray], ids: np.ndarray, lengths: np.ndarray, end: i
         of = np.repeat(text[some], keep.sum(1))
         cls = (target // CLASS).astype(np.uint8)
         last = np.empty((len(target), WIDTH), np.float32)
-        found = np.empty(len(target), np.float64)
+        found = np.empty(len(target), np.float32)
         at = 0
         for j in range(i, min(i + batch * group, len(text)), batch):
-            o = _encode(p, inputs[j : j + batch], mask)[live[j : j + batch].ravel()]
-            to = at + len(o)
-            last[at:to] = o
+            rows = np.flatnonzero(live[j : j + batch])
+            to = at + len(rows)
+            o = np.take(_encode(p, inputs[j : j + batch], mask), rows, axis=0, out=last[at:to])
             e = o @ p["cls"]
             e += p["cls_b"]
-            own = e[np.arange(len(o)), cls[at:to]]
-            found[at:to] = np.minimum(own, _MOST) - _log_sum(e)
+            np.minimum(e, _MOST, out=e)
+            own = e.ravel()[np.arange(0, e.size, CLASSES) + cls[at:to]]
+            found[at:to] = own - _log_sum(e)
             at = to
         order = np.argsort(cls, kind="stable")
-        last, within = last[order], (target % CLASS)[order]
+        last, within = np.take(last, order, axis=0), (target % CLASS)[order]
+        sorted_found = np.empty(len(order), np.float32)
         ends = np.cumsum(np.bincount(cls, minlength=CLASSES))
         for c in range(CLASSES):
             a, b = ends[c - 1] if c else 0, ends[c]
-            for k in range(a, b, 8192):
-                rows = slice(k, min(k + 8192, b))
+            for k in range(a, b, 4096):
+                rows = slice(k, min(k + 4096, b))
                 e = last[rows] @ p["in"][c]
                 e += p["in_b"][c]
-                own = e[np.arange(len(e)), within[rows]]
-                found[order[rows]] += np.minimum(own, _MOST) - _log_sum(e)
+                np.minimum(e, _MOST, out=e)
+                own = e.ravel()[np.arange(0, e.size, CLASS) + within[rows]]
+                sorted_found[rows] = own - _log_sum(e)
+        found[order] += sorted_found
         out += np.bincount(of, found, len(lengths))
     return out / _LN10
 
@@ -266,7 +269,7 @@ def train(
     end: int,
     rate: float,
     steps: int,
-    batch: int = 128,
+    batch: int = 64,
     seed: int = 0,
 ) -> dict[str, np.ndarray]:
     """`steps` steps of Adam over the texts' windows, in random order and over again; the rate falls to a tenth."""

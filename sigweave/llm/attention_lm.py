@@ -5,7 +5,7 @@ tokenizer and ended with one id. Documents whose crc32(id) mod 7 is 2 are held o
 
 - Word counts of all of them make the base score. Frequent words (a bounded number) are
   broadcast; a text's other words are joined with their counts, once per text.
-- The attention model is trained in shards: every 64 MB of their texts, or part of that, make one, for
+- The attention model is trained in shards: every 128 MB of their texts, or part of that, make one, for
   which up to 8 MB of documents are drawn. Shards take the same number of steps from the same
   start, beside each other; then their parameters are averaged, in rounds. More data means more
   shards, not longer ones. Averages are taken in a tree, sixteen to one.
@@ -17,10 +17,13 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +36,13 @@ _END, _RARE, _FIRST = 0, 1, 2
 #: At most so many words are broadcast with their counts.
 FREQUENT = 1 << 17
 #: Bytes of training texts per shard, and of those drawn for it.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 128 << 20
 DRAWN_BYTES = 8 << 20
 #: Learning rate of each round, and steps of a shard in a round.
-RATES = (0.02, 0.01)
-STEPS = 600
+RATES = (0.03, 0.015)
+STEPS = 1000
 _FLUSH = 400_000
-_GROUP_TOKENS = 1 << 20
+_GROUP_BYTES = 1 << 20
 
 
 def held_out(doc_id: Column) -> Column:
@@ -182,66 +185,106 @@ def _learning(start, rate: float, steps: int, turn: int, ranks: str):
     return learn
 
 
-def _scored(model, words, totals: tuple[int, int], ranks: str):
+def _pieces(words: list[bytes], place: np.ndarray, ranks: str) -> tuple[np.ndarray, np.ndarray]:
+    """(vocabulary entries of the words in a row, how many each has)."""
+    if not words:
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    ids = _ids(words, ranks)
+    opens = np.flatnonzero(_opening(ranks)[ids])
+    if len(opens) == len(words) and opens[0] == 0:
+        return place[ids], np.diff(np.append(opens, len(ids)))
+    # Some word has a blank of its own, of another alphabet.
+    parts = [place[_ids([w], ranks)] for w in words]
+    return np.concatenate(parts), np.array([len(x) for x in parts])
+
+
+@lru_cache(maxsize=2)
+def _opening(ranks: str) -> np.ndarray:
+    """Which ids begin with a blank, and so with a word."""
+    enc = encoder(ranks)
+    return np.array([enc.decode_single_token_bytes(i)[:1] == b" " for i in range(enc.n_vocab)])
+
+
+@dataclass
+class _Known:
+    """Frequent words: their numbers, log probabilities, and vocabulary entries as ranges of `pool`."""
+
+    number: dict[bytes, int]
+    logs: np.ndarray
+    first: np.ndarray
+    size: np.ndarray
+    pool: np.ndarray
+
+
+def _known(counts: dict[bytes, int], totals: tuple[int, int], place: np.ndarray, ranks: str) -> _Known:
+    words = list(counts)
+    pool, size = _pieces(words, place, ranks)
+    logs = np.log10((np.fromiter(counts.values(), np.float64, len(words)) + 1) / (sum(totals) + 1))
+    # The last one is the end, whose share of the base score is added later.
+    pool, size = np.append(pool, np.int32(_END)), np.append(size, 1)
+    return _Known({w: i for i, w in enumerate(words)}, np.append(logs, 0.0), np.cumsum(size) - size, size, pool)
+
+
+def _scored(model, known, ranks: str):
     """For mapInArrow: model score, words, the base score of frequent words, and all other words of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vector, place = model.value
+        k: _Known = known.value
         p = attention.shaped(vector)
-        n, v = totals
-        logs = {w: float(np.log10((c + 1) / (n + v + 1))) for w, c in words.value.items()}
         rare = np.log10(max(1, encoder(ranks).n_vocab - int((place != _RARE).sum())))
+        get, end = k.number.get, len(k.number)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            size, known, base, score, other, times = [], [], [], [], [], []
-            group, held = [], 0
-
-            def flush() -> None:
-                ids, lengths = _coded(group, place, ranks)
-                which = np.repeat(np.arange(len(lengths)), lengths)
-                unseen = np.bincount(which[ids == _RARE], minlength=len(lengths))
-                score.extend((attention.score(p, ids, lengths, _END) - unseen * rare).tolist())
-
-            for text in texts:
-                seen = Counter(_words(text))
-                size.append(sum(seen.values()))
-                hit, total, left, counts = 0, 0.0, [], []
-                for w, k in seen.items():
-                    found = logs.get(w)
-                    if found is None:
-                        left.append(w)
-                        counts.append(k)
-                    else:
-                        hit += k
-                        total += k * found
-                known.append(hit)
-                base.append(total)
-                other.append(left)
-                times.append(counts)
-                group.append(text)
-                held += len(text or "")
-                if held > _GROUP_TOKENS:
-                    flush()
-                    group, held = [], 0
-            if group:
-                flush()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("held_out"),
-                    pa.array(size, pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(score, pa.float64()),
-                    pa.array(other, pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-                    pa.array(times, pa.list_(pa.int32())),
-                ],
-                ["doc_id", "held_out", "words", "known", "base", "score", "other", "times"],
-            )
+            for block in _blocks(batch):
+                words, size, number = [], [], []
+                for text in block.column("text").to_pylist():
+                    mine = _words(text)
+                    words += mine
+                    number += [get(w, -1) for w in mine]
+                    number.append(end)
+                    size.append(len(mine) + 1)
+                number, size = np.array(number), np.array(size)
+                text = np.repeat(np.arange(len(size)), size)
+                strange = np.flatnonzero(number < 0)
+                # A text's end is no word, so words before it are as many places further on.
+                other = [words[i] for i in (strange - text[strange]).tolist()]
+                pool, count = _pieces(other, place, ranks)
+                first, length = k.first[number], k.size[number]
+                first[strange] = len(k.pool) + np.cumsum(count) - count
+                length[strange] = count
+                total = np.cumsum(length)
+                ids = np.concatenate((k.pool, pool))[np.arange(total[-1]) + np.repeat(first - total + length, length)]
+                lengths = np.bincount(text, length).astype(np.int64)
+                unseen = np.bincount(np.repeat(np.arange(len(size)), lengths), ids == _RARE)
+                score = attention.score(p, ids, lengths, _END) - unseen * rare
+                ends = np.cumsum(np.bincount(text[strange], minlength=len(size)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        block.column("doc_id"),
+                        block.column("held_out"),
+                        pa.array(size - 1),
+                        pa.array(size - 1 - np.diff(ends, prepend=0)),
+                        pa.array(np.bincount(text, np.where(number < 0, 0.0, k.logs[number]))),
+                        pa.array(score),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.append(0, ends), pa.int32()), pa.array(other, pa.binary()).cast(pa.string())
+                        ),
+                    ],
+                    ["doc_id", "held_out", "words", "known", "base", "score", "other"],
+                )
 
     return run
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about `_GROUP_BYTES` of text."""
+    size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    cut = (np.flatnonzero(np.diff(np.cumsum(size) // _GROUP_BYTES)) + 1).tolist()
+    for a, b in zip([0, *cut], [*cut, batch.num_rows]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def scored(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -269,22 +312,21 @@ def scored(
     sample = teaching.select(F.col("doc_id").cast("string").alias("id"), "text")
     model = fit(sample, ranks, **training)
     context = docs.sparkSession.sparkContext
-    run = _scored(context.broadcast(model), context.broadcast(_frequent(counts, frequent)), (n, v), ranks)
+    known = _known(_frequent(counts, frequent), (n, v), model[1], ranks)
+    run = _scored(context.broadcast(model), context.broadcast(known), ranks)
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = rows.mapInArrow(
         run,
-        f"doc_id {kind}, held_out boolean, words long, known long, base double, score double, "
-        "other array<string>, times array<int>",
+        f"doc_id {kind}, held_out boolean, words long, known long, base double, score double, other array<string>",
     )
     # Written, so that the row number below stays what it is.
     out = stored(out.withColumn("row", F.monotonically_increasing_id()))
-    words = out.select("row", F.explode(F.arrays_zip("other", "times")).alias("w"))
-    words = words.select("row", F.col("w.other").alias("word"), F.col("w.times").alias("k"))
+    words = out.select("row", F.explode("other").alias("word"))
     rest = words.join(counts, "word", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("known_too"),
-        F.sum(F.col("k") * F.coalesce(F.log10((F.col("c") + 1) / F.lit(float(n + v + 1))), F.lit(unknown))).alias("base_too"),
+        F.count("c").alias("known_too"),
+        F.sum(F.coalesce(F.log10((F.col("c") + 1) / F.lit(float(n + v + 1))), F.lit(unknown))).alias("base_too"),
     )
-    return out.drop("other", "times").join(rest, "row", "left").select(
+    return out.drop("other").join(rest, "row", "left").select(
         "doc_id",
         "held_out",
         (F.col("words") + 1).alias("n_tokens"),
