@@ -20,8 +20,8 @@ def work_folder(spark: SparkSession) -> str:
     """A new folder below the shared one of the cluster, or below a local one in its absence."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        shared = tempfile.mkdtemp(prefix="sigweave-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        # Local mode only: a cluster names its shared folder.
+        return tempfile.mkdtemp(prefix="sigweave-")
     return f"{shared}/{uuid.uuid4().hex}"
 
 
