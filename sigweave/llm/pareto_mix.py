@@ -96,7 +96,13 @@ def _copies(rows: DataFrame, weights, share, cap, seed, weight) -> DataFrame:
     scored = (
         rows.join(classes, ["_mix_src", "_mix_weight"], "left")
         .withColumn("_mix_rank", F.when((part > 0) & (size > 0), rank))
-        .withColumn("_mix_bin", F.least(F.lit(_BINS - 1), F.floor(F.col("_mix_rank") * _BINS)).cast("int"))
+        # No rank, no bin; `least` by itself would skip the null.
+        .withColumn(
+            "_mix_bin",
+            F.when(
+                F.col("_mix_rank").isNotNull(), F.least(F.lit(_BINS - 1), F.floor(F.col("_mix_rank") * _BINS)).cast("int")
+            ),
+        )
     )
     # Running sums over groups of 256 bins, then inside a group: no task has all bins of a source.
     bins = (

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import pandas as pd
 
+from sigweave.llm import pareto_mix
 from sigweave.llm.pareto_mix import mix, mixed
 from sigweave.llm.queries import QUERIES
 
@@ -76,3 +77,15 @@ def test_inclusion_follows_odds(spark):
             total[r.size, r.source] += r.copies
     # Weights are the binary digits of the sizes: 2 and 6.
     assert 2.4 < total[40, "s"] / total[3, "s"] < 3.7
+
+
+def test_few_rows_are_sorted(spark):
+    """Only the rows of one bin per source take part in an order; full sources have none."""
+    rows = [(i, "w " * (5 + i % 40), f"s{i % 4}") for i in range(4000)] + [(i, "w w", "z") for i in range(9000, 9100)]
+    df = spark.createDataFrame(rows, "_mix_id long, text string, _mix_source string")
+    sized = df.selectExpr("_mix_id", "_mix_source", "cast(size(split(trim(text), ' ')) as long) AS _mix_size")
+    out = pareto_mix._copies(sized, (3, 1, 2), 1.5, 2, 0, None)
+    border = out.where("_mix_bin = _mix_cut").groupBy("_mix_source").count().collect()
+    assert all(r["count"] < 20 for r in border)
+    full = out.where("_mix_source = 'z'").select("_mix_bin", "_mix_copies").distinct().collect()
+    assert [tuple(r) for r in full] == [(None, 2)]
