@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,15 +66,15 @@ def bitmap(hashes: DataFrame) -> Broadcast[bytes]:
         F.shiftright(spot, _PAGE).cast("int").alias("page"), spot.bitwiseAND((1 << _PAGE) - 1).cast("int").alias("bit")
     ).distinct()
 
-    def page(rows: pd.DataFrame) -> pd.DataFrame:
+    def page(rows: pa.Table) -> pa.Table:
         bits = np.zeros(1 << _PAGE, bool)
         bits[rows["bit"].to_numpy()] = True
         packed = np.packbits(bits, bitorder="little").tobytes()
-        return pd.DataFrame({"page": rows["page"].iloc[:1], "bits": [packed]})
+        return pa.table({"page": rows["page"].slice(0, 1), "bits": pa.array([packed], pa.binary())})
 
     whole = bytearray(1 << (BITS - 3))
     size = 1 << (_PAGE - 3)
-    for row in spots.groupBy("page").applyInPandas(page, "page int, bits binary").collect():
+    for row in spots.groupBy("page").applyInArrow(page, "page int, bits binary").collect():
         whole[row.page * size : (row.page + 1) * size] = row.bits
     return hashes.sparkSession.sparkContext.broadcast(bytes(whole))
 
