@@ -153,5 +153,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     best = group.join(best, (F.col("root") == F.col("r")) & F.col("least").eqNullSafe(F.col("best")))
     best = best.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("best").alias("_llm_best"))
     kept = marked.join(best, fp).where(F.col(id_col).eqNullSafe(F.col("_llm_best")))
+    # Ids seldom repeat within a component; only rows of those that do are put in an order.
+    again = thin.withColumnRenamed(fp, "fp").join(group.select("fp", "root"), "fp").groupBy("root", "id").count().where("count > 1")
+    again = stored(again.select(F.col("root").alias("_llm_r"), F.col("id").alias("_llm_id")))
+    same = (F.col(root) == F.col("_llm_r")) & F.col(id_col).eqNullSafe(F.col("_llm_id"))
     one = W.partitionBy(root, id_col).orderBy(F.col(text_col).asc_nulls_last())
-    return kept.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).select(*docs.columns)
+    several = kept.join(again, same, "left_semi").withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1)
+    single = kept.join(again, same, "left_anti")
+    return single.select(*docs.columns).unionByName(several.select(*docs.columns))
