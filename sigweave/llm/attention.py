@@ -270,12 +270,18 @@ def train(
     rate: float,
     steps: int,
     batch: int = 64,
-    seed: int = 0,
+    turn: int = 0,
+    turns: int = 1,
 ) -> dict[str, np.ndarray]:
-    """`steps` steps of Adam over the texts' windows, in random order and over again; the rate falls to a tenth."""
+    """Adam over the texts' windows in random order; the rate falls to a tenth.
+
+    Of `turns` calls, each begins with a part of the windows that no other begins with. It takes `steps` steps
+    or, if they are more, as many as its part needs; steps left over go over all windows again.
+    """
     inputs, targets, live, text = windows(ids, lengths, end)
-    rng = np.random.default_rng(seed)
-    order = np.zeros(0, np.int64)
+    order = np.random.default_rng(0).permutation(len(text))[turn::turns]
+    steps = max(steps, -(-len(order) // batch))
+    rng = np.random.default_rng(turn)
     w = flat(p).astype(np.float32)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(steps):

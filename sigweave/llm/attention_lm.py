@@ -5,10 +5,11 @@ tokenizer and ended with one id. Documents whose crc32(id) mod 7 is 2 are held o
 
 - Word counts of all of them make the base score. Frequent words (a bounded number) are
   broadcast; a text's other words are joined with their counts, once per text.
-- The attention model is trained in shards: every 128 MB of their texts, or part of that, make one, for
-  which up to 8 MB of documents are drawn. Shards take the same number of steps from the same
-  start, beside each other; then their parameters are averaged, in rounds. More data means more
-  shards, not longer ones. Averages are taken in a tree, sixteen to one.
+- Their sums over the words' subwords are the subword counts, which choose the vocabulary.
+- The attention model is trained in shards: every 12 MB of their texts, or part of that, make one.
+  Each window of a shard is taken in one of the rounds; small shards go over theirs again. Shards start
+  from the same parameters, beside each other, which are averaged after each round, weighted by
+  tokens. More data means more shards, not longer ones. Averages are taken in a tree, sixteen to one.
 
 Scoring runs windows over every text that overlap, so each token has context and is scored once.
 """
@@ -35,10 +36,9 @@ from sigweave.llm.tokens import RANKS, encoder
 _END, _RARE, _FIRST = 0, 1, 2
 #: At most so many words are broadcast with their counts.
 FREQUENT = 1 << 17
-#: Bytes of training texts per shard, and of those drawn for it.
-SHARD_BYTES = 128 << 20
-DRAWN_BYTES = 8 << 20
-#: Learning rate of each round, and steps of a shard in a round.
+#: Bytes of training texts per shard.
+SHARD_BYTES = 12 << 20
+#: Learning rate of each round, and the least steps of a shard in a round.
 RATES = (0.03, 0.015)
 STEPS = 1000
 _FLUSH = 400_000
@@ -95,26 +95,35 @@ def _frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
     return {r.word.encode(): r.c for r in counts.where(F.col("c") >= least).collect()}
 
 
-def _subword_counts(sample: DataFrame, ranks: str) -> np.ndarray:
+def _subword_counts(counts: DataFrame, ranks: str) -> np.ndarray:
+    """How often each id occurs in all texts that have these word counts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(encoder(ranks).n_vocab, np.int64)
+        same = np.arange(len(total))
         for batch in batches:
-            for text in batch.column("text"):
-                total += np.bincount(_ids(_words(text.as_py()), ranks), minlength=len(total))
+            ids, size = _pieces(batch.column("word").cast(pa.binary()).to_pylist(), same, ranks)
+            np.add.at(total, ids, np.repeat(batch.column("c").to_numpy(), size))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
 
-    size = encoder(ranks).n_vocab
-    out = np.zeros(size, np.int64)
-    for r in sample.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    out = np.zeros(encoder(ranks).n_vocab, np.int64)
+    for r in counts.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         out[r.id] = r.n
     return out
 
 
-def _coded(texts: list[str | None], place: np.ndarray, ranks: str) -> tuple[np.ndarray, np.ndarray]:
-    """(vocabulary entries of the texts in a row, lengths)."""
-    rows = [np.append(place[_ids(_words(t), ranks)], np.int32(_END)) for t in texts]
-    return np.concatenate(rows), np.array([len(r) for r in rows])
+def vocabulary(counts: DataFrame, ends: int, ranks: str = RANKS) -> tuple[np.ndarray, np.ndarray]:
+    """(vocabulary entry of each id, how often each entry occurs) in `ends` texts of these word counts."""
+    ids = _subword_counts(counts, ranks)
+    order = np.lexsort((np.arange(len(ids)), -ids))[: attention.VOCABULARY - _FIRST]
+    place = np.full(len(ids), _RARE, np.int32)
+    place[order] = np.arange(_FIRST, _FIRST + len(order))
+    occur = np.zeros(attention.VOCABULARY, np.int64)
+    occur[_END] = ends
+    occur[_FIRST : _FIRST + len(order)] = ids[order]
+    occur[_RARE] = ids.sum() - ids[order].sum()
+    return place, occur
 
 
 def _averaged(models: DataFrame) -> np.ndarray:
@@ -134,51 +143,60 @@ def _averaged(models: DataFrame) -> np.ndarray:
 
 def fit(
     texts: DataFrame,
+    occur: np.ndarray,
+    known,
+    place: np.ndarray,
     ranks: str = RANKS,
     rates: tuple[float, ...] = RATES,
     steps: int = STEPS,
     shard_bytes: int = SHARD_BYTES,
-    drawn_bytes: int = DRAWN_BYTES,
-) -> tuple[np.ndarray, np.ndarray]:
-    """(flat parameters, vocabulary entry of each id) from rows (id, text).
+) -> np.ndarray:
+    """Flat parameters from all rows (id, text); `occur` and `place` as `vocabulary` gives them.
 
     No texts: a model that knows nothing but is a distribution all the same.
     """
+    model = attention.flat(attention.initial(occur))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    share = min(1.0, shards * drawn_bytes / max(1, total))
-    draw = F.xxhash64("id", "text", F.lit(1)).bitwiseAND((1 << 30) - 1) < int(share * (1 << 30))
+    if not total:
+        return model
+    shards = -(-total // shard_bytes)
     shard = F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("long").alias("shard")
-    texts = stored(texts.where(draw).select("text", shard).repartition(int(shards), "shard"))
-    spark = texts.sparkSession
-    counts = _subword_counts(texts, ranks)
-    order = np.lexsort((np.arange(len(counts)), -counts))[: attention.VOCABULARY - _FIRST]
-    place = np.full(len(counts), _RARE, np.int32)
-    place[order] = np.arange(_FIRST, _FIRST + len(order))
-    size = texts.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
-    known = np.zeros(attention.VOCABULARY)
-    known[_END] = size[0]
-    known[_FIRST : _FIRST + len(order)] = counts[order]
-    known[_RARE] = counts.sum() - counts[order].sum()
-    model = attention.flat(attention.initial(known))
-    if not size[1]:
-        return model, place
+    context = texts.sparkSession.sparkContext
+    # Two bytes a token, encoded once for all rounds.
+    coded = stored(texts.select(shard, "text").mapInArrow(_coded(known, context.broadcast(place), ranks), "shard long, entries binary"))
     for turn, rate in enumerate(rates):
-        start = spark.sparkContext.broadcast((model, place))
-
-        models = texts.groupBy("shard").applyInPandas(_learning(start, rate, steps, turn, ranks), "shard long, weight double, sums binary")
+        learn = _learning(context.broadcast(model), rate, steps, turn, len(rates))
+        models = coded.groupBy("shard").applyInPandas(learn, "shard long, weight double, sums binary")
         model = _averaged(stored(models))
-    return model, place
+    return model
 
 
-def _learning(start, rate: float, steps: int, turn: int, ranks: str):
+def _coded(known, place, ranks: str):
+    """For mapInArrow: the vocabulary entries of each text, its end included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in _blocks(batch):
+                e = _encoded(block.column("text").to_pylist(), known.value, place.value, ranks)
+                ends = np.append(0, np.cumsum(e.lengths)) * 2
+                data = pa.py_buffer(e.ids.astype(np.uint16).tobytes())
+                entries = pa.Array.from_buffers(
+                    pa.binary(), block.num_rows, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), data]
+                )
+                yield pa.RecordBatch.from_arrays([block.column("shard"), entries], ["shard", "entries"])
+
+    return run
+
+
+def _learning(start, rate: float, steps: int, turn: int, turns: int):
     """For applyInPandas: the steps of a shard from the given parameters."""
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        given, place = start.value
         # Rows come in any order; sorted, a rerun learns the same.
-        ids, lengths = _coded(sorted(rows["text"].fillna("")), place, ranks)
-        p = attention.train(attention.shaped(given), ids, lengths, _END, rate, steps, seed=turn)
+        texts = sorted(rows["entries"])
+        ids = np.frombuffer(b"".join(texts), np.uint16).astype(np.int32)
+        lengths = np.array([len(t) // 2 for t in texts])
+        p = attention.train(attention.shaped(start.value), ids, lengths, _END, rate, steps, turn=turn, turns=turns)
         sums = attention.flat(p).astype(np.float64) * len(ids)
         return pd.DataFrame({"shard": rows["shard"].iloc[:1], "weight": [float(len(ids))], "sums": [sums.tobytes()]})
 
@@ -225,49 +243,65 @@ def _known(counts: dict[bytes, int], totals: tuple[int, int], place: np.ndarray,
     return _Known({w: i for i, w in enumerate(words)}, np.append(logs, 0.0), np.cumsum(size) - size, size, pool)
 
 
-def _scored(model, known, ranks: str):
+@dataclass
+class _Encoded:
+    """Texts in a row: numbers of their words (-1: not frequent), those words, words of each text with its end, ids, ids of each text."""
+
+    number: np.ndarray
+    text: np.ndarray
+    other: list[bytes]
+    size: np.ndarray
+    ids: np.ndarray
+    lengths: np.ndarray
+
+
+def _encoded(texts: list[str | None], k: _Known, place: np.ndarray, ranks: str) -> _Encoded:
+    words, size, number = [], [], []
+    get, end = k.number.get, len(k.number)
+    for text in texts:
+        mine = _words(text)
+        words += mine
+        number += [get(w, -1) for w in mine]
+        number.append(end)
+        size.append(len(mine) + 1)
+    number, size = np.array(number), np.array(size)
+    text = np.repeat(np.arange(len(size)), size)
+    strange = np.flatnonzero(number < 0)
+    # A text's end is no word, so words before it are as many places further on.
+    other = [words[i] for i in (strange - text[strange]).tolist()]
+    pool, count = _pieces(other, place, ranks)
+    first, length = k.first[number], k.size[number]
+    first[strange] = len(k.pool) + np.cumsum(count) - count
+    length[strange] = count
+    total = np.cumsum(length)
+    ids = np.concatenate((k.pool, pool))[np.arange(total[-1]) + np.repeat(first - total + length, length)]
+    return _Encoded(number, text, other, size, ids, np.bincount(text, length).astype(np.int64))
+
+
+def _scored(model, place, known, ranks: str):
     """For mapInArrow: model score, words, the base score of frequent words, and all other words of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vector, place = model.value
         k: _Known = known.value
-        p = attention.shaped(vector)
-        rare = np.log10(max(1, encoder(ranks).n_vocab - int((place != _RARE).sum())))
-        get, end = k.number.get, len(k.number)
+        p = attention.shaped(model.value)
+        rare = np.log10(max(1, encoder(ranks).n_vocab - int((place.value != _RARE).sum())))
         for batch in batches:
             for block in _blocks(batch):
-                words, size, number = [], [], []
-                for text in block.column("text").to_pylist():
-                    mine = _words(text)
-                    words += mine
-                    number += [get(w, -1) for w in mine]
-                    number.append(end)
-                    size.append(len(mine) + 1)
-                number, size = np.array(number), np.array(size)
-                text = np.repeat(np.arange(len(size)), size)
-                strange = np.flatnonzero(number < 0)
-                # A text's end is no word, so words before it are as many places further on.
-                other = [words[i] for i in (strange - text[strange]).tolist()]
-                pool, count = _pieces(other, place, ranks)
-                first, length = k.first[number], k.size[number]
-                first[strange] = len(k.pool) + np.cumsum(count) - count
-                length[strange] = count
-                total = np.cumsum(length)
-                ids = np.concatenate((k.pool, pool))[np.arange(total[-1]) + np.repeat(first - total + length, length)]
-                lengths = np.bincount(text, length).astype(np.int64)
-                unseen = np.bincount(np.repeat(np.arange(len(size)), lengths), ids == _RARE)
-                score = attention.score(p, ids, lengths, _END) - unseen * rare
-                ends = np.cumsum(np.bincount(text[strange], minlength=len(size)))
+                e = _encoded(block.column("text").to_pylist(), k, place.value, ranks)
+                size, strange = e.size, e.number < 0
+                unseen = np.bincount(np.repeat(np.arange(len(size)), e.lengths), e.ids == _RARE)
+                score = attention.score(p, e.ids, e.lengths, _END) - unseen * rare
+                ends = np.cumsum(np.bincount(e.text[strange], minlength=len(size)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         block.column("doc_id"),
                         block.column("held_out"),
                         pa.array(size - 1),
                         pa.array(size - 1 - np.diff(ends, prepend=0)),
-                        pa.array(np.bincount(text, np.where(number < 0, 0.0, k.logs[number]))),
+                        pa.array(np.bincount(e.text, np.where(strange, 0.0, k.logs[e.number]))),
                         pa.array(score),
                         pa.ListArray.from_arrays(
-                            pa.array(np.append(0, ends), pa.int32()), pa.array(other, pa.binary()).cast(pa.string())
+                            pa.array(np.append(0, ends), pa.int32()), pa.array(e.other, pa.binary()).cast(pa.string())
                         ),
                     ],
                     ["doc_id", "held_out", "words", "known", "base", "score", "other"],
@@ -309,11 +343,12 @@ def scored(
     n, v = (found[1] or 0) + ends, found[0] + (ends > 0)
     unknown = float(np.log10(1 / (n + v + 1)))
     end = float(np.log10((ends + 1) / (n + v + 1)))
-    sample = teaching.select(F.col("doc_id").cast("string").alias("id"), "text")
-    model = fit(sample, ranks, **training)
     context = docs.sparkSession.sparkContext
-    known = _known(_frequent(counts, frequent), (n, v), model[1], ranks)
-    run = _scored(context.broadcast(model), context.broadcast(known), ranks)
+    place, occur = vocabulary(counts, ends, ranks)
+    known = context.broadcast(_known(_frequent(counts, frequent), (n, v), place, ranks))
+    texts = teaching.select(F.col("doc_id").cast("string").alias("id"), "text")
+    model = fit(texts, occur, known, place, ranks, **training)
+    run = _scored(context.broadcast(model), context.broadcast(place), known, ranks)
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = rows.mapInArrow(
         run,

@@ -7,7 +7,8 @@ import pandas as pd
 import pytest
 
 from sigweave.llm import attention as A
-from sigweave.llm.attention_lm import scored
+from sigweave.llm import attention_lm
+from sigweave.llm.attention_lm import scored, vocabulary, word_counts
 from sigweave.llm.queries import QUERIES
 
 
@@ -98,3 +99,48 @@ def test_odd_rows(spark):
     held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
     none = scored(spark.createDataFrame([(i, "a b") for i in held], "doc_id long, text string")).collect()
     assert [(r.n_known, r.train_tokens, r.base_score) for r in none] == [(0, 0, 0.0)] * 2
+
+
+def test_every_window_and_subword_of_large_input_teaches(spark):
+    """Shards far smaller than the input leave nothing out."""
+    rows = [(f"d{i}", f"only{i} word{i % 7} and more of it " * (1 + i % 5)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    counts = word_counts(df.select("text")).cache()
+    place, occur = vocabulary(counts, len(rows))
+    words = [(t.lower()).split() for _, t in rows]
+    ids = np.concatenate([attention_lm._ids([w.encode() for w in ws], attention_lm.RANKS) for ws in words])
+    assert occur.sum() == len(ids) + len(rows)
+    want = Counter(place[ids].tolist())
+    assert all(occur[i] == c for i, c in want.items() if i > 1)
+    coded = fit_weights(spark, df, counts, place, occur)
+    assert len(coded) > 20 and sum(coded) == len(ids) + len(rows)
+
+
+def fit_weights(spark, df, counts, place, occur):
+    """The tokens that each of many shards learns from."""
+    seen = []
+    whole = attention_lm._averaged
+
+    def spy(models):
+        seen.append([r.weight for r in models.collect()])
+        return whole(models)
+
+    known = spark.sparkContext.broadcast(attention_lm._known({}, (1, 1), place, attention_lm.RANKS))
+    attention_lm._averaged = spy
+    try:
+        attention_lm.fit(df.withColumnRenamed("doc_id", "id"), occur, known, place, steps=1, shard_bytes=1000)
+    finally:
+        attention_lm._averaged = whole
+    assert seen[0] and sorted(seen[0]) == sorted(seen[1])
+    return seen[0]
+
+
+def test_rounds_take_every_window(monkeypatch):
+    lengths = np.array([4000, 30, 900])
+    ids = np.arange(lengths.sum()) % A.VOCABULARY
+    taken = []
+    monkeypatch.setattr(A, "gradients", lambda p, i, t, live: (taken.append(t[live]), {k: np.zeros(s, np.float32) for k, s in A.SHAPES.items()}))
+    for turn in range(2):
+        A.train(A.initial(np.ones(A.VOCABULARY)), ids, lengths, 0, 0.01, 1, batch=8, turn=turn, turns=2)
+    found = Counter(np.concatenate(taken).tolist())
+    assert all(found[i] >= n for i, n in Counter(ids.tolist()).items())
