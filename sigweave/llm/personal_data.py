@@ -6,8 +6,9 @@ give positions in code points, also where a text has many thousands of matches.
 
 The patterns are written so that Java's matcher is linear and needs no stack per character:
 possessive repeats, and a match may start only where a run of its characters starts or where
-the last match ended. Neither changes what is found, for a run that fails at its start fails
-at every later place.
+the last match ended. For base kinds neither changes what is found, for a run that fails at its
+start fails at every later place. An IBAN has the length of its country, so that a word or
+number behind it is not taken for a part of it.
 """
 
 from __future__ import annotations
@@ -17,6 +18,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Countries by the length of their IBANs, those that use them without being registered included.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_COUNTRY = "|".join("|".join(c.split()) for c in _IBAN_LENGTHS.values())
+#: Other codes take a run up to the next one that begins like an IBAN.
+_IBAN = "|".join(
+    [rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}+" for n, c in _IBAN_LENGTHS.items()]
+    + [rf"(?!{_IBAN_COUNTRY})[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]|\x20(?![A-Z]{{2}}[0-9]{{2}})[A-Z0-9]){{11,30}}+"]
+)
 _IP_PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 
@@ -56,7 +71,7 @@ KINDS = (
     ),
     Kind(
         "iban", "[A-Z]{2}[0-9]{2}",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])",
         0.8, "iban|bank|account|transfer", False,
     ),
     Kind(

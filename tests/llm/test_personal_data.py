@@ -88,6 +88,20 @@ def test_added_kinds(spark):
     assert [r[0] for r in ok.select(mod97(F.col("c"))).collect()] == [True, False]
 
 
+def test_iban_before_other_words_and_numbers(spark):
+    plain, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    texts = [
+        f"{plain} Please pay", f"{spaced} BIC COBADEFF", f"{plain} 2024", f"{spaced} {plain} GB82WEST12345698765432 A",
+        f"{plain}0", f"x{plain}", f"NO93 8601 1117 947 AND MT84MALT011000012345MTLCAST001S 7", f"AB12 {spaced}",
+        f"{spaced[:-1]}1 BIC", f"{plain} " * 3000,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in personal_data(df).collect()}
+    assert [got[i].n_iban for i in range(len(texts))] == [1, 1, 1, 3, 0, 0, 2, 1, 0, 3000]
+    spans = lambda i: [s for s in got[i].spans.split(",") if s.startswith("iban")]
+    assert spans(0) == ["iban:0:22"] and spans(1) == ["iban:0:27"] and spans(2) == ["iban:0:22"] and spans(7) == ["iban:5:32"]
+
+
 def test_masked(spark):
     df = spark.createDataFrame([(0, "a@b.cd é 10.1.2.3!", 5), (1, None, 6)], "doc_id long, text string, x int")
     got = sorted(masked(df).collect())
