@@ -5,7 +5,8 @@ Windows of eight template tokens of every document are looked up among those of
 by a hash join. Matches of one document and item on one alignment are put together: they must
 agree on what each placeholder stands for (the same value in the item is the same value in the
 document, and the reverse), and cover enough of the item. So a question whose numbers or names
-were exchanged is caught, and one that merely has the same shape is not.
+were exchanged is caught, and one that merely has the same shape is not. Windows of nearly nothing
+but placeholders, and items shorter than a window, are looked up by their own words.
 
 The documents' windows never leave their task unless a bitmap of the benchmark's hashes has their
 bit. The bitmap has a fixed size, whatever the benchmark's; the join decides.
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from sigweave.llm.shared import among, bitmap, stored
 
 WIDTH = 8
-#: A window needs as many tokens that are no placeholders.
-LITERALS = 5
+#: A window with fewer tokens that are no placeholders is compared word by word.
+LITERALS = 3
 LITERAL, NUMBER, NAME, UNIT = range(4)
 SIGNS = ("", "<number>", "<name>", "<unit>")
 #: Units of measure, recognised after a number.
@@ -126,22 +127,26 @@ def _values_of(words: list[str]) -> np.ndarray:
 _UNIT_VALUES = _values_of(UNITS)
 
 
-def windows(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """(first token, hash) of every window of one text that has enough literals."""
-    n = len(t.start) - WIDTH + 1
+def windows(t: Tokens, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first token, hash, whether of the words themselves) of every window of one text.
+
+    Windows of less than `WIDTH` tokens are always of words.
+    """
+    n = len(t.start) - width + 1
     if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool)
     sign = np.where(t.kind == LITERAL, t.value, _SIGN[t.kind])
-    h = np.zeros(n, np.uint64)
     plain = np.zeros(n, np.int64)
-    for k in range(WIDTH):
-        h = h * _GROW + sign[k : n + k]
+    for k in range(width):
         plain += t.kind[k : n + k] == LITERAL
+    exact = (plain < LITERALS) | (width < WIDTH)
+    h = np.where(exact, np.uint64(width), np.uint64(0))
+    for k in range(width):
+        h = h * _GROW + np.where(exact, t.value[k : n + k], sign[k : n + k])
     h ^= h >> np.uint64(32)
     h *= _GROW
-    ok = (plain >= LITERALS) & (t.text[:n] == t.text[WIDTH - 1 :])
-    at = np.flatnonzero(ok)
-    return at, h[at]
+    at = np.flatnonzero(t.text[:n] == t.text[width - 1 :])
+    return at, h[at], exact[at]
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -152,25 +157,36 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
-def _windows_of(keys: list[str], hashes=None):
-    """For mapInArrow: (keys, place, hash, template, slots, n_tokens) of each window, or of those in the bitmap."""
+def _windows_of(keys: list[str], hashes=None, short: tuple[int, ...] = ()):
+    """For mapInArrow: (keys, place, hash, template, slots, n_tokens) of each window, or of those in the bitmap.
+
+    With a bitmap, also of windows of the `short` widths; without one, a short text is a window.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in _blocks(batch):
                 t = tokens(block.column("text").cast(pa.binary()).to_pylist())
-                at, h = windows(t)
-                if hashes is not None and len(at):
-                    hit = among(hashes.value, h)
-                    at, h = at[hit], h[hit]
-                first = np.searchsorted(t.text, np.arange(block.num_rows))
                 count = np.bincount(t.text, minlength=block.num_rows)
+                found = []
+                for size in (WIDTH, *(range(1, WIDTH) if hashes is None else short)):
+                    at, h, exact = windows(t, size)
+                    if size < WIDTH and hashes is None:
+                        hit = count[t.text[at]] == size
+                    else:
+                        hit = slice(None) if hashes is None or not len(at) else among(hashes.value, h)
+                    found.append((at[hit], h[hit], exact[hit], np.full(len(at), size)[hit]))
+                at, h, exact, width = (np.concatenate(x) for x in zip(*found))
+                first = np.searchsorted(t.text, np.arange(block.num_rows))
                 template, slots = [], []
-                for i in at.tolist():
-                    span = range(i, i + WIDTH)
-                    kinds = t.kind[i : i + WIDTH].tolist()
-                    template.append(" ".join(SIGNS[k] or t.word(j) for j, k in zip(span, kinds)))
-                    slots.append([SIGNS[k] + t.word(j) for j, k in zip(span, kinds) if k])
+                for i, n, own in zip(at.tolist(), width.tolist(), exact.tolist()):
+                    span = range(i, i + n)
+                    kinds = t.kind[i : i + n].tolist()
+                    if own:
+                        template.append("=" + " ".join(map(t.word, span)))
+                    else:
+                        template.append(" ".join(SIGNS[k] or t.word(j) for j, k in zip(span, kinds)))
+                    slots.append([] if n < WIDTH else [SIGNS[k] + t.word(j) for j, k in zip(span, kinds) if k])
                 row = t.text[at]
                 taken = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
@@ -197,6 +213,7 @@ def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str,
     kind = items.schema["item_id"].dataType.simpleString()
     known = stored(items.mapInArrow(_windows_of(["item_id"]), f"item_id {kind}, {_OUT}"))
     hashes = bitmap(known.select("hash"))
+    short = tuple(r[0] for r in known.where(F.col("n_tokens") < WIDTH).select("n_tokens").distinct().collect())
     text = F.col(text_col)
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -206,7 +223,7 @@ def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str,
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
     seen = rows.mapInArrow(
-        _windows_of(["doc_id", "d1", "d2"], hashes), f"doc_id {kind}, d1 long, d2 long, {_OUT}"
+        _windows_of(["doc_id", "d1", "d2"], hashes, short), f"doc_id {kind}, d1 long, d2 long, {_OUT}"
     ).withColumnsRenamed({"place": "at", "slots": "values", "n_tokens": "doc_tokens"})
     same = seen.join(known, ["hash", "template"])
     pair = F.transform(F.arrays_zip("slots", "values"), lambda x: F.struct(x["slots"].alias("a"), x["values"].alias("b")))
@@ -216,7 +233,7 @@ def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str,
         F.first("n_tokens").alias("n_tokens"),
     )
     unlike = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side])))
-    spread = F.flatten(F.transform("places", lambda p: F.sequence(p, p + WIDTH - 1)))
+    spread = F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.least(F.lit(WIDTH), "n_tokens") - 1)))
     judged = lined.withColumns(
         {
             "consistent": (unlike("a") == F.size("pairs")) & (unlike("b") == F.size("pairs")),
@@ -240,8 +257,8 @@ def leaks(
     """One row per leaked item of a document: doc_id, item_id, windows, covered, item_tokens, same_values.
 
     An item is leaked if one alignment covers `min_covered` of its tokens, or `min_share` of
-    all. Items with fewer than eight tokens, and windows with fewer than five literals, match
-    nothing. Null and empty texts have no tokens. Rows of equal id and text give one row, equal ids of
+    all. Windows with fewer than three literals count where their words are the item's own, and
+    items with fewer than eight tokens are found where all their words are. Null and empty texts have no tokens. Rows of equal id and text give one row, equal ids of
     unlike texts one row each. `same_values` is false for an item whose numbers, names or units
     were exchanged. An empty table on either side gives no rows.
     """

@@ -28,6 +28,23 @@ def test_exact_reparameterised_and_inconsistent(spark):
     assert got[0].same_values and not got[1].same_values
 
 
+DENSE = "Alice drove 40 miles in 2 hours and Bob drove 60 miles in 3 hours. Who was faster?"
+NUMBERS = "Sort 4 9 12 7 33 5 8 21 6 from low to high"
+
+
+def test_dense_and_short_items(spark):
+    other = DENSE.replace("40", "45").replace("60", "70").replace("Bob", "Carl")
+    texts = [
+        FILL + DENSE + FILL, FILL + other, FILL + NUMBERS, FILL + NUMBERS.replace("9 12 7 33", "3 2 1 0"),
+        FILL + "What is 12 + 30? " + FILL, FILL + "What is 12 + 31? " + FILL,
+    ]
+    items = bench(spark, [DENSE, NUMBERS, "What is 12 + 30?"])
+    got = {(r.doc_id, r.item_id): r for r in leaks(frame(spark, texts), items).collect()}
+    assert set(got) == {(0, 0), (1, 0), (2, 1), (4, 2)}
+    assert got[0, 0].covered == 18 and got[0, 0].same_values and not got[1, 0].same_values
+    assert got[2, 1].covered == 14 and (got[4, 2].covered, got[4, 2].item_tokens) == (4, 4)
+
+
 def test_punctuation_case_and_accents(spark):
     item = "Élève numéro deux va à l'école avec son frère et sa sœur chaque matin de bonne heure"
     text = FILL + item.replace("Élève", "élève").replace(" ", ",\n ") + " fin"
