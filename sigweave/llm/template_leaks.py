@@ -4,7 +4,8 @@ A text becomes a row of tokens; numbers, names and units of measure become typed
 Windows of eight template tokens of every document are looked up among those of the benchmark,
 by a hash join. Matches of one document and item on one alignment are put together: they must
 agree on what each placeholder stands for (the same value in the item is the same value in the
-document, and the reverse), and cover enough of the item. So a question whose numbers or names
+document; two values may become one), and cover enough of the item. Windows that repeat the item's own
+values need not agree with others where they alone cover the share asked for. So a question whose numbers or names
 were exchanged is caught, and one that merely has the same shape is not. Windows of nearly nothing
 but placeholders, and items shorter than a window, are looked up by their own words.
 
@@ -229,19 +230,21 @@ def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str,
     pair = F.transform(F.arrays_zip("slots", "values"), lambda x: F.struct(x["slots"].alias("a"), x["values"].alias("b")))
     lined = same.groupBy("doc_id", "d1", "d2", "item_id", (F.col("at") - F.col("place")).alias("shift")).agg(
         F.collect_set("place").alias("places"),
+        F.collect_set(F.when(F.col("slots") == F.col("values"), F.col("place"))).alias("own"),
         F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs"),
         F.first("n_tokens").alias("n_tokens"),
     )
-    unlike = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side])))
-    spread = F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.least(F.lit(WIDTH), "n_tokens") - 1)))
+    size = F.least(F.lit(WIDTH), "n_tokens")
+    spread = lambda places: F.size(F.array_distinct(F.flatten(F.transform(places, lambda p: F.sequence(p, p + size - 1)))))
     judged = lined.withColumns(
         {
-            "consistent": (unlike("a") == F.size("pairs")) & (unlike("b") == F.size("pairs")),
-            "covered": F.size(F.array_distinct(spread)),
+            "consistent": F.size(F.array_distinct(F.transform("pairs", lambda p: p["a"]))) == F.size("pairs"),
+            "covered": spread("places"),
+            "own_covered": spread("own"),
             "same_values": F.forall("pairs", lambda p: p["a"] == p["b"]),
         }
     )
-    return judged.where("consistent")
+    return judged
 
 
 def leaks(
@@ -257,15 +260,19 @@ def leaks(
     """One row per leaked item of a document: doc_id, item_id, windows, covered, item_tokens, same_values.
 
     An item is leaked if one alignment covers `min_covered` of its tokens, or `min_share` of
-    all. Windows with fewer than three literals count where their words are the item's own, and
+    all, and its placeholders agree; or if windows with the item's own values cover `min_share`. Windows with fewer than three literals count where their words are the item's own, and
     items with fewer than eight tokens are found where all their words are. Null and empty texts have no tokens. Rows of equal id and text give one row, equal ids of
     unlike texts one row each. `same_values` is false for an item whose numbers, names or units
     were exchanged. An empty table on either side gives no rows.
     """
     found = _matches(docs, benchmark, id_col, text_col, item_col, item_text)
     enough = (F.col("covered") >= min_covered) | (F.col("covered") >= min_share * F.col("n_tokens"))
+    verbatim = F.col("own_covered") >= min_share * F.col("n_tokens")
+    places = F.when(F.col("consistent"), F.col("places")).otherwise(F.col("own"))
+    covered = F.when(F.col("consistent"), F.col("covered")).otherwise(F.col("own_covered"))
     return (
-        found.where(enough)
+        found.where((F.col("consistent") & enough) | verbatim)
+        .withColumns({"same_values": F.col("same_values") | ~F.col("consistent"), "places": places, "covered": covered})
         .groupBy("doc_id", "d1", "d2", "item_id")
         .agg(
             F.max(F.size("places")).alias("windows"),

@@ -45,6 +45,18 @@ def test_dense_and_short_items(spark):
     assert got[2, 1].covered == 14 and (got[4, 2].covered, got[4, 2].item_tokens) == (4, 4)
 
 
+def test_values_that_coincide_and_a_clash_beside_a_verbatim_copy(spark):
+    same = ITEM.replace("12", "4").replace("and 7", "and 4")
+    end = " Robert gave the money to nobody at all and went back home on foot in the rain that night."
+    long = ITEM + " Then nobody said a word about what was bought and sold on that fine day in spring." + end
+    got = {r.doc_id: r for r in leaks(frame(spark, [FILL + same, FILL + BROKEN]), bench(spark, [ITEM])).collect()}
+    assert set(got) == {0} and not got[0].same_values
+    words = long.replace("did Alice give", "did Robert give")
+    assert words != long
+    got = leaks(frame(spark, [FILL + words]), bench(spark, [long])).collect()
+    assert [(r.doc_id, r.same_values) for r in got] == [(0, True)] and got[0].covered < got[0].item_tokens
+
+
 def test_punctuation_case_and_accents(spark):
     item = "Élève numéro deux va à l'école avec son frère et sa sœur chaque matin de bonne heure"
     text = FILL + item.replace("Élève", "élève").replace(" ", ",\n ") + " fin"
