@@ -17,7 +17,7 @@ WIDTH = 16
 HIDDEN = 32
 #: Tokens a window holds, and how many of them are context only (but for a text's first window).
 SPAN = 32
-OVERLAP = 4
+OVERLAP = 8
 _STEP = SPAN - OVERLAP
 _MOST = np.float32(40)
 _LN10 = np.log(10.0)
@@ -269,7 +269,7 @@ def train(
     end: int,
     rate: float,
     steps: int,
-    batch: int = 64,
+    batch: int = 128,
     turn: int = 0,
     turns: int = 1,
 ) -> dict[str, np.ndarray]:

@@ -40,7 +40,7 @@ FREQUENT = 1 << 17
 SHARD_BYTES = 12 << 20
 #: Learning rate of each round, and the least steps of a shard in a round.
 RATES = (0.03, 0.015)
-STEPS = 1000
+STEPS = 600
 _FLUSH = 400_000
 _GROUP_BYTES = 1 << 20
 

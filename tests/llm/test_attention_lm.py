@@ -144,3 +144,14 @@ def test_rounds_take_every_window(monkeypatch):
         A.train(A.initial(np.ones(A.VOCABULARY)), ids, lengths, 0, 0.01, 1, batch=8, turn=turn, turns=2)
     found = Counter(np.concatenate(taken).tolist())
     assert all(found[i] >= n for i, n in Counter(ids.tolist()).items())
+
+
+def test_later_windows_have_context_and_training_has_its_least_volume(monkeypatch):
+    assert A.OVERLAP >= 8
+    _, _, skip = A.cut(np.array([500]))
+    assert skip[0] == 0 and (skip[1:] >= 8).all()
+    taken = []
+    monkeypatch.setattr(A, "gradients", lambda p, i, t, live: (taken.append(len(i)), {k: np.zeros(s, np.float32) for k, s in A.SHAPES.items()}))
+    for turn in range(len(attention_lm.RATES)):
+        A.train(A.initial(np.ones(A.VOCABULARY)), np.arange(50), np.array([50]), 0, 0.01, attention_lm.STEPS, turn=turn, turns=2)
+    assert sum(taken) >= 153_600
