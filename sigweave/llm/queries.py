@@ -5,15 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sigweave.llm import (
     attention_lm,
+    differencing,
+    merkle,
     outliers,
     packing,
     pareto_mix,
     personal_data,
     repeats,
     simhash,
+    spelling,
     template_leaks,
     token_lengths,
     url_lists,
@@ -91,6 +95,45 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.quality(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    other = merkle.digest_of("doc_id", "source", "lang", "n_chars", F.replace("text", F.lit("\n"), F.lit("")))
+    leaves = docs.select(
+        "doc_id",
+        "source",
+        merkle.digest_of("doc_id", "source", "lang", "n_chars", "text").alias("leaf"),
+        F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, other).alias("changed"),
+    )
+    return merkle.manifest(leaves, "source", ["doc_id"]).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        "proof_sha256",
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = differencing.pieces_of(differencing.pack(table(spark, sf_dir, "documents")))
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(table(spark, sf_dir, "documents"), mistype_every=spelling.MISTYPED)
+    words = spelling.variants(counts.where(F.col("n") >= spelling.LEAST_COUNT))
+    return words.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -104,6 +147,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_attention_lm,
         op10_outliers,
+        op11_merkle,
+        op12_differencing,
+        op13_spelling,
     )
 }
 

@@ -1,0 +1,97 @@
+import random
+import re
+from collections import Counter
+from zlib import crc32
+
+import pandas as pd
+import pytest
+
+from sigweave.llm.queries import QUERIES
+from sigweave.llm.spelling import chain_ends, near_words, variants, word_counts
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def counted(docs, every=97):
+    total = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % every == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            total[run] += 1
+    return {w: n for w, n in total.items() if len(w) >= 5}
+
+
+def edits(word, letters):
+    """All strings one edit away."""
+    found = {word[:i] + word[i + 1 :] for i in range(len(word))}
+    found |= {word[:i] + c + word[i:] for i in range(len(word) + 1) for c in letters}
+    found |= {word[:i] + c + word[i + 1 :] for i in range(len(word)) for c in letters}
+    return found - {word}
+
+
+def expected(counts):
+    letters = set("".join(counts))
+    out = {}
+    for word, n in counts.items():
+        near = [w for w in edits(word, letters) if w in counts]
+        best = min(near, key=lambda w: (-counts[w], w), default=None)
+        form = best if best is not None and counts[best] >= 2 * n else None
+        out[word] = [form, None, n, len(near), counts.get(form)]
+    for word, row in out.items():
+        root = word
+        while out[root][0] is not None:
+            root = out[root][0]
+        row[1] = root
+    return {w: tuple(r) for w, r in out.items()}
+
+
+def rows_of(df):
+    return {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in df.collect()}
+
+
+def test_query_like_all_edits(spark, sf_dir):
+    docs = pd.read_parquet(f"{sf_dir}/documents.parquet")
+    counts = {w: n for w, n in counted(zip(docs.doc_id, docs.text)).items() if n >= 3}
+    got = rows_of(QUERIES["op13_spelling"](spark, sf_dir))
+    assert got == expected(counts)
+    assert sum(r[0] is not None for r in got.values()) > 10
+
+
+def test_dense_words_chains_and_ties(spark):
+    rng = random.Random(0)
+    counts = {}
+    while len(counts) < 1500:
+        counts["".join(rng.choice("abé") for _ in range(rng.randint(1, 9)))] = rng.choice([3, 3, 6, 12, 25, 50, 400])
+    counts["x" * 4000] = 3
+    counts["x" * 3999] = 9
+    counts["x" * 2000 + "y" + "x" * 1999] = 40
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = rows_of(variants(df))
+    assert got == expected(counts)
+    assert got["x" * 4000][1] == "x" * 2000 + "y" + "x" * 1999
+
+
+@pytest.mark.parametrize("a, b", [("ab", "abc"), ("a", "b"), ("a", "ab"), ("abcde", "abde"), ("abcd", "xbcd"), ("aaaa", "aaaaa")])
+def test_each_pair_once(spark, a, b):
+    pairs = near_words(spark.createDataFrame([(a,), (b,), (None,)], "word string")).collect()
+    assert [{r.a, r.b} for r in pairs] == [{a, b}]
+
+
+def test_counts_of_odd_texts(spark):
+    rows = [(1, None), (2, ""), (None, "Kette kette KETTE Ärger ärger"), (3, "ab1cdefg ×÷aaaa Ĳsselmeer"), (3, "wörter " * 50_000)]
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, n int, word int")
+    got = {r.word: r.n for r in word_counts(df, mistype_every=7).collect()}
+    assert got == counted(rows, 7)
+    assert {r.word: r.n for r in word_counts(df).collect()} == counted(rows, 1 << 40)
+    assert word_counts(df.limit(0)).count() == 0
+    assert variants(word_counts(df.limit(0))).count() == 0
+
+
+def test_chain_ends(spark):
+    chain = [(f"w{k:03}", f"w{k + 1:03}") for k in range(70)] + [("x", "w070"), ("lone", "end")]
+    got = {r.word: r.root for r in chain_ends(spark.createDataFrame(chain, "word string, root string")).collect()}
+    assert got == {a: "end" if a == "lone" else "w070" for a, _ in chain}
