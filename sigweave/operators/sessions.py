@@ -9,10 +9,11 @@ per pair visit Python, and the fold keeps four numbers, whatever the size of the
 Tunnels that outgrow a task are cut into slices of time, see `_hot_sessions`.
 """
 
-from typing import Any, Iterator, Tuple
+from typing import Iterator, Tuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,13 +26,13 @@ from sigweave.schema import CARRIED, DELETE_RESPONSE, FIELDS, MESSAGE, OPTIONAL,
 _NONE = -(1 << 62)
 _PLACE = "session_no long, session_start long, first_n long"
 
-# A slice of a hot tunnel is at most this many session lifetimes long, and shorter, down to one
-# lifetime, where it would have more pairs than a task should hold.
-_LIFETIMES_PER_SLICE = 64
-_PAIRS_PER_SLICE = 4_000_000
+_END = 1 << 61
 
-# This many slices make a block.
-_SLICES_PER_BLOCK = 64
+# A slice of a hot tunnel is at most this many session lifetimes long, and as much shorter, down to a
+# grain of a lifetime, as it takes to hold no more instants than a task should.
+_LIFETIMES_PER_SLICE = 64
+_INSTANTS_PER_SLICE = 1_000_000
+_GRAINS = 1024
 
 
 def _fold(ttl_us: int):
@@ -178,174 +179,155 @@ def _cold_sessions(pairs: DataFrame, ttl_us: int, fields: list[str], lone: bool)
     )
 
 
-def _anchors(pdf: pd.DataFrame, ttl_us: int):
-    """Times of a slice, the oldest message at or after each, and where a session that opens
-    there ends. A pair's own latency is below `ttl`, so later pairs never shorten a session
-    that they are not part of, and the oldest message to come decides."""
-    pdf = pdf.sort_values("t1")
-    t1, t0 = pdf["t1"].to_numpy(), pdf["t0"].to_numpy()
-    anchor = np.minimum.accumulate(t0[::-1])[::-1]
-    return t1, anchor, np.searchsorted(t1, anchor + ttl_us)
-
-
-def _slice_effect(ttl_us: int):
-    """What a slice does to the session that is open when it begins: for each place where that
-    session may end, the session open at the end of the slice and the number opened."""
-
-    def effect(key: Tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        t1, anchor, ends = _anchors(pdf, ttl_us)
-        size = len(t1)
-        at = np.arange(np.searchsorted(t1, t1[0] + ttl_us) + 1)
-        before = np.concatenate([[_NONE], t1[at[1:] - 1]])
-        last, opened = np.full(len(at), -1), np.zeros(len(at), dtype="int64")
-        live = at < size
-        while live.any():
-            last[live], opened[live] = at[live], opened[live] + 1
-            at[live] = ends[at[live]]
-            live = at < size
-        oldest = np.where(last >= 0, anchor[last], _NONE)
-        start = np.where(last >= 0, t1[last], _NONE)
-        return _effect_row(key, anchor[0], before, oldest, start, opened)
-
-    return effect
-
-
-def _effect_row(key, anchor, before, oldest, start, opened) -> pd.DataFrame:
-    """Places in a row that have the same outcome are merged."""
-    keep = np.ones(len(before), dtype=bool)
-    keep[1:] = (np.diff(oldest) != 0) | (np.diff(start) != 0) | (np.diff(opened) != 0)
-    return pd.DataFrame(
-        {
-            "teid": [key[0]],
-            "slice": [key[1]],
-            "anchor": [anchor],
-            "before": [before[keep]],
-            "oldest": [oldest[keep]],
-            "start": [start[keep]],
-            "opened": [opened[keep]],
-        }
+def _links(ttl_us: int):
+    """For each instant of a slice, as the opening of a session: where that session ends (`ends`), and
+    for the sessions that follow up to the end of the slice how many there are with it (`opened`), when the
+    last one begins (`last`) and where that one ends (`leaves`)."""
+
+    def links(slice_: pa.Table) -> pa.Table:
+        slice_ = slice_.sort_by("t1")
+        t1 = slice_["t1"].to_numpy()
+        # A pair's own latency is below `ttl`, so later pairs never shorten a session that they are
+        # not part of: the oldest message to come decides where a session that opens here ends.
+        coming = np.append(slice_["t0"].to_numpy(), slice_["ahead"][0].as_py())
+        ends = np.minimum.accumulate(coming[::-1])[::-1][:-1] + ttl_us
+        follows = np.searchsorted(t1, ends)
+        inside = follows < len(t1)
+        last, opened = np.where(inside, follows, np.arange(len(t1))), inside.astype("int64")
+        while opened[last].any():
+            opened, last = opened + opened[last], last[last]
+        found = {"ends": ends, "leaves": ends[last], "last": t1[last], "opened": opened + 1}
+        return pa.table({"teid": slice_["teid"], "slice": slice_["slice"], "t1": t1, **found})
+
+    return links
+
+
+def _places(slice_: pa.Table) -> pa.Table:
+    """Session of each instant of a slice, given the instant `entry` that opens the first one in it."""
+    slice_ = slice_.sort_by("t1")
+    t1, entry = slice_["t1"].to_numpy(), slice_["entry"][0].as_py()
+    follows = np.searchsorted(t1, slice_["ends"].to_numpy()).tolist()
+    at, opened = len(t1) if entry is None else int(np.searchsorted(t1, entry)), []
+    while at < len(t1):
+        opened.append(at)
+        at = follows[at]
+    opened = np.array(opened, dtype="int64")
+    latest = np.searchsorted(opened, np.arange(len(t1)), "right")
+    starts = np.append(slice_["start_in"][0].as_py(), t1[opened])
+    number = slice_["number_in"][0].as_py() + latest
+    return pa.table({"teid": slice_["teid"], "_t1": t1, "session_no": number, "session_start": starts[latest]})
+
+
+def _slice_length(timed: DataFrame, ttl_us: int) -> int:
+    """Length of the slices, by the busiest grain of any tunnel: however uneven a tunnel is, no slice has
+    more than `_INSTANTS_PER_SLICE` instants. A grain is far shorter than a lifetime and can have no more
+    instants than microseconds."""
+    grain = max(1, ttl_us // _GRAINS)
+    busiest = timed.groupBy("teid", F.floor(F.col("_t1") / grain)).count().agg(F.max("count")).first()[0]
+    most = _LIFETIMES_PER_SLICE * _GRAINS
+    return grain * max(1, min(most, int(_INSTANTS_PER_SLICE / (busiest or 1))))
+
+
+def _first_instants(probes: DataFrame, instants: DataFrame, slices: DataFrame, length: int) -> DataFrame:
+    """`node`: the first instant of the tunnel at or after each time `x`, NULL if there is none."""
+    placed = probes.withColumn("slice", F.floor(F.col("x") / length).cast("bigint"))
+    rows = instants.select("teid", "slice", F.col("t1").alias("x"), F.lit(False).alias("probe"))
+    rows = rows.unionByName(placed.withColumn("probe", F.lit(True)))
+    backwards = W.partitionBy("teid", "slice").orderBy(F.col("x").desc(), "probe")
+    node = F.last(F.when(~F.col("probe"), F.col("x")), ignorenulls=True)
+    found = rows.withColumn("node", node.over(backwards.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    # Where the rest of the slice has none, it is the head of the next slice that has any.
+    none = placed.select("teid", "slice", F.lit(None).cast("bigint").alias("head"))
+    heads = slices.select("teid", "slice", "head").unionByName(none)
+    heads = heads.groupBy("teid", "slice").agg(F.min("head").alias("head"))
+    later = W.partitionBy("teid").orderBy(F.col("slice").desc()).rowsBetween(W.unboundedPreceding, -1)
+    ahead = heads.select("teid", "slice", F.last("head", ignorenulls=True).over(later).alias("next_head"))
+    return (
+        found.where("probe")
+        .join(ahead, ["teid", "slice"])
+        .select("teid", "x", F.coalesce("node", "next_head").alias("node"))
     )
 
 
-def _block_effect(ttl_us: int):
-    """The effects of the slices of a block, one after the other, as one effect. A session that
-    goes on through all of the first slice is over in the next: a slice outlasts a lifetime."""
-
-    def effect(key: Tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("slice").itertuples()
-        first = next(rows)
-        oldest, start, opened = first.oldest, first.start, first.opened
-        for row in rows:
-            joined = np.minimum(oldest, row.anchor)
-            i = np.maximum(np.searchsorted(row.before, joined + ttl_us) - 1, 0)
-            opens = row.opened[i] > 0
-            oldest = np.where(opens, row.oldest[i], joined)
-            start = np.where(opens, row.start[i], start)
-            opened = opened + row.opened[i]
-        return _effect_row(key, first.anchor, first.before, oldest, start, opened)
-
-    return effect
-
-
-def _slice_entry(ttl_us: int):
-    """The session open at the beginning of each slice, from the effects of the slices and the
-    session open at the first one."""
-
-    def entry(key: Tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("slice")
-        number, start, oldest = (
-            int(pdf[c].iloc[0]) for c in ("number_in", "start_in", "oldest_in")
-        )
-        out = []
-        for row in pdf.itertuples():
-            out.append((key[0], row.slice, number, start, oldest))
-            joined = min(oldest, row.anchor)
-            i = max(np.searchsorted(row.before, joined + ttl_us) - 1, 0)
-            if row.opened[i] == 0:
-                oldest = joined
-            else:
-                number += int(row.opened[i])
-                start, oldest = int(row.start[i]), int(row.oldest[i])
-        return pd.DataFrame(out, columns=["teid", "slice", "number_in", "start_in", "oldest_in"])
-
-    return entry
-
-
-def _slice_places(ttl_us: int):
-    """Session of each instant of a slice."""
-
-    def places(key: Tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        number, start = int(pdf["number_in"].iloc[0]), int(pdf["start_in"].iloc[0])
-        oldest = int(pdf["oldest_in"].iloc[0])
-        t1, anchor, ends = _anchors(pdf, ttl_us)
-        numbers = np.full(len(t1), number)
-        starts = np.full(len(t1), start)
-        at = int(np.searchsorted(t1, min(oldest, int(anchor[0])) + ttl_us))
-        while at < len(t1):
-            number += 1
-            numbers[at : ends[at]], starts[at : ends[at]] = number, t1[at]
-            at = int(ends[at])
-        return pd.DataFrame(
-            {"teid": key[0], "_t1": t1, "session_no": numbers, "session_start": starts}
-        )
-
-    return places
-
+def _orbit(reached: DataFrame, jumps: DataFrame) -> DataFrame:
+    """All nodes that repeated jumps lead to from the first ones, those included, by pointer doubling.
 
-def _slice_lifetimes(timed: DataFrame, ttl_us: int) -> int:
-    """Length of the slices in lifetimes, by the busiest lifetime of any tunnel: however uneven
-    a tunnel is, no slice has more than `_PAIRS_PER_SLICE` instants, unless one lifetime has."""
-    lifetime = F.floor(F.col("_t1") / ttl_us)
-    busiest = timed.groupBy("teid", lifetime).count().agg(F.max("count")).first()[0]
-    return max(1, min(_LIFETIMES_PER_SLICE, int(_PAIRS_PER_SLICE / (busiest or 1))))
+    After round k, 2 ** k nodes of each tunnel are known, and a jump goes 2 ** k nodes far.
+    """
+    jumps = held(jumps.where(F.col("next").isNotNull()))
+    while True:
+        new = held(reached.join(jumps, ["teid", "node"]).select("teid", F.col("next").alias("node")))
+        if new.isEmpty():
+            return reached
+        reached = reached.unionByName(new)
+        onward = jumps.select("teid", F.col("node").alias("next"), F.col("next").alias("far"))
+        jumps = held(jumps.join(onward, ["teid", "next"]).select("teid", "node", F.col("far").alias("next")))
 
 
 def _hot_sessions(pairs: DataFrame, ttl_us: int, fields: list[str], skew: Skew) -> DataFrame:
-    """Sessions of tunnels too large for one task.
-
-    The pairs are first reduced to one row per tunnel and instant, before the shuffle. Slices
-    of those are then walked in parallel from every point where the session open at their
-    beginning may end. The effects of slices are joined to effects of blocks, in parallel too;
-    a short chain over the blocks of a tunnel tells which session is open at each of them, and
-    from that follows which is open at each slice.
+    """Sessions of tunnels too large for one task, all of whose pairs may lie in one lifetime.
+
+    The pairs are first reduced to one row per tunnel and instant. Where a session that opens at an instant
+    ends does not hang on how the instant was reached, so each instant has one successor, and the
+    openings of sessions are the orbit of the first one. Inside a slice of time, of bounded size and possibly
+    far shorter than a lifetime, the walk is done from all its instants at once; what leaves a slice leads
+    to the instant at which another is entered. From entry to entry the orbit is found by doubling the
+    jumps, in as many joins of narrow rows as the number of slices has binary digits. Then each slice
+    knows its entry, and the sessions in it follow.
     """
     timed = pairs.withColumn("_t1", F.unix_micros("t1"))
-    length = _slice_lifetimes(timed, ttl_us) * ttl_us
-    instants = (
+    length = _slice_length(timed, ttl_us)
+    instants = held(
         timed.withColumn("slice", F.floor(F.col("_t1") / length).cast("bigint"))
         .groupBy("teid", "slice", F.col("_t1").alias("t1"))
         .agg(F.min(F.unix_micros("t0")).alias("t0"))
     )
-    shape = (
-        "teid string, slice long, anchor long, before array<long>, oldest array<long>, "
-        "start array<long>, opened array<long>"
+    slices = held(
+        instants.groupBy("teid", "slice").agg(F.min("t1").alias("head"), F.min("t0").alias("low"))
     )
-    entry_shape = "teid string, slice long, number_in long, start_in long, oldest_in long"
-    effects = held(
-        instants.groupBy("teid", "slice").applyInPandas(_slice_effect(ttl_us), shape)
-    ).withColumn("block", F.floor(F.col("slice") / _SLICES_PER_BLOCK).cast("bigint"))
-    blocks = effects.groupBy("teid", "block").applyInPandas(_block_effect(ttl_us), shape)
-    if "oldest_in" in pairs.columns:
-        opening = pairs.groupBy("teid").agg(
-            F.first("start_in").alias("start_in"), F.first("oldest_in").alias("oldest_in")
+    of_tunnel = W.partitionBy("teid")
+    later = of_tunnel.orderBy(F.col("slice").desc()).rowsBetween(W.unboundedPreceding, -1)
+    ahead = F.coalesce(F.min("low").over(later), F.lit(_END))
+    shape = "teid string, slice long, t1 long, ends long, leaves long, last long, opened long"
+    links = held(
+        instants.join(slices.select("teid", "slice", ahead.alias("ahead")), ["teid", "slice"])
+        .groupBy("teid", "slice")
+        .applyInArrow(_links(ttl_us), shape)
+    )
+
+    # The first session opens at the first instant, or where the one that a stream left open ends.
+    begins = slices.groupBy("teid").agg(F.min("head").alias("head"), F.min("low").alias("low"))
+    opening = pairs.groupBy("teid").agg(
+        *[F.first(_micros_or_none(pairs, c)).alias(c) for c in ("start_in", "oldest_in")]
+    )
+    ends = F.when(F.col("oldest_in") != _NONE, F.least("oldest_in", "low") + ttl_us)
+    begins = held(begins.join(opening, "teid").select("teid", "start_in", F.coalesce(ends, "head").alias("x")))
+    probes = links.select("teid", F.col("leaves").alias("x")).unionByName(begins.select("teid", "x"))
+    targets = held(_first_instants(probes.distinct(), instants, slices, length))
+    nodes = targets.where(F.col("node").isNotNull()).select("teid", F.col("node").alias("t1")).distinct()
+    entries = held(links.join(nodes, ["teid", "t1"]).withColumnRenamed("t1", "node"))
+    jumps = entries.join(targets.select("teid", F.col("x").alias("leaves"), F.col("node").alias("next")), ["teid", "leaves"])
+    first = begins.join(targets, ["teid", "x"]).where(F.col("node").isNotNull()).select("teid", "node")
+    visited = entries.join(_orbit(held(first), jumps.select("teid", "node", "next")), ["teid", "node"])
+
+    before = of_tunnel.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    entered = (
+        slices.select("teid", "slice")
+        .join(visited.select("teid", "slice", F.col("node").alias("entry"), "opened", "last"), ["teid", "slice"], "left")
+        .join(begins.select("teid", "start_in"), "teid")
+        .select(
+            "teid",
+            "slice",
+            "entry",
+            F.coalesce(F.sum("opened").over(before), F.lit(0)).alias("number_in"),
+            F.coalesce(F.last("last", ignorenulls=True).over(before), "start_in").alias("start_in"),
         )
-        blocks = blocks.join(opening, "teid")
-    blocks = blocks.withColumns(
-        {c: _micros_or_none(blocks, c) for c in ("start_in", "oldest_in")}
-    ).withColumn("number_in", F.lit(0))
-    block_entries = blocks.groupBy("teid").applyInPandas(_slice_entry(ttl_us), entry_shape)
-    entries = (
-        effects.join(block_entries.withColumnRenamed("slice", "block"), ["teid", "block"])
-        .groupBy("teid", "block")
-        .applyInPandas(_slice_entry(ttl_us), entry_shape)
     )
     places = (
-        instants.join(entries, ["teid", "slice"])
+        links.select("teid", "slice", "t1", "ends")
+        .join(entered, ["teid", "slice"])
         .groupBy("teid", "slice")
-        .applyInPandas(
-            _slice_places(ttl_us),
-            "teid string, _t1 long, session_no long, session_start long",
-        )
+        .applyInArrow(_places, "teid string, _t1 long, session_no long, session_start long")
         .withColumn("session_start", F.timestamp_micros("session_start"))
     )
     placed = timed.join(places, ["teid", "_t1"]).drop("_t1")

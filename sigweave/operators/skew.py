@@ -6,6 +6,8 @@ every row of slice n precedes every row of slice n + 1. The operator then runs p
 hands its (small) state from slice to slice.
 """
 
+import re
+import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -63,10 +65,13 @@ def hot_values(
 
 
 def held(df: DataFrame) -> DataFrame:
-    """Writes a result that several branches of a plan read, where the session names a shared
-    folder for that; otherwise each branch computes it."""
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        return df
+    """Writes a result that several branches of a plan read, into the shared folder that
+    `spark.checkpoint.dir` names. Only a local session may go without one and gets its own."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        if re.fullmatch(r"local(\[[^]]*\])?", context.master) is None:
+            raise RuntimeError("hot groups are cut through a shared folder: set spark.checkpoint.dir")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sigweave-"))
     return df.checkpoint()
 
 

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def placed(df):
 @pytest.mark.parametrize("skew", [Skew(), Skew(min_rows=50, slice_seconds=60, id_block=3)])
 def test_same_as_loop(spark, gaps, skew, monkeypatch):
     monkeypatch.setattr(S, "_LIFETIMES_PER_SLICE", 4)
-    monkeypatch.setattr(S, "_SLICES_PER_BLOCK", 3)
+    monkeypatch.setattr(S, "_INSTANTS_PER_SLICE", 100)
     rows = random_pairs(5, 500, gaps)
     expected = folded(rows)
     random.Random(2).shuffle(rows)
@@ -101,11 +102,27 @@ def test_filter_above_the_fold_does_not_change_it(spark):
     assert [r["session_no"] for r in kept] == [1, 2]
 
 
+def sliced(rows, length):
+    """Tables of instants for the worker functions, one per slice of a tunnel."""
+    least = {}
+    for _, t0, t1, *_ in rows:
+        least[t1] = min(t0, least.get(t1, t0))
+    slices = {}
+    for t1, t0 in least.items():
+        slices.setdefault(t1 // length, []).append((t1, t0))
+    ahead, tables = S._END, {}
+    for k in sorted(slices, reverse=True):
+        t1, t0 = zip(*slices[k])
+        size = len(t1)
+        tables[k] = pa.table({"teid": ["T0"] * size, "slice": [k] * size, "t1": t1, "t0": t0, "ahead": [ahead] * size})
+        ahead = min(ahead, *t0)
+    return tables
+
+
 @pytest.mark.parametrize("seed", range(6))
-def test_slice_chain_is_exact(seed):
+@pytest.mark.parametrize("lifetimes", [2, 0.03])
+def test_slice_links_are_exact(seed, lifetimes):
     """The worker functions of the sliced fold, run on one long tunnel without Spark."""
-    import pandas as pd
-
     rng = random.Random(seed)
     ttl = 60_000_000
     gaps = rng.choice(
@@ -113,25 +130,48 @@ def test_slice_chain_is_exact(seed):
     )
     rows = [("T0", *r[1:]) for r in random_pairs(seed, 6000, gaps)]
     expected = folded(rows)
-    pdf = pd.DataFrame(rows, columns=["teid", "t0", "t1", "id", "a", "b"])
-    pdf["slice"] = pdf["t1"] // (2 * ttl)
-    instants = pdf.groupby(["slice", "t1"], as_index=False)["t0"].min()
-    effects = pd.concat(
-        S._slice_effect(ttl)(("T0", k), g) for k, g in instants.groupby("slice")
-    )
-    blocks = pd.concat(
-        S._block_effect(ttl)(("T0", k), g) for k, g in effects.groupby(effects["slice"] // 4)
-    )
-    none = {"number_in": 0, "start_in": S._NONE, "oldest_in": S._NONE}
-    tops = S._slice_entry(ttl)(("T0",), blocks.assign(**none)).set_index("slice")
-    entries = pd.concat(
-        S._slice_entry(ttl)(("T0", k), g.assign(**tops.loc[k].drop("teid").to_dict()))
-        for k, g in effects.groupby(effects["slice"] // 4)
-    ).set_index("slice")
-    places = pd.concat(
-        S._slice_places(ttl)(("T0", k), g.assign(**entries.loc[k].drop("teid").to_dict()))
-        for k, g in instants.groupby("slice")
-    ).set_index("_t1").to_dict("index")
+    tables = sliced(rows, round(lifetimes * ttl))
+    links = {k: S._links(ttl)(t) for k, t in tables.items()}
+    at, number, start, places = 0, 0, S._NONE, {}
+    for k in sorted(links):
+        own = links[k].to_pylist()
+        entry = next((r for r in own if r["t1"] >= at), None)
+        extra = {"entry": entry and entry["t1"], "number_in": number, "start_in": start}
+        given = pa.table({c: links[k][c] for c in ("teid", "slice", "t1", "ends")})
+        for name, value in extra.items():
+            given = given.append_column(name, pa.array([value] * len(own), pa.int64()))
+        places |= {r["_t1"]: (r["session_no"], r["session_start"]) for r in S._places(given).to_pylist()}
+        if entry:
+            at, number, start = entry["leaves"], number + entry["opened"], entry["last"]
     for _, t0, t1, i, *_ in rows:
-        place = places[t1]
-        assert (place["session_no"], place["session_start"]) == expected[i][1:3]
+        assert places[t1] == expected[i][1:3]
+
+
+def test_orbit_by_doubling(spark):
+    jumps = [("A", k, k + 3 if k < 200 else None) for k in range(0, 203)] + [("B", 5, None), ("C", 1, 2), ("C", 2, None)]
+    table = spark.createDataFrame(jumps, "teid string, node long, next long")
+    starts = spark.createDataFrame([("A", 1), ("B", 5), ("C", 2)], "teid string, node long")
+    got = [tuple(r) for r in S._orbit(starts, table).collect()]
+    assert sorted(got) == [("A", k) for k in range(1, 203, 3)] + [("B", 5), ("C", 2)]
+
+
+@pytest.mark.parametrize("gap", [1, 900, 12_000])
+def test_all_pairs_in_few_lifetimes(spark, gap, monkeypatch):
+    """One tunnel, far more pairs in one lifetime than a slice may have."""
+    monkeypatch.setattr(S, "_INSTANTS_PER_SLICE", 400)
+    rng = random.Random(gap)
+    rows, t1 = [], 1_700_000_000_000_000
+    for i in range(6000):
+        t1 += rng.choice([0, gap, 2 * gap])
+        t0 = t1 - rng.choice([0, 1000, 59_999_999])
+        rows.append(("T0", t0, t1, i, f"I{i}" if i % 97 == 0 else None, None))
+    pairs = pair_table(spark, rows)
+    timed = pairs.withColumn("_t1", F.unix_micros("t1"))
+    length = S._slice_length(timed, 60_000_000)
+    assert length < 60_000_000
+    largest = timed.select("_t1").distinct().groupBy(F.floor(F.col("_t1") / length)).count().agg(F.max("count")).first()[0]
+    # Slices are bounded but for what is dated in the same grain of a lifetime.
+    grain = timed.select("_t1").distinct().groupBy(F.floor(F.col("_t1") / (60_000_000 // S._GRAINS))).count()
+    assert largest <= max(400, grain.agg(F.max("count")).first()[0])
+    got = S.enrich_sessions(pairs, skew=Skew(min_rows=1000, slice_seconds=1, id_block=100))
+    assert placed(got) == folded(rows)
