@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigweave.schema import OFFSETS
+from sigweave.sources.paths import exists
 
 # Fixed value: stands for "no saved position".
 LATEST = "latest"
@@ -102,8 +103,34 @@ def append_ledger(offsets: DataFrame, path: str) -> None:
     offsets.select(*OFFSETS.names).write.mode("append").parquet(path)
 
 
+# Steps of a ledger after which its positions are put together.
+_TAIL = 16
+
+
+def save_ledger(offsets: DataFrame, path: str, step: int, every: int = _TAIL) -> None:
+    """Notes the positions reached in a step, over those that the same step noted before.
+
+    Each step has a file in a ring; every so many steps the latest position of each partition is written to
+    one of two tables in turn. So there is always a whole table beside the one being written, a reader
+    needs no order, and the number of files does not grow with the steps.
+    """
+    spark = offsets.sparkSession
+    tail = f"{path}/tail/slot={step % (2 * every)}"
+    offsets.select(*OFFSETS.names).write.mode("overwrite").parquet(tail)
+    if step % every == every - 1:
+        turn = step // every % 2
+        other = f"{path}/whole/slot={1 - turn}"
+        parts = [f"{path}/tail/slot={k % (2 * every)}" for k in range(step - every + 1, step + 1)]
+        known = [p for p in [*parts, other] if exists(spark, p)]
+        rows = spark.read.schema(OFFSETS).option("recursiveFileLookup", "true").parquet(*known)
+        current_offsets(rows).write.mode("overwrite").parquet(f"{path}/whole/slot={turn}")
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return current_offsets(spark.read.schema(OFFSETS).parquet(path))
+    """The latest position of each partition; a ledger that does not exist has none saved."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], OFFSETS)
+    return current_offsets(spark.read.schema(OFFSETS).option("recursiveFileLookup", "true").parquet(path))
 
 
 def starting_offsets_json(offsets: DataFrame) -> str | None:

@@ -38,15 +38,19 @@ def unpaired_output(unpaired: DataFrame) -> DataFrame:
     )
 
 
-def drop_sent(pairs: DataFrame, within_seconds: int) -> DataFrame:
+def span_of(ts: str, within_seconds: float) -> Column:
+    """Number of the span of event time that a time falls into."""
+    return F.floor(F.unix_micros(ts) / round(within_seconds * 1_000_000)).cast("bigint")
+
+
+def drop_sent(pairs: DataFrame, within_seconds: float) -> DataFrame:
     """First pair of each digest key per span of `within_seconds` of event time.
 
     A pair that is published again has its old times, so it always falls into its old span. A
     sequence number that is used again later makes a new pair and is kept. The repeats of a
     hot key collapse before the shuffle.
     """
-    span = F.floor(F.unix_micros("t1") / (within_seconds * 1_000_000))
-    keyed = pairs.withColumn("key", digest_key()).withColumn("_span", span)
+    keyed = pairs.withColumn("key", digest_key()).withColumn("_span", span_of("t1", within_seconds))
     order = W.partitionBy("key", "_span").orderBy("t1", "t0", "_id")
     numbered = keyed.withColumn("_id", F.col("first.id")).withColumn("_n", F.row_number().over(order))
     return numbered.where("_n = 1").select("key", *pairs.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sigweave.functions.keys import pair_key, pair_teid
 from sigweave.functions.times import elapsed_ms, seconds
-from sigweave.operators.skew import Skew, hot_values, id_block, with_slices
+from sigweave.operators.skew import Skew, hot_values, with_slices
 from sigweave.operators.validation import rejected, valid
 from sigweave.schema import MESSAGE, TTL_SECONDS
 
@@ -81,7 +81,7 @@ def _handover(own: DataFrame, ttl: float) -> DataFrame:
 def _linked_slices(keyed: DataFrame, hot: list, ttl: float, skew: Skew) -> DataFrame:
     """Adds to each slice of a hot key the message waiting for it, and a look-ahead row."""
     own = with_slices(
-        keyed, "pair_key", hot, skew, "ts", [id_block(F.col("id"), skew)]
+        keyed, "pair_key", hot, skew, "ts", []
     ).withColumn("role", F.lit(_OWN))
     cut = own.where(F.col("pair_key").isin(hot))
     handover = _handover(cut, ttl)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sigweave.functions.keys import is_response
 from sigweave.functions.times import seconds
-from sigweave.operators.skew import Skew, held, hot_values, id_block, with_slices
+from sigweave.operators.skew import Skew, held, hot_values, with_slices
 from sigweave.schema import CARRIED, DELETE_RESPONSE, FIELDS, MESSAGE, OPTIONAL, TTL_SECONDS
 
 _NONE = -(1 << 62)
@@ -340,8 +340,8 @@ def _carry_in_slices(placed: DataFrame, fields: list[str], skew: Skew) -> DataFr
     tag = F.concat_ws("\u0001", "session_no", "teid")
     tagged = _with_id(placed).withColumn("_tag", tag)
     hot = hot_values(tagged, F.col("_tag"), skew.min_rows)
-    minor = [F.unix_micros("t0"), id_block(F.col("_id"), skew)]
-    sliced = with_slices(tagged, "_tag", hot, skew, "t1", minor, "_slice")
+    minor = [F.unix_micros("t0")]
+    sliced = with_slices(tagged, "_tag", hot, skew, "t1", minor, "_slice", "_id")
     by = ["_tag", "_slice"]
     if hot:
         order = F.struct(*_ORDER)
@@ -486,11 +486,10 @@ def continue_sessions(
     hot = hot_values(known, F.col("teid"), skew.min_rows)
     joined = known.join(open_sessions, "teid", "left")
     if hot:
-        # No more hot tunnels than shuffle partitions, so their open sessions are few.
+        # Hot tunnels have one open session each: a side that Spark can broadcast or split by itself.
         is_hot = F.col("teid").isin(hot)
-        of_hot = F.broadcast(open_sessions.where(is_hot))
         joined = joined.where(~is_hot).unionByName(
-            known.where(is_hot).join(of_hot, "teid", "left")
+            known.where(is_hot).join(open_sessions.where(is_hot), "teid", "left")
         )
     placed = _placed(joined, ttl, pair_ttl, fields, skew, hot)
     oldest = F.least("t0", F.when(F.col("session_no") == 0, F.col("oldest_in")))
@@ -503,14 +502,11 @@ def open_session_columns(carry_all: bool) -> list[str]:
     return ["teid", "start_in", "oldest_in", *[f"{f}_in" for f in fields]]
 
 
-def open_sessions_after(
-    enriched: DataFrame, before: DataFrame, until: Column, ttl: float, carry_all: bool
-) -> DataFrame:
-    """Sessions that a pair completed at `until` or later can still join. `enriched` is the
-    result of `continue_sessions`, `before` what that went on from."""
+def sessions_touched(enriched: DataFrame, carry_all: bool) -> DataFrame:
+    """The latest session of each tunnel in the result of `continue_sessions`, as later pairs go on from it."""
     order = F.struct("t1", "t0", "first.id")
     fields = OPTIONAL if carry_all else CARRIED
-    latest = (
+    return (
         enriched.groupBy("teid", F.col("session_start").alias("start_in"))
         .agg(
             F.min("_oldest").alias("oldest_in"),
@@ -520,9 +516,6 @@ def open_sessions_after(
         .agg(F.max_by(F.struct(*open_session_columns(carry_all)[1:]), "start_in").alias("s"))
         .select("teid", "s.*")
     )
-    untouched = before.join(latest.select("teid"), "teid", "left_anti")
-    alive = F.col("oldest_in") + seconds(ttl) > until
-    return latest.unionByName(untouched).where(alive)
 
 
 def session_profiles(enriched: DataFrame) -> DataFrame:

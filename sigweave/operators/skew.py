@@ -21,7 +21,7 @@ class Skew:
 
     min_rows: a group up to this size is never cut.
     slice_seconds: length of the slices of a hot group. A slice of more than `min_rows` rows is
-    cut further, down to blocks of `id_block` row ids inside one instant.
+    cut further, down to blocks of about `id_block` rows, by ranges of ids, inside one instant.
     """
 
     min_rows: int = 2_000_000
@@ -87,17 +87,18 @@ def with_slices(
     ts: str,
     minor: list[Column],
     name: str = "slice",
+    id_: str = "id",
 ) -> DataFrame:
     """Adds the slice of each row as an ordered struct; rows of cold groups share one slice.
 
     A hot group is cut by time. A slice of more than `min_rows` rows is counted in short spans,
     and neighbouring spans are put together into pieces of about `min_rows`; so is a span that
     alone has more, by its instants. Only the rows of one instant that has more are cut by
-    `minor`, whose last column should group a bounded number of rows, such as a block of unique
-    ids. So there are about rows / `min_rows` pieces besides the slices that have any rows.
+    `minor` and then by equal ranges of their ids, as many as it has `id_block` rows, whether the ids are
+    serial numbers or hashes. So there are about rows / `min_rows` pieces besides the slices that have any rows.
     """
     zero = F.lit(0).cast("bigint")
-    minors = [f"minor{i}" for i in range(len(minor))]
+    minors = [f"minor{i}" for i in range(len(minor) + 1)]
     names = ["major", "piece", "part", "crowd", *minors]
     if not hot:
         return df.withColumn(name, F.struct(*[zero.alias(n) for n in names]))
@@ -120,26 +121,37 @@ def with_slices(
     dense, full = pieces.agg(F.count(F.lit(1)), F.bool_or("_full")).first()
     own = [F.lit(False).alias("_full"), zero.alias("_piece")]
     cut = marked.join(pieces, [*slice_, "_span"], "left") if dense else marked.select("*", *own)
-    own = [F.lit(False).alias("_crowd"), zero.alias("_part")]
+    none = F.lit(0.0)
+    own = [F.lit(False).alias("_crowd"), zero.alias("_part"), none.alias("_low"), none.alias("_range")]
     if full:
         cut = cut.withColumn("_micros", F.when(F.col("_full"), micros))
         spans = [*slice_, "_span"]
         instants = (
-            cut.where("_full").groupBy(*spans, "_micros").agg(F.count(F.lit(1)).alias("_n"))
+            cut.where("_full")
+            .groupBy(*spans, "_micros")
+            .agg(F.count(F.lit(1)).alias("_n"), F.min(id_).cast("double").alias("_low"), F.max(id_).cast("double").alias("_high"))
         )
+        blocks = F.ceil(F.col("_n") / skew.id_block)
         parts = instants.select(
-            *spans, "_micros", *_filled(spans, "_micros", limit, "_part", "_crowd")
+            *spans,
+            "_micros",
+            "_low",
+            ((F.col("_high") - F.col("_low")) / blocks).alias("_range"),
+            *_filled(spans, "_micros", limit, "_part", "_crowd"),
         )
         cut = cut.join(held(parts), [*spans, "_micros"], "left").drop("_micros")
     else:
         cut = cut.select("*", *own)
     crowd = F.coalesce("_crowd", F.lit(False))
+    # Doubles keep the order of ids, and those that fall together share a block.
+    block = F.when(F.col("_range") > 0, F.floor((F.col(id_).cast("double") - F.col("_low")) / F.col("_range")))
+    block = F.coalesce(block, zero).cast("bigint")
     fields = [
         F.col("_major"),
         F.coalesce("_piece", zero),
         F.coalesce("_part", zero),
         crowd.cast("bigint"),
-        *[F.when(crowd, c).otherwise(zero) for c in minor],
+        *[F.when(crowd, c).otherwise(zero) for c in [*minor, block]],
     ]
     built = F.struct(*[c.alias(n) for c, n in zip(fields, names)])
     return cut.select(*df.columns, built.alias(name))
@@ -154,7 +166,3 @@ def _filled(group: list[str], order: str, limit: int, number: str, over: str) ->
         F.floor(filled / limit).cast("bigint").alias(number),
         (F.col("_n") > limit).alias(over),
     ]
-
-
-def id_block(id_: Column, skew: Skew) -> Column:
-    return F.floor(id_ / skew.id_block).cast("bigint")

@@ -13,6 +13,10 @@ class JobOptions:
     ttl: how long a message waits. session_ttl: how long a session lives. delay: how late a
     message may come, in seconds of event time. trigger: seconds between micro-batches, None
     to read what is there and stop. carry_all: carry every optional field, not identity only.
+    idle_after: seconds without news after which the clock goes on with the time of day; None to
+    wait for messages. A stream started with it must be started with it again. dedup: publish a key once
+    in each span of so many seconds of event time; None to publish every pair. compact_every: steps
+    after which changes of state are put together.
     """
 
     checkpoint: str
@@ -24,6 +28,9 @@ class JobOptions:
     trigger: float | None = 1.0
     carry_all: bool = False
     max_ahead: float = 86_400.0
+    idle_after: float | None = None
+    dedup: float | None = None
+    compact_every: int = 16
     output_format: str = "rows"
     unpaired_format: str = "rows"
     source: str = "messages"

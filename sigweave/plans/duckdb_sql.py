@@ -255,6 +255,34 @@ ORACLES |= {
     "stream_restart": _STREAM_SESSIONS,
 }
 
+_PARTS = (
+    ", b AS (SELECT MIN(epoch_us(ts)) AS low, (MAX(epoch_us(ts)) - MIN(epoch_us(ts))) // 4 + 1 AS width FROM m), "
+    "h AS (SELECT m.*, (epoch_us(ts) - low) // width AS part FROM m, b)"
+)
+_ALL_SETTLED = (
+    "SELECT first_id, second_id, 'pair' AS kind FROM p UNION ALL "
+    "SELECT id, NULL, 'expired' FROM n WHERE pos % 2 = 1 AND pos = size UNION ALL "
+    "SELECT id, NULL, 'late' FROM a WHERE late"
+)
+_ON_TIME = _after("ok AS (SELECT * EXCLUDE (late) FROM a WHERE NOT late), " + _walk("ok").lstrip() + _PAIR_ROWS)
+
+ORACLES |= {
+    "stream_dedup": ORACLES["dedup_keys"],
+    # What arrives after a step is late if it is older than all that came before, less the ten seconds of delay.
+    "stream_late": _with(_PARTS)
+    + ", h2 AS (SELECT * EXCLUDE (part), part + CASE WHEN id % 10 = 0 THEN 1 ELSE 0 END AS step FROM h), "
+    "c AS (SELECT step, MAX(ts) AS newest FROM h2 GROUP BY step), "
+    "v AS (SELECT step, MAX(newest) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
+    "- INTERVAL 10 SECOND AS settled FROM c), "
+    "a AS (SELECT h2.* EXCLUDE (step), COALESCE(ts < settled, FALSE) AS late FROM h2 JOIN v USING (step))"
+    + _ON_TIME
+    + _ALL_SETTLED,
+    # An hour without input, then the second half.
+    "stream_idle": _with(_PARTS)
+    + ", a AS (SELECT * EXCLUDE (part), part >= 2 AND ts < (SELECT MAX(ts) FROM h WHERE part < 2) "
+    "+ INTERVAL 3590 SECOND AS late FROM h)" + _ON_TIME + _ALL_SETTLED,
+}
+
 # Cutting hot groups changes nothing.
 ORACLES |= {
     "pairs_cut": ORACLES["pairs"],

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigweave.operators.offsets import (
-    append_ledger,
+    save_ledger,
     start_offsets,
     starting_offsets_json,
     until_offsets,
@@ -41,7 +41,7 @@ def ledger_sink(path: str, topic: str):
     """For `SessionJob(after_step=...)`: notes the position reached after each step."""
 
     def write(messages: DataFrame, step: int) -> None:
-        append_ledger(until_offsets(record_positions(messages, topic)), path)
+        save_ledger(until_offsets(record_positions(messages, topic)), path, step)
 
     return write
 
@@ -89,11 +89,17 @@ def sink_options(servers: str, topic: str) -> dict[str, str]:
     return {**SINK_DEFAULTS, "kafka.bootstrap.servers": servers, "topic": topic}
 
 
+def record_columns(output: DataFrame) -> list[str]:
+    """The columns of a record that the sink takes over."""
+    return [c for c in ("key", "value", "partition") if c in output.columns]
+
+
 def pair_sink(servers: str, topic: str):
-    """Sink of the streaming job: writes `key` and `value` of each step to a topic."""
+    """Sink of the streaming job: writes `key` and `value` of each step to a topic, to the `partition`
+    that the output names where it has such a column."""
 
     def write(output: DataFrame, step: int) -> None:
-        output.select("key", "value").write.format("kafka").options(
+        output.select(*record_columns(output)).write.format("kafka").options(
             **sink_options(servers, topic)
         ).save()
 

@@ -6,10 +6,15 @@ event time. What no later message can change any more is final and written once;
 waits in a small state table. A message that comes after its time was settled goes to the
 unpaired output with the reason 'late'.
 
-The state of step n lies in slot n % 2 of the checkpoint folder, so a step that is repeated
-after a failure finds the state of its predecessor untouched, and overwrites its own outputs.
+State lies in the checkpoint folder, either in two slots in turn or as changes (see `state`), so a
+step that is repeated after a failure finds the state of its predecessor untouched, and overwrites
+its own outputs. Sessions and sent keys are written by their changes: a step costs what it touches.
+
+With `idle_after`, a stream of ticks runs along. Once no message has moved the clock for that long,
+it goes on with the time of day, so what is open is settled though nothing comes any more.
 """
 
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -21,16 +26,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sigweave.functions.keys import pair_key
 from sigweave.functions.times import seconds
-from sigweave.operators.output import pair_output, unpaired_output
+from sigweave.operators.output import digest_key, drop_sent, pair_output, span_of, unpaired_output
 from sigweave.operators.pairing import hot_pair_keys, pair_columns, settle_messages
 from sigweave.operators.sessions import (
     continue_sessions,
     open_session_columns,
-    open_sessions_after,
+    sessions_touched,
 )
 from sigweave.operators.validation import with_reason
 from sigweave.options import JobOptions
 from sigweave.schema import MESSAGE
+from sigweave.streaming.state import KeyedState, SentKeys
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -41,8 +47,10 @@ _STEP = T.StructType(
         T.StructField("kind", T.StringType()),
     ]
 )
-# Event time in microseconds: the newest message seen, and the time settled so far.
-_CLOCK = "newest long, settled long"
+# In microseconds: event time of the newest message seen, event time settled so far, and the time of day at
+# which `newest` last moved. `seq` counts the steps that had something to do; state is numbered by it.
+_CLOCK = "newest long, settled long, moved long, seq long"
+_TICK = "tick"
 
 # Fixed value: microseconds of the year 9999, later than any message.
 _END_OF_TIME = 253_370_764_800_000_000
@@ -64,6 +72,10 @@ def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
             done.result()
 
 
+def _now() -> int:
+    return time.time_ns() // 1000
+
+
 def _latest(*times: int | None) -> int | None:
     return max((t for t in times if t is not None), default=None)
 
@@ -77,10 +89,19 @@ class SessionJob:
         pair_sink: Sink | None = None,
         unpaired_sink: Sink | None = None,
         after_step: Sink | None = None,
+        now: Callable[[], int] = _now,
+        number_rows: bool = False,
     ):
         """Sinks get the results of each step and its number; `after_step` gets the messages
-        read in it, once all results are written."""
+        read in it, once all results are written. `now`: the time of day in microseconds.
+        `number_rows`: ids tell no more than where rows come from; make them unique by the place in the
+        step's input, which is the same when a step is repeated."""
         self.options = options
+        self.number_rows = number_rows
+        self.now = now
+        folder = f"{options.checkpoint}/state"
+        self.sessions = KeyedState(f"{folder}/sessions", ["teid"], self._open_schema(), options.compact_every)
+        self.sent = SentKeys(f"{folder}/sent", options.compact_every)
         self.pair_sink = pair_sink or table_sink(options.pair_out)
         self.unpaired_sink = unpaired_sink or table_sink(options.unpaired_out)
         self.after_step = after_step
@@ -89,9 +110,13 @@ class SessionJob:
         """Starts on a streaming DataFrame of messages, see `schema.MESSAGE`. A column `reason`
         tells why the source could not read a message."""
         given = ["reason"] if "reason" in messages.columns else []
+        rows = messages.select(*MESSAGE.names, *given)
+        if self.options.idle_after is not None and self.options.trigger is not None:
+            ticks = messages.sparkSession.readStream.format("rate").option("numPartitions", 1).load()
+            ticks = ticks.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in MESSAGE], F.lit(_TICK).alias("reason"))
+            rows = rows.unionByName(ticks, allowMissingColumns=True)
         writer = (
-            messages.select(*MESSAGE.names, *given)
-            .writeStream.option("checkpointLocation", f"{self.options.checkpoint}/source")
+            rows.writeStream.option("checkpointLocation", f"{self.options.checkpoint}/source")
             .foreachBatch(self._on_batch)
         )
         if self.options.trigger is None:
@@ -99,11 +124,16 @@ class SessionJob:
         return writer.trigger(processingTime=f"{self.options.trigger} seconds").start()
 
     def _on_batch(self, batch: DataFrame, step: int) -> None:
+        if self.number_rows:
+            batch = batch.withColumn("id", F.xxhash64("id", F.lit(step), F.monotonically_increasing_id()))
         batch = batch.persist()
         try:
-            self._run(batch, step)
+            messages = batch
+            if "reason" in batch.columns:
+                messages = batch.where(~F.col("reason").eqNullSafe(F.lit(_TICK)))
+            self._run(messages, step)
             if self.after_step is not None:
-                self.after_step(batch, step)
+                self.after_step(messages, step)
         finally:
             batch.unpersist()
 
@@ -137,10 +167,15 @@ class SessionJob:
             ]
         )
 
+    def clock(self, spark: SparkSession, step: int) -> dict:
+        """The clock after a step."""
+        row = self._load(spark, step, "clock", _CLOCK).first()
+        return row.asDict() if row else {"newest": None, "settled": None, "moved": None, "seq": 0}
+
     def _run(self, batch: DataFrame, step: int, end: int | None = None) -> None:
         o, spark = self.options, batch.sparkSession
-        clock = self._load(spark, step - 1, "clock", _CLOCK).first()
-        newest, settled = (clock["newest"], clock["settled"]) if clock else (None, None)
+        clock = self.clock(spark, step - 1)
+        newest, settled, seq = clock["newest"], clock["settled"], clock["seq"] + 1
 
         late = F.unix_micros("ts") < F.lit(settled)
         # One wrong date must not move the clock, or all that follows would be late.
@@ -150,14 +185,25 @@ class SessionJob:
             "reason", F.coalesce("reason", F.when(late, "late"), F.when(ahead, "ahead"))
         )
         usable = judged.where("reason IS NULL").drop("reason")
-        seen = usable.agg(
-            F.count(F.lit(1)).alias("rows"), F.max(F.unix_micros("ts")).alias("newest")
+        seen = judged.agg(
+            F.count(F.lit(1)).alias("read"),
+            F.count(F.when(F.col("reason").isNull(), 1)).alias("rows"),
+            F.max(F.when(F.col("reason").isNull(), F.unix_micros("ts"))).alias("newest"),
         ).first()
-        newest = _latest(newest, seen["newest"])
-        settled = end or _latest(settled, newest and newest - round(o.delay * 1_000_000))
+        now, moved = self.now(), clock["moved"]
+        if seen["newest"] is not None and (newest is None or seen["newest"] > newest):
+            newest, moved = seen["newest"], now
+        going = newest
+        if newest is not None and o.idle_after is not None and now - moved >= o.idle_after * 1_000_000:
+            going = newest + now - moved
+        settled = end or _latest(settled, going and going - round(o.delay * 1_000_000))
         until = None if settled is None else F.timestamp_micros(F.lit(settled))
 
-        held = self._load(spark, step - 1, "steps", _STEP).where("kind = 'open'")
+        held = self._load(spark, seq - 1 or -1, "steps", _STEP).where("kind = 'open'")
+        if not seen["read"] and end is None and (settled == clock["settled"] or held.isEmpty()):
+            # A tick with nothing to settle costs no more than the clock.
+            self._save(spark.createDataFrame([(newest, settled, moved, seq - 1)], _CLOCK), step, "clock", _CLOCK)
+            return
         messages = held.select("first.*").unionByName(usable)
         # Few messages are held, so a hot key of the step shows in the new ones.
         hot = hot_pair_keys(usable, o.skew, seen["rows"])
@@ -167,15 +213,13 @@ class SessionJob:
             F.lit(None).cast(MESSAGE).alias("second"),
             F.col("reason").alias("kind"),
         )
-        steps = self._save(settled_now.unionByName(unusable), step, "steps", _STEP, "kind")
+        steps = self._save(settled_now.unionByName(unusable), seq, "steps", _STEP, "kind")
         _together(
             spark,
             lambda: self._write_unpaired(steps, step),
-            lambda: self._write_pairs(steps, step, until),
-        )
-        self._save(
-            spark.createDataFrame([(newest, settled)], _CLOCK), step, "clock", _CLOCK
+            lambda: self._write_pairs(steps, step, seq, until, clock["settled"]),
         )
+        self._save(spark.createDataFrame([(newest, settled, moved, seq)], _CLOCK), step, "clock", _CLOCK)
 
     def _write_unpaired(self, steps: DataFrame, step: int) -> None:
         unpaired = steps.where("kind NOT IN ('pair', 'open')")
@@ -184,27 +228,39 @@ class SessionJob:
             unpaired = unpaired_output(unpaired)
         self.unpaired_sink(unpaired, step)
 
-    def _write_pairs(self, steps: DataFrame, step: int, until: Column | None) -> None:
+    def _write_pairs(self, steps: DataFrame, step: int, seq: int, until: Column | None, before: int | None) -> None:
         """Enriches the pairs of the step, going on from the open sessions, and writes both."""
-        o, spark, schema = self.options, steps.sparkSession, self._open_schema()
+        o, spark = self.options, steps.sparkSession
         keyed = steps.where("kind = 'pair'").withColumn(
             "pair_key", pair_key("first.sequence_number", "first.source_ip", "first.dest_ip")
         )
         pairs = keyed.select(*pair_columns())
-        before = self._load(spark, step - 1, "sessions", schema)
-        continued = continue_sessions(pairs, before, o.session_ttl, o.ttl, o.carry_all, o.skew)
-        enriched = self._save(continued, step, "enriched", continued.schema)
-        after = before
-        if until is not None:
-            after = open_sessions_after(enriched, before, until, o.session_ttl, o.carry_all)
+        touched = pairs.select("teid").where("teid IS NOT NULL")
+        known = self.sessions.load(spark, seq - 1, touched)
+        continued = continue_sessions(pairs, known, o.session_ttl, o.ttl, o.carry_all, o.skew)
+        enriched = self._save(continued, seq, "enriched", continued.schema)
+        alive = None if until is None else F.col("oldest_in") + seconds(o.session_ttl) > until
 
         rows = enriched.drop("_oldest", "session_no")
         no_session = pairs.where(F.col("teid").isNull())
         everything = rows.unionByName(no_session, allowMissingColumns=True)
+        writes = [lambda: self.sessions.save(sessions_touched(enriched, o.carry_all), seq, alive)]
+        if o.dedup is not None:
+            # Pairs settle in the order of time: none falls into a span that ended before.
+            first_span = 0 if before is None else before // round(o.dedup * 1_000_000)
+            fresh = self._unsent(everything, seq, first_span)
+            everything = self._save(fresh, seq, "published", fresh.schema)
+            sent = everything.select(digest_key().alias("key"), span_of("t1", o.dedup).alias("span"))
+            writes.append(lambda: self.sent.save(sent, seq, first_span))
         if o.output_format != "rows":
             everything = pair_output(everything, o.output_format)
-        _together(
-            spark,
-            lambda: self._save(after.select(*schema.names), step, "sessions", schema),
-            lambda: self.pair_sink(everything, step),
-        )
+        _together(spark, *writes, lambda: self.pair_sink(everything, step))
+
+    def _unsent(self, pairs: DataFrame, seq: int, first_span: int) -> DataFrame:
+        """The first pair of each key and span, unless an earlier step sent that key in that span."""
+        within = self.options.dedup
+        fresh = drop_sent(pairs, within).withColumn("span", span_of("t1", within))
+        wanted = fresh.select("key", "span")
+        # What was sent is met with the few keys of the step, not the other way round.
+        repeated = self.sent.load(pairs.sparkSession, seq - 1, first_span).join(wanted, ["key", "span"], "left_semi")
+        return fresh.join(repeated, ["key", "span"], "left_anti").select(*pairs.columns)

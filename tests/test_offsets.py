@@ -58,6 +58,20 @@ def test_ledger(spark, tmp_path):
     assert as_dict(O.until_offsets(table(spark, [("a", 0, 3), ("a", 0, 4)]))) == {("a", 0): 5}
 
 
+def test_ledger_has_a_bounded_number_of_files(spark, tmp_path):
+    """Positions survive the ring; a repeated step changes nothing."""
+    path, counts = f"{tmp_path}/ledger", []
+    assert as_dict(O.read_ledger(spark, path)) == {}
+    for step in range(14):
+        rows = [("a", step % 3, step + 1), ("b", 0, 7)][: 1 + (step == 0)]
+        for _ in range(1 + (step % 4 == 1)):
+            O.save_ledger(table(spark, rows).coalesce(1), path, step, every=2)
+        want = {("a", k): max(s + 1 for s in range(step + 1) if s % 3 == k) for k in range(min(3, step + 1))}
+        assert as_dict(O.read_ledger(spark, path)) == {**want, ("b", 0): 7}
+        counts.append(len(list((tmp_path / "ledger").rglob("slot=*"))))
+    assert counts[-1] == counts[7] == 6
+
+
 def test_record_ids_hold_positions(spark):
     rows = table(spark, [("a", 0, 3), ("a", 7, (1 << 43) + 1)])
     ids = rows.select(kafka.record_id().alias("id"))

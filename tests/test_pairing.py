@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sigweave.functions.keys import pair_key
 from sigweave.operators.interval import answer_requests, answered
 from sigweave.operators.pairing import hot_pair_keys, pair_messages, unpaired_messages
-from sigweave.operators.skew import Skew, hot_values, id_block, with_slices
+from sigweave.operators.skew import Skew, hot_values, with_slices
 from sigweave.operators.validation import blank_to_null, with_time
 from tests.sequences import first_answers, greedy, messages, random_messages
 
@@ -125,17 +125,20 @@ def test_every_message_comes_out_once(spark, steps):
 
 
 @pytest.mark.parametrize("step", [0.001, 0.01, 0.0, 1.0])
-def test_slices_stay_few(spark, step):
-    """A dense key has about one slice per `min_rows` rows, and one per minute."""
+@pytest.mark.parametrize("hashed", [False, True])
+def test_slices_stay_few(spark, step, hashed):
+    """A dense key has about one slice per `min_rows` rows, and one per minute, whatever its ids."""
     rows = [{"id": i, "at": i * step, "seq": 1, "q": True} for i in range(4000)]
     m = messages(spark, rows).withColumn("k", F.lit("hot"))
+    if hashed:
+        m = m.withColumn("id", F.xxhash64("id"))
     skew = Skew(min_rows=500, id_block=400)
-    cut = with_slices(m, "k", ["hot"], skew, "ts", [id_block(F.col("id"), skew)])
+    cut = with_slices(m, "k", ["hot"], skew, "ts", [])
     sizes = [r["count"] for r in cut.groupBy("slice").count().collect()]
     assert sum(sizes) == 4000 and max(sizes) <= 1000
     assert len(sizes) <= 2 * 4000 / 400 + 4000 * step / 60 + 2
     ordered = [r["id"] for r in cut.orderBy("slice", "ts", "id").collect()]
-    assert ordered == list(range(4000))
+    assert ordered == [r["id"] for r in m.orderBy("ts", "id").collect()]
 
 
 def test_hot_values_are_exact(spark):

@@ -3,6 +3,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sigweave.operators.offsets import read_ledger
 from sigweave.operators.pairing import pair_messages, unpaired_messages
@@ -15,6 +16,7 @@ from sigweave.sources.kafka import ledger_sink
 from sigweave.sources.tap import tap
 from sigweave.streaming import launch
 from sigweave.streaming.job import SessionJob
+from sigweave.streaming.state import KeyedState, SentKeys
 from tests.sequences import messages, random_messages
 
 GAPS = [0, 0.5, 3, 20, 59.999999, 60]
@@ -204,3 +206,118 @@ def test_whole_job_from_options(spark, tmp_path, monkeypatch):
         launch.make_job(dataclasses.replace(options, output_format="rows"))
     with pytest.raises(ValueError, match="unknown source"):
         launch.stream_messages(spark, dataclasses.replace(options, source="pigeon"))
+
+
+def size_of(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def test_state_by_changes(spark, tmp_path):
+    """Against a dictionary, over several rounds of the ring; steps are repeated and keys taken away."""
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    state, plain, rng = KeyedState(f"{tmp_path}/s", ["k"], schema, every=3), {}, random.Random(3)
+    assert state.load(spark, 0).count() == 0
+    for seq in range(1, 15):
+        rows = {f"k{rng.randrange(9)}": (seq * 100 + i, rng.random() < 0.2) for i in range(rng.randrange(4))}
+        table = spark.createDataFrame([(k, v, gone) for k, (v, gone) in rows.items()], "k string, v long, gone boolean")
+        for _ in range(rng.randrange(1, 3)):
+            state.save(table, seq, F.col("v") > seq * 100 - 600)
+        plain |= {k: v for k, (v, _) in rows.items()}
+        plain = {k: v for k, v in plain.items() if not rows.get(k, (0, False))[1]}
+        if seq % 3 == 0:
+            plain = {k: v for k, v in plain.items() if v > seq * 100 - 600}
+        assert {r.k: r.v for r in state.load(spark, seq).collect()} == plain
+        some = spark.createDataFrame([("k1",), ("k2",), ("k1",)], "k string")
+        assert {r.k: r.v for r in state.load(spark, seq, some).collect()} == {k: plain[k] for k in ("k1", "k2") if k in plain}
+
+
+def test_a_step_writes_what_it_touches(spark, tmp_path):
+    made = job(tmp_path, delay=0.0)
+    pairs = lambda at, ids: [
+        {"id": 2 * i + q, "at": at + q, "seq": i, "q": q == 0, "teid": f"T{i}" if q else None, "imsi": f"I{i}" * 20}
+        for i in ids
+        for q in (0, 1)
+    ]
+    made._on_batch(messages(spark, pairs(0, range(3000)) + [{"id": -1, "at": 10, "seq": -1}]), 0)
+    made._on_batch(messages(spark, pairs(20, [1, 2]) + [{"id": -2, "at": 30, "seq": -2}]), 1)
+    many, few = (size_of(tmp_path / f"state/state/sessions/change/slot={k}") for k in (1, 2))
+    assert made.sessions.load(spark, 2).count() == 3000
+    assert few < many / 5
+
+
+def test_sent_keys_in_spans(spark, tmp_path):
+    sent, table = SentKeys(f"{tmp_path}/sent", every=2), {}
+    for seq in range(1, 12):
+        first = seq // 2
+        rows = [(f"k{seq}{i}", first + i) for i in range(3)]
+        for _ in range(2):
+            sent.save(spark.createDataFrame(rows, "key string, span long"), seq, first)
+        table |= dict(rows)
+        want = {(k, s) for k, s in table.items() if s >= first}
+        assert {tuple(r) for r in sent.load(spark, seq, first).collect()} == want
+    assert min(int(p.name[5:]) for p in (tmp_path / "sent/spans").glob("span=*")) >= 5
+
+
+def test_keys_are_sent_once_a_span(spark, tmp_path):
+    made = job(tmp_path, delay=0.0, dedup=1000.0, compact_every=2)
+    for step, at in enumerate([100, 300, 900, 1100, 1500]):
+        rows = [{"id": 9 * step, "at": at, "seq": 5}, {"id": 9 * step + 1, "at": at + 1, "seq": 5, "q": False}]
+        end = {"id": 9 * step + 2, "at": at + 5, "seq": 1000 + step}
+        for _ in range(1 + step % 2):
+            made._on_batch(messages(spark, [*rows, end]), step)
+    made.drain(spark, 4)
+    shift = 1_700_000_000 % 1000
+    want, seen = [], set()
+    for step, at in enumerate([100, 300, 900, 1100, 1500]):
+        span = (at + 1 + shift) // 1000
+        if span not in seen:
+            want.append(9 * step)
+        seen.add(span)
+    got = spark.read.parquet(f"{tmp_path}/pairs").select("first.id").collect()
+    assert sorted(r["id"] for r in got) == want
+
+
+def test_idle_clock_settles_what_is_open(spark, tmp_path):
+    at = [0]
+    made = job(tmp_path, delay=5.0, idle_after=30.0)
+    made.now = lambda: at[0] * 1_000_000
+    none = messages(spark, []).withColumn("reason", F.lit("tick"))
+    made._on_batch(messages(spark, [{"id": 0, "at": 0}, {"id": 1, "at": 50, "seq": 2}, {"id": 2, "at": 51, "seq": 2, "q": False}]), 0)
+    settled, numbers = [], []
+    for step, now in enumerate([10, 29, 40, 100, 200], start=1):
+        at[0] = now
+        made._on_batch(none, step)
+        settled.append(made.clock(spark, step)["settled"] // 1_000_000 - 1_700_000_000)
+        numbers.append(made.clock(spark, step)["seq"])
+    assert settled == [46, 46, 86, 146, 246]
+    # Only the third tick had anything to settle.
+    assert numbers == [1, 1, 2, 2, 2]
+    assert [r["id"] for r in spark.read.parquet(f"{tmp_path}/unpaired").collect()] == [0]
+    assert [r["id"] for r in spark.read.parquet(f"{tmp_path}/pairs").select("first.id").collect()] == [1]
+    made._on_batch(messages(spark, [{"id": 3, "at": 100}, {"id": 4, "at": 300}]), 6)
+    late = spark.read.parquet(f"{tmp_path}/unpaired").where("reason = 'late'").collect()
+    assert [r["id"] for r in late] == [3] and made.clock(spark, 6)["newest"] == (1_700_000_000 + 300) * 1_000_000
+
+
+def test_start_with_a_ledger(spark, tmp_path):
+    options = JobOptions(checkpoint=f"{tmp_path}/state", pair_out="", unpaired_out="", ledger=f"{tmp_path}/none", source="kafka")
+    with pytest.raises(ValueError, match="earliest"):
+        launch.stream_messages(spark, options)
+    assert read_ledger(spark, f"{tmp_path}/none").count() == 0
+    with pytest.raises(ValueError, match="kafka"):
+        launch.make_job(dataclasses.replace(options, source="lines"))
+
+
+def test_equal_lines_have_ids_of_their_own(spark, tmp_path):
+    line = "source-ip=1.1.1.1,dest-ip=2.2.2.2,sequence-number=5,message-type=A Request,teid=T"
+    spark.createDataFrame([(line,)] * 50, "value string").write.text(f"{tmp_path}/in")
+    options = JobOptions(checkpoint=f"{tmp_path}/state", pair_out="", unpaired_out="", source="lines", location=f"{tmp_path}/in")
+    made, ids = launch.make_job(dataclasses.replace(options, trigger=None, pair_out=f"{tmp_path}/p", unpaired_out=f"{tmp_path}/u")), []
+    made.after_step = lambda df, step: ids.append(sorted(r["id"] for r in df.select("id").collect()))
+    made.start(launch.stream_messages(spark, options)).awaitTermination()
+    assert [len(set(x)) for x in ids] == [50]
+
+
+def test_records_keep_their_partition(spark):
+    assert kafka.record_columns(spark.sql("SELECT 1 AS x, 'a' AS value, 3 AS partition, 'k' AS key")) == ["key", "value", "partition"]
+    assert kafka.record_columns(spark.sql("SELECT 'a' AS value, 'k' AS key")) == ["key", "value"]
