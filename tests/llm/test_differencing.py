@@ -53,6 +53,8 @@ def test_ids_like_the_tokenizer():
     some = ["a", "B", " ", "\n", "'", "s", "́", "9", "é", "\x1f", " ", "日", "!", "<|endoftext|>", "　"]
     texts += ["".join(rng.choice(some) for _ in range(rng.randint(0, 60))) for _ in range(400)]
     own = WordIds(VOCABULARY)
+    latin = [chr(c) for c in (*range(33, 127), *range(0xA1, 0x180))] + ["'s", "'LL", "'", "a", "e", "́"]
+    texts += ["".join(rng.choice(latin) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
     plain = plain_ids(dict(enumerate(texts)))
     assert [[*own.of(t.encode()).tolist(), 2] for t in texts] == [plain[k] for k in range(len(texts))]
 
