@@ -80,7 +80,7 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return repeats.without_repeats(table(spark, sf_dir, "documents"), keep=False)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

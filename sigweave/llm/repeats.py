@@ -151,16 +151,16 @@ def _take_apart(length: int, run_of: int):
                 if key == last:
                     continue
                 last = key
-                parts = batch.column("parts")[i].as_py()
+                parts = batch.column("parts")[i].values
                 raw = texts[i].as_py()
                 for at in range(0, len(parts), 1000):
                     out = []
-                    for p in parts[at : at + 1000]:
-                        t = p["t"]
-                        for a in range(p["lo"] - p["lo"] % run_of, p["hi"] + 1, run_of):
-                            lo, hi = max(p["lo"], a), min(p["hi"], a + run_of - 1)
+                    some = parts.slice(at, 1000)
+                    for m, f, t, first, end in zip(*(some.field(name).to_numpy().tolist() for name in ("m", "f", "t", "lo", "hi"))):
+                        for a in range(first - first % run_of, end + 1, run_of):
+                            lo, hi = max(first, a), min(end, a + run_of - 1)
                             inner = digest(raw[t - a : t - a - run_of + 1 + length], a)
-                            out.append((p["m"], p["f"], lo, hi, inner, digest(raw[t - hi : t - lo + length], lo * length + hi)))
+                            out.append((m, f, lo, hi, inner, digest(raw[t - hi : t - lo + length], lo * length + hi)))
                     m, f, lo, hi, m2, f2 = zip(*out)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -187,44 +187,57 @@ def _runs(rows: DataFrame, classes: DataFrame, length: int, run_of: int) -> Data
     )
 
 
-def _merged(parts: list[dict] | None, n: int) -> np.ndarray:
+def _merged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Disjoint ranges, (k, 2), from overlapping ones."""
-    if not parts:
+    if not len(starts):
         return np.zeros((0, 2), np.int64)
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, [p["start"] for p in parts], 1)
-    np.add.at(edge, [p["end"] for p in parts], -1)
-    inside = np.concatenate(([False], np.cumsum(edge)[:-1] > 0, [False]))
-    return np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For mapInArrow: texts with the listed ranges taken out."""
-    for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
-        ranges = batch.column("parts")
-        n_bytes, removed, spans, sha, kept = [], [], [], [], []
-        for i in range(batch.num_rows):
-            raw = texts[i].as_py() or b""
-            out = _merged(ranges[i].as_py(), len(raw))
-            gaps = np.concatenate(([0], out.ravel(), [len(raw)])).reshape(-1, 2).tolist()
-            left = b"".join(raw[a:b] for a, b in gaps)
-            n_bytes.append(len(raw))
-            removed.append(len(raw) - len(left))
-            spans.append(len(out))
-            sha.append(hashlib.sha256(left).hexdigest())
-            kept.append(left)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.array(n_bytes, pa.int64()),
-                pa.array(removed, pa.int64()),
-                pa.array(spans, pa.int64()),
-                pa.array(sha, pa.string()),
-                pa.array(kept, pa.binary()),
-            ],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-        )
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    opens = np.append(True, starts[1:] > reach[:-1])
+    return np.stack([starts[opens], np.append(reach[:-1][opens[1:]], reach[-1])], axis=1).astype(np.int64)
+
+
+def _cut(keep: bool):
+    """For mapInArrow: texts with the listed ranges taken out; the bytes left are handed on if wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                yield _cut_rows(batch.slice(at, 256), keep)
+
+    return run
+
+
+def _cut_rows(batch: pa.RecordBatch, keep: bool) -> pa.RecordBatch:
+    texts = batch.column("text").cast(pa.binary())
+    ranges = batch.column("parts")
+    n_bytes, removed, spans, sha, kept = [], [], [], [], []
+    for i in range(batch.num_rows):
+        raw = texts[i].as_py() or b""
+        parts = ranges[i].values
+        if parts is None:
+            out = _merged(np.zeros(0), np.zeros(0))
+        else:
+            out = _merged(parts.field("start").to_numpy(), parts.field("end").to_numpy())
+        gaps = np.concatenate(([0], out.ravel(), [len(raw)])).reshape(-1, 2).tolist()
+        left = b"".join(raw[a:b] for a, b in gaps)
+        n_bytes.append(len(raw))
+        removed.append(len(raw) - len(left))
+        spans.append(len(out))
+        sha.append(hashlib.sha256(left).hexdigest())
+        kept.append(left if keep else None)
+    columns = [
+        batch.column("doc_id"),
+        pa.array(n_bytes, pa.int64()),
+        pa.array(removed, pa.int64()),
+        pa.array(spans, pa.int64()),
+        pa.array(sha, pa.string()),
+    ]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    if keep:
+        columns.append(pa.array(kept, pa.binary()))
+        names.append("kept")
+    return pa.RecordBatch.from_arrays(columns, names)
 
 
 def _edges(rows: DataFrame, phrases: DataFrame, length: int) -> DataFrame:
@@ -260,23 +273,33 @@ def _edges(rows: DataFrame, phrases: DataFrame, length: int) -> DataFrame:
 def _ranges(found: DataFrame, classes: DataFrame, length: int) -> DataFrame:
     """Removed ranges per text digest, from phrases and their repeated classes.
 
-    `places` null: all the phrase's windows are repeated.
+    `places` null: all the phrase's windows are repeated. Neighbouring places make one range.
     """
+    places = F.array_sort("places")
+    firsts = F.filter("places", lambda a, k: (k == 0) | (a > F.get("places", k - 1) + 1))
+    lasts = F.filter("places", lambda a, k: (k == F.size("places") - 1) | (F.get("places", k + 1) > a + 1))
+    found_places = F.arrays_zip(firsts.alias("first"), lasts.alias("last"))
     t = F.coalesce("more", F.array("t"))
     whole = F.transform(t, lambda x: F.struct((x - F.col("hi")).alias("start"), (x - F.col("lo") + length).alias("end")))
     some = F.flatten(
         F.transform(
-            t, lambda x: F.transform("places", lambda a: F.struct((x - a).alias("start"), (x - a + length).alias("end")))
+            t,
+            lambda x: F.transform(
+                "near", lambda a: F.struct((x - a["last"]).alias("start"), (x - a["first"] + length).alias("end"))
+            ),
         )
     )
+    classes = classes.withColumn("places", places).select("m", "f", "places", found_places.alias("near"))
     spans = found.join(classes, ["m", "f"]).select(
         "d1", "d2", F.explode(F.when(F.col("places").isNull(), whole).otherwise(some)).alias("span")
     )
     return spans.groupBy("d1", "d2").agg(F.collect_set("span").alias("parts"))
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left).
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, keep: bool = True
+) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left, if wanted).
 
     Texts are UTF-8 bytes, null is empty; shorter ones than `length` are left whole. Rows that
     repeat are copies like any other, each other's repeats. What is left need not be valid UTF-8. Other columns
@@ -311,6 +334,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     none = F.lit(None).cast(ranges.schema["parts"].dataType).alias("parts")
     whole = rows.select("doc_id", "d1", "text", none)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    out = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    whole = whole.mapInArrow(lambda batches: _cut(batches_among(batches, "d1", touched.value, False)), out)
-    return cut.mapInArrow(_cut, out).unionByName(whole)
+    out = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    out += ", kept binary" if keep else ""
+    whole = whole.mapInArrow(lambda batches: _cut(keep)(batches_among(batches, "d1", touched.value, False)), out)
+    return cut.mapInArrow(_cut(keep), out).unionByName(whole)
