@@ -5,7 +5,7 @@ a key; a dense key would then grow with the square of its rows. Here the respons
 back to the requests by one window pass, which is linear in the rows.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -80,6 +80,30 @@ def answer_requests(
     ).withColumn("latency_ms", elapsed_ms(F.col("request.ts"), F.col("response.ts")))
 
 
+def settle_requests(messages: DataFrame, until: Column | None, ttl: float, skew: Skew) -> DataFrame:
+    """One step of a stream: `kind`, `first`, `second` of all messages held so far.
+
+    No message older than `until` will come any more. So a request whose first response is older than that is
+    final ('pair'), and one that has waited for `ttl` in vain ('unanswered'). Other requests are 'open', and so are
+    responses that a request still to come may be answered by; earlier responses are done with. A key
+    holds its open requests and such responses, never combinations of them. Messages of other types are left out.
+    """
+    none = F.lit(None).cast(MESSAGE)
+    if until is None:
+        return messages.select(F.lit("open").alias("kind"), F.struct(*_COLUMNS).alias("first"), none.alias("second"))
+    found = F.coalesce(F.col("response.ts") < until, F.lit(False))
+    over = F.col("request.ts") + seconds(ttl) <= until
+    requests = answer_requests(messages, ttl, skew).select(
+        F.when(found, "pair").when(over, "unanswered").otherwise("open").alias("kind"),
+        F.col("request").alias("first"),
+        F.when(found, F.col("response")).otherwise(none).alias("second"),
+    )
+    responses = messages.where(is_response(F.col("message_type")) & (F.col("ts") >= until))
+    return requests.unionByName(
+        responses.select(F.lit("open").alias("kind"), F.struct(*_COLUMNS).alias("first"), none.alias("second"))
+    )
+
+
 def answered(messages: DataFrame, ttl: float = TTL_SECONDS, skew: Skew = Skew()) -> DataFrame:
     return answer_requests(messages, ttl, skew).where(F.col("response").isNotNull())
 

@@ -16,7 +16,8 @@ class JobOptions:
     idle_after: seconds without news after which the clock goes on with the time of day; None to
     wait for messages. A stream started with it must be started with it again. dedup: publish a key once
     in each span of so many seconds of event time; None to publish every pair. compact_every: steps
-    after which changes of state are put together.
+    after which changes of state are put together. pairing: "next" pairs a message with the next of its key,
+    "response" each request with the first response that follows.
     """
 
     checkpoint: str
@@ -31,6 +32,7 @@ class JobOptions:
     idle_after: float | None = None
     dedup: float | None = None
     compact_every: int = 16
+    pairing: str = "next"
     output_format: str = "rows"
     unpaired_format: str = "rows"
     source: str = "messages"

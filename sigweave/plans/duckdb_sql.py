@@ -268,6 +268,7 @@ _ON_TIME = _after("ok AS (SELECT * EXCLUDE (late) FROM a WHERE NOT late), " + _w
 
 ORACLES |= {
     "stream_dedup": ORACLES["dedup_keys"],
+    "stream_interval": _with(_INTERVAL) + "SELECT pair_key, request_id, response_id FROM x WHERE nth = 1",
     # What arrives after a step is late if it is older than all that came before, less the ten seconds of delay.
     "stream_late": _with(_PARTS)
     + ", h2 AS (SELECT * EXCLUDE (part), part + CASE WHEN id % 10 = 0 THEN 1 ELSE 0 END AS step FROM h), "

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sigweave.functions.keys import pair_key
 from sigweave.operators import output
 from sigweave.options import JobOptions
 from sigweave.plans.reports import SESSION_TTL, pair_ids
@@ -114,6 +115,17 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each request with its first response, and those that got none."""
+    folder = replay(spark, sf_dir, (2, 4), pairing="response")
+    pairs = spark.read.parquet(f"{folder}/pairs").select(
+        "pair_key", F.col("first.id").alias("request_id"), F.col("second.id").alias("response_id")
+    )
+    none = F.lit(None).cast("bigint").alias("response_id")
+    alone = spark.read.parquet(f"{folder}/unpaired").where("reason = 'unanswered'")
+    return pairs.unionByName(alone.select(pair_key().alias("pair_key"), F.col("id").alias("request_id"), none))
+
+
 def _results(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs and unpaired messages in one table."""
     pairs = spark.read.parquet(f"{folder}/pairs").select(
@@ -238,6 +250,7 @@ STREAMS = {
     "stream_sessions": stream_sessions,
     "stream_restart": stream_restart,
     "stream_dedup": stream_dedup,
+    "stream_interval": stream_interval,
     "stream_late": stream_late,
     "stream_idle": stream_idle,
     "stream_pairs_keyed": stream_pairs_keyed,

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sigweave.functions.keys import pair_key
 from sigweave.functions.times import seconds
+from sigweave.operators.interval import settle_requests
 from sigweave.operators.output import digest_key, drop_sent, pair_output, span_of, unpaired_output
 from sigweave.operators.pairing import hot_pair_keys, pair_columns, settle_messages
 from sigweave.operators.sessions import (
@@ -96,6 +97,8 @@ class SessionJob:
         read in it, once all results are written. `now`: the time of day in microseconds.
         `number_rows`: ids tell no more than where rows come from; make them unique by the place in the
         step's input, which is the same when a step is repeated."""
+        if options.pairing not in ("next", "response"):
+            raise ValueError(f"unknown pairing: {options.pairing}")
         self.options = options
         self.number_rows = number_rows
         self.now = now
@@ -205,9 +208,12 @@ class SessionJob:
             self._save(spark.createDataFrame([(newest, settled, moved, seq - 1)], _CLOCK), step, "clock", _CLOCK)
             return
         messages = held.select("first.*").unionByName(usable)
-        # Few messages are held, so a hot key of the step shows in the new ones.
-        hot = hot_pair_keys(usable, o.skew, seen["rows"])
-        settled_now = settle_messages(messages, until, o.ttl, o.skew, hot)
+        if o.pairing == "response":
+            settled_now = settle_requests(messages, until, o.ttl, o.skew)
+        else:
+            # Few messages are held, so a hot key of the step shows in the new ones.
+            hot = hot_pair_keys(usable, o.skew, seen["rows"])
+            settled_now = settle_messages(messages, until, o.ttl, o.skew, hot)
         unusable = judged.where("reason IS NOT NULL").select(
             F.struct(*MESSAGE.names).alias("first"),
             F.lit(None).cast(MESSAGE).alias("second"),

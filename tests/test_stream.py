@@ -17,7 +17,7 @@ from sigweave.sources.tap import tap
 from sigweave.streaming import launch
 from sigweave.streaming.job import SessionJob
 from sigweave.streaming.state import KeyedState, SentKeys
-from tests.sequences import messages, random_messages
+from tests.sequences import first_answers, messages, random_messages
 
 GAPS = [0, 0.5, 3, 20, 59.999999, 60]
 
@@ -321,3 +321,19 @@ def test_equal_lines_have_ids_of_their_own(spark, tmp_path):
 def test_records_keep_their_partition(spark):
     assert kafka.record_columns(spark.sql("SELECT 1 AS x, 'a' AS value, 3 AS partition, 'k' AS key")) == ["key", "value", "partition"]
     assert kafka.record_columns(spark.sql("SELECT 'a' AS value, 'k' AS key")) == ["key", "value"]
+
+
+@pytest.mark.parametrize("skew", [Skew(), Skew(min_rows=20, slice_seconds=60, id_block=3)])
+def test_typed_pairing_equals_batch(spark, tmp_path, skew):
+    """Late arrivals inside the delay, repeated steps, and requests that share a response."""
+    rows = random_messages(21, 160, GAPS)
+    write_parts(spark, rows, f"{tmp_path}/in", 3, delay=10.0)
+    made = job(tmp_path, delay=10.0, session_ttl=120.0, skew=skew, pairing="response")
+    last = run(spark, made, tmp_path)
+    made.drain(spark, last)
+    pairs = spark.read.parquet(f"{tmp_path}/pairs").select("first.id", "second.id").collect()
+    alone = spark.read.parquet(f"{tmp_path}/unpaired").collect()
+    assert {r["reason"] for r in alone} == {"unanswered"}
+    assert sorted([tuple(r) for r in pairs] + [(r["id"], None) for r in alone], key=str) == sorted(first_answers(rows), key=str)
+    with pytest.raises(ValueError, match="unknown pairing"):
+        job(tmp_path, pairing="any")
