@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from sigweave.llm import attention
 from sigweave.llm.shared import stored
-from sigweave.llm.tokens import RANKS, encoder
+from sigweave.llm.tokens import RANKS, encoder, ids_of
 
 #: Entries of the vocabulary with a meaning of their own; ids follow.
 _END, _RARE, _FIRST = 0, 1, 2
@@ -56,7 +56,7 @@ def _words(text: str | None) -> list[bytes]:
 
 def _ids(words: list[bytes], ranks: str) -> np.ndarray:
     line = b"".join(b" " + w for w in words).decode()
-    return encoder(ranks).encode_to_numpy(line, disallowed_special=())
+    return ids_of(line, ranks)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:

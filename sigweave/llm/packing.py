@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.tokens import RANKS, encoder
+from sigweave.llm.tokens import RANKS, encoder, ids_of
 
 #: An id that the vocabulary leaves free; it ends every document and fills what is left of a row.
 END = 50256
@@ -131,7 +131,6 @@ def pack(
     wide = np.dtype("<u2" if most <= 1 << 16 else "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks).encode_to_numpy
         last = np.array([end], wide)
         first = TaskContext.get().partitionId() << 40
         ids, names, pieces, held, kind = [], [], [], 0, pa.null()
@@ -139,7 +138,7 @@ def pack(
             kind = batch.column("doc_id").type
             for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 text = text.as_py()
-                found = encode(text, disallowed_special=()).astype(wide) if text else last[:0]
+                found = ids_of(text, ranks).astype(wide) if text else last[:0]
                 found = np.concatenate((found, last))
                 for k, at in enumerate(range(0, len(found), context)):
                     piece = found[at : at + context]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sigweave.llm.tokens import RANKS, encoder
+from sigweave.llm.tokens import RANKS, ids_of
 
 _BLOCK = 10
 
@@ -23,8 +23,7 @@ def encoded_length(text: Column, ranks: str = RANKS) -> Column:
 
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
-        encode = encoder(ranks).encode_to_numpy
-        return pa.array([len(encode(t.as_py() or "", disallowed_special=())) for t in texts], pa.int64())
+        return pa.array([len(ids_of(t.as_py() or "", ranks)) for t in texts], pa.int64())
 
     return of(text)
 

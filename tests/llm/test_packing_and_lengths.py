@@ -7,7 +7,8 @@ import pandas as pd
 from sigweave.llm.packing import END, Capacity, best_fit, pack
 from sigweave.llm.queries import QUERIES
 from sigweave.llm.token_lengths import at_limits, histogram, quantile, suffix_sums
-from sigweave.llm.tokens import encoder
+from sigweave.llm import attention_lm
+from sigweave.llm.tokens import LONG_RUN, RANKS, encoder, ids_of
 
 
 def test_capacity_finds_the_least():
@@ -104,3 +105,28 @@ def test_lengths_of_odd_rows(spark):
     kept = {(r.source, r.limit): r.truncated_total for r in at_limits(hist, [2, 5], ("source",)).collect()}
     assert kept == {("a", 2): 2, ("a", 5): 5, (None, 2): 2, (None, 5): 3}
     assert suffix_sums(histogram(df.limit(0))).count() == 0
+
+
+BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "\x1c\x1d\x1e\x1f"]
+
+
+def test_runs_of_blanks_like_the_encoder():
+    """Around the length from which runs are cut out, before words, at both ends, of all kinds of blanks."""
+    rng = random.Random(5)
+    texts = ["a" + " " * 700_000 + "b", "\n" * LONG_RUN, " " * (LONG_RUN - 1) + "q", "x y" + "\n" * 120_000 + "  z"]
+    for n in (LONG_RUN - 1, LONG_RUN, LONG_RUN + 1):
+        run = "".join(rng.choice(BLANKS) for _ in range(n))
+        texts += ["word." + run + "Next", run + "'s", "1" + run, "".join(BLANKS) + "\x1c" + run + "\x1f" + run]
+    for text in texts:
+        assert ids_of(text).tolist() == encoder().encode_ordinary(text)
+
+
+def test_very_long_runs_of_blanks(spark):
+    """Where the encoder itself fails."""
+    texts = ["a" + " " * 2_000_000 + "b", "\n" * 2_000_000, "a" + "\u3000" * 1_200_000 + "b c"]
+    for text in texts:
+        assert encoder().decode(ids_of(text).tolist()) == text
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert unpacked(pack(df, context=1024).collect(), 1024) == dict(enumerate(texts))
+    assert sum(r.n_docs for r in histogram(df).collect()) == 3
+    assert len(attention_lm._ids([texts[2].encode()], RANKS)) > 1000
