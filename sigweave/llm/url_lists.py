@@ -23,28 +23,39 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_extract(F.coalesce(url, F.lit("")), _PARTS, 1), r"\.$", ""))
 
 
-def patterns_of(url: Column) -> Column:
-    """Array of (kind, pattern) that a list may hold for this URL."""
+def patterns_of(url: Column, labels: Column | None = None, steps: Column | None = None) -> Column:
+    """Array of (kind, pattern) that a list may hold for this URL.
+
+    `labels` and `steps`: the most that a listed domain or leading path has; longer ones are not
+    made, so that a very long URL costs its length and not the square of it.
+    """
     host = host_of(url)
-    labels = F.split(host, r"\.")
-    n = F.size(labels)
+    parts = F.split(host, r"\.")
+    n = F.size(parts)
+    first = F.lit(1) if labels is None else F.greatest(F.lit(1), n - labels + 1)
     domains = F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.struct(
-            F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, n), ".").alias("pattern")
-        ),
+        F.sequence(first, n),
+        lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(parts, i, n), ".").alias("pattern")),
     )
-    steps = F.filter(F.split(F.regexp_extract(F.coalesce(url, F.lit("")), _PARTS, 2), "/"), lambda s: s != "")
-    paths = F.transform(
-        F.sequence(F.lit(1), F.size(steps)),
+    path = F.filter(F.split(F.regexp_extract(F.coalesce(url, F.lit("")), _PARTS, 2), "/"), lambda s: s != "")
+    last = F.size(path) if steps is None else F.least(F.size(path), steps)
+    prefixes = F.transform(
+        F.sequence(F.lit(1), last),
         lambda i: F.struct(
             F.lit("prefix").alias("kind"),
-            F.concat(host, F.lit("/"), F.array_join(F.slice(steps, F.lit(1), i), "/")).alias("pattern"),
+            F.concat(host, F.lit("/"), F.array_join(F.slice(path, F.lit(1), i), "/")).alias("pattern"),
         ),
     )
     none = F.expr("cast(array() as array<struct<kind:string,pattern:string>>)")
     own = F.array(F.struct(F.lit("host").alias("kind"), host.alias("pattern")))
-    return F.when(host == "", none).otherwise(F.concat(own, domains, F.when(F.size(steps) > 0, paths).otherwise(none)))
+    some = F.concat(own, F.when(first <= n, domains).otherwise(none), F.when(last > 0, prefixes).otherwise(none))
+    return F.when(host == "", none).otherwise(some)
+
+
+def _most(entries: DataFrame, kind: str, sign: str) -> Column:
+    """One more than the most times that `sign` is in a listed pattern of this kind; 0 without any."""
+    of = F.when(F.col("kind") == kind, F.regexp_count("pattern", F.lit(sign)) + 1)
+    return F.coalesce(entries.agg(F.coalesce(F.max(of), F.lit(0)).alias("most")).scalar(), F.lit(0))
 
 
 def states(entries: DataFrame) -> DataFrame:
@@ -87,14 +98,18 @@ def judged(
 
     blocked: on a list on the fetch day, and on none of the `allow` lists. A null URL, one
     without a host, or a null fetch time matches nothing. Repeated rows stay repeated. Other
-    columns are ignored; empty captures give no rows, empty entries block nothing.
+    columns are ignored; empty captures give no rows, empty entries block nothing. A URL may be
+    of any length and depth. Lists are dated by days: an entry counts for the whole of its day,
+    so fetch times count as days too.
     """
     rows = captures.select(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.to_date(fetched_col).alias("fetch_day")
     )
     # What is judged is a URL on a day; copies of both are judged once.
     seen = rows.where("url IS NOT NULL AND fetch_day IS NOT NULL").select("url", "fetch_day").distinct()
-    asked = seen.select("url", F.col("fetch_day").alias("day"), F.explode(patterns_of(F.col("url"))).alias("p"))
+    seen = seen.withColumn("labels", _most(entries, "domain", "[.]")).withColumn("steps", _most(entries, "prefix", "/") - 1)
+    made = patterns_of(F.col("url"), F.col("labels"), F.col("steps"))
+    asked = seen.select("url", F.col("fetch_day").alias("day"), F.explode(made).alias("p"))
     asked = asked.select("url", "day", "p.kind", "p.pattern")
     spans = intervals(entries)
     days = asked.select("kind", "pattern", "day").distinct()

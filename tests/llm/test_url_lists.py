@@ -99,3 +99,20 @@ def test_query_like_its_sql(spark, sf_dir):
 def test_native_plan(spark, sf_dir):
     plan = QUERIES["op1_url_lists"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_very_long_urls(spark):
+    deep = "http://a.example.com/" + "/".join(f"p{i}" for i in range(20000))
+    wide = "http://" + "x." * 5000 + "example.com/a"
+    urls = [deep, wide, "http://a.example.com/" + "q" * 500_000, "http://example.com//", "http://com"]
+    captures = [(i, u, day(12)) for i, u in enumerate(urls)]
+    entries = [
+        ("spam", "prefix", "a.example.com/p0/p1/p2", day(1), "add", 1),
+        ("spam", "prefix", "a.example.com/p0/p2", day(1), "add", 1),
+        ("ads", "domain", "example.com", day(1), "add", 1),
+        ("ads", "host", "com", day(1), "add", 1),
+    ]
+    for some in (entries, entries[:2], entries[2:3], entries[3:], []):
+        got, _ = run(spark, captures, some)
+        short = [(i, u.replace("/" + "/".join(f"p{k}" for k in range(3, 20000)), ""), d) for i, u, d in captures]
+        assert got == brute(short, some)
