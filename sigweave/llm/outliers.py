@@ -4,12 +4,15 @@ Every document has a vector of transformed statistics. Per language and source,
 and scatter of the vectors are estimated by the minimum covariance determinant: of all subsets
 of h = 75 % of a group's documents, the one whose covariance matrix has the least determinant.
 Concentration steps look for it: estimate, keep the h documents with the smallest Mahalanobis
-distances, estimate again. The start is deterministic (medians and scaled median deviations).
+distances, estimate again. Each group has three fixed starts: medians with scaled median
+deviations alone, with the correlation of squashed (tanh) entries, and with that of signs in
+space. Each start goes on until its determinant falls no more, and the least one wins.
 Documents far from the location by the final, rescaled scatter are rejected.
 
-A step is two aggregations of the whole vector table by group: counts in bins of the distance,
-which show where the h-th distance lies, and sums of products of the rows within. A hot source
-is pre-aggregated like any other; only one row a group is ever brought together.
+A step is two aggregations of the whole vector table by group and open start: counts in bins of
+the distance, which show where the h-th distance lies, and sums of products of the rows within.
+A hot source is pre-aggregated like any other; only three rows a group are ever brought together,
+and only whether a start is still open reaches the driver.
 """
 
 from __future__ import annotations
@@ -40,6 +43,8 @@ _PSEUDO, _USUAL = 30, 5.0
 _FLOOR = (0.04, 0.01, 0.10, 0.06, 0.03)
 #: Documents that the floor counts for in the scatter of a small group.
 _PRIOR = 20
+#: A determinant whose logarithm falls by less has come to rest.
+_FALL = 1e-6
 
 
 def _repeated(words: list[bytes], width: int = 5) -> int:
@@ -157,62 +162,118 @@ def distance(entries: list[Column], mean: Column, inverse: Column) -> Column:
     return sum(terms[1:], terms[0])
 
 
+def _flat(inverse: np.ndarray) -> list[float]:
+    p = len(inverse)
+    return [inverse[i, j] * (1 if i == j else 2) for i in range(p) for j in range(i, p)]
+
+
+def _square(upper, p: int) -> np.ndarray:
+    full = np.zeros((p, p))
+    full[np.triu_indices(p)] = upper
+    return full + np.triu(full, 1).T
+
+
 def _solve(p: int, scale: float, floor: tuple[float, ...]):
-    """From sums to (mean, inverse) of one group a row."""
+    """From sums to (mean, inverse, logdet) of one group a row."""
     least = np.diag(np.square(floor))
 
-    @F.pandas_udf("mean array<double>, inverse array<double>")
+    @F.pandas_udf("mean array<double>, inverse array<double>, logdet double")
     def of(n: pd.Series, sums: pd.Series, products: pd.Series) -> pd.DataFrame:
         out = []
         for count, s, xy in zip(n, sums, products):
             mean = np.asarray(s, float) / count
-            cov, k = np.zeros((p, p)), 0
-            for i in range(p):
-                for j in range(i, p):
-                    cov[i, j] = cov[j, i] = xy[k] / count - mean[i] * mean[j]
-                    k += 1
+            cov = _square(xy, p) / count - np.outer(mean, mean)
             cov = (count * scale * cov + _PRIOR * least) / (count + _PRIOR) + least
-            inv = np.linalg.inv(cov)
-            flat = [inv[i, j] * (1 if i == j else 2) for i in range(p) for j in range(i, p)]
-            out.append((mean.tolist(), flat))
-        return pd.DataFrame(out, columns=["mean", "inverse"])
+            out.append((mean.tolist(), _flat(np.linalg.inv(cov)), np.linalg.slogdet(cov)[1]))
+        return pd.DataFrame(out, columns=["mean", "inverse", "logdet"])
 
     return of
 
 
-def estimates(
-    vectors: DataFrame, p: int, share: float = 0.75, steps: int = 4, floor: tuple[float, ...] = _FLOOR
-) -> DataFrame:
-    """(grp, mean, inverse) by minimum covariance determinant of rows (grp, v0, v1, ...)."""
+def _shapes(p: int):
+    """From scales and two sums of products of standardised entries to the starts' inverses."""
+
+    @F.pandas_udf("array<array<double>>")
+    def of(n: pd.Series, wide: pd.Series, squashed: pd.Series, signs: pd.Series) -> pd.Series:
+        out = []
+        for count, w, *sums in zip(n, wide, squashed, signs):
+            per = np.diag(1 / np.asarray(w, float))
+            starts = [np.eye(p)]
+            for upper in sums:
+                shape = _square(upper, p) / count
+                starts.append(shape + (0.01 * np.trace(shape) / p + 1e-9) * np.eye(p))
+            out.append([_flat(per @ np.linalg.inv(x) @ per) for x in starts])
+        return pd.Series(out)
+
+    return of
+
+
+def _starts(vectors: DataFrame, p: int, floor: tuple[float, ...]) -> DataFrame:
+    """(grp, start, mean, inverse) to begin with, see the module's docstring."""
     v = [F.col(f"v{i}") for i in range(p)]
-    middle = vectors.groupBy("grp").agg(*[F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(v)])
-    middle = stored(middle)
+    middle = stored(
+        vectors.groupBy("grp").agg(F.array(*[F.percentile_approx(x, 0.5, 10000) for x in v]).alias("mean"))
+    )
     spread = vectors.join(middle, "grp").groupBy("grp").agg(
-        F.array(*[F.first(f"m{i}") for i in range(p)]).alias("mean"),
-        *[F.percentile_approx(F.abs(x - F.col(f"m{i}")), 0.5, 10000).alias(f"s{i}") for i, x in enumerate(v)],
+        F.first("mean").alias("mean"),
+        F.array(
+            *[
+                F.sqrt(floor[i] ** 2 + F.pow(1.4826 * F.percentile_approx(F.abs(x - F.col("mean")[i]), 0.5, 10000), 2))
+                for i, x in enumerate(v)
+            ]
+        ).alias("wide"),
+    )
+    spread = stored(spread)
+    z = vectors.join(spread, "grp").select(
+        "grp", "mean", "wide", *[((x - F.col("mean")[i]) / F.col("wide")[i]).alias(f"z{i}") for i, x in enumerate(v)]
     )
-    flat = []
-    for i in range(p):
-        wide = F.lit(floor[i] ** 2) + F.pow(1.4826 * F.col(f"s{i}"), 2)
-        flat += [(1 / wide) if j == i else F.lit(0.0) for j in range(i, p)]
-    now = stored(spread.select("grp", "mean", F.array(*flat).alias("inverse")))
+    norm = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(1, p)), F.col("z0") * F.col("z0"))
+    z = z.withColumn("norm", F.greatest(norm, F.lit(1e-12)))
+    pairs = [(F.col(f"z{i}"), F.col(f"z{j}")) for i in range(p) for j in range(i, p)]
+    sums = z.groupBy("grp").agg(
+        F.count("*").alias("n"),
+        F.first("mean").alias("mean"),
+        F.first("wide").alias("wide"),
+        F.array(*[F.sum(F.tanh(a) * F.tanh(b)) for a, b in pairs]).alias("squashed"),
+        F.array(*[F.sum(a * b / F.col("norm")) for a, b in pairs]).alias("signs"),
+    )
+    return sums.select(
+        "grp", "mean", F.posexplode(_shapes(p)("n", "wide", "squashed", "signs")).alias("start", "inverse")
+    ).select("grp", "start", "mean", "inverse")
+
+
+def estimates(vectors: DataFrame, p: int, share: float = 0.75, floor: tuple[float, ...] = _FLOOR) -> DataFrame:
+    """(grp, mean, inverse, logdet) by minimum covariance determinant of rows (grp, v0, v1, ...).
+
+    The determinant is that of the rescaled scatter with its floor. A start whose determinant no
+    longer falls by `_FALL` (of its logarithm) stays as it is, so the steps come to an end.
+    """
+    v = [F.col(f"v{i}") for i in range(p)]
     # The covariance of the nearest `share` is too small by this factor if data are normal.
     scale = share / _chi2_below(p + 2, chi2_quantile(p, share))
     solve = _solve(p, scale, floor)
     products = F.array(*[F.sum(v[i] * v[j]) for i in range(p) for j in range(i, p)])
-    for _ in range(steps):
-        far = vectors.join(now, "grp").withColumn("d", distance(v, F.col("mean"), F.col("inverse")))
+    each = ["grp", "start"]
+    now = _starts(vectors, p, floor).withColumn("logdet", F.lit(math.inf)).withColumn("open", F.lit(True))
+    now = stored(now)
+    while not now.where("open").isEmpty():
+        before = now.where("open").select(*each, "mean", "inverse", "logdet")
+        far = vectors.join(before.drop("logdet"), "grp").withColumn("d", distance(v, F.col("mean"), F.col("inverse")))
         far = far.withColumn("bin", F.floor(64 * F.log2(1e-6 + F.greatest("d", F.lit(0.0)))).cast("int"))
-        upto = F.sum("n").over(W.partitionBy("grp").orderBy("bin"))
-        bins = far.groupBy("grp", "bin").agg(F.count("*").alias("n")).withColumn("upto", upto)
-        bins = bins.withColumn("all", F.sum("n").over(W.partitionBy("grp")))
-        limit = bins.where(F.col("upto") >= F.ceil(F.col("all") * share)).groupBy("grp").agg(F.min("bin").alias("most"))
-        near = far.join(stored(limit), "grp").where("bin <= most")
-        sums = near.groupBy("grp").agg(
+        upto = F.sum("n").over(W.partitionBy(*each).orderBy("bin"))
+        bins = far.groupBy(*each, "bin").agg(F.count("*").alias("n")).withColumn("upto", upto)
+        bins = bins.withColumn("all", F.sum("n").over(W.partitionBy(*each)))
+        limit = bins.where(F.col("upto") >= F.ceil(F.col("all") * share)).groupBy(*each).agg(F.min("bin").alias("most"))
+        near = far.join(stored(limit), each).where("bin <= most")
+        sums = near.groupBy(*each).agg(
             F.count("*").alias("n"), F.array(*[F.sum(x) for x in v]).alias("sums"), products.alias("products")
         )
-        now = stored(sums.select("grp", solve("n", "sums", "products").alias("e")).select("grp", "e.mean", "e.inverse"))
-    return now
+        step = sums.select(*each, solve("n", "sums", "products").alias("e")).join(before, each)
+        lower = F.col("e.logdet") < F.col("logdet") - _FALL
+        took = [F.when(lower, F.col(f"e.{c}")).otherwise(F.col(c)).alias(c) for c in ("mean", "inverse", "logdet")]
+        now = stored(now.where("NOT open").unionByName(step.select(*each, *took, lower.alias("open"))))
+    best = F.min_by(F.struct("mean", "inverse", "logdet"), F.struct("logdet", "start"))
+    return now.groupBy("grp").agg(best.alias("e")).select("grp", "e.mean", "e.inverse", "e.logdet")
 
 
 def judged(
@@ -222,7 +283,6 @@ def judged(
     source_col: str = "source",
     quantile: float = 0.99999,
     share: float = 0.75,
-    steps: int = 4,
 ) -> DataFrame:
     """All rows and columns of `docs`, with `_llm_stats` (struct), `_llm_distance` and `_llm_kept`.
 
@@ -230,7 +290,8 @@ def judged(
     fails. Documents that fail the plain limits take no part in the estimates. A group with few
     documents leans on the least scatter, so a lone document is kept. Repeated rows count as
     often as they occur. Texts are not shuffled: statistics are made again, beside the text,
-    once the estimates are known. Empty input gives no rows.
+    once the estimates are known. Empty input gives no rows. Input columns of the three
+    names added are replaced.
     """
     marked = docs.withColumn("_llm_stats", statistics(F.col(text_col)))
     marked = marked.withColumn("_llm_grp", key_of(lang_col, source_col))
@@ -238,7 +299,7 @@ def judged(
     vectors = marked.where(~failed("_llm_stats")).select(
         F.col("_llm_grp").alias("grp"), *[x.alias(f"v{i}") for i, x in enumerate(v)]
     )
-    found = estimates(stored(vectors), len(v), share, steps)
+    found = estimates(stored(vectors), len(v), share)
     return _verdict(marked, found, v, quantile)
 
 
@@ -288,6 +349,10 @@ def quality(
     )
 
 
-def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that are kept, with their columns."""
-    return judged(docs, **options).where("_llm_kept").select(*docs.columns)
+def keep_good(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", **options
+) -> DataFrame:
+    """The rows of `docs` that are kept, with their columns, whatever their names. Cases as in `judged`."""
+    packed = docs.select(F.struct(*docs.columns).alias("_llm_row"))
+    inside = [f"_llm_row.{c}" for c in (text_col, lang_col, source_col)]
+    return judged(packed, *inside, **options).where("_llm_kept").select("_llm_row.*")

@@ -3,8 +3,9 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from sigweave.llm.outliers import chi2_quantile, estimates, keep_good, quality
+from sigweave.llm.outliers import _chi2_below, chi2_quantile, estimates, keep_good, quality
 from sigweave.llm.queries import QUERIES
 
 
@@ -60,6 +61,51 @@ def test_estimates_ignore_a_quarter_of_outliers(spark):
     assert np.allclose(found["h"].mean, [5, 5])
 
 
+def plain_search(x, floor, share=0.75, tries=200):
+    """Least log determinant over concentration steps from many random starts, as the operator measures it."""
+    rng, (n, p) = np.random.default_rng(1), x.shape
+    scale = share / _chi2_below(p + 2, chi2_quantile(p, share))
+    least, h = np.diag(np.square(floor)), int(np.ceil(n * share))
+    best = (np.inf, None)
+    for _ in range(tries):
+        some, last = x[rng.choice(n, p + 2, replace=False)], np.inf
+        while True:
+            cov = (len(some) * scale * np.cov(some.T, bias=True) + 20 * least) / (len(some) + 20) + least
+            now, mean = np.linalg.slogdet(cov)[1], some.mean(axis=0)
+            if len(some) == h and now >= last - 1e-9:
+                break
+            last = now if len(some) == h else np.inf
+            gap = x - mean
+            some = x[np.argsort(np.einsum("ij,jk,ik->i", gap, np.linalg.inv(cov), gap), kind="stable")[:h]]
+        if now < best[0]:
+            best = (now, np.einsum("ij,jk,ik->i", gap, np.linalg.inv(cov), gap))
+    return best
+
+
+def test_determinant_and_verdict_like_a_search_from_many_starts(spark):
+    rng, groups = np.random.default_rng(7), {}
+    turn = np.linalg.qr(rng.normal(size=(3, 3)))[0]
+    for k, bad in enumerate((0, 40, 90)):
+        good = rng.normal(size=(400 - bad, 3)) * [1, 0.3, 0.05] @ turn
+        groups[f"g{k}"] = np.vstack((good, rng.normal(0, 0.2, (bad, 3)) + turn[2] * 4 + turn[0] * k))
+    floor = (0.01, 0.01, 0.01)
+    rows = [(g, *map(float, r)) for g, x in groups.items() for r in x]
+    df = spark.createDataFrame(rows, "grp string, v0 double, v1 double, v2 double")
+    found = {r.grp: r for r in estimates(df, 3, floor=floor).collect()}
+    limit = chi2_quantile(3, 0.99999)
+    for g, x in groups.items():
+        logdet, far = plain_search(x, floor)
+        # The operator's subset ends at a bin of distances, so it may hold a few rows more than h.
+        assert found[g].logdet <= logdet + 0.05
+        upper, inverse = found[g].inverse, np.zeros((3, 3))
+        inverse[np.triu_indices(3)] = upper
+        inverse = (inverse + inverse.T) / 2
+        gap = x - np.array(found[g].mean)
+        mine = np.einsum("ij,jk,ik->i", gap, inverse, gap)
+        clear = (far < 0.8 * limit) | (far > 1.25 * limit)
+        assert clear.mean() > 0.98 and ((mine <= limit) == (far <= limit))[clear].all()
+
+
 def test_odd_rows(spark):
     rng = random.Random(4)
     clean = [" ".join("w" * rng.randint(2, 8) + str(rng.randint(0, 999)) for _ in range(60)) for _ in range(80)]
@@ -68,8 +114,9 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, lang string, source string, n_words int")
     got = quality(df).collect()
     assert sorted(base_of(r) for r in got) == sorted(brute(r[1]) for r in rows + rows[:3])
+    df = df.withColumn("_llm_stats", F.lit("mine")).withColumn("_llm_kept", F.lit(False))
     kept = keep_good(df)
-    assert kept.columns == df.columns
+    assert kept.columns == df.columns and {(r[5], r[6]) for r in kept.collect()} == {("mine", False)}
     found = {r.n_words for r in kept.collect()}
     assert found >= set(range(80)) and not found & {80, 81, 82, 83}
     assert kept.count() == sum(r.kept for r in got)
