@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sigweave.llm.shared import key_of, stored, water_levels, words_in
+from sigweave.llm.shared import free_names, key_of, stored, water_levels, words_in
 
 _BINS = 1 << 16
 _EDGE = 1e-9
@@ -188,14 +188,16 @@ def mixed(
     """The rows of `docs`, each as often as `mix` takes it, with all their columns.
 
     Documents without a word have no copies and go. Texts are not shuffled, but for those of the
-    one bin per source in which the cut lies.
+    one bin per source in which the cut lies. Columns may have any names.
     """
-    rows = docs.withColumns(
-        {"_mix_id": F.col(id_col), "_mix_source": F.col(source_col), "_mix_size": words_in(F.col(text_col))}
-    )
+    aside = [c for c in docs.columns if c.lower().startswith("_mix_")]
+    names = dict(zip(aside, free_names(docs, *(f"_in{c}" for c in aside))))
+    rows = docs.withColumnsRenamed(names)
+    of = lambda c: F.col(names.get(c, c))
+    rows = rows.withColumns({"_mix_id": of(id_col), "_mix_source": of(source_col), "_mix_size": words_in(of(text_col))})
     return (
         _copies(rows, weights, share, cap, seed, weight)
         .where("_mix_copies > 0")
         .withColumn("_mix_turn", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
-        .select(*docs.columns)
+        .select(*(of(c).alias(c) for c in docs.columns))
     )

@@ -36,6 +36,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores added as keep it apart from the columns of `df`."""
+    taken = {c.lower() for c in df.columns}
+    return [name + "_" * next(k for k in range(len(taken) + 1) if (name + "_" * k).lower() not in taken) for name in names]
+
+
 def words_in(text: Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sigweave.llm.shared import components, stored
+from sigweave.llm.shared import components, free_names, stored
 
 BITS = 64
 _CHUNK = 1 << 16
@@ -141,9 +141,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
 
     Rows of equal id count as copies if they are in one component: one of them stays, the one
     with the smallest text. A component whose ids are all null keeps one row too. All columns
-    stay as they are.
+    stay as they are, whatever their names. Null and empty texts are copies of each other. No
+    rows in, no rows out.
     """
-    fp, rank, root = "_llm_fp", "_llm_rank", "_llm_root"
+    fp, rank, root, lowest = free_names(docs, "_llm_fp", "_llm_rank", "_llm_root", "_llm_best")
+    r, again_id = free_names(docs, "_llm_r", "_llm_id")
     marked = docs.withColumn(fp, fingerprint(F.col(text_col)))
     thin = stored(marked.select(fp, F.col(id_col).alias("id")))
     each = stored(thin.groupBy(F.col(fp).alias("fp")).agg(F.min("id").alias("least")))
@@ -151,12 +153,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     best = group.groupBy("root").agg(F.min("least").alias("best")).withColumnRenamed("root", "r")
     # A fingerprint without its component's smallest id has no row to keep, and cannot match below.
     best = group.join(best, (F.col("root") == F.col("r")) & F.col("least").eqNullSafe(F.col("best")))
-    best = best.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("best").alias("_llm_best"))
-    kept = marked.join(best, fp).where(F.col(id_col).eqNullSafe(F.col("_llm_best")))
+    best = best.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("best").alias(lowest))
+    kept = marked.join(best, fp).where(F.col(id_col).eqNullSafe(F.col(lowest)))
     # Ids seldom repeat within a component; only rows of those that do are put in an order.
     again = thin.withColumnRenamed(fp, "fp").join(group.select("fp", "root"), "fp").groupBy("root", "id").count().where("count > 1")
-    again = stored(again.select(F.col("root").alias("_llm_r"), F.col("id").alias("_llm_id")))
-    same = (F.col(root) == F.col("_llm_r")) & F.col(id_col).eqNullSafe(F.col("_llm_id"))
+    again = stored(again.select(F.col("root").alias(r), F.col("id").alias(again_id)))
+    same = (F.col(root) == F.col(r)) & F.col(id_col).eqNullSafe(F.col(again_id))
     one = W.partitionBy(root, id_col).orderBy(F.col(text_col).asc_nulls_last())
     several = kept.join(again, same, "left_semi").withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1)
     single = kept.join(again, same, "left_anti")

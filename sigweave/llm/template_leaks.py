@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigweave.llm.shared import among, bitmap, stored
+from sigweave.llm.shared import among, bitmap, free_names, stored
 
 WIDTH = 8
 #: A window with fewer tokens that are no placeholders is compared word by word.
@@ -284,10 +284,15 @@ def leaks(
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The rows of `docs` in which no item leaked, with all their columns."""
-    marked = docs.withColumns({"_llm_d1": F.xxhash64(text_col), "_llm_d2": F.xxhash64(F.lit(1), F.col(text_col))})
+    """The rows of `docs` in which no item leaked, with all their columns, whatever their names.
+
+    Null and empty texts hold no item and stay, repeated rows stay or go together. An empty
+    benchmark takes nothing away.
+    """
+    d1, d2 = free_names(docs, "_llm_d1", "_llm_d2")
+    marked = docs.withColumns({d1: F.xxhash64(text_col), d2: F.xxhash64(F.lit(1), F.col(text_col))})
     bad = leaks(docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text")), benchmark, **options)
     bad = stored(bad.select("d1", "d2").distinct())
     return marked.join(
-        bad, (marked["_llm_d1"] == bad["d1"]) & (marked["_llm_d2"] == bad["d2"]), "left_anti"
+        bad, (marked[d1] == bad["d1"]) & (marked[d2] == bad["d2"]), "left_anti"
     ).select(*docs.columns)

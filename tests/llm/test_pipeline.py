@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from sigweave.llm import outliers
@@ -91,3 +92,30 @@ def test_run_gives_the_last_stage(spark, stages):
     assert got.count() > 0 and got.columns == stages["token_output"][1].columns
     tokens = lambda df: sum(r.n_tokens for r in df.select("n_tokens").collect())
     assert tokens(got) == tokens(stages["token_output"][1])
+
+
+def test_stages_on_odd_rows(spark):
+    said = [" ".join(f"{w}{(i * 7 + k * k) % 997}" for k, w in enumerate(["river", "stone", "cloud", "lamp"] * 12)) for i in range(30)]
+    texts = [*said, None, "", " \n ", said[0]]
+    rows = [(i if i % 7 else None, "s" if i % 2 else None, "en" if i % 3 else None, len(t or ""), t) for i, t in enumerate(texts)]
+    clash = ["_llm_fp", "_llm_best", "_llm_d1", "_llm_row", "_llm_stats", "_mix_id", "_mix_copies", "_in_mix_id", "fp", "d1", "root"]
+    docs = spark.createDataFrame(rows + rows[:2], "doc_id long, source string, lang string, n_chars int, text string")
+    docs = docs.withColumns({c: F.lit(c) for c in clash})
+    for name, stage in cp.STAGES[:-1]:
+        after = stage(spark, docs, FOLDER)
+        assert after.columns == docs.columns, name
+        got = after.collect()
+        assert {tuple(r[c] for c in clash) for r in got} == {tuple(clash)}, name
+        left = Counter(r.text for r in got)
+        if name == "quality":
+            assert left == Counter(r[4] for r in rows + rows[:2] if r[4] and r[4].split())
+        elif name == "near_duplicates":
+            assert sum(left[t] for t in (None, "", " \n ")) == 1 and all(left[t] == 1 for t in said)
+        elif name == "decontamination":
+            assert left == Counter(r[4] for r in rows + rows[:2])
+        else:
+            assert left and not set(left) & {None, "", " \n "}
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0, name
+    last = cp.STAGES[-1][1]
+    assert sum(len(r.doc_ids) for r in last(spark, docs, FOLDER).collect()) == len(rows) + 2
+    assert last(spark, docs.limit(0), FOLDER).count() == 0
