@@ -8,11 +8,15 @@ compares complete fingerprints. Every link is found, whatever m is; m only balan
 of questions against the size of a table entry, and follows 64 / log2(number of fingerprints).
 
 Exact copies share a fingerprint and take part once, so a huge group of copies costs one row.
+
+`keep_one`, for cleaning, links texts by the Jaccard similarity of five-word shingles: fingerprints find the
+candidates, the sets of shingles decide.
 """
 
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sigweave.llm.shared import components, free_names, stored
+from sigweave.llm.shared import bitmap, components, free_names, rows_among, stored
 
 BITS = 64
 _CHUNK = 1 << 16
@@ -136,27 +140,155 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4) -> DataFrame:
+def _shingles(text: str | None, width: int) -> np.ndarray:
+    """Distinct hashes of the lower-cased text's word shingles, ascending; fewer words: one of the whole sequence."""
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    line = b" ".join(words)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    first = np.cumsum(size + 1) - size - 1
+    n = max(1, len(words) - width + 1)
+    last = (first + size)[-n:].tolist()
+    digest = xxhash.xxh64_intdigest
+    spans = zip(first[:n].tolist(), last)
+    return np.unique(np.fromiter((digest(line[i:j], 42) for i, j in spans), np.uint64, n))
+
+
+#: Odd factors, from powers of the golden ratio, which put the hashes in another order for each anchor.
+_ORDERS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in (1, 2, 3)]
+
+
+def signature(text: Column, width: int = 5) -> Column:
+    """(fp, n, anchors) of a text: SimHash of its distinct shingles, how many, and the least of them in three orders.
+
+    Two texts share an anchor with the chance of their Jaccard similarity. No words (null): 0, 0 and zeros.
+    """
+
+    @F.arrow_udf("fp long, n int, anchors array<long>")
+    def of(texts: pa.Array) -> pa.Array:
+        prints, sizes, anchors = [], [], []
+        for text in texts:
+            h = _shingles(text.as_py(), width)
+            votes = np.zeros(BITS, np.int64)
+            for at in range(0, len(h), _CHUNK):
+                part = h[at : at + _CHUNK].view(np.uint8).reshape(-1, 8)
+                votes += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            prints.append(int(np.packbits(votes * 2 > len(h), bitorder="little").view(np.int64)[0]))
+            sizes.append(len(h))
+            # Factors are odd, so different hashes stay different.
+            anchors.append([int((h * f).min().view(np.int64)) if len(h) else 0 for f in _ORDERS])
+        columns = pa.array(prints, pa.int64()), pa.array(sizes, pa.int32()), pa.array(anchors, pa.list_(pa.int64()))
+        return pa.StructArray.from_arrays(columns, ["fp", "n", "anchors"])
+
+    return of.asNondeterministic()(text)
+
+
+#: Of similar texts: segments of a fingerprint, each asked for with one wrong bit, and the most bits that differ.
+_SEGMENTS, _FAR = 6, 20
+
+
+def candidates(signed: DataFrame, alike: float = 0.8) -> DataFrame:
+    """(a, b), a > b, of `node`s that may be `alike`, from one row (node, fp, n, anchors) each.
+
+    At a similarity of 0.8, a bit of the fingerprint differs with a chance of 0.15, so some ten of 64 do: a radius
+    at which segments alone are no index any more. So every segment's table is divided by anchor: a text
+    is in three of the divisions, and those with one text only are left out before any ball is made. A pair at 0.8
+    has an anchor in common (0.99), a segment with at most one wrong bit (0.98) and no more than 20 in
+    all (0.999); more similar pairs have higher chances. The sizes of similar texts are similar, too.
+    """
+    places = signed.select("node", "fp", "n", F.posexplode("anchors").alias("turn", "anchor"))
+    shared = places.groupBy("turn", "anchor").agg(F.count("*").alias("texts")).where("texts > 1")
+    places = stored(places.join(shared, ["turn", "anchor"], "left_semi"))
+    asked, table = [], []
+    for i, (shift, bits, _) in enumerate(_layout(_SEGMENTS, _FAR)):
+        value = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << bits) - 1))
+        table.append(F.struct(F.lit(i).alias("seg"), value.alias("value")))
+        asked.append(_ball(i, value, _masks(bits, 1)))
+    keys = F.xxhash64("turn", "anchor").alias("division")
+
+    def rows(side: str, found: Column) -> DataFrame:
+        out = places.select(
+            F.col("node").alias(side), F.col("fp").alias(f"fp_{side}"), F.col("n").alias(f"n_{side}"), keys, F.explode(found).alias("k")
+        )
+        return out.select(side, f"fp_{side}", f"n_{side}", "division", F.col("k.seg").alias("seg"), F.col("k.value").alias("value"))
+
+    near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= _FAR
+    sizes = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(alike)
+    left, right = rows("a", F.flatten(F.array(*asked))), rows("b", F.array(*table))
+    met = left.join(right, ["division", "seg", "value"])
+    return met.where((F.col("a") > F.col("b")) & near & sizes).select("a", "b").distinct()
+
+
+def _jaccard_at_least(a: Column, b: Column, alike: float, width: int) -> Column:
+    @F.arrow_udf("boolean")
+    def of(left: pa.Array, right: pa.Array) -> pa.Array:
+        hold = lru_cache(maxsize=32)(lambda text: _shingles(text, width))
+        out = []
+        for x, y in zip(left, right):
+            x, y = hold(x.as_py()), hold(y.as_py())
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(both >= alike * (len(x) + len(y) - both))
+        return pa.array(out, pa.bool_())
+
+    return of(a, b)
+
+
+def similar_groups(docs: DataFrame, text_col: str = "text", alike: float = 0.8, width: int = 5) -> DataFrame:
+    """(node, root) of every distinct text, `node` its xxhash64; root is the same within a component.
+
+    Candidates count as links if the Jaccard similarity of their sets of shingles is at least `alike`. Of each
+    text, the candidate of the least node is compared first. Pairs that lie in one component by then add
+    nothing, all others are compared, so components are those of all similar candidates, and a group of
+    near copies costs about one comparison a text.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.select(F.xxhash64(text).alias("node"), text.alias("text"))
+    signed = texts.select("node", signature(F.col("text"), width).alias("s"))
+    signed = stored(signed.groupBy("node").agg(F.any_value("s").alias("s")).select("node", "s.*"))
+    pairs = stored(candidates(signed, alike))
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = rows_among(texts, "node", bitmap(nodes)).join(nodes, "node", "left_semi")
+    wanted = stored(wanted.groupBy("node").agg(F.any_value("text").alias("text")))
+
+    def compared(some: DataFrame) -> DataFrame:
+        left = wanted.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+        right = wanted.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+        both = some.join(left, "a").join(right, "b")
+        return stored(both.where(_jaccard_at_least(F.col("text_a"), F.col("text_b"), alike, width)).select("a", "b"))
+
+    first = stored(pairs.groupBy("a").agg(F.min("b").alias("b")))
+    found = compared(first)
+    known = stored(components(found))
+    root_a, root_b = (known.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
+    rest = pairs.join(first, ["a", "b"], "left_anti").join(root_a, "a", "left").join(root_b, "b", "left")
+    rest = rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    whole = components(found.unionByName(compared(rest)))
+    return signed.select("node").join(whole, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alike: float = 0.8, width: int = 5) -> DataFrame:
     """The rows of `docs` without near-duplicates: of each component the row of the smallest id.
 
-    Rows of equal id count as copies if they are in one component: one of them stays, the one
-    with the smallest text. A component whose ids are all null keeps one row too. All columns
-    stay as they are, whatever their names. Null and empty texts are copies of each other. No
+    Components as in `similar_groups`. Rows of equal id count as copies if they are in one component: one of
+    them stays, the one with the smallest text. A component whose ids are all null keeps one row too. All
+    columns stay as they are, whatever their names. Null, empty and blank texts are copies of each other. No
     rows in, no rows out.
     """
-    fp, rank, root, lowest = free_names(docs, "_llm_fp", "_llm_rank", "_llm_root", "_llm_best")
+    node, rank, root, lowest = free_names(docs, "_llm_node", "_llm_rank", "_llm_root", "_llm_best")
     r, again_id = free_names(docs, "_llm_r", "_llm_id")
-    marked = docs.withColumn(fp, fingerprint(F.col(text_col)))
-    thin = stored(marked.select(fp, F.col(id_col).alias("id")))
-    each = stored(thin.groupBy(F.col(fp).alias("fp")).agg(F.min("id").alias("least")))
-    group = stored(groups(each.select("fp"), radius).join(each, "fp"))
-    best = group.groupBy("root").agg(F.min("least").alias("best")).withColumnRenamed("root", "r")
-    # A fingerprint without its component's smallest id has no row to keep, and cannot match below.
-    best = group.join(best, (F.col("root") == F.col("r")) & F.col("least").eqNullSafe(F.col("best")))
-    best = best.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("best").alias(lowest))
-    kept = marked.join(best, fp).where(F.col(id_col).eqNullSafe(F.col(lowest)))
+    marked = docs.withColumn(node, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    group = stored(similar_groups(docs, text_col, alike, width))
+    thin = marked.select(F.col(node).alias("node"), F.col(id_col).alias("id")).join(group, "node")
+    # Counted per id first, so that no hot group meets in one task.
+    thin = stored(thin.groupBy("root", "node", "id").count())
+    best = thin.groupBy("root").agg(F.min("id").alias("best")).withColumnRenamed("root", "r")
+    # A text without its component's smallest id has no row to keep.
+    best = thin.join(best, (F.col("root") == F.col("r")) & F.col("id").eqNullSafe(F.col("best")))
+    best = best.select(F.col("node").alias(node), F.col("root").alias(root), F.col("best").alias(lowest))
+    kept = marked.join(best, node).where(F.col(id_col).eqNullSafe(F.col(lowest)))
     # Ids seldom repeat within a component; only rows of those that do are put in an order.
-    again = thin.withColumnRenamed(fp, "fp").join(group.select("fp", "root"), "fp").groupBy("root", "id").count().where("count > 1")
+    again = thin.groupBy("root", "id").agg(F.sum("count").alias("rows")).where("rows > 1")
     again = stored(again.select(F.col("root").alias(r), F.col("id").alias(again_id)))
     same = (F.col(root) == F.col(r)) & F.col(id_col).eqNullSafe(F.col(again_id))
     one = W.partitionBy(root, id_col).orderBy(F.col(text_col).asc_nulls_last())

@@ -9,7 +9,7 @@ from sigweave.llm import outliers
 from tests.llm.test_outliers import brute as brute_statistics
 from tests.llm.test_packing_and_lengths import unpacked
 from tests.llm.test_pareto_mix import check as check_mix
-from tests.llm.test_simhash import brute_fingerprint, brute_groups
+from tests.llm.test_simhash import groups_of, similar_pairs
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -44,8 +44,9 @@ def test_quality_keeps_what_its_operator_keeps(stages):
 
 def test_one_document_of_each_group_stays(stages):
     before, after = (x.toPandas() for x in stages["near_duplicates"])
-    groups = brute_groups([brute_fingerprint(t) for t in before.text], before.doc_id.tolist())
-    assert sorted(after.doc_id) == sorted(set(groups))
+    pairs = [(i, j) for i, j, s in similar_pairs(before.text.tolist()) if s >= 0.8]
+    ids = before.doc_id.tolist()
+    assert pairs and sorted(after.doc_id) == sorted(set(groups_of(pairs, ids)))
 
 
 def test_leaked_documents_go(stages):

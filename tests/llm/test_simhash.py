@@ -6,7 +6,7 @@ import xxhash
 
 from sigweave.llm.queries import QUERIES
 from sigweave.llm.shared import components
-from sigweave.llm.simhash import keep_one, links, near_duplicates
+from sigweave.llm.simhash import keep_one, links, near_duplicates, similar_groups
 
 
 def brute_fingerprint(text, width=4):
@@ -18,22 +18,41 @@ def brute_fingerprint(text, width=4):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def brute_groups(prints, ids, radius=4):
-    root = list(range(len(prints)))
+def groups_of(pairs, ids):
+    """For each place the least id of those reachable over pairs of places."""
+    root = list(range(len(ids)))
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for i in range(len(prints)):
-        for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= radius:
-                root[find(i)] = find(j)
+    for i, j in pairs:
+        root[find(i)] = find(j)
     least = {}
-    for i in range(len(prints)):
+    for i in range(len(ids)):
         least[find(i)] = min(least.get(find(i), ids[i]), ids[i])
-    return [least[find(i)] for i in range(len(prints))]
+    return [least[find(i)] for i in range(len(ids))]
+
+
+def brute_groups(prints, ids, radius=4):
+    pairs = [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= radius]
+    return groups_of(pairs, ids)
+
+
+def similar_pairs(texts, width=5):
+    """(i, j, Jaccard similarity of the sets of word shingles) of all pairs of texts that share one."""
+    sets = []
+    for text in texts:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))})
+    out = []
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both:
+                out.append((i, j, both / (len(a) + len(sets[j]) - both)))
+    return out
 
 
 @pytest.mark.parametrize("segments", [2, 3, 4, None])
@@ -82,3 +101,38 @@ def test_odd_rows(spark):
     assert near_duplicates(df.limit(0)).count() == 0 == keep_one(df.limit(0)).count()
     only_null = spark.createDataFrame([(None, "a b"), (None, "a b")], "doc_id long, text string")
     assert keep_one(only_null).count() == 1
+
+
+@pytest.mark.parametrize("edits", [1, 3, 6])
+def test_recall_of_similar_texts(spark, edits):
+    """Pairs of about 0.95, 0.9 and 0.8, and some below: nine of ten are linked, and none of those below."""
+    rng = random.Random(edits)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts, close = [], []
+    for _ in range(300):
+        words = [word() for _ in range(300)]
+        other = list(words)
+        for at in rng.sample(range(10, 290), edits):
+            other[at] = word()
+        texts += [" ".join(words), " ".join(other), " ".join(words[:225] + [word() for _ in range(75)])]
+    nodes = dict(spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("text", "xxhash64(text)").collect())
+    root = dict(similar_groups(spark.createDataFrame([(t,) for t in texts], "text string")).collect())
+    linked = lambda i, j: root[nodes[texts[i]]] == root[nodes[texts[j]]]
+    pairs = similar_pairs(texts)
+    close = [linked(i, j) for i, j, s in pairs if s >= 0.8]
+    assert len(close) >= 290 and sum(close) >= 0.9 * len(close)
+    assert not any(linked(i, j) for i, j, s in pairs if s < 0.8)
+
+
+def test_groups_of_near_copies_and_a_shared_passage(spark):
+    """Many near copies of one text are one group; texts that have only a passage in common are not."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base, passage, rows = [word() for _ in range(120)], [word() for _ in range(60)], []
+    for i in range(400):
+        near = list(base)
+        near[rng.randrange(120)] = word()
+        rows.append((i, " ".join(near)))
+        rows.append((1000 + i, " ".join([word() for _ in range(50)] + passage)))
+    kept = {r.doc_id for r in keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {0, *range(1000, 1400)}
