@@ -16,7 +16,6 @@ candidates, the sets of shingles decide.
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -186,10 +185,11 @@ def signature(text: Column, width: int = 5) -> Column:
 
 #: Of similar texts: segments of a fingerprint, each asked for with one wrong bit, and the most bits that differ.
 _SEGMENTS, _FAR = 6, 20
+_ROUNDS = 2
 
 
 def candidates(signed: DataFrame, alike: float = 0.8) -> DataFrame:
-    """(a, b), a > b, of `node`s that may be `alike`, from one row (node, fp, n, anchors) each.
+    """(a, b, bits), a > b, of `node`s that may be `alike`, from one row (node, fp, n, anchors) each.
 
     At a similarity of 0.8, a bit of the fingerprint differs with a chance of 0.15, so some ten of 64 do: a radius
     at which segments alone are no index any more. So every segment's table is divided by anchor: a text
@@ -213,20 +213,31 @@ def candidates(signed: DataFrame, alike: float = 0.8) -> DataFrame:
         )
         return out.select(side, f"fp_{side}", f"n_{side}", "division", F.col("k.seg").alias("seg"), F.col("k.value").alias("value"))
 
-    near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= _FAR
+    bits = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b")))
     sizes = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(alike)
     left, right = rows("a", F.flatten(F.array(*asked))), rows("b", F.array(*table))
     met = left.join(right, ["division", "seg", "value"])
-    return met.where((F.col("a") > F.col("b")) & near & sizes).select("a", "b").distinct()
+    return met.where((F.col("a") > F.col("b")) & (bits <= _FAR) & sizes).select("a", "b", bits.alias("bits")).distinct()
 
 
-def _jaccard_at_least(a: Column, b: Column, alike: float, width: int) -> Column:
+def _shingle_set(text: Column, width: int) -> Column:
+    """The distinct hashes of a text's shingles, as bytes."""
+
+    @F.arrow_udf("binary")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array([_shingles(t.as_py(), width).tobytes() for t in texts], pa.binary())
+
+    return of(text)
+
+
+def _jaccard_at_least(a: Column, b: Column, alike: float) -> Column:
+    """Whether two sets of `_shingle_set` are `alike`."""
+
     @F.arrow_udf("boolean")
     def of(left: pa.Array, right: pa.Array) -> pa.Array:
-        hold = lru_cache(maxsize=32)(lambda text: _shingles(text, width))
         out = []
         for x, y in zip(left, right):
-            x, y = hold(x.as_py()), hold(y.as_py())
+            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
             both = len(np.intersect1d(x, y, assume_unique=True))
             out.append(both >= alike * (len(x) + len(y) - both))
         return pa.array(out, pa.bool_())
@@ -237,10 +248,10 @@ def _jaccard_at_least(a: Column, b: Column, alike: float, width: int) -> Column:
 def similar_groups(docs: DataFrame, text_col: str = "text", alike: float = 0.8, width: int = 5) -> DataFrame:
     """(node, root) of every distinct text, `node` its xxhash64; root is the same within a component.
 
-    Candidates count as links if the Jaccard similarity of their sets of shingles is at least `alike`. Of each
-    text, the candidate of the least node is compared first. Pairs that lie in one component by then add
-    nothing, all others are compared, so components are those of all similar candidates, and a group of
-    near copies costs about one comparison a text.
+    Candidates count as links if the Jaccard similarity of their sets of shingles is at least `alike`. In each of
+    `_ROUNDS`, every text is compared with the candidate whose fingerprint is nearest. Pairs that lie in one component by then
+    add nothing and are left out; after the rounds all others are compared. So components are those of all
+    similar candidates, and a group of near copies costs a few comparisons a text.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.xxhash64(text).alias("node"), text.alias("text"))
@@ -249,21 +260,27 @@ def similar_groups(docs: DataFrame, text_col: str = "text", alike: float = 0.8,
     pairs = stored(candidates(signed, alike))
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = rows_among(texts, "node", bitmap(nodes)).join(nodes, "node", "left_semi")
-    wanted = stored(wanted.groupBy("node").agg(F.any_value("text").alias("text")))
+    wanted = wanted.groupBy("node").agg(F.any_value("text").alias("text"))
+    wanted = stored(wanted.select("node", _shingle_set(F.col("text"), width).alias("set")))
 
     def compared(some: DataFrame) -> DataFrame:
-        left = wanted.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        right = wanted.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+        left = wanted.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
+        right = wanted.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
         both = some.join(left, "a").join(right, "b")
-        return stored(both.where(_jaccard_at_least(F.col("text_a"), F.col("text_b"), alike, width)).select("a", "b"))
-
-    first = stored(pairs.groupBy("a").agg(F.min("b").alias("b")))
-    found = compared(first)
-    known = stored(components(found))
-    root_a, root_b = (known.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-    rest = pairs.join(first, ["a", "b"], "left_anti").join(root_a, "a", "left").join(root_b, "b", "left")
-    rest = rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    whole = components(found.unionByName(compared(rest)))
+        return stored(both.where(_jaccard_at_least(F.col("set_a"), F.col("set_b"), alike)).select("a", "b"))
+
+    found = pairs.select("a", "b").limit(0)
+    for _ in range(_ROUNDS):
+        ends = pairs.select("a", "b", "bits").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "bits"))
+        nearest = ends.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("of")).select("a", "of.b")
+        nearest = stored(nearest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        found = stored(found.unionByName(compared(nearest)))
+        known = components(found)
+        root_a, root_b = (known.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
+        rest = pairs.join(nearest, ["a", "b"], "left_anti").join(root_a, "a", "left").join(root_b, "b", "left")
+        rest = rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+        pairs = stored(rest.select("a", "b", "bits"))
+    whole = components(found.unionByName(compared(pairs.select("a", "b"))))
     return signed.select("node").join(whole, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
