@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sigweave.functions.keys import is_response, pair_key
 from sigweave.functions.times import elapsed_ms, seconds
-from sigweave.operators.skew import Skew, hot_values, with_slices
+from sigweave.operators.skew import Skew, hot_values, is_hot, with_slices
 from sigweave.operators.validation import valid
 from sigweave.schema import MESSAGE, REQUEST_MARK, TTL_SECONDS
 
@@ -53,7 +53,7 @@ def answer_requests(
         # At one instant a response follows every request, whatever the ids.
         minor = [F.col("responds").cast("bigint")]
         own = with_slices(keyed, "pair_key", hot, skew, "ts", minor)
-        ahead = _next_of_slices(own.where(F.col("pair_key").isin(hot)))
+        ahead = _next_of_slices(own.where(is_hot(F.col("pair_key"), hot)))
         rows, by = own.unionByName(ahead), ["pair_key", "slice"]
     else:
         rows, by = keyed, ["pair_key"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sigweave.functions.keys import pair_key, pair_teid
 from sigweave.functions.times import elapsed_ms, seconds
-from sigweave.operators.skew import Skew, hot_values, with_slices
+from sigweave.operators.skew import Marked, Skew, hot_values, is_hot, with_slices
 from sigweave.operators.validation import rejected, valid
 from sigweave.schema import MESSAGE, TTL_SECONDS
 
@@ -78,12 +78,12 @@ def _handover(own: DataFrame, ttl: float) -> DataFrame:
     )
 
 
-def _linked_slices(keyed: DataFrame, hot: list, ttl: float, skew: Skew) -> DataFrame:
+def _linked_slices(keyed: DataFrame, hot: list | Marked, ttl: float, skew: Skew) -> DataFrame:
     """Adds to each slice of a hot key the message waiting for it, and a look-ahead row."""
     own = with_slices(
         keyed, "pair_key", hot, skew, "ts", []
     ).withColumn("role", F.lit(_OWN))
-    cut = own.where(F.col("pair_key").isin(hot))
+    cut = own.where(is_hot(F.col("pair_key"), hot))
     handover = _handover(cut, ttl)
     tails = cut.groupBy("pair_key", F.col("slice").alias("prev_slice")).agg(
         F.max_by(F.struct(*_COLUMNS), _at()).alias("message")
@@ -102,7 +102,7 @@ def _linked_slices(keyed: DataFrame, hot: list, ttl: float, skew: Skew) -> DataF
 
 def hot_pair_keys(
     messages: DataFrame, skew: Skew = Skew(), total: int | None = None
-) -> list:
+) -> list | Marked:
     """Pair keys to cut into slices. Unusable messages count for the total only, so that a
     columnar table is counted without reading it."""
     if total is None and not messages.isStreaming:
@@ -110,7 +110,7 @@ def hot_pair_keys(
     return hot_values(valid(messages), pair_key(), skew.min_rows, total)
 
 
-def _walk(messages: DataFrame, ttl: float, skew: Skew, hot: list | None) -> DataFrame:
+def _walk(messages: DataFrame, ttl: float, skew: Skew, hot: list | Marked | None) -> DataFrame:
     """Each message that waits (odd position in its run), with its successor `next_*` if that
     pairs with it. One shuffle and one sort by pair key."""
     keyed = valid(messages).select(*_COLUMNS, pair_key().alias("pair_key"))
@@ -157,7 +157,7 @@ def pair_messages(
     messages: DataFrame,
     ttl: float = TTL_SECONDS,
     skew: Skew = Skew(),
-    hot: list | None = None,
+    hot: list | Marked | None = None,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """PAIR rows: pair_key, first, second, t0, t1, teid, latency_ms.
@@ -181,7 +181,7 @@ def settle_messages(
     until: Column | None,
     ttl: float,
     skew: Skew,
-    hot: list | None = None,
+    hot: list | Marked | None = None,
 ) -> DataFrame:
     """One step of a stream: `kind`, `first`, `second` of all messages held so far.
 
@@ -209,7 +209,7 @@ def unpaired_messages(
     messages: DataFrame,
     ttl: float = TTL_SECONDS,
     skew: Skew = Skew(),
-    hot: list | None = None,
+    hot: list | Marked | None = None,
 ) -> DataFrame:
     """UNPAIRED rows: pair_key, the message, reason. Rejected messages are among them."""
     alone = _walk(messages, ttl, skew, hot).where(~F.col("met") & (F.col("role") == _OWN))

@@ -14,13 +14,14 @@ from typing import Iterator, Tuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sigweave.functions.keys import is_response
 from sigweave.functions.times import seconds
-from sigweave.operators.skew import Skew, held, hot_values, with_slices
+from sigweave.operators.skew import Marked, Skew, held, hot_values, is_hot, with_slices
 from sigweave.schema import CARRIED, DELETE_RESPONSE, FIELDS, MESSAGE, OPTIONAL, TTL_SECONDS
 
 _NONE = -(1 << 62)
@@ -33,6 +34,9 @@ _END = 1 << 61
 _LIFETIMES_PER_SLICE = 64
 _INSTANTS_PER_SLICE = 1_000_000
 _GRAINS = 1024
+# Slices go to Python many at a time, as many as have a part of the instants of the largest one.
+_CALLS_PER_SLICE = 4
+_CALLS_PER_SHARE = 4
 
 
 def _fold(ttl_us: int):
@@ -179,43 +183,65 @@ def _cold_sessions(pairs: DataFrame, ttl_us: int, fields: list[str], lone: bool)
     )
 
 
+def _by_slice(rows: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+    """Instants of some slices in order, the slice that each row is in, and where each slice begins and is over."""
+    tunnel = pc.dictionary_encode(rows["teid"].combine_chunks()).indices.to_numpy()
+    slice_ = rows["slice"].to_numpy()
+    order = np.lexsort((rows["t1"].to_numpy(), slice_, tunnel))
+    tunnel, slice_ = tunnel[order], slice_[order]
+    heads = np.flatnonzero(np.append(True, (tunnel[1:] != tunnel[:-1]) | (slice_[1:] != slice_[:-1])))
+    over = np.append(heads[1:], len(order))
+    return rows.take(pa.array(order)), np.repeat(np.arange(len(heads)), over - heads), heads, over
+
+
+def _reached(which: np.ndarray, t1: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """For each row the first row of its slice at or after `times`, or where the slice is over."""
+    size = len(t1)
+    order = np.lexsort((np.repeat([0, 1], size), np.append(times, t1), np.append(which, which)))
+    found = np.empty(2 * size, dtype="int64")
+    found[order] = np.cumsum(order >= size)
+    return found[:size]
+
+
 def _links(ttl_us: int):
-    """For each instant of a slice, as the opening of a session: where that session ends (`ends`), and
+    """For each instant of some slices, as the opening of a session: where that session ends (`ends`), and
     for the sessions that follow up to the end of the slice how many there are with it (`opened`), when the
     last one begins (`last`) and where that one ends (`leaves`)."""
 
-    def links(slice_: pa.Table) -> pa.Table:
-        slice_ = slice_.sort_by("t1")
-        t1 = slice_["t1"].to_numpy()
+    def links(rows: pa.Table) -> pa.Table:
+        rows, which, _, over = _by_slice(rows)
+        t1 = rows["t1"].to_numpy()
         # A pair's own latency is below `ttl`, so later pairs never shorten a session that they are
         # not part of: the oldest message to come decides where a session that opens here ends.
-        coming = np.append(slice_["t0"].to_numpy(), slice_["ahead"][0].as_py())
-        ends = np.minimum.accumulate(coming[::-1])[::-1][:-1] + ttl_us
-        follows = np.searchsorted(t1, ends)
-        inside = follows < len(t1)
+        coming = pd.Series(rows["t0"].to_numpy()[::-1]).groupby(which[::-1]).cummin().to_numpy()[::-1]
+        ends = np.minimum(coming, rows["ahead"].to_numpy()) + ttl_us
+        follows = _reached(which, t1, ends)
+        inside = follows < over[which]
         last, opened = np.where(inside, follows, np.arange(len(t1))), inside.astype("int64")
         while opened[last].any():
             opened, last = opened + opened[last], last[last]
         found = {"ends": ends, "leaves": ends[last], "last": t1[last], "opened": opened + 1}
-        return pa.table({"teid": slice_["teid"], "slice": slice_["slice"], "t1": t1, **found})
+        return pa.table({"teid": rows["teid"], "slice": rows["slice"], "t1": t1, **found})
 
     return links
 
 
-def _places(slice_: pa.Table) -> pa.Table:
-    """Session of each instant of a slice, given the instant `entry` that opens the first one in it."""
-    slice_ = slice_.sort_by("t1")
-    t1, entry = slice_["t1"].to_numpy(), slice_["entry"][0].as_py()
-    follows = np.searchsorted(t1, slice_["ends"].to_numpy()).tolist()
-    at, opened = len(t1) if entry is None else int(np.searchsorted(t1, entry)), []
-    while at < len(t1):
-        opened.append(at)
-        at = follows[at]
+def _places(rows: pa.Table) -> pa.Table:
+    """Session of each instant of some slices, given the instant `entry` that opens the first one in each."""
+    rows, which, heads, over = _by_slice(rows)
+    t1, entry = rows["t1"].to_numpy(), pc.fill_null(rows["entry"], _END).to_numpy()
+    step, opened = _reached(which, t1, rows["ends"].to_numpy()).tolist(), []
+    for at, end in zip(_reached(which, t1, entry)[heads].tolist(), over.tolist()):
+        while at < end:
+            opened.append(at)
+            at = step[at]
     opened = np.array(opened, dtype="int64")
     latest = np.searchsorted(opened, np.arange(len(t1)), "right")
-    starts = np.append(slice_["start_in"][0].as_py(), t1[opened])
-    number = slice_["number_in"][0].as_py() + latest
-    return pa.table({"teid": slice_["teid"], "_t1": t1, "session_no": number, "session_start": starts[latest]})
+    inside = latest - np.searchsorted(opened, heads)[which]
+    starts = np.append(0, t1[opened])[latest]
+    starts = np.where(inside > 0, starts, rows["start_in"].to_numpy())
+    number = rows["number_in"].to_numpy() + inside
+    return pa.table({"teid": rows["teid"], "_t1": t1, "session_no": number, "session_start": starts})
 
 
 def _slice_length(timed: DataFrame, ttl_us: int) -> int:
@@ -285,13 +311,16 @@ def _hot_sessions(pairs: DataFrame, ttl_us: int, fields: list[str], skew: Skew)
     slices = held(
         instants.groupBy("teid", "slice").agg(F.min("t1").alias("head"), F.min("t0").alias("low"))
     )
+    shares = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    calls = max(_CALLS_PER_SHARE * shares, -(-_CALLS_PER_SLICE * instants.count() // _INSTANTS_PER_SLICE))
+    call = F.pmod(F.xxhash64("teid", "slice"), F.lit(calls)).alias("call")
     of_tunnel = W.partitionBy("teid")
     later = of_tunnel.orderBy(F.col("slice").desc()).rowsBetween(W.unboundedPreceding, -1)
     ahead = F.coalesce(F.min("low").over(later), F.lit(_END))
     shape = "teid string, slice long, t1 long, ends long, leaves long, last long, opened long"
     links = held(
         instants.join(slices.select("teid", "slice", ahead.alias("ahead")), ["teid", "slice"])
-        .groupBy("teid", "slice")
+        .groupBy(call)
         .applyInArrow(_links(ttl_us), shape)
     )
 
@@ -326,7 +355,7 @@ def _hot_sessions(pairs: DataFrame, ttl_us: int, fields: list[str], skew: Skew)
     places = (
         links.select("teid", "slice", "t1", "ends")
         .join(entered, ["teid", "slice"])
-        .groupBy("teid", "slice")
+        .groupBy(call)
         .applyInArrow(_places, "teid string, _t1 long, session_no long, session_start long")
         .withColumn("session_start", F.timestamp_micros("session_start"))
     )
@@ -346,7 +375,7 @@ def _carry_in_slices(placed: DataFrame, fields: list[str], skew: Skew) -> DataFr
     if hot:
         order = F.struct(*_ORDER)
         lasts = (
-            sliced.where(F.col("_tag").isin(hot))
+            sliced.where(is_hot(F.col("_tag"), hot))
             .groupBy(*by)
             .agg(
                 *[
@@ -373,7 +402,7 @@ def _placed(
     pair_ttl: float,
     fields: list[str],
     skew: Skew,
-    hot: list | None,
+    hot: list | Marked | None,
     lone: bool = False,
 ) -> DataFrame:
     """Pairs with their session and, for each of `fields`, `prev_<field>`: the last value
@@ -391,9 +420,9 @@ def _placed(
     if not hot:
         placed = _cold_sessions(known, ttl_us, fields, lone)
     else:
-        known, is_hot = held(known), F.coalesce(F.col("teid").isin(hot), F.lit(False))
-        placed = _cold_sessions(known.where(~is_hot), ttl_us, fields, lone).unionByName(
-            _hot_sessions(known.where(is_hot), ttl_us, fields, skew)
+        known, to_cut = held(known), is_hot(F.col("teid"), hot)
+        placed = _cold_sessions(known.where(~to_cut), ttl_us, fields, lone).unionByName(
+            _hot_sessions(known.where(to_cut), ttl_us, fields, skew)
         )
     # A session open before these rows (number 0) holds what it has carried so far.
     opening = {
@@ -404,7 +433,7 @@ def _placed(
     return placed.withColumns(opening) if opening else placed
 
 
-def hot_tunnels(messages: DataFrame, skew: Skew = Skew()) -> list:
+def hot_tunnels(messages: DataFrame, skew: Skew = Skew()) -> list | Marked:
     """Tunnels that may need cutting, found in one narrow scan of the messages before any
     pairing: a pair has its tunnel id from one response, so no tunnel has more pairs."""
     total = messages.select(F.lit(1)).count()
@@ -417,7 +446,7 @@ def sessions(
     ttl: float = TTL_SECONDS,
     pair_ttl: float = TTL_SECONDS,
     skew: Skew = Skew(),
-    hot: list | None = None,
+    hot: list | Marked | None = None,
 ) -> DataFrame:
     """SESSION rows: the pair and its session_no, counted from 1 in each tunnel, and
     session_start, the time at which the pair that opened the session was complete. Pairs
@@ -461,7 +490,7 @@ def enrich_sessions(
     carry_all: bool = False,
     pair_ttl: float = TTL_SECONDS,
     skew: Skew = Skew(),
-    hot: list | None = None,
+    hot: list | Marked | None = None,
     lone: bool = False,
 ) -> DataFrame:
     """`sessions` with identity carried forward: each message lacking a carried field takes
@@ -487,9 +516,9 @@ def continue_sessions(
     joined = known.join(open_sessions, "teid", "left")
     if hot:
         # Hot tunnels have one open session each: a side that Spark can broadcast or split by itself.
-        is_hot = F.col("teid").isin(hot)
-        joined = joined.where(~is_hot).unionByName(
-            known.where(is_hot).join(open_sessions.where(is_hot), "teid", "left")
+        to_cut = is_hot(F.col("teid"), hot)
+        joined = joined.where(~to_cut).unionByName(
+            known.where(to_cut).join(open_sessions.where(to_cut), "teid", "left")
         )
     placed = _placed(joined, ttl, pair_ttl, fields, skew, hot)
     oldest = F.least("t0", F.when(F.col("session_no") == 0, F.col("oldest_in")))

@@ -32,17 +32,54 @@ class Skew:
 # Buckets per shuffle partition in the search for hot values.
 _BUCKETS_PER_SHARE = 64
 
+# Most hot values that are named one by one, and the bits that stand for more of them.
+_NAMED = 1000
+_MARKS = 1 << 18
+
+
+@dataclass(frozen=True)
+class Marked:
+    """Hot values too many to name: a bitmap of fixed size of their hashes, as numbers of 64 bits in text.
+
+    A value that shares a bit with a hot one counts as hot, too. Cutting never changes a result, so it is
+    only cut without need.
+    """
+
+    bits: str
+
+
+def _spot(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(_MARKS))
+
+
+def is_hot(value: Column, hot: list | Marked) -> Column:
+    """Whether a value is among the hot ones, as `hot_values` gives them; never null."""
+    if isinstance(hot, Marked):
+        words, spot = F.split(F.lit(hot.bits), ",").cast("array<bigint>"), _spot(value.cast("string"))
+        bit = F.getbit(F.get(words, F.shiftright(spot, 6).cast("int")), spot.bitwiseAND(63).cast("int"))
+        return value.isNotNull() & (bit == 1)
+    return F.coalesce(value.isin(hot), F.lit(False))
+
+
+def _marked(values: DataFrame) -> Marked:
+    spot = _spot(F.col("v"))
+    bit = F.expr("shiftleft(1L, CAST(spot & 63 AS INT))")
+    words = values.select(spot.alias("spot")).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    found = dict(words.collect())
+    return Marked(",".join(str(found.get(i, 0)) for i in range(_MARKS >> 6)))
+
 
 def hot_values(
     df: DataFrame, value: Column, min_rows: int, total: int | None = None
-) -> list:
-    """Values of `value` held by more than `min_rows` rows.
+) -> list | Marked:
+    """Values of `value` held by more than `min_rows` rows, for `is_hot`.
 
     Rows are first counted per hash bucket of the value. That needs hardly any shuffle, as
     each task hands on no more rows than there are buckets, and a hot value makes its bucket
     heavy. Only the values of heavy buckets are then counted one by one. Neither list that
-    reaches the driver can have more than one entry per `min_rows` rows. `total` saves the count
-    of all rows where it is known.
+    reaches the driver can have more than one entry per `min_rows` rows. Where that may be more than
+    `_NAMED`, all values are counted, and if so many are hot, only a bitmap reaches the driver.
+    `total` saves the count of all rows where it is known.
     """
     if df.isStreaming:
         return []
@@ -55,6 +92,10 @@ def hot_values(
     buckets = max(shares * _BUCKETS_PER_SHARE, 4 * total // min_rows)
     bucket = F.pmod(F.xxhash64("v"), F.lit(buckets))
     keyed = df.select(value.cast("string").alias("v")).where(F.col("v").isNotNull())
+    if total // max(1, min_rows) > _NAMED:
+        found = held(keyed.groupBy("v").count().where(F.col("count") > min_rows).select("v"))
+        some = [r["v"] for r in found.limit(_NAMED + 1).collect()]
+        return some if len(some) <= _NAMED else _marked(found)
 
     def beyond(rows: DataFrame, by: Column) -> list:
         counts = rows.groupBy(by.alias("g")).count().where(F.col("count") > min_rows)
@@ -82,7 +123,7 @@ _SPANS = 1024
 def with_slices(
     df: DataFrame,
     key: str,
-    hot: list,
+    hot: list | Marked,
     skew: Skew,
     ts: str,
     minor: list[Column],
@@ -102,17 +143,17 @@ def with_slices(
     names = ["major", "piece", "part", "crowd", *minors]
     if not hot:
         return df.withColumn(name, F.struct(*[zero.alias(n) for n in names]))
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    to_cut = is_hot(F.col(key), hot)
     micros = F.unix_micros(ts)
     length = skew.slice_seconds * 1_000_000
     major = F.floor(micros / length).cast("bigint")
     span = F.floor((micros - F.col("_major") * length) * _SPANS / length).cast("bigint")
-    marked = df.withColumn("_major", F.when(is_hot, major).otherwise(zero)).withColumn(
-        "_span", F.when(is_hot, span)
+    marked = df.withColumn("_major", F.when(to_cut, major).otherwise(zero)).withColumn(
+        "_span", F.when(to_cut, span)
     )
     limit = skew.min_rows
     slice_ = [key, "_major"]
-    spans = marked.where(is_hot).groupBy(*slice_, "_span").agg(F.count(F.lit(1)).alias("_n"))
+    spans = marked.where(to_cut).groupBy(*slice_, "_span").agg(F.count(F.lit(1)).alias("_n"))
     pieces = held(
         spans.withColumn("_all", F.sum("_n").over(W.partitionBy(*slice_)))
         .where(F.col("_all") > limit)

@@ -1,12 +1,14 @@
 import random
+from collections import Counter
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import sigweave.operators.sessions as S
+import sigweave.operators.skew as K
 from sigweave.operators.pairing import pair_messages
-from sigweave.operators.skew import Skew
+from sigweave.operators.skew import Skew, hot_values
 from tests.sequences import folded, messages, pair_table, random_pairs
 
 
@@ -175,3 +177,20 @@ def test_all_pairs_in_few_lifetimes(spark, gap, monkeypatch):
     assert largest <= max(400, grain.agg(F.max("count")).first()[0])
     got = S.enrich_sessions(pairs, skew=Skew(min_rows=1000, slice_seconds=1, id_block=100))
     assert placed(got) == folded(rows)
+
+
+def test_many_hot_tunnels_are_marked_not_named(spark, monkeypatch):
+    """More hot values than may be named reach the driver as a bitmap of fixed size; sessions stay the same."""
+    monkeypatch.setattr(K, "_NAMED", 5)
+    rows = random_pairs(11, 400, [0, 1000, 20_000_000, 59_999_999, 60_000_000])
+    rows = [(f"T{i % 40}", *r[1:]) for i, r in enumerate(rows)]
+    pairs = pair_table(spark, rows).repartition(3)
+    skew = Skew(min_rows=2, slice_seconds=60, id_block=3)
+    hot = hot_values(pairs, F.col("teid"), skew.min_rows)
+    assert isinstance(hot, K.Marked) and len(hot.bits) < 100_000
+    marked = {r[0] for r in pairs.where(K.is_hot(F.col("teid"), hot)).select("teid").distinct().collect()}
+    counts = Counter(r[0] for r in rows)
+    assert {t for t, n in counts.items() if n > 2} <= marked
+    assert placed(S.enrich_sessions(pairs, skew=skew)) == folded(rows)
+    none = spark.createDataFrame([(None,), ("x",)], "teid string")
+    assert [r[0] for r in none.select(K.is_hot(F.col("teid"), K.Marked("0," * 4095 + "0"))).collect()] == [False, False]
