@@ -9,17 +9,19 @@ of questions against the size of a table entry, and follows 64 / log2(number of
 
 Exact copies share a fingerprint and take part once, so a huge group of copies costs one row.
 
-`keep_one`, for cleaning, links texts by the Jaccard similarity of five-word shingles: fingerprints find the
-candidates, the sets of shingles decide.
+`keep_one`, for cleaning, links texts by the Jaccard similarity of five-word shingles: the rarest shingles of
+each text find all candidates, the sets of shingles decide.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -154,70 +156,105 @@ def _shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(np.fromiter((digest(line[i:j], 42) for i, j in spans), np.uint64, n))
 
 
-#: Odd factors, from powers of the golden ratio, which put the hashes in another order for each anchor.
-_ORDERS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in (1, 2, 3)]
+#: Shingles are counted by so many leading bits of their hash, in pages of 2 ** _PAGE counts.
+_SLOT, _PAGE = 18, 12
 
 
-def signature(text: Column, width: int = 5) -> Column:
-    """(fp, n, anchors) of a text: SimHash of its distinct shingles, how many, and the least of them in three orders.
+def commonness(texts: DataFrame, width: int = 5) -> Broadcast[np.ndarray]:
+    """In how many of the texts (column `text`) a shingle occurs, summed over those that share their leading bits.
 
-    Two texts share an anchor with the chance of their Jaccard similarity. No words (null): 0, 0 and zeros.
+    Of fixed size. The order that it gives is the same for all texts, which is all that results need.
     """
 
-    @F.arrow_udf("fp long, n int, anchors array<long>")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << _SLOT, np.int64)
+        for batch in batches:
+            for text in batch.column("text"):
+                total[_shingles(text.as_py(), width) >> np.uint64(64 - _SLOT)] += 1
+        pages = total.reshape(-1, 1 << _PAGE)
+        some = np.flatnonzero(pages.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some), pa.array([pages[i].tobytes() for i in some], pa.binary())], ["page", "counts"]
+        )
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(b.as_py(), np.int64) for b in rows["counts"])
+        return pa.table({"page": rows["page"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros((1 << (_SLOT - _PAGE), 1 << _PAGE), np.int64)
+    shape = "page long, counts binary"
+    for row in texts.mapInArrow(count, shape).groupBy("page").applyInArrow(add, shape).collect():
+        out[row.page] = np.frombuffer(row.counts, np.int64)
+    return texts.sparkSession.sparkContext.broadcast(out.ravel())
+
+
+def signature(text: Column, common: Broadcast[np.ndarray], alike: float = 0.8, width: int = 5) -> Column:
+    """(n, rare) of a text: how many distinct shingles, and its rarest ones, so many that similar texts share one.
+
+    Of two texts at least `alike`, n shingles of the one lack at most n - alike * n in the other. So if one
+    more than that is taken of each, rarest first in one order for all texts, they have one in common. No
+    words (null): 0 and a zero.
+    """
+
+    @F.arrow_udf("n int, rare array<long>")
     def of(texts: pa.Array) -> pa.Array:
-        prints, sizes, anchors = [], [], []
+        sizes, rare = [], []
         for text in texts:
             h = _shingles(text.as_py(), width)
-            votes = np.zeros(BITS, np.int64)
-            for at in range(0, len(h), _CHUNK):
-                part = h[at : at + _CHUNK].view(np.uint8).reshape(-1, 8)
-                votes += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-            prints.append(int(np.packbits(votes * 2 > len(h), bitorder="little").view(np.int64)[0]))
+            take = len(h) - math.ceil(alike * len(h) - 1e-6) + 1
+            order = np.lexsort((h, common.value[h >> np.uint64(64 - _SLOT)]))[:take]
             sizes.append(len(h))
-            # Factors are odd, so different hashes stay different.
-            anchors.append([int((h * f).min().view(np.int64)) if len(h) else 0 for f in _ORDERS])
-        columns = pa.array(prints, pa.int64()), pa.array(sizes, pa.int32()), pa.array(anchors, pa.list_(pa.int64()))
-        return pa.StructArray.from_arrays(columns, ["fp", "n", "anchors"])
+            rare.append(h[order].view(np.int64) if len(h) else np.zeros(1, np.int64))
+        columns = pa.array(sizes, pa.int32()), pa.array(rare, pa.list_(pa.int64()))
+        return pa.StructArray.from_arrays(columns, ["n", "rare"])
 
     return of.asNondeterministic()(text)
 
 
-#: Of similar texts: segments of a fingerprint, each asked for with one wrong bit, and the most bits that differ.
-_SEGMENTS, _FAR = 6, 20
-_ROUNDS = 2
+_ROUNDS = 3
 
 
-def candidates(signed: DataFrame, alike: float = 0.8) -> DataFrame:
-    """(a, b, bits), a > b, of `node`s that may be `alike`, from one row (node, fp, n, anchors) each.
+def places(signed: DataFrame) -> DataFrame:
+    """(shingle, node, n, at): the rare shingles that two or more `node`s have, from one row (node, n, rare) each."""
+    each = signed.select(F.explode("rare").alias("shingle"))
+    shared = stored(each.groupBy("shingle").count().where("count > 1").select("shingle"))
+    rows = signed.select("node", "n", F.posexplode("rare").alias("at", "shingle")).select("shingle", "node", "n", "at")
+    return stored(rows_among(rows, "shingle", bitmap(shared)).join(shared, "shingle", "left_semi"))
 
-    At a similarity of 0.8, a bit of the fingerprint differs with a chance of 0.15, so some ten of 64 do: a radius
-    at which segments alone are no index any more. So every segment's table is divided by anchor: a text
-    is in three of the divisions, and those with one text only are left out before any ball is made. A pair at 0.8
-    has an anchor in common (0.99), a segment with at most one wrong bit (0.98) and no more than 20 in
-    all (0.999); more similar pairs have higher chances. The sizes of similar texts are similar, too.
-    """
-    places = signed.select("node", "fp", "n", F.posexplode("anchors").alias("turn", "anchor"))
-    shared = places.groupBy("turn", "anchor").agg(F.count("*").alias("texts")).where("texts > 1")
-    places = stored(places.join(shared, ["turn", "anchor"], "left_semi"))
-    asked, table = [], []
-    for i, (shift, bits, _) in enumerate(_layout(_SEGMENTS, _FAR)):
-        value = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << bits) - 1))
-        table.append(F.struct(F.lit(i).alias("seg"), value.alias("value")))
-        asked.append(_ball(i, value, _masks(bits, 1)))
-    keys = F.xxhash64("turn", "anchor").alias("division")
 
-    def rows(side: str, found: Column) -> DataFrame:
-        out = places.select(
-            F.col("node").alias(side), F.col("fp").alias(f"fp_{side}"), F.col("n").alias(f"n_{side}"), keys, F.explode(found).alias("k")
-        )
-        return out.select(side, f"fp_{side}", f"n_{side}", "division", F.col("k.seg").alias("seg"), F.col("k.value").alias("value"))
+def _possible(alike: float) -> Column:
+    """Whether texts a and b can be `alike`, if the shingle they meet at is the first that they share."""
+    sizes = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(alike) - 1e-6
+    most = 1 + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) - 1
+    return sizes & ((F.col("n_a") == 0) | (most * (1 + alike) >= alike * (F.col("n_a") + F.col("n_b")) - 1e-6))
+
+
+def _side(rows: DataFrame, side: str) -> DataFrame:
+    return rows.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "at", "root")])
+
+
+def _pairs(met: DataFrame, alike: float) -> DataFrame:
+    """(a, b), a > b, of the nodes that met and may be `alike`."""
+    return met.where(_possible(alike)).select(
+        F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b")
+    ).distinct()
+
+
+def _with_one(rows: DataFrame, turn: int, alike: float) -> DataFrame:
+    """Pairs of each node in another component with one node of each shingle, drawn alike for all shingles."""
+    drawn = F.min_by(F.struct("node", "n", "at", "root"), F.xxhash64("node", F.lit(turn)))
+    one = rows.groupBy("shingle").agg(drawn.alias("one")).select("shingle", "one.*")
+    met = _side(rows, "a").join(_side(one, "b"), "shingle").where("root_a <> root_b")
+    return _pairs(met, alike)
+
 
-    bits = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b")))
-    sizes = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(alike)
-    left, right = rows("a", F.flatten(F.array(*asked))), rows("b", F.array(*table))
-    met = left.join(right, ["division", "seg", "value"])
-    return met.where((F.col("a") > F.col("b")) & (bits <= _FAR) & sizes).select("a", "b", bits.alias("bits")).distinct()
+def _with_all(rows: DataFrame, alike: float) -> DataFrame:
+    """Pairs of all nodes of a shingle that are in different components. One of each pair is not in its largest."""
+    sizes = rows.groupBy("shingle", "root").count()
+    largest = sizes.groupBy("shingle").agg(F.max(F.struct("count", "root")).alias("m")).select("shingle", F.col("m.root").alias("main"))
+    rest = rows.join(largest, "shingle").where("root <> main").select(rows.columns)
+    met = _side(rest, "a").join(_side(rows, "b"), "shingle").where(F.col("root_a") != F.col("root_b"))
+    return _pairs(met, alike)
 
 
 def _shingle_set(text: Column, width: int) -> Column:
@@ -248,17 +285,19 @@ def _jaccard_at_least(a: Column, b: Column, alike: float) -> Column:
 def similar_groups(docs: DataFrame, text_col: str = "text", alike: float = 0.8, width: int = 5) -> DataFrame:
     """(node, root) of every distinct text, `node` its xxhash64; root is the same within a component.
 
-    Candidates count as links if the Jaccard similarity of their sets of shingles is at least `alike`. In each of
-    `_ROUNDS`, every text is compared with the candidate whose fingerprint is nearest. Pairs that lie in one component by then
-    add nothing and are left out; after the rounds all others are compared. So components are those of all
-    similar candidates, and a group of near copies costs a few comparisons a text.
+    Texts are linked if the Jaccard similarity of their sets of shingles is at least `alike`; no link is left out.
+    Candidates share one of their rarest shingles, see `signature`. In each of `_ROUNDS`, the texts that share one
+    are compared with one of them. Shingles whose texts are all in one component by then can add
+    nothing and are left out; after the rounds all texts of a shingle that are in different components are compared. So
+    a group of near copies costs a few comparisons a text.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.xxhash64(text).alias("node"), text.alias("text"))
-    signed = texts.select("node", signature(F.col("text"), width).alias("s"))
+    common = commonness(texts.select("text"), width)
+    signed = texts.select("node", signature(F.col("text"), common, alike, width).alias("s"))
     signed = stored(signed.groupBy("node").agg(F.any_value("s").alias("s")).select("node", "s.*"))
-    pairs = stored(candidates(signed, alike))
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    rows = places(signed).withColumn("root", F.col("node"))
+    nodes = rows.select("node").distinct()
     wanted = rows_among(texts, "node", bitmap(nodes)).join(nodes, "node", "left_semi")
     wanted = wanted.groupBy("node").agg(F.any_value("text").alias("text"))
     wanted = stored(wanted.select("node", _shingle_set(F.col("text"), width).alias("set")))
@@ -267,20 +306,20 @@ def similar_groups(docs: DataFrame, text_col: str = "text", alike: float = 0.8,
         left = wanted.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
         right = wanted.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
         both = some.join(left, "a").join(right, "b")
-        return stored(both.where(_jaccard_at_least(F.col("set_a"), F.col("set_b"), alike)).select("a", "b"))
-
-    found = pairs.select("a", "b").limit(0)
-    for _ in range(_ROUNDS):
-        ends = pairs.select("a", "b", "bits").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "bits"))
-        nearest = ends.groupBy("a").agg(F.min(F.struct("bits", "b")).alias("of")).select("a", "of.b")
-        nearest = stored(nearest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        found = stored(found.unionByName(compared(nearest)))
-        known = components(found)
-        root_a, root_b = (known.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-        rest = pairs.join(nearest, ["a", "b"], "left_anti").join(root_a, "a", "left").join(root_b, "b", "left")
-        rest = rest.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-        pairs = stored(rest.select("a", "b", "bits"))
-    whole = components(found.unionByName(compared(pairs.select("a", "b"))))
+        return both.where(_jaccard_at_least(F.col("set_a"), F.col("set_b"), alike)).select("a", "b")
+
+    found = rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    for turn in range(_ROUNDS + 1):
+        some = _with_one(rows, turn, alike) if turn < _ROUNDS else _with_all(rows, alike)
+        found = stored(found.unionByName(compared(some)))
+        whole = components(found)
+        if turn == _ROUNDS:
+            break
+        rows = rows.drop("root").join(whole, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        open_ = rows.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        rows = stored(rows.join(open_.select("shingle"), "shingle", "left_semi").select("shingle", "node", "n", "at", "root"))
+        if rows.isEmpty():
+            break
     return signed.select("node").join(whole, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 

@@ -136,3 +136,22 @@ def test_groups_of_near_copies_and_a_shared_passage(spark):
         rows.append((1000 + i, " ".join([word() for _ in range(50)] + passage)))
     kept = {r.doc_id for r in keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == {0, *range(1000, 1400)}
+
+
+def test_every_similar_pair_is_linked(spark):
+    """Texts of all lengths with edits that leave them just at or above the limit: no link is left out, none added."""
+    rng = random.Random(17)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts, common = ["", " \n", "a b", "A  b"], [word() for _ in range(30)]
+    for i in range(250):
+        words = [word() for _ in range(rng.choice([6, 25, 60, 120, 300]))] + common * (i % 2)
+        texts.append(" ".join(words))
+        for _ in range(2):
+            other, at = list(words), rng.randrange(len(words))
+            most = max(1, round(len(words) / 9))
+            other[at : at + rng.randint(1, most)] = [word() for _ in range(rng.randint(0, most))]
+            texts.append(" ".join(other))
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = groups_of([(i, j) for i, j, s in similar_pairs(texts) if s >= 0.8] + [(0, 1)], list(range(len(texts))))
+    assert sum(w != i for i, w in enumerate(want)) > 150
+    assert sorted(r.doc_id for r in keep_one(table).collect()) == sorted(set(want))
