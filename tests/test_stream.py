@@ -1,6 +1,7 @@
 import dataclasses
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -166,6 +167,68 @@ def test_stateful_operator_equals_batch(spark, tmp_path):
     assert [tuple(r) for r in rest] == [(-2, "missing_field")]
 
 
+def test_stateful_operator_holds_batches(spark, tmp_path):
+    """Many messages of one key are few rows of state, and settle as one by one."""
+    from sigweave.streaming.processor import _CHUNK, _HELD, PairProcessor
+
+    class Held:
+        def __init__(self):
+            self.rows = []
+
+        def appendList(self, rows):
+            self.rows += rows
+
+        put = lambda self, rows: setattr(self, "rows", list(rows))
+        get = lambda self: iter(self.rows)
+        clear = lambda self: self.rows.clear()
+
+    class Handle:
+        timers = []
+        getListState = lambda self, name, schema: Held()
+        listTimers = lambda self: iter(list(self.timers))
+        registerTimer = lambda self, ms: self.timers.append(ms)
+        deleteTimer = lambda self, ms: self.timers.remove(ms)
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+    rng = random.Random(8)
+    n = _CHUNK + 500
+    times = [rng.choice([0, 1, 20_000_000, 59_999_999, 60_000_000]) for _ in range(n)]
+    us = [sum(times[:1])]
+    for gap in times[1:]:
+        us.append(us[-1] + gap)
+    ids = [(1 << 60) + i for i in range(n)]
+    rows = pd.DataFrame({c: None for c in _HELD}, index=range(n), dtype=object).assign(id=ids, us=us)
+    made, handle = PairProcessor(), Handle()
+    made.init(handle)
+    mixed = rows.sample(frac=1, random_state=1)
+    list(made.handleInputRows(("k",), iter([mixed[: n // 2], mixed[n // 2 :]]), None))
+    assert len(made.held.rows) <= 4
+    got = []
+    for settled in (us[n // 3] // 1000, us[n // 2] // 1000, us[-1] // 1000 + 1, us[-1] // 1000 + 60_001):
+        for frame in made.handleExpiredTimer(("k",), At(settled), At(min(handle.timers))):
+            got += [
+                (k, int(a), None if pd.isna(b) else int(b))
+                for k, a, b in zip(frame["kind"], frame["first_id"], frame["second_id"])
+            ]
+    expected, waiting = [], None
+    for message in zip(us, ids):
+        if waiting is None:
+            waiting = message
+        elif message[0] < waiting[0] + 60_000_000:
+            expected.append(("pair", waiting[1], message[1]))
+            waiting = None
+        else:
+            expected.append(("expired", waiting[1], None))
+            waiting = message
+    if waiting is not None:
+        expected.append(("expired", waiting[1], None))
+    assert sorted(got, key=lambda r: r[1]) == expected
+    assert not made.held.rows
+
+
 def test_a_date_far_ahead_does_not_move_the_clock(spark, tmp_path):
     rows = [{"id": 0, "at": 0}, {"id": 1, "at": 1, "q": False}, {"id": 9, "at": 40 * 365 * 86400.0}]
     messages(spark, rows[:1] + rows[2:]).write.parquet(f"{tmp_path}/in/part0")
