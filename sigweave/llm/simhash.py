@@ -188,25 +188,37 @@ def commonness(texts: DataFrame, width: int = 5) -> Broadcast[np.ndarray]:
     return texts.sparkSession.sparkContext.broadcast(out.ravel())
 
 
+#: Longs of a sketch; a set's sketch has a bit for whether an odd number of its hashes fall on it.
+_SKETCH = 8
+
+
+def _sketch(hashes: np.ndarray) -> np.ndarray:
+    odd = np.bincount((hashes % np.uint64(64 * _SKETCH)).astype(np.int64), minlength=64 * _SKETCH) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 def signature(text: Column, common: Broadcast[np.ndarray], alike: float = 0.8, width: int = 5) -> Column:
-    """(n, rare) of a text: how many distinct shingles, and its rarest ones, so many that similar texts share one.
+    """(n, rare, sketch) of a text: how many distinct shingles, its rarest ones, so many that similar texts share
+    one, and the sketch of all. Each shingle that only one of two texts has changes one bit between their sketches.
 
     Of two texts at least `alike`, n shingles of the one lack at most n - alike * n in the other. So if one
     more than that is taken of each, rarest first in one order for all texts, they have one in common. No
     words (null): 0 and a zero.
     """
 
-    @F.arrow_udf("n int, rare array<long>")
+    @F.arrow_udf("n int, rare array<long>, sketch array<long>")
     def of(texts: pa.Array) -> pa.Array:
-        sizes, rare = [], []
+        sizes, rare, sketches = [], [], []
         for text in texts:
             h = _shingles(text.as_py(), width)
             take = len(h) - math.ceil(alike * len(h) - 1e-6) + 1
             order = np.lexsort((h, common.value[h >> np.uint64(64 - _SLOT)]))[:take]
             sizes.append(len(h))
             rare.append(h[order].view(np.int64) if len(h) else np.zeros(1, np.int64))
-        columns = pa.array(sizes, pa.int32()), pa.array(rare, pa.list_(pa.int64()))
-        return pa.StructArray.from_arrays(columns, ["n", "rare"])
+            sketches.append(_sketch(h))
+        longs = pa.list_(pa.int64())
+        columns = pa.array(sizes, pa.int32()), pa.array(rare, longs), pa.array(sketches, longs)
+        return pa.StructArray.from_arrays(columns, ["n", "rare", "sketch"])
 
     return of.asNondeterministic()(text)
 
@@ -215,11 +227,21 @@ _ROUNDS = 3
 
 
 def places(signed: DataFrame) -> DataFrame:
-    """(shingle, node, n, at): the rare shingles that two or more `node`s have, from one row (node, n, rare) each."""
+    """(shingle, node, n, at): the rare shingles that two or more `node`s have, from one row (node, n, rare) each.
+
+    Of shingles that the same nodes have, only the first in the order of `signature` stays: it makes the same
+    pairs, and is the first that they share if one of the others is.
+    """
     each = signed.select(F.explode("rare").alias("shingle"))
     shared = stored(each.groupBy("shingle").count().where("count > 1").select("shingle"))
     rows = signed.select("node", "n", F.posexplode("rare").alias("at", "shingle")).select("shingle", "node", "n", "at")
-    return stored(rows_among(rows, "shingle", bitmap(shared)).join(shared, "shingle", "left_semi"))
+    # What a full bitmap lets through beside them occurs once.
+    who = [F.count("*").alias("nodes"), *[F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"who_{i}") for i in (0, 1)]]
+    held = rows_among(rows, "shingle", bitmap(shared)).groupBy("shingle").agg(F.sum("at").alias("at"), *who)
+    first = F.min(F.struct("at", "shingle")).alias("first")
+    held = held.where("nodes > 1").groupBy("nodes", "who_0", "who_1").agg(first)
+    chosen = stored(held.select(F.col("first.shingle").alias("shingle")))
+    return stored(rows_among(rows, "shingle", bitmap(chosen)).join(chosen, "shingle", "left_semi"))
 
 
 def _possible(alike: float) -> Column:
@@ -248,13 +270,23 @@ def _with_one(rows: DataFrame, turn: int, alike: float) -> DataFrame:
     return _pairs(met, alike)
 
 
-def _with_all(rows: DataFrame, alike: float) -> DataFrame:
-    """Pairs of all nodes of a shingle that are in different components. One of each pair is not in its largest."""
+def _with_all(rows: DataFrame, signed: DataFrame, alike: float) -> DataFrame:
+    """Pairs of all nodes of a shingle that are in different components. One of each pair is not in its largest.
+
+    Sketches that differ in more bits than similar texts have shingles apart leave a pair out.
+    """
     sizes = rows.groupBy("shingle", "root").count()
     largest = sizes.groupBy("shingle").agg(F.max(F.struct("count", "root")).alias("m")).select("shingle", F.col("m.root").alias("main"))
+    bits = signed.select("node", *[F.col("sketch")[i].alias(f"bits_{i}") for i in range(_SKETCH)])
+    rows = stored(rows.join(bits, "node"))
     rest = rows.join(largest, "shingle").where("root <> main").select(rows.columns)
-    met = _side(rest, "a").join(_side(rows, "b"), "shingle").where(F.col("root_a") != F.col("root_b"))
-    return _pairs(met, alike)
+    left, right = (
+        some.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "shingle"])
+        for some, side in ((rest, "a"), (rows, "b"))
+    )
+    apart = sum(F.bit_count(F.col(f"bits_{i}_a").bitwiseXOR(F.col(f"bits_{i}_b"))) for i in range(_SKETCH))
+    near = apart * F.lit(1 + alike) <= (F.col("n_a") + F.col("n_b")) * F.lit(1 - alike) + 1e-6
+    return _pairs(left.join(right, "shingle").where((F.col("root_a") != F.col("root_b")) & near), alike)
 
 
 def _shingle_set(text: Column, width: int) -> Column:
@@ -297,12 +329,14 @@ def similar_groups(docs: DataFrame, text_col: str = "text", alike: float = 0.8,
     signed = texts.select("node", signature(F.col("text"), common, alike, width).alias("s"))
     signed = stored(signed.groupBy("node").agg(F.any_value("s").alias("s")).select("node", "s.*"))
     rows = places(signed).withColumn("root", F.col("node"))
-    nodes = rows.select("node").distinct()
-    wanted = rows_among(texts, "node", bitmap(nodes)).join(nodes, "node", "left_semi")
-    wanted = wanted.groupBy("node").agg(F.any_value("text").alias("text"))
-    wanted = stored(wanted.select("node", _shingle_set(F.col("text"), width).alias("set")))
 
     def compared(some: DataFrame) -> DataFrame:
+        """The pairs that are alike. Only texts in a pair are cut into shingles again and shuffled."""
+        some = stored(some)
+        nodes = some.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = rows_among(texts, "node", bitmap(nodes)).join(nodes, "node", "left_semi")
+        wanted = wanted.groupBy("node").agg(F.any_value("text").alias("text"))
+        wanted = wanted.select("node", _shingle_set(F.col("text"), width).alias("set"))
         left = wanted.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
         right = wanted.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
         both = some.join(left, "a").join(right, "b")
@@ -310,7 +344,7 @@ def similar_groups(docs: DataFrame, text_col: str = "text", alike: float = 0.8,
 
     found = rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     for turn in range(_ROUNDS + 1):
-        some = _with_one(rows, turn, alike) if turn < _ROUNDS else _with_all(rows, alike)
+        some = _with_one(rows, turn, alike) if turn < _ROUNDS else _with_all(rows, signed, alike)
         found = stored(found.unionByName(compared(some)))
         whole = components(found)
         if turn == _ROUNDS:

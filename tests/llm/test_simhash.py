@@ -3,10 +3,13 @@ import random
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from sigweave.llm.queries import QUERIES
 from sigweave.llm.shared import components
-from sigweave.llm.simhash import keep_one, links, near_duplicates, similar_groups
+from sigweave.llm.simhash import (
+    _with_all, commonness, keep_one, links, near_duplicates, places, signature, similar_groups,
+)
 
 
 def brute_fingerprint(text, width=4):
@@ -155,3 +158,26 @@ def test_every_similar_pair_is_linked(spark):
     want = groups_of([(i, j) for i, j, s in similar_pairs(texts) if s >= 0.8] + [(0, 1)], list(range(len(texts))))
     assert sum(w != i for i, w in enumerate(want)) > 150
     assert sorted(r.doc_id for r in keep_one(table).collect()) == sorted(set(want))
+
+
+def test_near_copies_below_the_limit_make_few_pairs(spark):
+    """Copies of a short text with a word changed are below the limit: their places are few, and few pairs are compared.
+    Those that are alike are."""
+    rng = random.Random(23)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base, texts = [word() for _ in range(60)], []
+    for _ in range(120):
+        near = list(base)
+        near[rng.randrange(5, 55)] = word()
+        texts.append(" ".join(near))
+    texts += [t + " more" for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    common = commonness(docs.select("text"))
+    signed = docs.select("node", signature(F.col("text"), common).alias("s")).select("node", "s.*").cache()
+    rows = places(signed).withColumn("root", F.col("node"))
+    who = rows.groupBy("shingle").agg(F.sort_array(F.collect_list("node")).alias("who"))
+    assert who.select("who").distinct().count() == who.count()
+    got = {(r.b, r.a) for r in _with_all(rows, signed, 0.8).collect()}
+    alike = {(j, i) for i, j, s in similar_pairs(texts) if s >= 0.8}
+    assert len(alike) >= 20 and alike <= got
+    assert len(got) <= 3 * len(alike)
