@@ -20,6 +20,8 @@ SPAN = 32
 OVERLAP = 8
 _STEP = SPAN - OVERLAP
 _MOST = np.float32(40)
+#: Logits this near to 0 need no shift before their exponentials.
+_SAFE = 60
 _LN10 = np.log(10.0)
 
 SHAPES = {
@@ -56,6 +58,7 @@ def flat(p: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def shaped(v: np.ndarray) -> dict[str, np.ndarray]:
+    """Views of a flat vector, by name."""
     out, at = {}, 0
     for k, s in SHAPES.items():
         n = int(np.prod(s))
@@ -64,104 +67,146 @@ def shaped(v: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+#: Distance of each pair of places of a window, 0 for what lies ahead.
+_GAP = np.maximum(np.arange(SPAN)[:, None] - np.arange(SPAN)[None, :], 0)
+
+
 def _mask(near: np.ndarray) -> np.ndarray:
     """Factor of each pair of places: the weight of their distance, 0 for what lies ahead."""
-    gap = np.arange(SPAN)[:, None] - np.arange(SPAN)[None, :]
-    return np.where(gap >= 0, np.exp(near)[np.maximum(gap, 0)], 0).astype(np.float32)
+    return np.tril(np.exp(near)[_GAP]).astype(np.float32)
+
+
+def _scaled(qkv: np.ndarray) -> np.ndarray:
+    """The projection with the queries' part divided by the root of their width."""
+    out = qkv.copy()
+    out[:, :WIDTH] *= np.float32(WIDTH**-0.5)
+    return out
+
 
+def _parts(live: np.ndarray) -> list[tuple]:
+    """(windows, places) of the queries: where no place of the overlap is live, it is context only and asks nothing."""
+    first = np.flatnonzero(live[:, :OVERLAP].any(1))
+    parts = [(slice(None), slice(OVERLAP, SPAN))]
+    return parts if not len(first) else [*parts, (first, slice(0, OVERLAP))]
 
-def _forward(p: dict[str, np.ndarray], ids: np.ndarray) -> tuple:
-    """Everything the backward pass needs, for windows of ids (n, SPAN)."""
-    x = p["embed"][ids]
-    n = len(ids)
-    qkv = (x.reshape(-1, WIDTH) @ p["qkv"]).reshape(n, SPAN, 3 * WIDTH)
-    q, k, v = qkv[..., :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
-    s = np.matmul(q * np.float32(WIDTH**-0.5), k.transpose(0, 2, 1))
+
+def _weights(qkv: np.ndarray, some, places: slice, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(weights before division, averaged values) of the queries at some windows' places, over all keys up to them."""
+    mine = qkv[some]
+    stop = places.stop
+    s = np.matmul(mine[:, places, :WIDTH], mine[:, :stop, WIDTH : 2 * WIDTH].transpose(0, 2, 1))
     np.minimum(s, _MOST, out=s)
     np.exp(s, out=s)
-    s *= _mask(p["near"])
-    s /= s.sum(-1, keepdims=True)
-    a = np.matmul(s, v)
-    h = (x.reshape(-1, WIDTH) + a.reshape(-1, WIDTH) @ p["out"])
+    s *= mask[places, :stop]
+    return s, np.matmul(s, mine[:, :stop, 2 * WIDTH :])
+
+
+def _forward(p: dict[str, np.ndarray], ids: np.ndarray, live: np.ndarray | None = None) -> tuple:
+    """Everything the backward pass needs, for the live places of windows of ids (n, SPAN); all, if not given."""
+    live = np.ones(ids.shape, bool) if live is None else live
+    rows = np.flatnonzero(live)
+    x = p["embed"][ids.ravel()]
+    qkv = (x @ _scaled(p["qkv"])).reshape(*ids.shape, 3 * WIDTH)
+    mask = _mask(p["near"])
+    # Weights are left without their divisor until they have summed the values.
+    a, total, seen = np.zeros((*ids.shape, WIDTH), x.dtype), np.ones(ids.shape, x.dtype), []
+    for some, places in _parts(live):
+        s, summed = _weights(qkv, some, places, mask)
+        div = s @ np.ones(s.shape[2], s.dtype)
+        a[some, places] = summed / div[..., None]
+        total[some, places] = div
+        seen.append((some, places, s))
+    a_of = a.reshape(-1, WIDTH)[rows]
+    h = x[rows] + a_of @ p["out"]
     u = h @ p["up"]
     u += p["up_b"]
     np.maximum(u, 0, out=u)
-    return x, q, k, v, s, a, h, u, h + u @ p["down"]
+    return rows, x, qkv, seen, a, total, a_of, h, u, h + u @ p["down"]
+
+
+def _exponentials(e: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Overwrites `e` by exponentials; (the values before at flat places `at`, sums of rows). Large values are shifted by their row's most."""
+    if max(e.max(), -e.min()) > _SAFE:
+        e -= e.max(1, keepdims=True)
+    own = e.ravel()[at]
+    np.exp(e, out=e)
+    return own, e @ np.ones(e.shape[1], e.dtype)
 
 
 def _losses(p: dict[str, np.ndarray], o: np.ndarray, targets: np.ndarray, grads: dict | None = None):
     """Natural log probability of each target; with `grads`, also the gradient of the mean loss in `o`."""
-    cls, within = targets // CLASS, targets % CLASS
     n = len(targets)
-    e = o @ p["cls"]
-    e += p["cls_b"]
-    e -= e.max(1, keepdims=True)
-    own = e[np.arange(n), cls]
-    np.exp(e, out=e)
-    total = e.sum(1)
-    out = own - np.log(total)
-    if grads is not None:
-        e /= total[:, None]
-        e[np.arange(n), cls] -= 1
-        e /= n
-        do = e @ p["cls"].T
-        grads["cls"] = o.T @ e
-        grads["cls_b"] = e.sum(0)
-        grads["in"] = np.zeros_like(p["in"])
-        grads["in_b"] = np.zeros_like(p["in_b"])
-    order = np.argsort(cls.astype(np.uint8), kind="stable")
-    ends = np.cumsum(np.bincount(cls, minlength=CLASSES))
-    for c in range(CLASSES):
-        rows = order[ends[c - 1] if c else 0 : ends[c]]
-        if not len(rows):
-            continue
-        part = o[rows]
-        e = part @ p["in"][c]
-        e += p["in_b"][c]
-        e -= e.max(1, keepdims=True)
-        at = np.arange(len(rows)), within[rows]
-        own = e[at]
-        np.exp(e, out=e)
-        total = e.sum(1)
-        out[rows] += own - np.log(total)
-        if grads is not None:
-            e /= total[:, None]
-            e[at] -= 1
-            e /= n
-            do[rows] += e @ p["in"][c].T
-            grads["in"][c] = part.T @ e
-            grads["in_b"][c] = e.sum(0)
-    return (out, do) if grads is not None else out
+    order = np.argsort((targets // CLASS).astype(np.uint8), kind="stable")
+    cls, within = np.divmod(targets[order], CLASS)
+    ends = np.cumsum(np.bincount(cls, minlength=CLASSES)).tolist()
+    slices = [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends], ends)) if b > a]
+    # A column of ones carries the biases and their gradients.
+    o = np.concatenate((o[order], np.ones((n, 1), o.dtype)), 1)
+    of = np.concatenate((p["cls"], p["cls_b"][None]))
+    e = o @ of
+    at = np.arange(0, n * CLASSES, CLASSES) + cls
+    own, total = _exponentials(e, at)
+    inner = np.concatenate((p["in"], p["in_b"][:, None]), 1)
+    f = np.empty((n, CLASS), o.dtype)
+    for c, rows in slices:
+        np.matmul(o[rows], inner[c], out=f[rows])
+    place = np.arange(0, n * CLASS, CLASS) + within
+    own_f, total_f = _exponentials(f, place)
+    out = np.empty(n, o.dtype)
+    out[order] = own - np.log(total) + own_f - np.log(total_f)
+    if grads is None:
+        return out
+    e *= (1 / (n * total))[:, None]
+    e.ravel()[at] -= 1 / n
+    f *= (1 / (n * total_f))[:, None]
+    f.ravel()[place] -= 1 / n
+    part = e @ p["cls"].T
+    both = o.T @ e
+    grads["cls"], grads["cls_b"] = both[:-1], both[-1]
+    both = np.zeros_like(inner)
+    back = np.empty_like(part)
+    for c, rows in slices:
+        np.matmul(f[rows], p["in"][c].T, out=back[rows])
+        np.matmul(o[rows].T, f[rows], out=both[c])
+    grads["in"], grads["in_b"] = both[:, :-1], both[:, -1]
+    do = np.empty_like(part)
+    do[order] = part + back
+    return out, do
 
 
 def gradients(p: dict[str, np.ndarray], ids: np.ndarray, targets: np.ndarray, live: np.ndarray):
     """(mean loss, gradients) over the live places of windows; all arrays are (n, SPAN)."""
-    x, q, k, v, s, a, h, u, o = _forward(p, ids)
+    rows, x, qkv, seen, a, total, a_of, h, u, o = _forward(p, ids, live)
     g: dict[str, np.ndarray] = {}
-    rows = np.flatnonzero(live.ravel())
-    found, part = _losses(p, o[rows], targets.ravel()[rows], g)
-    do = np.zeros_like(o)
-    do[rows] = part
+    found, do = _losses(p, o, targets.ravel()[rows], g)
     g["down"] = u.T @ do
     du = do @ p["down"].T
     du *= u > 0
     g["up"], g["up_b"] = h.T @ du, du.sum(0)
     dh = do + du @ p["up"].T
-    g["out"] = a.reshape(-1, WIDTH).T @ dh
-    da = (dh @ p["out"].T).reshape(a.shape)
-    dv = np.matmul(s.transpose(0, 2, 1), da)
-    ds = np.matmul(da, v.transpose(0, 2, 1))
-    ds -= (ds * s).sum(-1, keepdims=True)
-    ds *= s
-    whole = ds.sum(0)
-    g["near"] = np.array([np.trace(whole, -d) for d in range(SPAN)], np.float32)
-    scale = np.float32(WIDTH**-0.5)
-    dqkv = np.concatenate((np.matmul(ds, k) * scale, np.matmul(ds.transpose(0, 2, 1), q) * scale, dv), -1)
+    g["out"] = a_of.T @ dh
+    da = np.zeros_like(x)
+    da[rows] = (dh @ p["out"].T) / total.ravel()[rows, None]
+    da = da.reshape(a.shape)
+    dqkv = np.zeros_like(qkv)
+    near = np.zeros((SPAN, SPAN))
+    for some, places, s in seen:
+        stop = places.stop
+        mine, d = qkv[some], da[some, places]
+        ds = np.matmul(d, mine[:, :stop, 2 * WIDTH :].transpose(0, 2, 1))
+        ds -= np.einsum("nij,nij->ni", d, a[some, places])[..., None]
+        ds *= s
+        near[places, :stop] += (np.ones(len(ds), ds.dtype) @ ds.reshape(len(ds), -1)).reshape(ds.shape[1:])
+        dqkv[some, places, :WIDTH] += np.matmul(ds, mine[:, :stop, WIDTH : 2 * WIDTH])
+        dqkv[some, :stop, WIDTH : 2 * WIDTH] += np.matmul(ds.transpose(0, 2, 1), mine[:, places, :WIDTH])
+        dqkv[some, :stop, 2 * WIDTH :] += np.matmul(s.transpose(0, 2, 1), d)
+    g["near"] = np.bincount(_GAP.ravel(), near.ravel(), SPAN).astype(np.float32)
     dqkv = dqkv.reshape(-1, 3 * WIDTH)
-    g["qkv"] = x.reshape(-1, WIDTH).T @ dqkv
-    dx = dh + dqkv @ p["qkv"].T
-    spots = ids.ravel()
-    g["embed"] = np.stack([np.bincount(spots, dx[:, i], VOCABULARY) for i in range(WIDTH)], 1).astype(np.float32)
+    g["qkv"] = _scaled(x.T @ dqkv)
+    dx = dqkv @ _scaled(p["qkv"]).T
+    dx[rows] += dh
+    spots = ids.reshape(-1, 1).astype(np.int64) * WIDTH + np.arange(WIDTH)
+    g["embed"] = np.bincount(spots.ravel(), dx.ravel(), VOCABULARY * WIDTH).reshape(VOCABULARY, WIDTH).astype(np.float32)
     return -float(found.mean()), g
 
 
@@ -190,22 +235,18 @@ def windows(ids: np.ndarray, lengths: np.ndarray, end: int):
     return before[place], ids[place], live, text
 
 
-def _encode(p: dict[str, np.ndarray], ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    """The last value of `_forward`, with fewer passes over memory.
-
-    Attention is left without its divisor until it has summed the values; a column of ones makes the divisor.
-    """
-    n = len(ids)
+def _encode(p: dict[str, np.ndarray], ids: np.ndarray, live: np.ndarray, qkv: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """The last value of `_forward` without what only the backward pass needs; `qkv` scaled, `mask` made once."""
+    rows = np.flatnonzero(live)
     x = p["embed"][ids.ravel()]
-    qkv = (x @ p["qkv"]).reshape(n, SPAN, 3 * WIDTH)
-    s = np.matmul(qkv[..., :WIDTH], qkv[..., WIDTH : 2 * WIDTH].transpose(0, 2, 1))
-    s *= np.float32(WIDTH**-0.5)
-    np.minimum(s, _MOST, out=s)
-    np.exp(s, out=s)
-    s *= mask
-    v = np.ones((n, SPAN, WIDTH + 1), np.float32)
-    v[..., :WIDTH] = qkv[..., 2 * WIDTH :]
-    a = np.matmul(s, v).reshape(-1, WIDTH + 1)
+    # A column of ones after the values makes the weights' divisor.
+    w = np.ones((*ids.shape, 3 * WIDTH + 1), np.float32)
+    np.matmul(x, qkv, out=w.reshape(-1, 3 * WIDTH + 1)[:, :-1])
+    a = np.empty((*ids.shape, WIDTH + 1), np.float32)
+    for some, places in _parts(live):
+        a[some, places] = _weights(w, some, places, mask)[1]
+    a = np.take(a.reshape(-1, WIDTH + 1), rows, axis=0)
+    x = np.take(x, rows, axis=0)
     x += (a[:, :WIDTH] / a[:, WIDTH:]) @ p["out"]
     u = x @ p["up"]
     u += p["up_b"]
@@ -220,11 +261,11 @@ def _log_sum(e: np.ndarray) -> np.ndarray:
     return np.log(e @ np.ones(e.shape[1], np.float32))
 
 
-def score(p: dict[str, np.ndarray], ids: np.ndarray, lengths: np.ndarray, end: int, batch: int = 256, group: int = 32) -> np.ndarray:
+def score(p: dict[str, np.ndarray], ids: np.ndarray, lengths: np.ndarray, end: int, batch: int = 128, group: int = 64) -> np.ndarray:
     """log10 probability of each text. Attention runs over `batch` windows, the rest over `group` batches."""
     out = np.zeros(len(lengths))
     inputs, targets, live, text = windows(ids, lengths, end)
-    mask = _mask(p["near"])
+    mask, qkv = _mask(p["near"]), _scaled(p["qkv"])
     for i in range(0, len(text), batch * group):
         some = slice(i, i + batch * group)
         keep = live[some]
@@ -235,9 +276,9 @@ def score(p: dict[str, np.ndarray], ids: np.ndarray, lengths: np.ndarray, end: i
         found = np.empty(len(target), np.float32)
         at = 0
         for j in range(i, min(i + batch * group, len(text)), batch):
-            rows = np.flatnonzero(live[j : j + batch])
-            to = at + len(rows)
-            o = np.take(_encode(p, inputs[j : j + batch], mask), rows, axis=0, out=last[at:to])
+            o = _encode(p, inputs[j : j + batch], live[j : j + batch], qkv, mask)
+            to = at + len(o)
+            last[at:to] = o
             e = o @ p["cls"]
             e += p["cls_b"]
             np.minimum(e, _MOST, out=e)
@@ -283,15 +324,18 @@ def train(
     steps = max(steps, -(-len(order) // batch))
     rng = np.random.default_rng(turn)
     w = flat(p).astype(np.float32)
-    m, v = np.zeros_like(w), np.zeros_like(w)
+    now = shaped(w)
+    m, v, step = np.zeros_like(w), np.zeros_like(w), np.empty_like(w)
     for t in range(steps):
         while len(order) < batch:
             order = np.append(order, rng.permutation(len(text)))
         rows, order = order[:batch], order[batch:]
-        _, g = gradients(shaped(w), inputs[rows], targets[rows], live[rows])
+        _, g = gradients(now, inputs[rows], targets[rows], live[rows])
         g = flat(g)
-        m += 0.1 * (g - m)
-        v += 0.02 * (g * g - v)
-        now = rate * (1 - 0.9 * t / steps)
-        w -= now * (m / (1 - 0.9 ** (t + 1))) / (np.sqrt(v / (1 - 0.98 ** (t + 1))) + 1e-8)
-    return shaped(w)
+        m += np.multiply(np.subtract(g, m, out=step), 0.1, out=step)
+        g *= g
+        v += np.multiply(np.subtract(g, v, out=step), 0.02, out=step)
+        np.sqrt(np.multiply(v, 1 / (1 - 0.98 ** (t + 1)), out=step), out=step)
+        step += 1e-8
+        w -= np.multiply(np.divide(m, step, out=step), rate * (1 - 0.9 * t / steps) / (1 - 0.9 ** (t + 1)), out=step)
+    return now

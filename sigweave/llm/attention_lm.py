@@ -155,37 +155,66 @@ def fit(
 
     No texts: a model that knows nothing but is a distribution all the same.
     """
+    rows = texts.select(F.xxhash64("id", "text").alias("key"), "text")
+    return learned(stored(coded(rows, known, place, ranks)), occur, rates, steps, shard_bytes)
+
+
+def learned(
+    rows: DataFrame,
+    occur: np.ndarray,
+    rates: tuple[float, ...] = RATES,
+    steps: int = STEPS,
+    shard_bytes: int = SHARD_BYTES,
+) -> np.ndarray:
+    """`fit` of rows (key, bytes, entries) as `coded` gives them; the key deals them to shards."""
     model = attention.flat(attention.initial(occur))
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = rows.agg(F.sum("bytes")).first()[0] or 0
     if not total:
         return model
-    shards = -(-total // shard_bytes)
-    shard = F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("long").alias("shard")
-    context = texts.sparkSession.sparkContext
-    # Two bytes a token, encoded once for all rounds.
-    coded = stored(texts.select(shard, "text").mapInArrow(_coded(known, context.broadcast(place), ranks), "shard long, entries binary"))
+    shard = F.pmod("key", F.lit(-(-total // shard_bytes))).cast("long").alias("shard")
+    context = rows.sparkSession.sparkContext
     for turn, rate in enumerate(rates):
         learn = _learning(context.broadcast(model), rate, steps, turn, len(rates))
-        models = coded.groupBy("shard").applyInPandas(learn, "shard long, weight double, sums binary")
+        models = rows.select(shard, "entries").groupBy("shard").applyInPandas(learn, "shard long, weight double, sums binary")
         model = _averaged(stored(models))
     return model
 
 
-def _coded(known, place, ranks: str):
-    """For mapInArrow: the vocabulary entries of each text, its end included."""
+_CODED = "bytes long, words long, known long, base double, other array<string>, entries binary"
+
+
+def coded(rows: DataFrame, known, place: np.ndarray, ranks: str = RANKS) -> DataFrame:
+    """`rows` with these columns in place of `text`: its bytes, number of words, number and base score of the frequent
+    ones, all other words, and the text's vocabulary entries with its end, two bytes each."""
+    at = rows.sparkSession.sparkContext.broadcast(place)
+    rest = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k: _Known = known.value
         for batch in batches:
-            for block in _blocks(batch):
-                e = _encoded(block.column("text").to_pylist(), known.value, place.value, ranks)
-                ends = np.append(0, np.cumsum(e.lengths)) * 2
+            for block in _blocks(batch, "text"):
+                e = _encoded(block.column("text").to_pylist(), k, at.value, ranks)
+                size, strange = e.size, e.number < 0
+                ends = np.cumsum(np.bincount(e.text[strange], minlength=len(size)))
+                stops = np.append(0, np.cumsum(e.lengths)) * 2
                 data = pa.py_buffer(e.ids.astype(np.uint16).tobytes())
-                entries = pa.Array.from_buffers(
-                    pa.binary(), block.num_rows, [None, pa.py_buffer(ends.astype(np.int32).tobytes()), data]
-                )
-                yield pa.RecordBatch.from_arrays([block.column("shard"), entries], ["shard", "entries"])
-
-    return run
+                new = [
+                    pc.fill_null(pc.binary_length(block.column("text")), 0).cast(pa.int64()),
+                    pa.array(size - 1),
+                    pa.array(size - 1 - np.diff(ends, prepend=0)),
+                    pa.array(np.bincount(e.text, np.where(strange, 0.0, k.logs[e.number]))),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.append(0, ends), pa.int32()), pa.array(e.other, pa.binary()).cast(pa.string())
+                    ),
+                    pa.Array.from_buffers(
+                        pa.binary(), block.num_rows, [None, pa.py_buffer(stops.astype(np.int32).tobytes()), data]
+                    ),
+                ]
+                names = [f.split()[0] for f in _CODED.split(", ")]
+                yield pa.RecordBatch.from_arrays([*(block.column(c) for c in rest), *new], [*rest, *names])
+
+    kept = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in rest)
+    return rows.mapInArrow(run, f"{kept}, {_CODED}")
 
 
 def _learning(start, rate: float, steps: int, turn: int, turns: int):
@@ -278,41 +307,27 @@ def _encoded(texts: list[str | None], k: _Known, place: np.ndarray, ranks: str)
     return _Encoded(number, text, other, size, ids, np.bincount(text, length).astype(np.int64))
 
 
-def _scored(model, place, known, ranks: str):
-    """For mapInArrow: model score, words, the base score of frequent words, and all other words of each text."""
+def _scored(model, rare: float):
+    """For mapInArrow: `score`, the model's, in place of the entries. An entry of `rare` ids gives each of them its part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k: _Known = known.value
         p = attention.shaped(model.value)
-        rare = np.log10(max(1, encoder(ranks).n_vocab - int((place.value != _RARE).sum())))
         for batch in batches:
-            for block in _blocks(batch):
-                e = _encoded(block.column("text").to_pylist(), k, place.value, ranks)
-                size, strange = e.size, e.number < 0
-                unseen = np.bincount(np.repeat(np.arange(len(size)), e.lengths), e.ids == _RARE)
-                score = attention.score(p, e.ids, e.lengths, _END) - unseen * rare
-                ends = np.cumsum(np.bincount(e.text[strange], minlength=len(size)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        block.column("doc_id"),
-                        block.column("held_out"),
-                        pa.array(size - 1),
-                        pa.array(size - 1 - np.diff(ends, prepend=0)),
-                        pa.array(np.bincount(e.text, np.where(strange, 0.0, k.logs[e.number]))),
-                        pa.array(score),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.append(0, ends), pa.int32()), pa.array(e.other, pa.binary()).cast(pa.string())
-                        ),
-                    ],
-                    ["doc_id", "held_out", "words", "known", "base", "score", "other"],
-                )
+            for block in _blocks(batch, "entries"):
+                entries = block.column("entries")
+                lengths = pc.binary_length(entries).to_numpy().astype(np.int64) // 2
+                ids = np.frombuffer(b"".join(entries.to_pylist()), np.uint16).astype(np.int32)
+                unseen = np.bincount(np.repeat(np.arange(len(lengths)), lengths), ids == _RARE)
+                score = attention.score(p, ids, lengths, _END) - unseen * np.log10(rare)
+                rest = [c for c in block.schema.names if c != "entries"]
+                yield pa.RecordBatch.from_arrays([*(block.column(c) for c in rest), pa.array(score)], [*rest, "score"])
 
     return run
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about `_GROUP_BYTES` of text."""
-    size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+def _blocks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about `_GROUP_BYTES` in the column."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     cut = (np.flatnonzero(np.diff(np.cumsum(size) // _GROUP_BYTES)) + 1).tolist()
     for a, b in zip([0, *cut], [*cut, batch.num_rows]):
         if b > a:
@@ -334,7 +349,10 @@ def scored(
     vocabulary. Other columns are ignored; empty input gives no rows. `training`: options of `fit`.
     """
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text")
+        F.col(id_col).alias("doc_id"),
+        held_out(F.col(id_col)).alias("held_out"),
+        F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("key"),
+        F.col(text_col).alias("text"),
     )
     teaching = rows.where("NOT held_out")
     counts = stored(word_counts(teaching.select("text")))
@@ -346,22 +364,24 @@ def scored(
     context = docs.sparkSession.sparkContext
     place, occur = vocabulary(counts, ends, ranks)
     known = context.broadcast(_known(_frequent(counts, frequent), (n, v), place, ranks))
-    texts = teaching.select(F.col("doc_id").cast("string").alias("id"), "text")
-    model = fit(texts, occur, known, place, ranks, **training)
-    run = _scored(context.broadcast(model), context.broadcast(place), known, ranks)
+    # Encoded once, for all rounds and for scoring. Written, so that the row number stays what it is.
+    texts = stored(coded(rows, known, place, ranks).withColumn("row", F.monotonically_increasing_id()))
+    model = learned(texts.where("NOT held_out"), occur, **training)
+    rare = max(1, encoder(ranks).n_vocab - int((place != _RARE).sum()))
+    out = texts.select("doc_id", "held_out", "row", "words", "known", "base", "entries")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.mapInArrow(
-        run,
-        f"doc_id {kind}, held_out boolean, words long, known long, base double, score double, other array<string>",
+    out = stored(
+        out.mapInArrow(
+            _scored(context.broadcast(model), rare),
+            f"doc_id {kind}, held_out boolean, row long, words long, known long, base double, score double",
+        )
     )
-    # Written, so that the row number below stays what it is.
-    out = stored(out.withColumn("row", F.monotonically_increasing_id()))
-    words = out.select("row", F.explode("other").alias("word"))
+    words = texts.select("row", F.explode("other").alias("word"))
     rest = words.join(counts, "word", "left").groupBy("row").agg(
         F.count("c").alias("known_too"),
         F.sum(F.coalesce(F.log10((F.col("c") + 1) / F.lit(float(n + v + 1))), F.lit(unknown))).alias("base_too"),
     )
-    return out.drop("other").join(rest, "row", "left").select(
+    return out.join(rest, "row", "left").select(
         "doc_id",
         "held_out",
         (F.col("words") + 1).alias("n_tokens"),

@@ -155,3 +155,35 @@ def test_later_windows_have_context_and_training_has_its_least_volume(monkeypatc
     for turn in range(len(attention_lm.RATES)):
         A.train(A.initial(np.ones(A.VOCABULARY)), np.arange(50), np.array([50]), 0, 0.01, attention_lm.STEPS, turn=turn, turns=2)
     assert sum(taken) >= 153_600
+
+
+def test_places_of_context_are_keys_only():
+    p = random_model()
+    rng = np.random.default_rng(2)
+    lengths = np.array([200, 3, A.SPAN + 1])
+    ids = rng.integers(0, A.VOCABULARY, lengths.sum())
+    inputs, _, live, _ = A.windows(ids, lengths, 0)
+    some = A._forward(p, inputs, live)[-1]
+    assert len(some) == live.sum() == lengths.sum()
+    assert np.allclose(some, A._forward(p, inputs)[-1][live.ravel()], atol=1e-5)
+
+
+def test_losses_of_large_logits():
+    rng = np.random.default_rng(3)
+    p = {k: v.astype(np.float64) for k, v in random_model().items()}
+    p["in"] *= 300
+    o, targets = rng.standard_normal((50, A.WIDTH)), rng.integers(0, A.VOCABULARY, 50)
+    cls = targets // A.CLASS
+    e, f = o @ p["cls"] + p["cls_b"], np.einsum("nw,nwk->nk", o, p["in"][cls]) + p["in_b"][cls]
+    assert abs(f).max() > 800
+    at = np.arange(50)
+    want = e[at, cls] - np.logaddexp.reduce(e, 1) + f[at, targets % A.CLASS] - np.logaddexp.reduce(f, 1)
+    assert np.allclose(A._losses(p, o, targets), want)
+
+
+def test_every_text_is_encoded_once(spark, monkeypatch):
+    rows = [(i, f"word{i % 5} and more") for i in range(60)] + [(None, None)]
+    seen, whole = [], attention_lm.coded
+    monkeypatch.setattr(attention_lm, "coded", lambda rows, *a: (seen.append(rows.count()), whole(rows, *a))[1])
+    assert scored(spark.createDataFrame(rows, "doc_id long, text string"), steps=2).count() == 61
+    assert seen == [61]
